@@ -113,8 +113,11 @@ def posting_url(platform: ColumnOrName, job_id: ColumnOrName) -> Column:
 # --- HTML helpers (I14-I16) ---------------------------------------------------
 # A paragraph runs from <p> to the next <p> or </p>; inline tags inside it are
 # removed and the five XML entities decoded, then it is stripped.
-PARAGRAPH = r"<p>((?:[^<]|<[^/p]|</[^p])*)"
-HEADING = r"<h1[^>]*>((?:[^<]|<[^/]|</[^h])*)"
+# Written as "unrolled loops" (a char-class run, then one group iteration per
+# inline tag): the same language as (?:[^<]|<[^/p]|</[^p])*, without one
+# regex-engine recursion per character on long paragraphs.
+PARAGRAPH = r"<p>([^<]*(?:<[^/p][^<]*|</[^p][^<]*)*)"
+HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
 LIST_ANCHOR_HREF = r'<li[^>]*>\s*<a href="([^"]*)"'
 
 

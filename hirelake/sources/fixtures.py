@@ -243,3 +243,40 @@ def lexicon(spark: SparkSession, sf_dir: str, pattern: str = "[A-Za-zÀ-ɏ]+", m
     b = table(spark, sf_dir, "benchmark").select("text")
     return (b.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("term"))
             .where(F.char_length("term") >= min_len).distinct())
+
+
+# --- events as operational events (J1, J2, B19) -------------------------------
+# Object events: purchase -> created, error -> deleted, other types stay
+# as they are (unknown to the alert). Job-state events: event type -> state.
+OBJECT_TYPE_OF = {"purchase": "Object Created", "error": "Object Deleted"}
+JOB_STATE_OF = {"purchase": "SUCCEEDED", "error": "FAILED", "click": "TIMEOUT", "view": "STOPPED"}
+JOB_NAMES = ["first_stage", "second_stage", "other_job"]
+
+
+def _map_type(col: Column, mapping: dict[str, str], default: Column) -> Column:
+    expr = None
+    for k, v in mapping.items():
+        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
+    return expr.otherwise(default)
+
+
+def object_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        _map_type(F.col("event_type"), OBJECT_TYPE_OF, F.col("event_type")).alias("detail_type"),
+        F.concat(F.lit("bucket-"), (F.col("user_id") % 3).cast("string")).alias("bucket_name"),
+        F.concat(F.lit("events/"), F.col("event_id").cast("string"), F.lit(".json")).alias("object_key"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("object_size"),
+    )
+
+
+def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        _pick((F.col("user_id") % 3).cast("int"), JOB_NAMES).alias("job_name"),
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("job_run_id"),
+        _map_type(F.col("event_type"), JOB_STATE_OF, F.lit("RUNNING")).alias("state"),
+        F.floor(F.col("value") * 30).cast("bigint").alias("execution_time"),
+    )

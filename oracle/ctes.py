@@ -226,3 +226,24 @@ def with_ctes(final_sql: str, *names: str) -> str:
         return final_sql
     body = ",\n".join(f"{n} AS ({CTES[n][0].strip()})" for n in order)
     return f"WITH {body}\n{final_sql}"
+
+# events as operational events
+cte("object_events", """
+SELECT event_id,
+       CASE event_type WHEN 'purchase' THEN 'Object Created' WHEN 'error' THEN 'Object Deleted'
+            ELSE event_type END AS detail_type,
+       'bucket-' || CAST(user_id % 3 AS VARCHAR) AS bucket_name,
+       'events/' || CAST(event_id AS VARCHAR) || '.json' AS object_key,
+       CAST(floor(value * 100) AS BIGINT) AS object_size
+FROM events
+""")
+cte("job_events", """
+SELECT event_id,
+       CASE user_id % 3 WHEN 0 THEN 'first_stage' WHEN 1 THEN 'second_stage' ELSE 'other_job' END AS job_name,
+       'run-' || CAST(event_id AS VARCHAR) AS job_run_id,
+       CASE event_type WHEN 'purchase' THEN 'SUCCEEDED' WHEN 'error' THEN 'FAILED' WHEN 'click' THEN 'TIMEOUT'
+            WHEN 'view' THEN 'STOPPED' ELSE 'RUNNING' END AS state,
+       CAST(floor(value * 30) AS BIGINT) AS execution_time
+FROM events
+""")
+

@@ -52,3 +52,420 @@ SELECT major_category, middle_category, COUNT(*) AS count FROM unique_jds GROUP
 oracle("k1_first_stage", W("SELECT * FROM cleaned", "cleaned"))
 
 oracle("b8_company_detail", W("SELECT * FROM company_detail", "company_detail"))
+
+
+# --- helpers ---------------------------------------------------------------
+
+STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def tokens_sql(x: str) -> str:
+    s = STRIP.format(x=x)
+    return f"(CASE WHEN {s} = '' THEN CAST([] AS VARCHAR[]) ELSE regexp_split_to_array({s}, '\\s+') END)"
+
+
+def sido_sql(x: str) -> str:
+    t = tokens_sql(x)
+    return f"substring(CASE WHEN starts_with({t}[1], '주소') THEN {t}[2] ELSE {t}[1] END, 1, 2)"
+
+
+def gugun_sql(x: str) -> str:
+    t = tokens_sql(x)
+    return f"substring(CASE WHEN starts_with({t}[1], '주소') THEN {t}[3] ELSE {t}[2] END, 1, 2)"
+
+
+PARAGRAPH = r"<p>([^<]*(?:<[^/p][^<]*|</[^p][^<]*)*)"
+HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
+
+
+def html_text_sql(x: str) -> str:
+    e = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        e = f"replace({e}, '{ent}', '{ch}')"
+    return STRIP.format(x=e)
+
+
+def paragraphs_sql(x: str) -> str:
+    return f"list_transform(regexp_extract_all({x}, '{PARAGRAPH}', 1), lambda p: {html_text_sql('p')})"
+
+
+# --- sources and projections ----------------------------------------------
+
+oracle("a3_read_table", "SELECT * FROM nation")
+
+oracle("a4_read_day", """
+SELECT event_id, user_id, event_type, CAST(year(ts) AS VARCHAR) AS year,
+       lpad(CAST(month(ts) AS VARCHAR), 2, '0') AS month, lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS day
+FROM events WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) = 15
+""")
+
+oracle("a10_sql_view", W("""
+SELECT major_category, middle_category, COUNT(DISTINCT job_id) AS count FROM cleaned GROUP BY 1, 2
+""", "cleaned"))
+
+oracle("b2_select_columns", W("SELECT job_id, platform, category, company, title, url, end_at, location FROM postings",
+                              "postings"))
+
+oracle("b3_align", W("SELECT job_id, platform, category, company, title, url FROM postings WHERE platform = 'jumpit'",
+                     "postings"))
+
+oracle("b4_split_platform", W("""
+SELECT job_id, platform, company, major_category FROM order_postings WHERE platform IN ('wanted', 'rallit')
+""", "order_postings"))
+
+oracle("b5_by_major", W("""
+SELECT job_id, platform, category, major_category, middle_category, sub_category FROM cleaned
+WHERE major_category = 'GAME'
+""", "cleaned"))
+
+oracle("b6_has_coordinates", W("SELECT * FROM company_detail WHERE lat IS NOT NULL AND lon IS NOT NULL",
+                               "company_detail"))
+
+_DEADLINE = """
+SELECT DISTINCT company, title, url, end_at, primary_responsibility, company_description,
+       major_category, middle_category
+FROM {src}
+WHERE TRY_CAST(end_at AS DATE) >= DATE '{d}' AND TRY_CAST(end_at AS DATE) <= DATE '{d}' + 7
+"""
+oracle("b7_upcoming_deadlines", W(_DEADLINE.format(src="cleaned", d="2024-01-20"), "cleaned"))
+oracle("b7_upcoming_deadlines_orders", W(_DEADLINE.format(src="order_postings", d="1998-06-01"), "order_postings"))
+
+oracle("b8_company_detail_embeddings", """
+SELECT DISTINCT company,
+       CASE WHEN coordinate IS NOT NULL THEN CAST(coordinate[1] AS DOUBLE) ELSE NULL END AS lat,
+       CASE WHEN coordinate IS NOT NULL THEN CAST(coordinate[2] AS DOUBLE) ELSE NULL END AS lon,
+       company_description
+FROM (SELECT 'company-' || CAST(label AS VARCHAR) AS company,
+             CASE WHEN vec_id % 7 = 0 THEN NULL ELSE embedding[1:2] END AS coordinate,
+             'label ' || CAST(label AS VARCHAR) AS company_description
+      FROM embeddings)
+""")
+
+oracle("b9_sub_category_list", W("SELECT sub_category FROM unique_jds", "unique_jds"))
+
+oracle("b19_events_in", W("""
+SELECT event_id, job_name, state FROM job_events
+WHERE state IN ('SUCCEEDED', 'FAILED', 'TIMEOUT', 'STOPPED') AND job_name IN ('first_stage', 'second_stage')
+""", "job_events"))
+
+# --- joins ---------------------------------------------------------------
+
+oracle("c2_posting_skills", W("""
+SELECT u.major_category, u.middle_category, u.platform, u.job_id, js.unnested_skill AS skill
+FROM unique_jds u JOIN jd_skills js ON u.platform = js.platform AND u.job_id = js.job_id
+""", "unique_jds", "jd_skills"))
+
+
+def _mart(table: str, col: str, alias: str) -> str:
+    return W(f"""
+SELECT u.major_category, u.middle_category, u.sub_category, u.platform, u.job_id, t.{col} AS {alias}
+FROM unique_jds u JOIN {table} t ON u.platform = t.platform AND u.job_id = t.job_id
+""", "unique_jds", table)
+
+
+oracle("c3_posting_preferred", _mart("jd_preferred_english_nouns", "unnested_preferred_english_nouns", "preferred"))
+oracle("c4_posting_required", _mart("jd_required_english_nouns", "unnested_required_english_nouns", "required"))
+oracle("c5_posting_responsibility", _mart("jd_primary_responsibility_english_nouns",
+                                          "unnested_primary_responsibility_english_nouns", "primary_responsibility"))
+oracle("c6_posting_welfare_english", _mart("jd_welfare_english_nouns", "unnested_welfare_english_nouns",
+                                           "unnested_welfare_english_nouns"))
+oracle("c7_posting_welfare_korean", _mart("jd_welfare_korean_nouns", "unnested_welfare_korean_nouns",
+                                          "unnested_welfare_korean_nouns"))
+
+oracle("c8_company_coordinates", W("""
+SELECT DISTINCT u.major_category, u.middle_category, u.sub_category, c.company, c.lat, c.lon
+FROM unique_jds u JOIN company_detail c ON u.company = c.company
+WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL
+""", "unique_jds", "company_detail"))
+
+oracle("c9_semi_on", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+""")
+
+oracle("c10_geocode", """
+WITH cp AS (
+  SELECT CAST(c.c_custkey AS VARCHAR) AS job_id,
+         CASE c.c_custkey % 4 WHEN 0 THEN 'wanted' WHEN 1 THEN 'jumpit' WHEN 2 THEN 'rallit' ELSE 'jobplanet' END
+           AS platform,
+         n.n_name AS location,
+         CASE WHEN c.c_custkey % 3 = 0 THEN NULL
+              ELSE [CAST(c.c_nationkey AS DOUBLE), CAST(c.c_custkey % 10 AS DOUBLE)] END AS coordinate
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+addr AS (
+  SELECT n_name AS location, CAST(30.0 AS DOUBLE) + CAST(n_nationkey AS DOUBLE) AS lat,
+         CAST(120.0 AS DOUBLE) + CAST(n_regionkey AS DOUBLE) AS lon
+  FROM nation WHERE n_nationkey % 5 <> 0)
+SELECT cp.job_id, cp.platform, cp.location,
+       CASE WHEN cp.platform IN ('jobplanet', 'jumpit')
+            THEN CASE WHEN a.lat IS NOT NULL AND a.lon IS NOT NULL THEN [a.lat, a.lon] END
+            ELSE cp.coordinate END AS coordinate
+FROM cp LEFT JOIN addr a ON cp.location = a.location
+WHERE cp.platform IN ('wanted', 'jumpit', 'rallit', 'jobplanet')
+""")
+
+oracle("c11_classify_loose", W("""
+SELECT p.job_id, p.platform, p.category, l.major_category, l.middle_category, p.year, p.month, p.day
+FROM postings p LEFT JOIN loose_taxonomy l ON replace(p.category, ' ', '') = l.category_key
+""", "postings", "loose_taxonomy"))
+
+# --- aggregations ----------------------------------------------------------
+
+_ORDER_JDS = ("(SELECT DISTINCT platform, job_id, title, company, major_category, middle_category, sub_category "
+              "FROM order_postings)")
+oracle("d1_count_major_orders", W(f"SELECT major_category, COUNT(*) AS count FROM {_ORDER_JDS} GROUP BY 1",
+                                  "order_postings"))
+oracle("d2_count_major_middle_orders", W(
+    f"SELECT major_category, middle_category, COUNT(*) AS count FROM {_ORDER_JDS} GROUP BY 1, 2", "order_postings"))
+oracle("d3_count_sub", W("SELECT sub_category, COUNT(*) AS count FROM unique_jds GROUP BY 1", "unique_jds"))
+
+oracle("d4_daily_counts", W("""
+SELECT CAST(ds AS DATE) AS date_str, c AS count FROM (SELECT date_str AS ds, COUNT(*) AS c FROM daily GROUP BY date_str)
+""", "daily"))
+
+oracle("d4_daily_counts_events", W("""
+SELECT CAST(ds AS DATE) AS date_str, c AS count FROM (
+  SELECT ds, COUNT(*) AS c FROM (
+    SELECT DISTINCT year, month, day, year || '-' || lpad(month, 2, '0') || '-' || lpad(day, 2, '0') AS ds,
+           platform, job_id, company, title, major_category, middle_category, sub_category
+    FROM event_postings)
+  GROUP BY ds)
+""", "event_postings"))
+
+oracle("d5_distinct_by_major", W("""
+SELECT major_category, COUNT(DISTINCT job_id) AS count FROM lineitem_classified GROUP BY 1
+""", "lineitem_classified"))
+oracle("d6_distinct_by_major_middle", W("""
+SELECT major_category, middle_category, COUNT(DISTINCT job_id) AS count FROM lineitem_classified GROUP BY 1, 2
+""", "lineitem_classified"))
+
+oracle("d7_count_non_null", W("""
+SELECT major_category, middle_category, sub_category, COUNT(job_id) AS job_id_count FROM cleaned GROUP BY 1, 2, 3
+""", "cleaned"))
+oracle("d8_ranked_major", W("""
+SELECT major_category, COUNT(*) AS count FROM cleaned WHERE major_category IS NOT NULL GROUP BY 1
+""", "cleaned"))
+oracle("d9_ranked_middle", W("""
+SELECT middle_category, COUNT(*) AS count FROM cleaned WHERE middle_category IS NOT NULL GROUP BY 1
+""", "cleaned"))
+oracle("d10_groups_per_middle", W("""
+SELECT middle_category, COUNT(*) AS job_id_count
+FROM (SELECT major_category, middle_category, sub_category FROM cleaned GROUP BY 1, 2, 3)
+WHERE middle_category IS NOT NULL GROUP BY 1
+""", "cleaned"))
+oracle("d11_count_by_sido", W(f"""
+SELECT sido_location, COUNT(*) AS count
+FROM (SELECT {sido_sql('location')} AS sido_location FROM cleaned)
+WHERE sido_location IS NOT NULL GROUP BY 1
+""", "cleaned"))
+oracle("d12_count_by_gugun", W(f"""
+SELECT gugun_location, COUNT(*) AS count
+FROM (SELECT {gugun_sql('location')} AS gugun_location FROM cleaned)
+WHERE gugun_location IS NOT NULL GROUP BY 1
+""", "cleaned"))
+
+_LI = "(SELECT job_id, platform, company, title FROM lineitem_postings)"
+oracle("d14_repeated_keys", W(f"SELECT job_id, COUNT(*) AS count FROM {_LI} GROUP BY job_id HAVING COUNT(*) > 1",
+                              "lineitem_postings"))
+oracle("d15_duplicate_rows", W(f"""
+SELECT * FROM {_LI} WHERE job_id IN (SELECT job_id FROM lineitem_postings GROUP BY job_id HAVING COUNT(*) > 1)
+""", "lineitem_postings"))
+
+
+def _dup_pair(src: str) -> str:
+    return f"""
+SELECT l.* FROM {src} l JOIN (
+  SELECT job_id, company FROM {src} GROUP BY job_id, company HAVING COUNT(*) > 1) r
+ON l.job_id IS NOT DISTINCT FROM r.job_id AND l.company IS NOT DISTINCT FROM r.company
+"""
+
+
+oracle("d16_duplicate_rows_pair", W(_dup_pair(_LI), "lineitem_postings"))
+oracle("d16_duplicate_rows_pair_postings", W(_dup_pair(
+    "(SELECT job_id, platform, company, category, year, month, day FROM postings)"), "postings"))
+
+
+def _dup_summary(src: str) -> str:
+    k1 = f"(SELECT job_id, COUNT(*) AS c FROM {src} GROUP BY job_id)"
+    k2 = f"(SELECT job_id, company, COUNT(*) AS c FROM {src} GROUP BY job_id, company)"
+    return f"""
+SELECT total_rows, dup_rows, dup_pair_rows, dup_rows // 2 AS dup_count_half,
+       total_rows - dup_rows // 2 AS net_postings_half, dup_rows = dup_pair_rows AS keys_agree,
+       dup_rows - dup_keys AS removable_rows, total_rows - dup_rows + dup_keys AS net_postings
+FROM (SELECT CAST((SELECT COUNT(*) FROM {src}) AS BIGINT) AS total_rows,
+             CAST((SELECT coalesce(SUM(c), 0) FROM {k1} WHERE c > 1) AS BIGINT) AS dup_rows,
+             CAST((SELECT COUNT(*) FROM {k1} WHERE c > 1) AS BIGINT) AS dup_keys,
+             CAST((SELECT coalesce(SUM(c), 0) FROM {k2} WHERE c > 1) AS BIGINT) AS dup_pair_rows)
+"""
+
+
+oracle("d17_duplicate_summary", W(_dup_summary("lineitem_postings"), "lineitem_postings"))
+oracle("d17_duplicate_summary_postings", W(_dup_summary("postings"), "postings"))
+
+oracle("d18_distinct_dates", W("SELECT DISTINCT year, month, day FROM event_postings", "event_postings"))
+
+oracle("d19_dedupe_first", """
+SELECT doc_id, text, lang, source FROM (
+  SELECT doc_id, text, lang, source,
+         row_number() OVER (PARTITION BY text ORDER BY doc_id, lang, source) AS rn
+  FROM documents)
+WHERE rn = 1
+""")
+
+oracle("d20_distinct_ids", r"""
+SELECT DISTINCT regexp_extract(url, '/(\d+)', 1) AS posting_id FROM pages
+WHERE regexp_extract(url, '/(\d+)', 1) <> ''
+""")
+
+
+def _profile_sql() -> str:
+    cols = [("o_orderkey", True), ("o_custkey", True), ("o_orderstatus", False), ("o_totalprice", True),
+            ("o_orderdate", False), ("o_orderpriority", False)]
+    parts = []
+    for c, num in cols:
+        mean = f"round(avg({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls, "
+                     f"CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max, {mean} AS mean "
+                     f"FROM orders")
+    return " UNION ALL ".join(parts)
+
+
+oracle("d21_profile", _profile_sql())
+
+# --- sorts -------------------------------------------------------------------
+
+oracle("f2_sort_by", W(f"SELECT * FROM {_LI}", "lineitem_postings"))
+oracle("f4_preview", W(f"SELECT * FROM {_LI} ORDER BY job_id, company, platform, title LIMIT 20",
+                       "lineitem_postings"))
+
+# --- set operations ---------------------------------------------------------
+
+oracle("g1_union_sources", W("SELECT * FROM postings", "postings"))
+oracle("g2_enrich_subset", W("""
+SELECT p.job_id, p.platform, p.location,
+       CASE WHEN p.platform IN ('jobplanet', 'jumpit')
+            THEN CASE WHEN a.lat IS NOT NULL AND a.lon IS NOT NULL THEN [a.lat, a.lon] END
+            ELSE p.coordinate END AS coordinate,
+       p.year, p.month, p.day
+FROM postings p LEFT JOIN posting_addresses a ON p.location = a.location
+WHERE p.platform IN ('wanted', 'jumpit', 'rallit', 'jobplanet')
+""", "postings", "posting_addresses"))
+oracle("g3_union_loose", W("""
+SELECT job_id, platform, title, location, CAST(NULL AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS end_at
+FROM postings WHERE platform = 'wanted'
+UNION ALL
+SELECT job_id, platform, NULL, NULL, company, end_at FROM postings WHERE platform = 'jobplanet'
+""", "postings"))
+
+# --- scalar functions ---------------------------------------------------
+
+oracle("h1_clean_text", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
+
+oracle("h2_h13_text_functions", f"""
+SELECT doc_id,
+       replace(text, chr(13) || chr(10), chr(10)) AS lf_text,
+       nullif(split_part(text, chr(10), 2), '') AS second_line,
+       replace(source, ' ', '') AS source_nospace,
+       CAST(len({tokens_sql('text')}) AS BIGINT) AS n_tokens,
+       substring(lang, 1, 1) AS lang_initial,
+       starts_with(text, 'The') AS starts_the,
+       {STRIP.format(x="split_part(text, chr(10), 1)")} AS first_line_stripped
+FROM documents
+""")
+
+oracle("h10_sido_gugun", W(f"""
+SELECT job_id, location, {sido_sql('location')} AS sido, {gugun_sql('location')} AS gugun FROM postings
+""", "postings"))
+
+oracle("h12_url_id", r"SELECT page_id, nullif(regexp_extract(url, '/(\d+)', 1), '') AS url_id FROM pages")
+
+oracle("h17_date_parts", """
+SELECT event_id, y AS year, m AS month, d AS day, y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') AS date_str
+FROM (SELECT event_id, CAST(year(ts) AS VARCHAR) AS y, CAST(month(ts) AS VARCHAR) AS m,
+             CAST(day(ts) AS VARCHAR) AS d FROM events)
+""")
+
+oracle("h25_json_field", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text
+FROM events
+""")
+
+# --- term extraction ---------------------------------------------------------
+
+oracle("i1_jd_skills", W("SELECT * FROM jd_skills", "jd_skills"))
+for _key, _col, _kind in [("i2_preferred_english", "preferred", "english"),
+                          ("i3_preferred_korean", "preferred", "korean"),
+                          ("i4_responsibility_english", "primary_responsibility", "english"),
+                          ("i5_responsibility_korean", "primary_responsibility", "korean"),
+                          ("i6_required_english", "required", "english"),
+                          ("i7_required_korean", "required", "korean"),
+                          ("i8_welfare_english", "welfare", "english"),
+                          ("i9_welfare_korean", "welfare", "korean")]:
+    oracle(_key, W(f"SELECT * FROM jd_{_col}_{_kind}_nouns", f"jd_{_col}_{_kind}_nouns"))
+
+oracle("i10_latin_terms", "SELECT doc_id, coalesce(regexp_extract_all(text, '[A-Za-z]+'), []) AS terms FROM documents")
+
+oracle("i11_lexicon_terms", W("""
+, doc_tokens AS (
+  SELECT doc_id, unnest(arr) AS tok, generate_subscripts(arr, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-zÀ-ɏ]+') AS arr FROM documents)),
+tn AS (
+  SELECT v.tok, arg_max(l.term, v.n) AS noun
+  FROM (SELECT tok, unnest(generate_series(1, length(tok))) AS n FROM (SELECT DISTINCT tok FROM doc_tokens)) v
+  JOIN lexicon l ON l.term = substring(v.tok, 1, v.n)
+  GROUP BY v.tok),
+arr AS (SELECT doc_id, list(noun ORDER BY pos) AS nouns FROM doc_tokens JOIN tn USING (tok) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.nouns, []) AS nouns FROM documents d LEFT JOIN arr a USING (doc_id)
+""", "lexicon").replace("\n, doc_tokens", ",\ndoc_tokens", 1))
+
+oracle("i14_page_links", r"""
+SELECT page_id, pos - 1 AS pos, href, posting_id FROM (
+  SELECT page_id, unnest(arr) AS href, generate_subscripts(arr, 1) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, '<li[^>]*>\s*<a href="([^"]*)"', 1) AS arr FROM pages)
+), LATERAL (SELECT nullif(regexp_extract(href, '^/([A-Za-z]+)$', 1), '') AS posting_id)
+WHERE posting_id IS NOT NULL
+""")
+
+oracle("i15_first_paragraph", f"SELECT page_id, {paragraphs_sql('html')}[1] AS first_paragraph FROM pages")
+
+oracle("i16_page_sections", f"""
+SELECT page_id, {html_text_sql(f"nullif(regexp_extract(html, '{HEADING}', 1), '')")} AS position_name,
+       ps[1] AS intro, ps[2] AS main_work, ps[3] AS require, ps[4] AS preference, ps[5] AS welfare
+FROM (SELECT page_id, html, {paragraphs_sql('html')} AS ps FROM pages)
+""")
+
+# --- alerts -------------------------------------------------------------
+
+_OBJ_TEXT = """
+CASE detail_type WHEN 'Object Created' THEN 'A new object has been created in S3'
+                 WHEN 'Object Deleted' THEN 'An object has been deleted from S3'
+                 ELSE 'Unknown S3 operation' END AS text,
+CASE detail_type
+  WHEN 'Object Created' THEN 'Bucket Name: ' || bucket_name || chr(10) || 'Object Key: ' || object_key || chr(10)
+                             || 'Object Size: ' || CAST(object_size AS VARCHAR) || ' bytes'
+  WHEN 'Object Deleted' THEN 'Bucket Name: ' || bucket_name || chr(10) || 'Object Key: ' || object_key
+END AS attachment
+"""
+oracle("j1_object_alerts", W(f"""
+SELECT event_id, {_OBJ_TEXT} FROM object_events
+WHERE detail_type IN ('Object Created', 'Object Deleted') AND bucket_name IN ('bucket-0', 'bucket-1')
+""", "object_events"))
+oracle("j1_object_alerts_all", W(f"SELECT event_id, detail_type, {_OBJ_TEXT} FROM object_events", "object_events"))
+
+oracle("j2_job_state_alerts", W("""
+SELECT event_id,
+       CASE state WHEN 'SUCCEEDED' THEN 'Glue Job ' || job_name || ' has succeeded!'
+                  WHEN 'FAILED' THEN 'Glue Job ' || job_name || ' has failed.'
+                  WHEN 'TIMEOUT' THEN 'Glue Job ' || job_name || ' has timed out.'
+                  WHEN 'STOPPED' THEN 'Glue Job ' || job_name || ' has been stopped.'
+                  ELSE '' END AS text,
+       CASE WHEN state = 'SUCCEEDED' THEN 'Execution Time: ' || CAST(execution_time // 3600 AS VARCHAR) || 'h '
+            || CAST((execution_time % 3600) // 60 AS VARCHAR) || 'm ' || CAST(execution_time % 60 AS VARCHAR) || 's.'
+       END AS attachment
+FROM job_events
+WHERE state IN ('SUCCEEDED', 'FAILED', 'TIMEOUT', 'STOPPED') AND job_name IN ('first_stage', 'second_stage')
+""", "job_events"))
+
+# --- composite -------------------------------------------------------------
+
+oracle("k2_second_stage", W("SELECT * FROM enriched", "enriched"))
