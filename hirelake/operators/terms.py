@@ -5,12 +5,12 @@ re-aimed from a per-row statistical tagger to a lexicon join: each script run
 (token) maps to its longest lexicon prefix (a noun followed by particles in
 Korean). The join works on the token vocabulary, not on the text:
 
-    texts -> tokens (with position) -> DISTINCT tokens -> prefixes (length
-    capped by the longest lexicon entry, exact) -> join lexicon -> longest
-    match per token -> join back to token occurrences.
+    texts -> tokens (with position) -> prefixes (length capped by the
+    longest lexicon entry, exact) -> join lexicon -> longest match per token
+    occurrence -> arrays per row in text order.
 
-Noun arrays depend only on the text, so arrays are computed once per
-distinct text and joined back on it; repeated texts cost nothing extra.
+Token rows carry a small row key, never the text, so the shuffles move
+(key, position, token) only.
 """
 
 from __future__ import annotations
@@ -40,46 +40,86 @@ def token_nouns(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
     capped by the longest lexicon entry, which is exact: a longer prefix
     can never match.
     """
+    return longest_prefix(vocab.select("tok").distinct(), lexicon, [])
+
+
+def _prefixes(rows: DataFrame, min_len: int, max_len: int) -> DataFrame:
+    """Prefixes of every token with a length a lexicon entry can have."""
+    n = F.explode(F.sequence(F.lit(min_len), F.least(F.char_length("tok"), F.lit(max_len)))).alias("n")
+    long_enough = rows.where(F.char_length("tok") >= min_len)
+    return long_enough.select("*", n).withColumn("term", F.col("tok").substr(F.lit(1), F.col("n")))
+
+
+def _longest(hits: DataFrame, cols: list[str]) -> DataFrame:
+    # The noun is the token's prefix of the longest matching length, so the
+    # aggregate only keeps max(n): an int buffer, hash-aggregated map-side.
+    best = hits.groupBy(*cols).agg(F.max("n").alias("n"))
+    return best.select(*cols, F.col("tok").substr(F.lit(1), F.col("n")).alias("noun"))
+
+
+def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., tok, noun) for rows of (keys..., tok) whose token has a
+    lexicon prefix; ``noun`` is the longest one.
+
+    Matching runs on the vocabulary (DISTINCT tokens, collapsed map-side),
+    not on occurrences: prefixes of each distinct token are probed against
+    the lexicon (broadcast after a bounded size check, else a shuffle join),
+    the longest match is an int max per token, and the (tok, noun) map is
+    joined back to the occurrences (AQE broadcasts it when its run-time size
+    is small, and splits a hot token otherwise).
+
+    Prefix lengths run from the shortest to the longest lexicon entry only,
+    which is exact: no other length can match.
+    """
     lex = _lexicon_terms(lexicon)
-    max_len = lex.agg(F.max(F.char_length("term"))).first()[0] or 0
+    bounds = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term"))).first()
+    min_len, max_len = (bounds[0] or 0), (bounds[1] or 0)
+    cols = [*keys, "tok"]
     if max_len == 0:
-        return vocab.select("tok", F.lit(None).cast("string").alias("noun")).where(F.lit(False))
-    cands = vocab.select(
-        "tok", F.explode(F.sequence(F.lit(1), F.least(F.char_length("tok"), F.lit(max_len)))).alias("n"))
-    cands = cands.withColumn("term", F.col("tok").substr(F.lit(1), F.col("n")))
-    lex_side = broadcast_if_small(lex, LEXICON_BROADCAST_ROWS)
-    matched = cands.join(lex_side, "term", "inner")
-    return matched.groupBy("tok").agg(F.max_by("term", "n").alias("noun"))
-
-
-def noun_arrays(texts: DataFrame, lexicon: DataFrame, pattern: str = KOREAN_PATTERN) -> DataFrame:
-    """(txt, nouns) for every distinct non-NULL ``txt``: nouns in text
-    order, repeats kept. Texts without a matched token get no row."""
-    distinct_texts = texts.where(F.col("txt").isNotNull()).distinct()
-    toks = distinct_texts.select(
-        "txt", F.posexplode(F.regexp_extract_all("txt", F.lit(pattern), 0)).alias("pos", "tok"))
-    nouns = token_nouns(toks.select("tok").distinct(), lexicon)
-    hits = toks.join(nouns, "tok", "inner")
-    return (hits.groupBy("txt")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "noun"))).alias("_a"))
-            .select("txt", F.transform("_a", lambda x: x["noun"]).alias("nouns")))
+        return rows.select(*cols, F.lit(None).cast("string").alias("noun")).where(F.lit(False))
+    vocab = _prefixes(rows.select("tok").distinct(), min_len, max_len)
+    tn = _longest(vocab.join(broadcast_if_small(lex, LEXICON_BROADCAST_ROWS), "term", "inner"), ["tok"])
+    return rows.select(*cols).join(tn, "tok", "inner")
+
+
+def row_key(df: DataFrame) -> "F.Column":
+    """A content key for rows without a unique key: SHA-256 of the row as
+    JSON (32 bytes). Identical rows share it, which is harmless because
+    their term arrays are identical too."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256))
 
 
 def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
-                  pattern: str = KOREAN_PATTERN, name=lambda c: term_column(c, "korean")) -> DataFrame:
-    """Add one noun array per text column; NULL or blank text -> []."""
-    texts = None
-    for c in cols:
-        t = df.select(F.col(c).alias("txt"))
-        texts = t if texts is None else texts.unionByName(t)
-    arrays = noun_arrays(texts, lexicon, pattern)
-    out = df
-    for i, c in enumerate(cols):
-        a = arrays.select(F.col("txt").alias(f"_t{i}"), F.col("nouns").alias(f"_n{i}"))
-        out = out.join(a, out[c] == a[f"_t{i}"], "left")
-        out = out.withColumn(name(c), F.coalesce(F.col(f"_n{i}"), F.array().cast("array<string>"))) \
-                 .drop(f"_t{i}", f"_n{i}")
-    return out
+                  pattern: str = KOREAN_PATTERN, name=lambda c: term_column(c, "korean"),
+                  key: list[str] | None = None) -> DataFrame:
+    """Add one noun array per text column (text order, repeats kept);
+    NULL, blank or unmatched text -> [].
+
+    Token rows carry only a small row key (``key`` when the caller has a
+    unique one, else a content hash), the column index, the position and
+    the token; all columns are tokenised in one pass and the arrays come
+    back in one join.
+    """
+    keyed = df.withColumn("_rk", row_key(df)) if key is None else df
+    kcols = ["_rk"] if key is None else key
+    per_col = F.array(*[F.struct(F.lit(i).alias("ci"),
+                                 F.regexp_extract_all(F.col(c), F.lit(pattern), 0).alias("toks"))
+                        for i, c in enumerate(cols)])
+    toks = (keyed.select(*kcols, F.explode(per_col).alias("_c"))
+            .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
+    hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
+    grouped = hits.groupBy(*kcols).agg(F.collect_list(F.struct("ci", "pos", "noun")).alias("_a"))
+    def of_column(i: int):
+        # one-argument lambda: F.filter treats a two-argument one as (x, index)
+        return lambda x: x["ci"] == F.lit(i)
+
+    arrays = grouped.select(*kcols, *[
+        F.transform(F.array_sort(F.filter("_a", of_column(i))), lambda x: x["noun"]).alias(f"_n{i}")
+        for i in range(len(cols))])
+    out = keyed.join(arrays, kcols, "left")
+    out = out.withColumns({name(c): F.coalesce(F.col(f"_n{i}"), F.array().cast("array<string>"))
+                           for i, c in enumerate(cols)})
+    return out.select(*df.columns, *[name(c) for c in cols])
 
 
 def add_term_columns(df: DataFrame, lexicon: DataFrame, cols: list[str],
@@ -104,5 +144,5 @@ def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
     """
     toks = df.select("job_id", "platform",
                      F.explode(F.regexp_extract_all(F.col(col), F.lit(pattern), 0)).alias("tok")).distinct()
-    nouns = token_nouns(toks.select("tok").distinct(), lexicon)
-    return toks.join(nouns, "tok", "inner").select("job_id", "platform", F.col("noun").alias(out)).distinct()
+    nouns = longest_prefix(toks, lexicon, ["job_id", "platform"])
+    return nouns.select("job_id", "platform", F.col("noun").alias(out)).distinct()

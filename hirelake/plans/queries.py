@@ -508,7 +508,8 @@ def i10_latin_terms(spark, d):
 @query("i11_lexicon_terms")
 def i11_lexicon_terms(spark, d):
     docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    out = terms.lexicon_terms(docs, ["text"], lexicon(spark, d), terms.FIXTURE_PATTERN, name=lambda c: "nouns")
+    out = terms.lexicon_terms(docs, ["text"], lexicon(spark, d), terms.FIXTURE_PATTERN,
+                              name=lambda c: "nouns", key=["doc_id"])
     return out.select("doc_id", "nouns")
 
 
