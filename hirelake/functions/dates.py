@@ -47,7 +47,7 @@ def within_days(c: ColumnOrName, as_of, days: int) -> Column:
 
 def reformat_dotted(c: ColumnOrName, src: str = "yyyy.MM.dd", dst: str = "yyyy-MM-dd") -> Column:
     """H16: 'yyyy.MM.dd' -> 'yyyy-MM-dd'; unparsable text gives NULL."""
-    return F.date_format(F.try_to_date(_c(c), F.lit(src)), dst)
+    return F.date_format(F.try_to_date(_c(c), src), dst)
 
 
 def day_parts(ts: ColumnOrName, padded: bool = False) -> dict[str, Column]:

@@ -84,8 +84,8 @@ def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> Data
 
 def row_key(df: DataFrame) -> "F.Column":
     """A content key for rows without a unique key: SHA-256 of the row as
-    JSON (32 bytes). Identical rows share it, which is harmless because
-    their term arrays are identical too."""
+    JSON (32 bytes). Identical rows share it; their term arrays are equal,
+    and the arrays are built from a set, so sharing is exact."""
     return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256))
 
 
@@ -108,7 +108,9 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     toks = (keyed.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
     hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
-    grouped = hits.groupBy(*kcols).agg(F.collect_list(F.struct("ci", "pos", "noun")).alias("_a"))
+    # a set: (ci, pos) is unique within a row, and exact duplicate rows (which
+    # share a content key) contribute the same elements once
+    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
     def of_column(i: int):
         # one-argument lambda: F.filter treats a two-argument one as (x, index)
         return lambda x: x["ci"] == F.lit(i)

@@ -27,6 +27,14 @@ def read_landing_rows(spark: SparkSession, paths, multi_line: bool = True, base_
     return landing_rows(read_landing(spark, paths, multi_line, base_path))
 
 
+def read_landing_sites(spark: SparkSession, root: str, sites: list[str], multi_line: bool = True) -> dict[str, DataFrame]:
+    """One posting table per site prefix ``root/<site>/year=/month=/day=``
+    (each prefix is its own partitioned root, like one catalog table per
+    site); the caller unions them (G1)."""
+    base = root.rstrip("/")
+    return {s: read_landing_rows(spark, f"{base}/{s}", multi_line, base_path=f"{base}/{s}") for s in sites}
+
+
 def read_posting_lines(spark: SparkSession, path: str) -> DataFrame:
     """Read a JSON-lines landing zone written by :func:`write_landing`;
     platform and day parts come from the partition folders, as strings."""

@@ -1,4 +1,4 @@
-"""Sinks (A5-A8). No ``repartition(1)``: AQE coalesces small outputs and
+"""Sinks (A5-A8). No shuffle into a single partition: AQE coalesces small outputs and
 ``maxRecordsPerFile`` bounds file size; a single file is opt-in for small
 marts only (``coalesce(1)`` without a shuffle)."""
 
