@@ -66,7 +66,8 @@ def upcoming_deadlines(df: DataFrame, as_of, days: int = 7) -> DataFrame:
 def unnest_distinct(df: DataFrame, col: str, out: str) -> DataFrame:
     """DISTINCT (job_id, platform, element); NULL or empty arrays give
     no rows, NULL elements are kept (UNNEST semantics)."""
-    return df.select("job_id", "platform", F.explode(col).alias(out)).distinct()
+    # array_distinct first: repeats inside one row vanish map-side, in codegen
+    return df.select("job_id", "platform", F.explode(F.array_distinct(col)).alias(out)).distinct()
 
 
 def posting_terms(jds: DataFrame, terms: DataFrame, term_col: str, alias: str,

@@ -134,7 +134,7 @@ def add_term_columns(df: DataFrame, lexicon: DataFrame, cols: list[str],
 
 def latin_term_table(df: DataFrame, col: str, out: str) -> DataFrame:
     """DISTINCT (job_id, platform, Latin term of col)."""
-    return df.select("job_id", "platform", F.explode(latin_terms(col)).alias(out)).distinct()
+    return df.select("job_id", "platform", F.explode(F.array_distinct(latin_terms(col))).alias(out)).distinct()
 
 
 def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
@@ -144,7 +144,7 @@ def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
     Same rows as unnesting the noun arrays, computed from DISTINCT
     (job_id, platform, token) so repeated tokens collapse map-side first.
     """
-    toks = df.select("job_id", "platform",
-                     F.explode(F.regexp_extract_all(F.col(col), F.lit(pattern), 0)).alias("tok")).distinct()
+    runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
+    toks = df.select("job_id", "platform", F.explode(runs).alias("tok")).distinct()
     nouns = longest_prefix(toks, lexicon, ["job_id", "platform"])
     return nouns.select("job_id", "platform", F.col("noun").alias(out)).distinct()
