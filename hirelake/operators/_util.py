@@ -25,3 +25,26 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -
 def drop_if_present(df: DataFrame, cols: list[str]) -> DataFrame:
     present = [c for c in cols if c in df.columns]
     return df.drop(*present) if present else df
+
+
+def _sql_literal(value, sql_type: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {sql_type})"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"CAST('{escaped}' AS {sql_type})"
+    if isinstance(value, float):
+        return f"CAST({value!r} AS {sql_type})"
+    return f"CAST({value} AS {sql_type})"
+
+
+def literal_table(spark, rows: list[tuple], columns: list[tuple[str, str]]):
+    """A fixed table of literal rows as an inline ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` over a Python list (an RDD scan), this is a
+    ``LocalRelation``: Catalyst knows its exact size, folds projections over
+    it and broadcasts it without running a job.
+    """
+    names = ", ".join(n for n, _ in columns)
+    body = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, columns)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")

@@ -14,20 +14,21 @@ GEOCODED_PLATFORMS = ["jobplanet", "jumpit"]
 
 
 def geocode(df: DataFrame, addresses: DataFrame, platforms: list[str] | None = None,
-            known_only: bool = True) -> DataFrame:
+            known_only: bool = True, fixed_size: bool = False) -> DataFrame:
     """C10 + G2: replace ``coordinate`` of the listed platforms by the
     address table's (lat, lon); a miss gives NULL, as a failed lookup did.
     Other platforms keep their own coordinate. With ``known_only`` rows of
     unknown or NULL platforms are dropped, like the reference's split/union.
 
-    ``addresses`` must hold one row per location. It is broadcast only after
-    a bounded size check; a large address table falls back to a shuffle join
-    that AQE can still re-plan (and split on a hot location).
+    ``addresses`` must hold one row per location. A ``fixed_size`` table
+    (literal rows) is broadcast as is; any other is broadcast only after a
+    bounded size check, else the join is a shuffle join that AQE can still
+    re-plan (and split on a hot location).
     """
     platforms = platforms or GEOCODED_PLATFORMS
-    dim = broadcast_if_small(addresses.select(
-        F.col("location").alias("_geo_location"), F.col("lat").alias("_geo_lat"),
-        F.col("lon").alias("_geo_lon")))
+    dim = addresses.select(F.col("location").alias("_geo_location"), F.col("lat").alias("_geo_lat"),
+                           F.col("lon").alias("_geo_lon"))
+    dim = F.broadcast(dim) if fixed_size else broadcast_if_small(dim)
     joined = df.join(dim, df["location"] == dim["_geo_location"], "left")
     pred = F.col("platform").isin(platforms)
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
-from ._util import broadcast_if_small
 
 KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
@@ -72,13 +71,16 @@ def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> Data
     which is exact: no other length can match.
     """
     lex = _lexicon_terms(lexicon)
-    bounds = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term"))).first()
-    min_len, max_len = (bounds[0] or 0), (bounds[1] or 0)
+    # one small job: length bounds and size of the lexicon (the size check
+    # that allows broadcasting it)
+    stats = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term")), F.count(F.lit(1))).first()
+    min_len, max_len, n_terms = (stats[0] or 0), (stats[1] or 0), stats[2]
     cols = [*keys, "tok"]
     if max_len == 0:
         return rows.select(*cols, F.lit(None).cast("string").alias("noun")).where(F.lit(False))
     vocab = _prefixes(rows.select("tok").distinct(), min_len, max_len)
-    tn = _longest(vocab.join(broadcast_if_small(lex, LEXICON_BROADCAST_ROWS), "term", "inner"), ["tok"])
+    lex_side = F.broadcast(lex) if n_terms <= LEXICON_BROADCAST_ROWS else lex
+    tn = _longest(vocab.join(lex_side, "term", "inner"), ["tok"])
     return rows.select(*cols).join(tn, "tok", "inner")
 
 

@@ -18,13 +18,14 @@ from ..operators.clean import map_categories, union_sources
 from ..schemas import CLEANED_COLUMNS, TERM_SOURCE_COLUMNS, TEXT_COLUMNS, term_column
 
 
-def first_stage(frames: list[DataFrame], taxonomy: DataFrame, addresses: DataFrame) -> DataFrame:
+def first_stage(frames: list[DataFrame], taxonomy: DataFrame, addresses: DataFrame,
+                addresses_fixed: bool = False) -> DataFrame:
     """K1: align + union the site tables, classify, order columns, clean the
     free-text columns and geocode the platforms without coordinates."""
     union = union_sources(frames)
     classified = map_categories(union, taxonomy).select(*CLEANED_COLUMNS)
     cleaned = clean_text(classified, TEXT_COLUMNS)
-    return geo.geocode(cleaned, addresses).select(*CLEANED_COLUMNS)
+    return geo.geocode(cleaned, addresses, fixed_size=addresses_fixed).select(*CLEANED_COLUMNS)
 
 
 def second_stage(cleaned: DataFrame, lexicon: DataFrame,

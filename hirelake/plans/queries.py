@@ -41,7 +41,7 @@ def query(name: str):
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
     """First-stage output over the posting stand-in."""
     frames = list(fx.site_frames(spark, d).values())
-    return first_stage(frames, taxonomy_df(spark), fx.posting_addresses(spark))
+    return first_stage(frames, taxonomy_df(spark), fx.posting_addresses(spark), addresses_fixed=True)
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
@@ -406,7 +406,7 @@ def g1_union_sources(spark, d):
 
 @query("g2_enrich_subset")
 def g2_enrich_subset(spark, d):
-    return geo.geocode(fx.postings(spark, d), fx.posting_addresses(spark)).select(
+    return geo.geocode(fx.postings(spark, d), fx.posting_addresses(spark), fixed_size=True).select(
         "job_id", "platform", "location", "coordinate", "year", "month", "day")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_parts
+from ..operators._util import literal_table
 from ..functions.text import PLATFORMS, posting_url
 from ..schemas import DAY_PARTS, POSTING_COLUMNS
 from ..taxonomy import taxonomy_rows
@@ -224,7 +225,8 @@ POSTING_ADDRESSES = [
 
 
 def posting_addresses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(POSTING_ADDRESSES, "location string, lat double, lon double")
+    """Fixed literal table: safe to broadcast without a size check."""
+    return literal_table(spark, POSTING_ADDRESSES, [("location", "string"), ("lat", "double"), ("lon", "double")])
 
 
 def embedding_postings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .operators._util import literal_table
+
 # --- FIXED VALUES: must equal the reference's category mapping --------------
 # Natural order: (major, middle, site category names mapped to it).
 CATEGORY_GROUPS = [
@@ -50,10 +52,13 @@ def taxonomy_rows() -> list[tuple[str, str, str]]:
     return [(major, middle, sub) for major, middle, subs in CATEGORY_GROUPS for sub in subs]
 
 
+_TAX_COLS = [("major_category", "string"), ("middle_category", "string"), ("sub_category", "string")]
+
+
 def taxonomy_df(spark: SparkSession) -> DataFrame:
-    """The taxonomy as a literal DataFrame (A11). Its size is fixed, so it is
+    """The taxonomy as a literal table (A11). Its size is fixed, so it is
     always safe to broadcast."""
-    return spark.createDataFrame(taxonomy_rows(), TAXONOMY_SCHEMA)
+    return literal_table(spark, taxonomy_rows(), _TAX_COLS)
 
 
 def loose_key(name: str) -> str:
@@ -84,7 +89,8 @@ LOOSE_SCHEMA = T.StructType([
 
 
 def loose_taxonomy_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(loose_taxonomy_rows(), LOOSE_SCHEMA)
+    return literal_table(spark, loose_taxonomy_rows(),
+                         [("category_key", "string"), ("major_category", "string"), ("middle_category", "string")])
 
 
 # Stand-in taxonomy for the part binding (lineitem rows classified by p_type).
@@ -100,4 +106,4 @@ PART_TYPE_TAXONOMY = [
 
 
 def part_taxonomy_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PART_TYPE_TAXONOMY, TAXONOMY_SCHEMA)
+    return literal_table(spark, PART_TYPE_TAXONOMY, _TAX_COLS)
