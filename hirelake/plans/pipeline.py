@@ -133,3 +133,72 @@ def rebuild(spark: SparkSession, registry: dict[str, Callable[[dict[str, DataFra
             writer.saveAsTable(name)
             done[name] = spark.table(name)
     return done
+
+
+NORMALIZED_TABLES = ["daily_jd_table", "company_detail", "jd_skills"] + [t for t, _, _ in term_table_specs()]
+MART_TABLES = ["unique_jds", "unique_category_count_major", "unique_category_count_major_middle",
+               "unique_category_count_sub", "unique_daily_job_posting_count",
+               "unique_upcoming_deadline_jobs_7days", "unique_company_coordinates", "unique_jd_skills",
+               "unique_preferred_english", "unique_required_english", "unique_primary_responsibility_english",
+               "unique_welfare_english", "unique_welfare_korean"]
+
+
+def run_batch(spark: SparkSession, frames: list[DataFrame], out_base: str, taxonomy: DataFrame,
+              addresses: DataFrame, lexicon: DataFrame, as_of, pattern: str = terms.KOREAN_PATTERN,
+              addresses_fixed: bool = False) -> dict[str, DataFrame]:
+    """The daily batch end to end, each layer written before the next reads it:
+
+    K1 -> ``cleaned`` (partitioned by day) -> K2 -> ``enriched`` -> K3
+    normalised tables -> K4 marts (base ``unique_jds`` first, then the rest).
+
+    Written tables in ``out_base`` (a shared folder on a cluster) cut the
+    lineage, so a lost executor recomputes at most one layer, and every mart
+    reads its parent once instead of re-running the pipeline.
+    """
+    from ..sources.sinks import write_partitioned
+
+    base = out_base.rstrip("/")
+    write_partitioned(first_stage(frames, taxonomy, addresses, addresses_fixed), f"{base}/cleaned")
+    cleaned = spark.read.parquet(f"{base}/cleaned")
+    write_partitioned(second_stage(cleaned, lexicon, pattern), f"{base}/enriched")
+    enriched = spark.read.parquet(f"{base}/enriched")
+
+    norm_plans = normalize_layer(cleaned, lexicon, pattern)
+    norm = rebuild(spark, {n: (lambda done, n=n: norm_plans[n]) for n in NORMALIZED_TABLES},
+                   NORMALIZED_TABLES, base_path=f"{base}/normalized")
+
+    def mart(name: str):
+        def build(done: dict[str, DataFrame]) -> DataFrame:
+            if name == "unique_jds":
+                return marts.unique_postings(norm["daily_jd_table"])
+            if name == "unique_daily_job_posting_count":
+                return marts.daily_counts(norm["daily_jd_table"])
+            if name == "unique_upcoming_deadline_jobs_7days":
+                return marts.upcoming_deadlines(enriched, as_of)
+            return _on_base(name, done["unique_jds"], norm)  # reads the written base mart
+        return build
+
+    marts_done = rebuild(spark, {n: mart(n) for n in MART_TABLES}, MART_TABLES, base_path=f"{base}/marts")
+    return {"cleaned": cleaned, "enriched": enriched, **norm, **marts_done}
+
+
+def _on_base(name: str, jds: DataFrame, norm: dict[str, DataFrame]) -> DataFrame:
+    """Marts that read the base mart ``unique_jds``."""
+    if name == "unique_category_count_major":
+        return marts.count_by(jds, ["major_category"])
+    if name == "unique_category_count_major_middle":
+        return marts.count_by(jds, ["major_category", "middle_category"])
+    if name == "unique_category_count_sub":
+        return marts.sub_category_list(jds)
+    if name == "unique_company_coordinates":
+        return marts.company_coordinates(jds, norm["company_detail"])
+    if name == "unique_jd_skills":
+        return marts.posting_terms(jds, norm["jd_skills"], "unnested_skill", "skill", with_sub=False)
+    aliases = {"unique_preferred_english": ("preferred", "preferred"),
+               "unique_required_english": ("required", "required"),
+               "unique_primary_responsibility_english": ("primary_responsibility", "primary_responsibility"),
+               "unique_welfare_english": ("welfare", None), "unique_welfare_korean": ("welfare", None)}
+    col, alias = aliases[name]
+    kind = "korean" if name.endswith("_korean") else "english"
+    unnested = f"unnested_{col}_{kind}_nouns"
+    return marts.posting_terms(jds, norm[f"jd_{col}_{kind}_nouns"], unnested, alias or unnested)

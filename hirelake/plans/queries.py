@@ -120,8 +120,9 @@ def lexicon(spark, d):
 
 @query("a3_read_table")
 def a3_read_table(spark, d):
-    fx.table(spark, d, "nation").createOrReplaceTempView("hl_nation")
-    return spark.table("hl_nation")
+    from ..sources.tables import read_table, register_views
+    register_views(spark, {"hl_orders": fx.table(spark, d, "orders")})
+    return read_table(spark, "hl_orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
 @query("a4_read_day")

@@ -91,7 +91,7 @@ def paragraphs_sql(x: str) -> str:
 
 # --- sources and projections ----------------------------------------------
 
-oracle("a3_read_table", "SELECT * FROM nation")
+oracle("a3_read_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 
 oracle("a4_read_day", """
 SELECT event_id, user_id, event_type, CAST(year(ts) AS VARCHAR) AS year,

@@ -109,3 +109,21 @@ def test_no_driver_collects_in_library():
                 text = open(os.path.join(base, f), encoding="utf-8").read()
                 offenders += [f"{f}: {m.group(0)}" for m in banned.finditer(text)]
     assert offenders == []
+
+
+def test_run_batch_layers_are_written(spark, tmp_dir, sf_small):
+    frames = list(fx.site_frames(spark, sf_small).values())
+    out = pipeline.run_batch(spark, frames, f"{tmp_dir}/lake", taxonomy_df(spark), fx.posting_addresses(spark),
+                             queries.lexicon(spark, sf_small), queries.POSTINGS_AS_OF,
+                             pattern="[A-Za-zÀ-ɏ]+", addresses_fixed=True)
+    assert set(pipeline.MART_TABLES) <= set(out) and set(pipeline.NORMALIZED_TABLES) <= set(out)
+    # every mart reads written files, and equals the registered (unwritten) query
+    assert "FileScan" in out["unique_welfare_korean"]._jdf.queryExecution().executedPlan().toString()
+    for table, key in [("unique_category_count_major_middle", "d2_count_major_middle"),
+                       ("unique_welfare_korean", "c7_posting_welfare_korean"),
+                       ("unique_company_coordinates", "c8_company_coordinates"),
+                       ("unique_upcoming_deadline_jobs_7days", "b7_upcoming_deadlines"),
+                       ("jd_required_korean_nouns", "i7_required_korean")]:
+        want = queries.QUERIES[key](spark, sf_small)
+        got = out[table].select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, table
