@@ -39,7 +39,18 @@ def query(name: str):
 # --- shared lineages ---------------------------------------------------------
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """First-stage output over the posting stand-in."""
+    """First-stage output over the posting stand-in, the input of the marts.
+
+    Built from one scan of the stand-in: the same rows as the four-site
+    union of K1 (``k1_first_stage`` keeps that union), since the site tables
+    are themselves splits of one derived table here.
+    """
+    return first_stage([fx.postings(spark, d)], taxonomy_df(spark), fx.posting_addresses(spark),
+                       addresses_fixed=True)
+
+
+def cleaned_from_sites(spark: SparkSession, d: str) -> DataFrame:
+    """K1 proper: align and union the four site tables, then clean."""
     frames = list(fx.site_frames(spark, d).values())
     return first_stage(frames, taxonomy_df(spark), fx.posting_addresses(spark), addresses_fixed=True)
 
@@ -104,7 +115,7 @@ def d2_count_major_middle(spark, d):
 
 @query("k1_first_stage")
 def k1_first_stage(spark, d):
-    return cleaned(spark, d)
+    return cleaned_from_sites(spark, d)
 
 
 @query("b8_company_detail")
