@@ -56,6 +56,14 @@ def _longest(hits: DataFrame, cols: list[str]) -> DataFrame:
     return best.select(*cols, F.col("tok").substr(F.lit(1), F.col("n")).alias("noun"))
 
 
+def lexicon_stats(lexicon: DataFrame) -> tuple[DataFrame, int, int, bool]:
+    """(terms, shortest length, longest length, fits a broadcast): one small
+    job, which is also the size check that allows broadcasting the lexicon."""
+    lex = _lexicon_terms(lexicon)
+    stats = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term")), F.count(F.lit(1))).first()
+    return lex, (stats[0] or 0), (stats[1] or 0), stats[2] <= LEXICON_BROADCAST_ROWS
+
+
 def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., tok, noun) for rows of (keys..., tok) whose token has a
     lexicon prefix; ``noun`` is the longest one.
@@ -70,16 +78,12 @@ def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> Data
     Prefix lengths run from the shortest to the longest lexicon entry only,
     which is exact: no other length can match.
     """
-    lex = _lexicon_terms(lexicon)
-    # one small job: length bounds and size of the lexicon (the size check
-    # that allows broadcasting it)
-    stats = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term")), F.count(F.lit(1))).first()
-    min_len, max_len, n_terms = (stats[0] or 0), (stats[1] or 0), stats[2]
+    lex, min_len, max_len, small = lexicon_stats(lexicon)
     cols = [*keys, "tok"]
     if max_len == 0:
         return rows.select(*cols, F.lit(None).cast("string").alias("noun")).where(F.lit(False))
     vocab = _prefixes(rows.select("tok").distinct(), min_len, max_len)
-    lex_side = F.broadcast(lex) if n_terms <= LEXICON_BROADCAST_ROWS else lex
+    lex_side = F.broadcast(lex) if small else lex
     tn = _longest(vocab.join(lex_side, "term", "inner"), ["tok"])
     return rows.select(*cols).join(tn, "tok", "inner")
 
@@ -93,7 +97,7 @@ def row_key(df: DataFrame) -> "F.Column":
 
 def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                   pattern: str = KOREAN_PATTERN, name=lambda c: term_column(c, "korean"),
-                  key: list[str] | None = None) -> DataFrame:
+                  key: list[str] | None = None, plan: str = "vocabulary") -> DataFrame:
     """Add one noun array per text column (text order, repeats kept);
     NULL, blank or unmatched text -> [].
 
@@ -101,6 +105,13 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     unique one, else a content hash), the column index, the position and
     the token; all columns are tokenised in one pass and the arrays come
     back in one join.
+
+    ``plan="vocabulary"`` (default) matches DISTINCT tokens and joins the
+    (token, noun) map back; ``plan="occurrences"`` probes every occurrence's
+    prefixes against the broadcast lexicon (only for a lexicon that passes
+    the size check) and saves one pass over the input. Measured at sf0.1,
+    the vocabulary plan is faster: occurrences repeat far more than the
+    extra pass costs.
     """
     keyed = df.withColumn("_rk", row_key(df)) if key is None else df
     kcols = ["_rk"] if key is None else key
@@ -109,10 +120,26 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                         for i, c in enumerate(cols)])
     toks = (keyed.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
-    hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
-    # a set: (ci, pos) is unique within a row, and exact duplicate rows (which
+    lex, min_len, max_len, small = lexicon_stats(lexicon) if plan == "occurrences" else (None, 0, 0, False)
+    if small and max_len > 0:
+        # Broadcast plan: every occurrence's prefixes are probed against the
+        # lexicon map-side; no vocabulary pass, no shuffle of occurrences.
+        cands = _prefixes(toks, min_len, max_len).join(F.broadcast(lex), "term", "inner")
+        matches = cands.select(*kcols, F.struct("ci", "pos", "n", "term").alias("m"))
+        grouped = matches.groupBy(*kcols).agg(F.array_sort(F.collect_set("m")).alias("_s"))
+        # sorted by (ci, pos, n): the last entry of each (ci, pos) run is the
+        # longest match of that token
+        s = F.col("_s")
+        last = F.filter(s, lambda x, i: (i == F.size(s) - 1)
+                        | (s[i + 1]["ci"] != x["ci"]) | (s[i + 1]["pos"] != x["pos"]))
+        grouped = grouped.select(*kcols, F.transform(last, lambda x: F.struct(
+            x["ci"].alias("ci"), x["pos"].alias("pos"), x["term"].alias("noun"))).alias("_a"))
+    else:
+        hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
+        grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
+    # sets: (ci, pos) is unique within a row, and exact duplicate rows (which
     # share a content key) contribute the same elements once
-    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
+
     def of_column(i: int):
         # one-argument lambda: F.filter treats a two-argument one as (x, index)
         return lambda x: x["ci"] == F.lit(i)
