@@ -565,3 +565,20 @@ def j2_job_state_alerts(spark, d):
 @query("k2_second_stage")
 def k2_second_stage(spark, d):
     return second_stage(cleaned(spark, d), lexicon(spark, d), terms.FIXTURE_PATTERN)
+
+
+@query("h16_reformat_date")
+def h16_reformat_date(spark, d):
+    o = fx.table(spark, d, "orders")
+    dotted = F.date_format("o_orderdate", "yyyy.MM.dd")
+    return o.select("o_orderkey", dotted.alias("dotted"), fd.reformat_dotted(dotted).alias("end_at"),
+                    fd.reformat_dotted(F.col("o_orderpriority")).alias("not_a_date"))
+
+
+@query("i13_eda_terms")
+def i13_eda_terms(spark, d):
+    from ..schemas import EDA_TERM_COLUMNS, term_column
+    c = cleaned(spark, d).select("job_id", "platform", "category", "year", "month", "day", *EDA_TERM_COLUMNS)
+    out = terms.add_term_columns(c, lexicon(spark, d), EDA_TERM_COLUMNS, terms.FIXTURE_PATTERN)
+    arrays = [term_column(col, k) for k in ("korean", "english") for col in EDA_TERM_COLUMNS]
+    return out.select("job_id", "platform", "category", "year", "month", "day", *arrays)

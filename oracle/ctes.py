@@ -247,3 +247,26 @@ SELECT event_id,
 FROM events
 """)
 
+
+# Term arrays over the five columns of the exploratory report
+_EDA_COLS = ["required", "primary_responsibility", "preferred", "welfare", "company_description"]
+cte("eda_texts", "SELECT DISTINCT txt FROM (" + " UNION ALL ".join(
+    f"SELECT {c} AS txt FROM cleaned" for c in _EDA_COLS) + ") WHERE txt IS NOT NULL", ["cleaned"])
+cte("eda_tokens", f"""
+SELECT txt, unnest(arr) AS tok, generate_subscripts(arr, 1) AS pos
+FROM (SELECT txt, regexp_extract_all(txt, '{_KO_PAT}') AS arr FROM eda_texts)
+""", ["eda_texts"])
+cte("eda_token_nouns", """
+SELECT v.tok, arg_max(l.term, v.n) AS noun
+FROM (SELECT tok, unnest(generate_series(1, length(tok))) AS n FROM (SELECT DISTINCT tok FROM eda_tokens)) v
+JOIN lexicon l ON l.term = substring(v.tok, 1, v.n)
+GROUP BY v.tok
+""", ["eda_tokens", "lexicon"])
+cte("eda_arrays", """
+SELECT txt, list(noun ORDER BY pos) AS nouns FROM eda_tokens JOIN eda_token_nouns USING (tok) GROUP BY txt
+""", ["eda_tokens", "eda_token_nouns"])
+cte("eda_enriched", "SELECT c.job_id, c.platform, c.category, c.year, c.month, c.day, " + ", ".join(
+    f"coalesce(k{i}.nouns, []) AS {c}_korean_nouns" for i, c in enumerate(_EDA_COLS)) + ", " + ", ".join(
+    f"{_LAT.format(c='c.' + c)} AS {c}_english_nouns" for c in _EDA_COLS) + " FROM cleaned c " + " ".join(
+    f"LEFT JOIN eda_arrays k{i} ON k{i}.txt = c.{c}" for i, c in enumerate(_EDA_COLS)),
+    ["cleaned", "eda_arrays"])

@@ -469,3 +469,11 @@ WHERE state IN ('SUCCEEDED', 'FAILED', 'TIMEOUT', 'STOPPED') AND job_name IN ('f
 # --- composite -------------------------------------------------------------
 
 oracle("k2_second_stage", W("SELECT * FROM enriched", "enriched"))
+
+oracle("h16_reformat_date", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y.%m.%d') AS dotted, strftime(o_orderdate, '%Y-%m-%d') AS end_at,
+       CAST(NULL AS VARCHAR) AS not_a_date
+FROM orders
+""")
+
+oracle("i13_eda_terms", W("SELECT * FROM eda_enriched", "eda_enriched"))
