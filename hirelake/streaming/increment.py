@@ -5,13 +5,14 @@ that day's folders are read), run the first stage, overwrite only that
 day's output partitions. Streaming form: a file-source stream over the
 landing zone with ``availableNow`` processes exactly the files not seen
 before (the source's checkpoint remembers them) and writes each micro-batch
-with the same dynamic partition overwrite, so a rerun after a failure is
-idempotent per day.
+into its own ``batch=<id>`` sub-partitions of the day, so a retried batch is
+idempotent and batches never overwrite each other.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.pipeline import first_stage
@@ -21,6 +22,7 @@ from ..sources.landing import read_posting_lines
 from ..sources.sinks import write_day
 from ..sources.tables import read_day
 
+BATCH_COLUMN = "batch"
 LANDING_LINE_SCHEMA = T.StructType(POSTING_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in DAY_PARTS])
 
 
@@ -35,7 +37,8 @@ def process_day(spark: SparkSession, landing_path: str, out_path: str, day: tupl
 
 
 def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxonomy: DataFrame,
-                     addresses: DataFrame, checkpoint: str | None = None, query_name: str | None = None):
+                     addresses: DataFrame, checkpoint: str | None = None, query_name: str | None = None,
+                     max_files_per_trigger: int = 1000):
     """J3 streaming: new landing files -> first stage -> day partitions.
 
     Runs with ``availableNow``: everything new is processed in bounded
@@ -43,10 +46,15 @@ def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxo
     under the shared checkpoint directory. Returns the StreamingQuery.
     """
     stream = (spark.readStream.schema(LANDING_LINE_SCHEMA).option("basePath", landing_path)
-              .option("maxFilesPerTrigger", 1000).json(landing_path))
+              .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_path))
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        write_day(first_stage([batch], taxonomy, addresses), out_path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # Each micro-batch owns its (day, batch) partitions: a retried batch
+        # rewrites exactly its own output (idempotent), and a day whose files
+        # span several batches, or a late file for an old day, never replaces
+        # rows another batch wrote.
+        cleaned = first_stage([batch], taxonomy, addresses).withColumn(BATCH_COLUMN, F.lit(epoch))
+        write_day(cleaned, out_path, parts=[*DAY_PARTS, BATCH_COLUMN])
 
     writer = (stream.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "increment-checkpoint"))

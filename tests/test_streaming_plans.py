@@ -55,16 +55,21 @@ def test_daily_increment_batch_and_stream(spark, tmp_dir, sf_small):
     increment.process_day(spark, landing, out, ("2024", "1", "05"), tax, addr)
     first = spark.read.parquet(out)
     assert rows(first.select("day").distinct()) == [("05",)]
-    # stream: everything new, then a rerun sees nothing new
-    q = increment.stream_increment(spark, landing, out, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt")
+    # stream: everything new in small micro-batches, then only the new files
+    sout = f"{tmp_dir}/cleaned_stream"
+    q = increment.stream_increment(spark, landing, sout, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt",
+                                   max_files_per_trigger=7)
     q.awaitTermination()
-    jan = spark.read.parquet(out)
     expected = queries.cleaned(spark, sf_small).where((F.col("year") == "2024") & (F.col("month") == "1"))
-    assert jan.count() == expected.count()
-    write_landing(posts.where(F.col("month") == "2"), landing)
-    q2 = increment.stream_increment(spark, landing, out, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt")
+    jan = spark.read.parquet(sout).select(*expected.columns)
+    assert jan.count() == expected.count() and jan.exceptAll(expected).count() == 0
+    write_landing(posts.where(F.col("month") == "2"), landing)  # new files, incl. days seen before
+    q2 = increment.stream_increment(spark, landing, sout, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt",
+                                    max_files_per_trigger=7)
     q2.awaitTermination()
-    assert spark.read.parquet(out).count() == queries.cleaned(spark, sf_small).count()
+    everything = spark.read.parquet(sout).select(*expected.columns)
+    assert everything.count() == queries.cleaned(spark, sf_small).count()
+    assert everything.exceptAll(queries.cleaned(spark, sf_small)).count() == 0
 
 
 def test_layers_build(spark, sf_small):
