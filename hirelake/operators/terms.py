@@ -167,13 +167,26 @@ def latin_term_table(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
-                       pattern: str = KOREAN_PATTERN) -> DataFrame:
+                       pattern: str = KOREAN_PATTERN, plan: str = "auto") -> DataFrame:
     """DISTINCT (job_id, platform, noun of col).
 
     Same rows as unnesting the noun arrays, computed from DISTINCT
     (job_id, platform, token) so repeated tokens collapse map-side first.
+
+    With a lexicon that passes the size check (``plan="auto"``), the prefixes
+    of those distinct rows are probed against the broadcast lexicon and the
+    longest match is aggregated on the same keys, which reuses the DISTINCT's
+    partitioning: one pass over the input, no vocabulary branch, no join of
+    tokens. Otherwise (or ``plan="vocabulary"``) tokens are matched through
+    the vocabulary.
     """
     runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
-    toks = df.select("job_id", "platform", F.explode(runs).alias("tok")).distinct()
-    nouns = longest_prefix(toks, lexicon, ["job_id", "platform"])
-    return nouns.select("job_id", "platform", F.col("noun").alias(out)).distinct()
+    keys = ["job_id", "platform"]
+    toks = df.select(*keys, F.explode(runs).alias("tok")).distinct()
+    lex, min_len, max_len, small = lexicon_stats(lexicon) if plan == "auto" else (None, 0, 0, False)
+    if small and max_len > 0:
+        hits = _prefixes(toks, min_len, max_len).join(F.broadcast(lex), "term", "inner")
+        nouns = _longest(hits, [*keys, "tok"])
+    else:
+        nouns = longest_prefix(toks, lexicon, keys)
+    return nouns.select(*keys, F.col("noun").alias(out)).distinct()
