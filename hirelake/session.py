@@ -24,6 +24,34 @@ RECOMMENDED_CONF = {
 }
 
 
+# Sizing for the ~100 TB target on a large cluster (about 1000 executors).
+# Shuffle partitions are set high and AQE coalesces them to ~256 MB each, so
+# a stage never has partitions too large for executor memory, and small
+# stages still end up with few tasks. Scan splits of 512 MB keep the task
+# count of a 100 TB scan near 200k. Broadcasts stay under 64 MB; a join
+# partition 5x the median and over 512 MB is split (hot keys).
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
+
+def apply_defaults(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> None:
+    """Set the runtime SQL settings above where the cluster has not set
+    them; explicit cluster settings always win."""
+    for key, value in conf.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+
+
 def local_session(app: str = "hirelake", cores: int | str = "*", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests, scripts and the benchmark."""

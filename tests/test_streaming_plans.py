@@ -132,3 +132,14 @@ def test_run_batch_layers_are_written(spark, tmp_dir, sf_small):
         want = queries.QUERIES[key](spark, sf_small)
         got = out[table].select(*want.columns)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, table
+
+
+def test_cluster_defaults_never_override(spark):
+    from hirelake.session import apply_defaults
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    apply_defaults(spark, {"spark.sql.shuffle.partitions": "20000",
+                           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # explicit setting wins
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
