@@ -15,8 +15,6 @@ ColumnOrName = Column | str
 LATIN_RUN = "[A-Za-z]+"
 # Hangul syllable run, the script of the Korean noun path.
 HANGUL_RUN = "[가-힣]+"
-# Any whitespace character the Python str.split() of the samples splits on.
-WS = r"\s"
 
 
 def _c(c: ColumnOrName) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import int_div
 from ..functions.geo import gugun, sido
 
 
@@ -97,7 +98,7 @@ def duplicate_summary(df: DataFrame, key: list[str] | None = None, pair: list[st
         F.coalesce(F.sum("d2"), F.lit(0)).cast("bigint").alias("dup_pair_rows"),
         F.coalesce(F.sum("k2"), F.lit(0)).cast("bigint").alias("dup_pairs"),
     )
-    half = F.floor(F.col("dup_rows") / 2).cast("bigint")
+    half = int_div("dup_rows", F.lit(2))  # the reference's len // 2
     return s.select(
         "total_rows", "dup_rows", "dup_pair_rows",
         half.alias("dup_count_half"),

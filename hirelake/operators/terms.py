@@ -32,16 +32,6 @@ def _lexicon_terms(lexicon: DataFrame) -> DataFrame:
     return lexicon.select(F.col("term").cast("string").alias("term")).where(F.col("term") != "").distinct()
 
 
-def token_nouns(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(tok, noun): the longest lexicon entry that is a prefix of ``tok``.
-
-    Tokens without any lexicon prefix give no row. The prefix length is
-    capped by the longest lexicon entry, which is exact: a longer prefix
-    can never match.
-    """
-    return longest_prefix(vocab.select("tok").distinct(), lexicon, [])
-
-
 def _prefixes(rows: DataFrame, min_len: int, max_len: int) -> DataFrame:
     """Prefixes of every token with a length a lexicon entry can have."""
     n = F.explode(F.sequence(F.lit(min_len), F.least(F.char_length("tok"), F.lit(max_len)))).alias("n")

@@ -8,7 +8,6 @@ never fans out.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from .operators._util import literal_table
 
@@ -40,13 +39,6 @@ CATEGORY_GROUPS = [
 ]
 # -----------------------------------------------------------------------------
 
-TAXONOMY_SCHEMA = T.StructType([
-    T.StructField("major_category", T.StringType(), True),
-    T.StructField("middle_category", T.StringType(), True),
-    T.StructField("sub_category", T.StringType(), True),
-])
-
-
 def taxonomy_rows() -> list[tuple[str, str, str]]:
     """Flattened (major, middle, sub) rows in natural order (88 rows)."""
     return [(major, middle, sub) for major, middle, subs in CATEGORY_GROUPS for sub in subs]
@@ -81,13 +73,6 @@ def loose_taxonomy_rows() -> list[tuple[str, str, str]]:
     return [(key, major, middle) for key, (major, middle) in seen.items()]
 
 
-LOOSE_SCHEMA = T.StructType([
-    T.StructField("category_key", T.StringType(), False),
-    T.StructField("major_category", T.StringType(), True),
-    T.StructField("middle_category", T.StringType(), True),
-])
-
-
 def loose_taxonomy_df(spark: SparkSession) -> DataFrame:
     return literal_table(spark, loose_taxonomy_rows(),
                          [("category_key", "string"), ("major_category", "string"), ("middle_category", "string")])
