@@ -16,7 +16,10 @@ def read_landing(spark: SparkSession, paths: str | list[str], multi_line: bool =
     (both wrapper keys nullable). Multi-line documents are one task per
     file (not splittable); JSON-lines landing files (A12) split normally.
     Partition columns in the path stay strings (no type inference)."""
-    reader = spark.read.schema(LANDING_SCHEMA).option("multiLine", multi_line)
+    # day parts in the schema as strings: partition values keep their text
+    # ("01" stays "01") whatever the session's partition type inference says
+    schema = T.StructType(LANDING_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in DAY_PARTS])
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
     if base_path:
         reader = reader.option("basePath", base_path)
     return reader.json(paths)
