@@ -582,3 +582,17 @@ def i13_eda_terms(spark, d):
     out = terms.add_term_columns(c, lexicon(spark, d), EDA_TERM_COLUMNS, terms.FIXTURE_PATTERN)
     arrays = [term_column(col, k) for k in ("korean", "english") for col in EDA_TERM_COLUMNS]
     return out.select("job_id", "platform", "category", "year", "month", "day", *arrays)
+
+
+def _normalized(site):
+    def run(spark, d):
+        from ..operators.normalize import NORMALIZERS
+        return NORMALIZERS[site](fx.raw_payloads(spark, d, site))
+    return run
+
+
+# B14-B18 (with H2, H3, H16, H23, H24): site payloads back to posting rows
+QUERIES["b14_normalize_wanted"] = _normalized("wanted")
+QUERIES["b15_normalize_jumpit"] = _normalized("jumpit")
+QUERIES["b16_normalize_jobplanet"] = _normalized("jobplanet")
+QUERIES["b17_normalize_rallit"] = _normalized("rallit")

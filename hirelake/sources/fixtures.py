@@ -282,3 +282,61 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _map_type(F.col("event_type"), JOB_STATE_OF, F.lit("RUNNING")).alias("state"),
         F.floor(F.col("value") * 30).cast("bigint").alias("execution_time"),
     )
+
+
+# --- Raw site payloads (B14-B18): one JSON document per posting ----------------
+# Built per row with to_json in each site's own shape; the normalisers must
+# turn them back into posting rows. Text fields carry CRLF line ends for the
+# site whose scraper converts them, and that site's deadline uses dots.
+
+def raw_payloads(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
+    p = postings(spark, sf_dir).where(F.col("platform") == site)
+    lat = F.try_element_at("coordinate", F.lit(1))
+    lon = F.try_element_at("coordinate", F.lit(2))
+    if site == "wanted":
+        body = F.struct(F.struct(
+            F.struct(F.col("company").alias("name")).alias("company"),
+            F.col("title").alias("position"),
+            F.struct(F.col("primary_responsibility").alias("main_tasks"), F.col("required").alias("requirements"),
+                     F.col("preferred").alias("preferred_points"), F.col("welfare").alias("benefits"),
+                     F.col("company_description").alias("intro")).alias("detail"),
+            F.col("end_at").alias("due_time"),
+            F.transform("skills", lambda s: F.struct(s.alias("title"))).alias("skill_tags"),
+            F.struct(F.col("location").alias("full_location"),
+                     F.struct(F.struct(lat.alias("lat"), lon.alias("lng")).alias("location")).alias("geo_location")
+                     ).alias("address"),
+        ).alias("job"))
+    elif site == "jumpit":
+        body = F.struct(F.struct(
+            F.col("company").alias("companyName"), F.col("title").alias("title"),
+            F.col("preferred").alias("preferredRequirements"), F.col("required").alias("qualifications"),
+            F.col("primary_responsibility").alias("responsibility"), F.col("end_at").alias("closedAt"),
+            F.transform("skills", lambda s: F.struct(s.alias("stack"))).alias("techStacks"),
+            F.col("welfare").alias("welfares"), F.col("company_description").alias("serviceInfo"),
+            F.struct(F.struct(F.struct(F.col("location").alias("streetAddress")).alias("address"))
+                     .alias("jobLocation")).alias("jobPostingForSearchEngine"),
+        ).alias("result"))
+    elif site == "jobplanet":
+        def crlf(c):
+            return F.replace(F.col(c), F.lit("\n"), F.lit("\r\n"))
+        dotted = F.coalesce(F.date_format(F.col("end_at").try_cast("date"), "yyyy.MM.dd"), F.col("end_at"))
+        body = F.struct(F.struct(
+            dotted.alias("end_at"), F.col("company").alias("name"), F.col("title").alias("title"),
+            crlf("preferred").alias("preferred_skill"), crlf("required").alias("required_qualification"),
+            crlf("primary_responsibility").alias("primary_responsibility"), F.col("skills").alias("skills"),
+            F.coalesce(F.col("location"), F.lit("")).alias("location"), crlf("welfare").alias("benefit"),
+            crlf("company_description").alias("introduction"),
+        ).alias("data"))
+    elif site == "rallit":
+        body = F.struct(F.struct(
+            F.col("job_id").cast("bigint").alias("id"), F.col("company").alias("companyName"),
+            F.col("title").alias("title"), F.col("preferred").alias("preferredQualifications"),
+            F.col("required").alias("basicQualifications"), F.col("primary_responsibility").alias("responsibilities"),
+            F.col("end_at").alias("endedAt"), F.col("skills").alias("jobSkillKeywords"),
+            F.col("location").alias("addressMain"), F.col("body").alias("description"),
+            F.col("company_description").alias("companyDescription"), F.col("welfare").alias("benefits"),
+            lat.alias("latitude"), lon.alias("longitude"),
+        ).alias("data"))
+    else:
+        raise ValueError(site)
+    return p.select("job_id", "category", F.to_json(body).alias("payload"))
