@@ -596,3 +596,14 @@ QUERIES["b14_normalize_wanted"] = _normalized("wanted")
 QUERIES["b15_normalize_jumpit"] = _normalized("jumpit")
 QUERIES["b16_normalize_jobplanet"] = _normalized("jobplanet")
 QUERIES["b17_normalize_rallit"] = _normalized("rallit")
+
+
+@query("b1_landing_rows")
+def b1_landing_rows(spark, d):
+    """A2 + B1 + B13: parse landing documents, accept both wrapper keys,
+    skip documents with neither, unnest the postings."""
+    from ..operators.normalize import landing_rows
+    from ..schemas import LANDING_SCHEMA
+    docs = fx.landing_documents(spark, d)
+    parsed = docs.select(F.from_json("document", LANDING_SCHEMA).alias("doc"), "year", "month", "day")
+    return landing_rows(parsed.select("doc.*", "year", "month", "day"))

@@ -340,3 +340,22 @@ def raw_payloads(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     else:
         raise ValueError(site)
     return p.select("job_id", "category", F.to_json(body).alias("payload"))
+
+
+def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing documents as JSON text (A2/B1): the postings of one site and
+    day in groups of at most 64 source documents (a bounded group however
+    large the input). Every third group uses the older wrapper key
+    ``result``, every seventh carries neither key; jumpit and rallit ids
+    are JSON numbers, the others strings."""
+    p = postings(spark, sf_dir).withColumn("_group", F.floor(F.col("job_id").cast("bigint") / 64))
+    fields = [F.col(c) for c in POSTING_COLUMNS if c != "job_id"]
+    as_number = F.to_json(F.struct(F.col("job_id").cast("bigint").alias("job_id"), *fields))
+    as_string = F.to_json(F.struct(F.col("job_id"), *fields))
+    item = F.when(F.col("platform").isin(*_INTEGER_IDS), as_number).otherwise(as_string)
+    docs = p.groupBy("platform", "year", "month", "day", "_group").agg(
+        F.concat_ws(",", F.collect_list(item)).alias("_items"))
+    key = (F.when(F.col("_group") % 7 == 6, F.lit("other"))
+           .when(F.col("_group") % 3 == 0, F.lit("result")).otherwise(F.lit("results")))
+    text = F.concat(F.lit('{"'), key, F.lit('": ['), F.col("_items"), F.lit("]}"))
+    return docs.select(text.alias("document"), "year", "month", "day")

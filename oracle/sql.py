@@ -505,3 +505,9 @@ oracle("b17_normalize_rallit", W("SELECT " + _POSTING_COLS.format(
     body="body", company_description="company_description",
     coordinate="CASE WHEN coordinate[1] <> 0 AND coordinate[2] <> 0 THEN coordinate END AS coordinate")
     + " FROM postings WHERE platform = 'rallit'", "postings"))
+
+oracle("b1_landing_rows", W("""
+SELECT * EXCLUDE (g) FROM (
+  SELECT *, CAST(floor(CAST(job_id AS BIGINT) / 64) AS BIGINT) AS g FROM postings)
+WHERE g % 7 <> 6
+""", "postings"))
