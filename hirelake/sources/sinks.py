@@ -1,6 +1,6 @@
-"""Sinks (A5-A8). No shuffle into a single partition: AQE coalesces small outputs and
-``maxRecordsPerFile`` bounds file size; a single file is opt-in for small
-marts only (``coalesce(1)`` without a shuffle)."""
+"""Sinks (A5-A8). No shuffle into a single partition: partitioned writes
+are rebalanced by AQE, ``maxRecordsPerFile`` bounds file size, and a single
+file is opt-in for small marts only (``coalesce(1)`` without a shuffle)."""
 
 from __future__ import annotations
 
@@ -9,20 +9,32 @@ from pyspark.sql import DataFrame
 from ..schemas import DAY_PARTS
 
 
+def _rebalanced(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Group rows by output partition before writing, via the REBALANCE
+    hint: AQE splits a hot day over several writers and coalesces small
+    ones, so a partitioned write neither creates tasks x days small files
+    nor sends a day holding a third of the rows through one task."""
+    return df.hint("rebalance", *parts)
+
+
 def write_partitioned(df: DataFrame, path: str, parts: list[str] | None = None,
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, rebalance: bool = True) -> None:
     """A5: full rewrite as Parquet partitioned by day (snappy by default)."""
-    w = df.write.mode("overwrite").partitionBy(*(parts or DAY_PARTS))
+    parts = parts or DAY_PARTS
+    out = _rebalanced(df, parts) if rebalance else df
+    w = out.write.mode("overwrite").partitionBy(*parts)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
 
 
-def write_day(df: DataFrame, path: str, parts: list[str] | None = None) -> None:
+def write_day(df: DataFrame, path: str, parts: list[str] | None = None, rebalance: bool = True) -> None:
     """Rewrite only the partitions present in ``df`` (dynamic partition
     overwrite); other days under ``path`` are left untouched."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*(parts or DAY_PARTS)).parquet(path))
+    parts = parts or DAY_PARTS
+    out = _rebalanced(df, parts) if rebalance else df
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> None:
