@@ -78,16 +78,16 @@ def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> Data
     return rows.select(*cols).join(tn, "tok", "inner")
 
 
-def row_key(df: DataFrame) -> "F.Column":
-    """A content key for rows without a unique key: SHA-256 of the row as
-    JSON (32 bytes). Identical rows share it; their term arrays are equal,
-    and the arrays are built from a set, so sharing is exact."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256))
+def row_key(df: DataFrame, cols: list[str] | None = None) -> "F.Column":
+    """A content key: SHA-256 (32 bytes) of the given columns (default: the
+    whole row) as JSON. Rows with the same texts share it; their term arrays
+    are equal, so sharing is exact."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in (cols or df.columns)])), 256))
 
 
 def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                   pattern: str = KOREAN_PATTERN, name=lambda c: term_column(c, "korean"),
-                  key: list[str] | None = None, plan: str = "vocabulary") -> DataFrame:
+                  key: list[str] | None = None, plan: str = "vocabulary", dedupe: bool = True) -> DataFrame:
     """Add one noun array per text column (text order, repeats kept);
     NULL, blank or unmatched text -> [].
 
@@ -103,12 +103,18 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     the vocabulary plan is faster: occurrences repeat far more than the
     extra pass costs.
     """
-    keyed = df.withColumn("_rk", row_key(df)) if key is None else df
-    kcols = ["_rk"] if key is None else key
+    if key is None:
+        # keyed by the texts themselves: copies of a posting (re-scraped every
+        # day) collapse map-side here and are tokenised once
+        keyed = df.withColumn("_rk", row_key(df, cols))
+        kcols = ["_rk"]
+        source = keyed.select("_rk", *cols).dropDuplicates(["_rk"]) if dedupe else keyed
+    else:
+        keyed, kcols, source = df, key, df
     per_col = F.array(*[F.struct(F.lit(i).alias("ci"),
                                  F.regexp_extract_all(F.col(c), F.lit(pattern), 0).alias("toks"))
                         for i, c in enumerate(cols)])
-    toks = (keyed.select(*kcols, F.explode(per_col).alias("_c"))
+    toks = (source.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
     lex, min_len, max_len, small = lexicon_stats(lexicon) if plan == "occurrences" else (None, 0, 0, False)
     if small and max_len > 0:
