@@ -143,3 +143,39 @@ def test_cluster_defaults_never_override(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # explicit setting wins
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_hot_posting_join_is_split(spark):
+    # one posting holds a third of the unique-posting rows; AQE's skew join
+    # splits its partition instead of leaving it to one task
+    from hirelake.operators import marts
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        jds = spark.range(30000).select(
+            F.lit("wanted").alias("platform"), hot.alias("job_id"),
+            (F.col("id") % 88).cast("string").alias("major_category"),
+            F.lit("m").alias("middle_category"), F.col("id").cast("string").alias("sub_category"))
+        terms_t = spark.range(3000).select(
+            F.lit("wanted").alias("platform"),
+            F.when(F.col("id") < 3, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("job_id"),
+            F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"))
+        out = marts.posting_terms(jds, terms_t, "term", "term")
+        n = len(out.collect())  # runs this plan, so its final adaptive plan is kept
+        assert n == 10000 * 3 + 1998  # hot: 10000 x 3 terms; ids 3..2999 not divisible by 3 match once
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
