@@ -607,3 +607,38 @@ def b1_landing_rows(spark, d):
     docs = fx.landing_documents(spark, d)
     parsed = docs.select(F.from_json("document", LANDING_SCHEMA).alias("doc"), "year", "month", "day")
     return landing_rows(parsed.select("doc.*", "year", "month", "day"))
+
+
+@query("d22_row_counts")
+def d22_row_counts(spark, d):
+    """Row count of the main tables (one aggregate per table)."""
+    out = None
+    for name in ("documents", "lineitem", "orders", "events", "pages"):
+        c = fx.table(spark, d, name).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("h26_first_nested")
+def h26_first_nested(spark, d):
+    """First element of a nested JSON array, NULL on any miss (empty
+    array, missing key or text that is not JSON)."""
+    ev = fx.table(spark, d, "events")
+    doc = (F.when(F.col("event_id") % 5 == 0, F.lit('{"documents": []}'))
+           .when(F.col("event_id") % 7 == 0, F.lit("not json"))
+           .otherwise(F.concat(F.lit('{"documents": [{"address": {"x": "'), F.col("user_id").cast("string"),
+                               F.lit('", "y": '), F.col("props"), F.lit("}}]}"))))
+    schema = "documents array<struct<address: struct<x: string, y: struct<k: bigint>>>>"
+    first = F.try_element_at(F.from_json(doc, schema)["documents"], F.lit(1))["address"]
+    return ev.select("event_id", first["x"].alias("x"), first["y"]["k"].alias("k"))
+
+
+@query("i17_clean_tags")
+def i17_clean_tags(spark, d):
+    """Tags written the way listing pages mark them (a '#', a comment
+    marker, padding) cleaned back to the anchor texts of the page."""
+    pg = fx.table(spark, d, "pages")
+    texts = F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1)
+    raw = F.transform(texts, lambda t: F.concat(F.lit("#<!-- -->"), t, F.lit(" ")))
+    return pg.select("page_id", ft.clean_tags(raw).alias("tags"))

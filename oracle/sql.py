@@ -511,3 +511,20 @@ SELECT * EXCLUDE (g) FROM (
   SELECT *, CAST(floor(CAST(job_id AS BIGINT) / 64) AS BIGINT) AS g FROM postings)
 WHERE g % 7 <> 6
 """, "postings"))
+
+oracle("d22_row_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in ("documents", "lineitem", "orders", "events", "pages")))
+
+oracle("h26_first_nested", """
+SELECT event_id,
+       CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS x,
+       CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k
+FROM events
+""")
+
+oracle("i17_clean_tags", r"""
+SELECT page_id,
+       list_transform(regexp_extract_all(html, '<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>', 1),
+                      lambda t: trim(replace(replace('#<!-- -->' || t || ' ', '#<!-- -->', ''), '#', ''))) AS tags
+FROM pages
+""")
