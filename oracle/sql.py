@@ -486,25 +486,25 @@ _POSTING_COLS = ("job_id, platform, category, url, company, {title}, primary_res
 oracle("b14_normalize_wanted", W("SELECT " + _POSTING_COLS.format(
     title="coalesce(title, '') AS title", preferred="preferred", end_at="end_at", location="location",
     welfare="welfare", body="'' AS body", company_description="company_description",
-    coordinate="coordinate") + " FROM postings WHERE platform = 'wanted'", "postings"))
+    coordinate="coordinate") + " FROM postings WHERE platform = 'wanted' AND CAST(job_id AS BIGINT) % 17 <> 0", "postings"))
 
 oracle("b15_normalize_jumpit", W("SELECT " + _POSTING_COLS.format(
     title="title", preferred="preferred", end_at="end_at", location="location", welfare="welfare",
     body="CAST(NULL AS VARCHAR) AS body", company_description="company_description",
-    coordinate="CAST(NULL AS DOUBLE[]) AS coordinate") + " FROM postings WHERE platform = 'jumpit'", "postings"))
+    coordinate="CAST(NULL AS DOUBLE[]) AS coordinate") + " FROM postings WHERE platform = 'jumpit' AND CAST(job_id AS BIGINT) % 17 <> 0", "postings"))
 
 oracle("b16_normalize_jobplanet", W("SELECT " + _POSTING_COLS.format(
     title="title", preferred="nullif(preferred, '') AS preferred",
     end_at="strftime(TRY_CAST(end_at AS DATE), '%Y-%m-%d') AS end_at",
     location="nullif(coalesce(location, ''), '') AS location", welfare="nullif(welfare, '') AS welfare",
     body="CAST(NULL AS VARCHAR) AS body", company_description="nullif(company_description, '') AS company_description",
-    coordinate="CAST(NULL AS DOUBLE[]) AS coordinate") + " FROM postings WHERE platform = 'jobplanet'", "postings"))
+    coordinate="CAST(NULL AS DOUBLE[]) AS coordinate") + " FROM postings WHERE platform = 'jobplanet' AND CAST(job_id AS BIGINT) % 17 <> 0", "postings"))
 
 oracle("b17_normalize_rallit", W("SELECT " + _POSTING_COLS.format(
     title="title", preferred="preferred", end_at="end_at", location="location", welfare="welfare",
     body="body", company_description="company_description",
     coordinate="CASE WHEN coordinate[1] <> 0 AND coordinate[2] <> 0 THEN coordinate END AS coordinate")
-    + " FROM postings WHERE platform = 'rallit'", "postings"))
+    + " FROM postings WHERE platform = 'rallit' AND CAST(job_id AS BIGINT) % 17 <> 0", "postings"))
 
 oracle("b1_landing_rows", W("""
 SELECT * EXCLUDE (g) FROM (
