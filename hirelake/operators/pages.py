@@ -22,7 +22,7 @@ def page_links(pages: DataFrame, id_pattern: str = POSTING_LINK_ID, only_ids: bo
     the pattern captures; ``only_ids`` keeps links that hold an id."""
     links = pages.select("page_id", F.posexplode(
         F.regexp_extract_all("html", F.lit(LIST_ANCHOR_HREF), 1)).alias("pos", "href"))
-    out = links.withColumn("posting_id", extract_id("href", id_pattern))
+    out = links.withColumns({"pos": F.col("pos").cast("bigint"), "posting_id": extract_id("href", id_pattern)})
     return out.where(F.col("posting_id").isNotNull()) if only_ids else out
 
 
