@@ -179,3 +179,17 @@ def test_hot_posting_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_no_unscalable_operators_in_any_registered_plan(spark, sf_small):
+    # every registered query: no cartesian product, no nested-loop join, no
+    # window keyed by data, no row-at-a-time or Arrow Python evaluation
+    import __spark_entry__ as entry
+    forbidden = ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "ArrowEvalPython"]
+    bad = {}
+    for name, q in sorted(entry.queries().items()):
+        plan = _plan(q(spark, sf_small))
+        hit = [f for f in forbidden if f in plan]
+        if hit:
+            bad[name] = hit
+    assert bad == {}
