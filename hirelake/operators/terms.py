@@ -15,7 +15,7 @@ Token rows carry a small row key, never the text, so the shuffles move
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import HANGUL_RUN, latin_terms
@@ -78,7 +78,7 @@ def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> Data
     return rows.select(*cols).join(tn, "tok", "inner")
 
 
-def row_key(df: DataFrame, cols: list[str] | None = None) -> "F.Column":
+def row_key(df: DataFrame, cols: list[str] | None = None) -> Column:
     """A content key: SHA-256 (32 bytes) of the given columns (default: the
     whole row) as JSON. Rows with the same texts share it; their term arrays
     are equal, so sharing is exact."""
