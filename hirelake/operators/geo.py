@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import coord_part
-from ._util import broadcast_if_small
+from ._util import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .clean import enrich_subset, known_platforms
 
 # Platforms whose postings carry no coordinate and are geocoded.
@@ -14,7 +14,8 @@ GEOCODED_PLATFORMS = ["jobplanet", "jumpit"]
 
 
 def geocode(df: DataFrame, addresses: DataFrame, platforms: list[str] | None = None,
-            known_only: bool = True, fixed_size: bool = False) -> DataFrame:
+            known_only: bool = True, fixed_size: bool = False,
+            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """C10 + G2: replace ``coordinate`` of the listed platforms by the
     address table's (lat, lon); a miss gives NULL, as a failed lookup did.
     Other platforms keep their own coordinate. With ``known_only`` rows of
@@ -28,7 +29,7 @@ def geocode(df: DataFrame, addresses: DataFrame, platforms: list[str] | None = N
     platforms = platforms or GEOCODED_PLATFORMS
     dim = addresses.select(F.col("location").alias("_geo_location"), F.col("lat").alias("_geo_lat"),
                            F.col("lon").alias("_geo_lon"))
-    dim = F.broadcast(dim) if fixed_size else broadcast_if_small(dim)
+    dim = F.broadcast(dim) if fixed_size else broadcast_if_small(dim, broadcast_rows)
     joined = df.join(dim, df["location"] == dim["_geo_location"], "left")
     pred = F.col("platform").isin(platforms)
 

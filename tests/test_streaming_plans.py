@@ -193,3 +193,37 @@ def test_no_unscalable_operators_in_any_registered_plan(spark, sf_small):
         if hit:
             bad[name] = hit
     assert bad == {}
+
+
+def test_hot_location_geocode_is_split(spark):
+    # left outer lookup join with a table too large to broadcast: a location
+    # holding a third of the postings is split on the preserved side
+    from hirelake.operators import geo
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        loc = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("loc"), F.col("id").cast("string")))
+        posts = spark.range(30000).select(F.col("id").cast("string").alias("job_id"), F.lit("jumpit").alias("platform"),
+                                          loc.alias("location"), F.lit(None).cast("array<double>").alias("coordinate"))
+        addr = spark.range(20000).select(
+            F.when(F.col("id") == 0, F.lit("hot")).otherwise(F.concat(F.lit("loc"), F.col("id").cast("string"))).alias("location"),
+            F.col("id").cast("double").alias("lat"), F.lit(1.0).alias("lon"))
+        out = geo.geocode(posts, addr, broadcast_rows=1000)  # over the bound: shuffle join
+        got = out.collect()
+        assert len(got) == 30000
+        assert sum(1 for r in got if r.coordinate == [0.0, 1.0]) == 10000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
