@@ -110,11 +110,12 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
         kcols = ["_rk"]
         source = keyed.select("_rk", *cols).dropDuplicates(["_rk"]) if dedupe else keyed
     else:
-        # a unique key: dropDuplicates changes no rows, but its exchange is
-        # shared by the token and vocabulary branches, so the input is read
-        # and derived once
-        keyed, kcols = df, key
-        source = df.select(*key, *cols).dropDuplicates(key) if dedupe else df
+        # A unique key has no copies to collapse. Routing the rows through a
+        # dropDuplicates exchange would let both branches share one read of
+        # the input (faster locally, where a scan is one task), but at scale
+        # it shuffles every text once to save a second parallel scan: not
+        # worth it, so the input is read by each branch.
+        keyed, kcols, source = df, key, df
     per_col = F.array(*[F.struct(F.lit(i).alias("ci"),
                                  F.regexp_extract_all(F.col(c), F.lit(pattern), 0).alias("toks"))
                         for i, c in enumerate(cols)])
