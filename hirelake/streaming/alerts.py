@@ -57,9 +57,10 @@ def object_alerts(df: DataFrame) -> DataFrame:
     return df.withColumns({"text": text, "attachment": attachment})
 
 
-def job_rule(df: DataFrame, job_names: list[str]) -> DataFrame:
-    """The job-state event rule: listed states and job names."""
-    return events_in(events_in(df, "state", JOB_STATES), "job_name", job_names)
+def job_rule(df: DataFrame, job_names: list[str] | None = None) -> DataFrame:
+    """The job-state event rule: listed states and (if given) job names."""
+    out = events_in(df, "state", JOB_STATES)
+    return events_in(out, "job_name", job_names) if job_names else out
 
 
 def _job_text(state: Column, name: Column) -> Column:
@@ -79,3 +80,32 @@ def job_state_alerts(df: DataFrame) -> DataFrame:
     attachment = F.when(state == "SUCCEEDED",
                         F.concat(F.lit("Execution Time: "), hms("execution_time"), F.lit(".")))
     return df.withColumns({"text": _job_text(state, F.col("job_name")), "attachment": attachment})
+
+
+def alert_stream(spark, events_path: str, schema, out_path: str, kind: str = "object",
+                 allowed: list[str] | None = None, checkpoint: str | None = None,
+                 trigger: dict | None = None, fmt: str = "parquet"):
+    """J1/J2 as a Structured Streaming job: new event files under
+    ``events_path`` -> rule filter -> alert rows appended to ``out_path``.
+
+    The transform is stateless, so no watermark or state store is needed;
+    the file sink is exactly-once (its commit log and the source offsets
+    live in ``checkpoint``, by default under the shared checkpoint folder).
+    ``trigger`` defaults to ``availableNow`` (process what is there, stop);
+    pass e.g. ``{"processingTime": "1 minute"}`` for a continuous job.
+    Returns the StreamingQuery.
+    """
+    from ..session import scratch_path
+
+    events = spark.readStream.schema(schema).format(fmt).load(events_path)
+    if kind == "object":
+        rows = object_alerts(object_rule(events, allowed))
+    elif kind == "job":
+        rows = job_state_alerts(job_rule(events, allowed))
+    else:
+        raise ValueError(f"unknown alert kind {kind!r}")
+    writer = (rows.writeStream.format("parquet").outputMode("append")
+              .option("path", out_path)
+              .option("checkpointLocation", checkpoint or scratch_path(spark, f"alerts-{kind}-checkpoint"))
+              .trigger(**(trigger or {"availableNow": True})))
+    return writer.start()

@@ -227,3 +227,20 @@ def test_hot_location_geocode_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_alert_stream_job_exactly_once(spark, tmp_dir, sf_small):
+    src = f"{tmp_dir}/job_events"
+    ev = fx.job_events(spark, sf_small)
+    ev.where("event_id % 2 = 0").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    out, ckpt = f"{tmp_dir}/alerts", f"{tmp_dir}/alerts_ckpt"
+    alerts.alert_stream(spark, src, schema, out, kind="job", allowed=fx.JOB_NAMES[:2],
+                        checkpoint=ckpt).awaitTermination()
+    ev.where("event_id % 2 = 1").write.mode("append").parquet(src)  # new files arrive
+    alerts.alert_stream(spark, src, schema, out, kind="job", allowed=fx.JOB_NAMES[:2],
+                        checkpoint=ckpt).awaitTermination()
+    got = spark.read.parquet(out).select("event_id", "text", "attachment")
+    want = alerts.job_state_alerts(alerts.job_rule(ev, fx.JOB_NAMES[:2])).select("event_id", "text", "attachment")
+    assert got.count() == want.count()  # each event once, although the job ran twice
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
