@@ -14,7 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from hirelake.session import local_session
 
-    s = local_session("hirelake-tests", cores="*", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="hirelake-warehouse-")
+    s = local_session("hirelake-tests", cores="*", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
