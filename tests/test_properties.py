@@ -1,5 +1,7 @@
 """Property tests: operators against brute-force Python on random inputs."""
 
+import datetime as dt
+
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -86,3 +88,49 @@ def test_hms_matches_divmod(spark, secs):
         m, sec = divmod(rem, 60)
         want.append(f"{h}h {m}m {sec}s")
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 50), st.integers(0, 9)),
+                min_size=1, max_size=30))
+def test_dedupe_first_matches_pandas(spark, data):
+    df = spark.createDataFrame(data, "k string, o long, v long")
+    got = sorted(tuple(r) for r in quality.dedupe_first(df, ["k"], ["o"]).collect())
+    pdf = pd.DataFrame(data, columns=["k", "o", "v"]).sort_values(["k", "o", "v"])
+    want = sorted(tuple(int(x) if not isinstance(x, str) else x for x in r)
+                  for r in pdf.drop_duplicates("k", keep="first").itertuples(index=False))
+    assert got == want
+
+
+dates = st.one_of(st.none(), st.dates(min_value=dt.date(2023, 12, 20), max_value=dt.date(2024, 2, 10)).map(str),
+                  st.sampled_from(["open-ended", "2024-13-01", ""]))
+
+
+@SETTINGS
+@given(st.lists(dates, min_size=1, max_size=20))
+def test_deadline_window_matches_python(spark, ends):
+    from hirelake.operators import marts
+    rows_ = [(f"c{i}", "t", "u", e, "p", "d", "M", "m") for i, e in enumerate(ends)]
+    df = spark.createDataFrame(rows_, "company string, title string, url string, end_at string, "
+                                      "primary_responsibility string, company_description string, "
+                                      "major_category string, middle_category string")
+    got = sorted(r.company for r in marts.upcoming_deadlines(df, "2024-01-20", 7).collect())
+    start = dt.date(2024, 1, 20)
+
+    def ok(e):
+        try:
+            d = dt.date.fromisoformat(e)
+        except (TypeError, ValueError):
+            return False
+        return start <= d <= start + dt.timedelta(days=7)
+    assert got == sorted(f"c{i}" for i, e in enumerate(ends) if ok(e))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab Z\né.+-", max_size=25)), min_size=1, max_size=10))
+def test_latin_terms_match_regex(spark, texts):
+    import re
+    from hirelake.functions.text import latin_terms
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.terms for r in df.select("i", latin_terms("t").alias("terms")).collect()}
+    assert got == {i: (re.findall(r"[A-Za-z]+", t) if t else []) for i, t in enumerate(texts)}
