@@ -134,3 +134,47 @@ def test_latin_terms_match_regex(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.terms for r in df.select("i", latin_terms("t").alias("terms")).collect()}
     assert got == {i: (re.findall(r"[A-Za-z]+", t) if t else []) for i, t in enumerate(texts)}
+
+
+platforms = st.sampled_from(["wanted", "jumpit", "rallit", "jobplanet", "other", None])
+places = st.sampled_from(["A", "B", "C", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(platforms, places, st.booleans()), min_size=1, max_size=20))
+def test_geocode_rule_matches_python(spark, data):
+    from hirelake.operators import geo
+    addr = {"A": (1.0, 2.0), "B": (3.0, 4.0)}  # C misses
+    rows_ = [(str(i), p, loc, [9.0, 9.0] if own else None) for i, (p, loc, own) in enumerate(data)]
+    df = spark.createDataFrame(rows_, "job_id string, platform string, location string, coordinate array<double>")
+    dim = spark.createDataFrame([(k, v[0], v[1]) for k, v in addr.items()], "location string, lat double, lon double")
+    got = {r.job_id: r.coordinate for r in geo.geocode(df, dim).collect()}
+    want = {}
+    for job_id, p, loc, own in rows_:
+        if p not in ("wanted", "jumpit", "rallit", "jobplanet"):
+            continue  # the split/union drops other platforms
+        if p in ("jobplanet", "jumpit"):
+            want[job_id] = list(addr[loc]) if loc in addr else None  # replaced, a miss gives NULL
+        else:
+            want[job_id] = own  # kept as is
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.sampled_from(["M1", "M2"])), min_size=1, max_size=12),
+       st.lists(st.tuples(st.sampled_from(["x", "y", "z"]), st.sampled_from([1.0, 2.0, None]),
+                          st.sampled_from([5.0, None]), st.sampled_from(["d1", "d2"])), min_size=0, max_size=12))
+def test_company_coordinates_matches_pandas(spark, jds_rows, detail_rows):
+    from hirelake.operators import marts
+    jds = spark.createDataFrame([(c, m, "mid", "sub") for c, m in jds_rows],
+                                "company string, major_category string, middle_category string, sub_category string")
+    detail = spark.createDataFrame(detail_rows, "company string, lat double, lon double, company_description string")
+    got = sorted(tuple(r) for r in marts.company_coordinates(jds, detail).collect())
+    u = pd.DataFrame([(c, m, "mid", "sub") for c, m in jds_rows],
+                     columns=["company", "major_category", "middle_category", "sub_category"])
+    c = pd.DataFrame(detail_rows, columns=["company", "lat", "lon", "company_description"])
+    c = c[c.lat.notna() & c.lon.notna()]
+    j = u.dropna(subset=["company"]).merge(c, on="company")
+    want = sorted(set((r.major_category, r.middle_category, r.sub_category, r.company, r.lat, r.lon)
+                      for r in j.itertuples(index=False)))
+    assert got == want
