@@ -244,3 +244,23 @@ def test_alert_stream_job_exactly_once(spark, tmp_dir, sf_small):
     want = alerts.job_state_alerts(alerts.job_rule(ev, fx.JOB_NAMES[:2])).select("event_id", "text", "attachment")
     assert got.count() == want.count()  # each event once, although the job ran twice
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_command_line_first_stage(spark, tmp_dir, sf_small):
+    # the CLI reuses the running session (spark-submit provides one)
+    from hirelake.__main__ import main
+    from hirelake.session import CLUSTER_CONF
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    landing = f"{tmp_dir}/landing"
+    write_landing(fx.postings(spark, sf_small), landing)
+    try:
+        main(["first-stage", "--landing", landing, "--out", f"{tmp_dir}/cleaned", "--lines"])
+    finally:  # the CLI fills in cluster sizing; keep the shared test session as it was
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    got = spark.read.parquet(f"{tmp_dir}/cleaned")
+    assert got.count() == fx.postings(spark, sf_small).count()
+    assert {"major_category", "coordinate", "year"} <= set(got.columns)
