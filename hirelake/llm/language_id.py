@@ -36,7 +36,7 @@ NGRAMS = (2, 3, 4)
 CHUNK = 1 << 18
 #: Training rows read at most; the fit runs on the driver over their hashed
 #: counts (at most BUCKETS numbers a row), never over the corpus.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 EPOCHS = 4
 LEARNING_RATE = 2.0
 #: Share of calibration rows whose score may fall below the rejection threshold.
@@ -152,13 +152,13 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for t, g in zip(texts, langs):
                 ids, n = bucket_counts(t)
-                yield pa.RecordBatch.from_pydict({"lang": [g], "ids": [ids.tolist()], "n": [n.tolist()]},
-                                                 schema=pa.schema([("lang", pa.string()), ("ids", pa.list_(pa.int64())),
-                                                                   ("n", pa.list_(pa.float64()))]))
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": [g], "ids": [ids.astype("<i4").tobytes()], "n": [n.astype("<f4").tobytes()]},
+                    schema=pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("n", pa.binary())]))
 
-    got = sample.mapInArrow(count, "lang string, ids array<bigint>, n array<double>").collect()
-    got.sort(key=lambda r: (r["lang"], len(r["ids"]), r["ids"][:8]))
-    return fit([(r["lang"], np.array(r["ids"], np.int64), np.array(r["n"])) for r in got])
+    got = sample.mapInArrow(count, "lang string, ids binary, n binary").collect()
+    got.sort(key=lambda r: (r["lang"], len(r["ids"]), r["ids"]))
+    return fit([(r["lang"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["n"], "<f4")) for r in got])
 
 
 def predict(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
