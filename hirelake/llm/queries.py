@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import language_id
+from . import language_id, packing, toxicity
 
 QUERIES = {
+    "op2_packing": packing.query,
     "op9_language_id": language_id.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE: dict[str, str] = {}
