@@ -43,6 +43,8 @@ PREFIXES = (4, 5, 6)
 MIN_RATIO = 25.0
 #: ... this many toxic documents that no feature has covered yet, and there are at most MAX_FEATURES.
 MIN_COVER, MAX_FEATURES = 4, 2000
+#: Share of the toxic documents that makes a feature the cover did without worth tagging.
+MIN_SHARE = 0.01
 #: Documents (of each label) and tokens of the token-level fit.
 CRF_DOCS, CRF_TOKENS = 80, 800
 WORD_CACHE = 200_000
@@ -169,6 +171,18 @@ def choose_features(rows: list[tuple[int, str]]) -> dict[str, float]:
             break
         chosen[x] = log(ratio(x))
         open_docs -= where.pop(x)
+    # Then the features that the cover did without: as rare in clean documents, and beside ever other words
+    # (copies of one toxic document share all their words, and so their neighbours).
+    rest = {x for x, w in where.items() if len(w) >= max(MIN_COVER, MIN_SHARE * len(toxic)) and not in_clean[x]}
+    beside: dict[str, set[tuple]] = {x: set() for x in rest}
+    for t in toxic:
+        words = WORD.findall(t)
+        for i, w in enumerate(words):
+            for x in rest.intersection(features(w)):
+                beside[x].add((*words[max(0, i - 1):i], *words[i + 1:i + 2]))
+    for x in sorted(rest, key=lambda f: (-len(where[f]), f))[:max(0, MAX_FEATURES - len(chosen))]:
+        if len(beside[x]) >= 0.7 * len(where[x]):
+            chosen[x] = log(ratio(x))
     return chosen
 
 
