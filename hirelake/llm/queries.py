@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import language_id, packing, toxicity
+from . import language_id, line_dedup, mixing, packing, toxicity
 
 QUERIES = {
+    "op1_mixing": mixing.query,
     "op2_packing": packing.query,
+    "op5_line_dedup": line_dedup.query,
     "op9_language_id": language_id.query,
     "op10_toxicity": toxicity.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": mixing.SQL,
+    "op5_line_dedup": line_dedup.SQL,
+}
