@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import language_id, line_dedup, mixing, packing, toxicity
+from . import chat, language_id, line_dedup, mixing, packing, toxicity, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_packing": packing.query,
+    "op3_url_filter": url_filter.query,
     "op5_line_dedup": line_dedup.query,
+    "op7_chat": chat.query,
     "op9_language_id": language_id.query,
     "op10_toxicity": toxicity.query,
 }
@@ -15,4 +17,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op5_line_dedup": line_dedup.SQL,
+    "op7_chat": chat.SQL,
 }
