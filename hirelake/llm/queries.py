@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, language_id, line_dedup, mixing, packing, toxicity, url_filter
+from . import chat, language_id, line_dedup, mixing, packing, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_packing": packing.query,
     "op3_url_filter": url_filter.query,
+    "op4_simhash": simhash.query,
     "op5_line_dedup": line_dedup.query,
     "op7_chat": chat.query,
     "op9_language_id": language_id.query,
