@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, language_id, line_dedup, mixing, packing, simhash, toxicity, url_filter
+from . import ann, chat, language_id, line_dedup, mixing, packing, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.query,
     "op5_line_dedup": line_dedup.query,
     "op7_chat": chat.query,
+    "op8_ann": ann.query,
     "op9_language_id": language_id.query,
     "op10_toxicity": toxicity.query,
 }
