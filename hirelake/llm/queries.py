@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, language_id, line_dedup, mixing, packing, simhash, toxicity, url_filter
+from . import ann, chat, language_id, line_dedup, mixing, near_dup, packing, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.query,
     "op4_simhash": simhash.query,
     "op5_line_dedup": line_dedup.query,
+    "op6_near_dup": near_dup.query,
     "op7_chat": chat.query,
     "op8_ann": ann.query,
     "op9_language_id": language_id.query,
