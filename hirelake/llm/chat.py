@@ -60,7 +60,7 @@ def final_messages(events: DataFrame) -> DataFrame:
     resets = F.transform("log", lambda e, i: F.when(e["delta"] == 0, i))
     return (folded.withColumn("since", F.coalesce(F.array_max(resets), F.lit(0)))
             .select("conv", "message",
-                    F.coalesce(F.element_at(F.filter(F.transform("log", lambda e: e["role"]), lambda r: r.isNotNull()), -1),
+                    F.coalesce(F.try_element_at(F.filter(F.transform("log", lambda e: e["role"]), lambda r: r.isNotNull()), F.lit(-1)),
                                F.lit("")).alias("role"),
                     F.array_join(F.transform(F.filter("log", lambda e, i: i >= F.col("since")),
                                              lambda e: F.when(e["event"] == "regenerate", "").otherwise(e["text"])),

@@ -115,42 +115,42 @@ def mix(df: DataFrame, levels: dict[str, Column], key: str = "doc_id", text: str
         F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long").alias("n_tokens")).where("n_tokens > 0")
     narrow = materialize(rows.select(F.col(key).cast("string").alias("key"), *tree, "n_tokens"), "mix-sizes")
     shares = budgets(narrow.groupBy(*tree).agg(F.sum("n_tokens").alias("supply")), tree, weights or {}, budget, epochs)
-    plan = shares.select(*tree, F.expr("share div supply").alias("whole"), F.expr("share % supply").alias("left"),
-                         F.lit("").alias("cut"))
+    plan = shares.select(*tree, F.expr("share div supply").alias("__whole"), F.expr("share % supply").alias("__left"),
+                         F.lit("").alias("__cut"))
     plan = materialize(plan, "mix-plan")
     small = plan.count() <= BROADCAST_LEAVES
     side = F.broadcast if small else (lambda x: x)
 
     def hashed(r: DataFrame, k: Column) -> DataFrame:
         # The epoch of the prefix is the one after the whole ones.
-        return r.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(seed), F.col("whole").cast("string"),
+        return r.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(seed), F.col("__whole").cast("string"),
                                                         F.coalesce(k.cast("string"), F.lit("")))))
 
     for depth in (2, 4, 6):
         inside = hashed(narrow.join(side(plan), tree), F.col("key")).where(
-            (F.col("left") > 0) & F.col("__hash").startswith(F.col("cut")))
-        sums = (inside.withColumn("bucket", F.substring("__hash", 1, depth))
-                .groupBy(*tree, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.max("left").alias("left")))
-        order = Window.partitionBy(*tree).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        ends = (sums.withColumn("upto", F.sum("tokens").over(order))
-                .where((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("tokens") <= F.col("left")))
-                .select(*tree, F.col("bucket").alias("at"), (F.col("upto") - F.col("tokens")).alias("spent")))
+            (F.col("__left") > 0) & F.col("__hash").startswith(F.col("__cut")))
+        sums = (inside.withColumn("__bucket", F.substring("__hash", 1, depth))
+                .groupBy(*tree, "__bucket").agg(F.sum("n_tokens").alias("__tokens"), F.max("__left").alias("__left")))
+        order = Window.partitionBy(*tree).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+        ends = (sums.withColumn("__upto", F.sum("__tokens").over(order))
+                .where((F.col("__upto") > F.col("__left")) & (F.col("__upto") - F.col("__tokens") <= F.col("__left")))
+                .select(*tree, F.col("__bucket").alias("at"), (F.col("__upto") - F.col("__tokens")).alias("spent")))
         plan = (plan.join(ends, tree, "left")
-                .select(*tree, "whole", F.col("left") - F.coalesce("spent", F.lit(0)).alias("left"),
-                        F.coalesce("at", "cut").alias("cut")))
-        plan = materialize(plan.toDF(*tree, "whole", "left", "cut"), "mix-plan")
+                .select(*tree, "__whole", F.col("__left") - F.coalesce("spent", F.lit(0)).alias("__left"),
+                        F.coalesce("at", "__cut").alias("__cut")))
+        plan = materialize(plan.toDF(*tree, "__whole", "__left", "__cut"), "mix-plan")
 
     # A leaf without a prefix has an empty cut; else documents below the cut are whole, those in it are counted off.
     placed = hashed(rows.join(side(plan), tree), F.col(key))
     bucket = F.substring("__hash", 1, 6)
-    n_epochs = F.col("whole") + F.when((F.col("cut") != "") & (bucket < F.col("cut")), 1).otherwise(0)
-    whole = (placed.withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(whole, 1L))")))
+    n_epochs = F.col("__whole") + F.when((F.col("__cut") != "") & (bucket < F.col("__cut")), 1).otherwise(0)
+    whole = (placed.withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(__whole, 1L))")))
              .where(F.col("epoch") < n_epochs).withColumn("take_tokens", F.col("n_tokens")))
     order = Window.partitionBy(*tree).orderBy("__hash", key).rowsBetween(Window.unboundedPreceding, 0)
-    edge = (placed.where((F.col("cut") != "") & (bucket == F.col("cut")))
-            .withColumn("upto", F.sum("n_tokens").over(order))
-            .withColumn("take_tokens", F.least("n_tokens", F.col("left") - F.col("upto") + F.col("n_tokens")))
-            .where("take_tokens > 0").withColumn("epoch", F.col("whole")))
+    edge = (placed.where((F.col("__cut") != "") & (bucket == F.col("__cut")))
+            .withColumn("__upto", F.sum("n_tokens").over(order))
+            .withColumn("take_tokens", F.least("n_tokens", F.col("__left") - F.col("__upto") + F.col("n_tokens")))
+            .where("take_tokens > 0").withColumn("epoch", F.col("__whole")))
     chunks = F.split(text, r"(?<=\S)(?=\s)", -1)  # white space and a token each
     prefix = F.array_join(F.slice(chunks, F.lit(1), F.col("take_tokens").cast("int")), "")
     edge = edge.withColumn(text, F.when(F.col("take_tokens") < F.col("n_tokens"), prefix).otherwise(F.col(text)))

@@ -130,11 +130,11 @@ def successors(ids: DataFrame) -> DataFrame:
         return ids.select("id", F.col("id").alias("next"))
 
     def linked(rows: DataFrame, low: int, high: int) -> DataFrame:
+        if high - low < 1 << KEY_BITS:  # at most so many ids: one block
+            return rows.select("id", F.lead("id").over(Window.partitionBy(F.lit(0)).orderBy("id")).alias("next"))
         block = F.shiftright("id", KEY_BITS)
         out = rows.withColumn("block", block).withColumn(
             "next", F.lead("id").over(Window.partitionBy("block").orderBy("id")))
-        if low >> KEY_BITS == high >> KEY_BITS:
-            return out.select("id", "next")
         firsts = rows.groupBy(block.alias("block")).agg(F.min("id").alias("first"))
         chain = linked(firsts.select(F.col("block").alias("id")), low >> KEY_BITS, high >> KEY_BITS)
         after = (chain.join(firsts.select(F.col("block").alias("next"), "first"), "next")
