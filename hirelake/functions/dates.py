@@ -63,12 +63,15 @@ def day_parts(ts: ColumnOrName, padded: bool = False) -> dict[str, Column]:
 def hms(seconds: ColumnOrName) -> Column:
     """H18: '{h}h {m}m {s}s' from whole seconds (divmod by 3600, then 60)."""
     s = _c(seconds).cast("bigint")
-    hours = F.floor(s / 3600).cast("bigint")
-    minutes = F.floor((s % 3600) / 60).cast("bigint")
+    hours = int_div(s, F.lit(3600))
+    minutes = int_div(s % 3600, F.lit(60))
     secs = (s % 60).cast("bigint")
     return F.format_string("%dh %dm %ds", hours, minutes, secs)
 
 
 def int_div(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Floor division of integers."""
-    return F.floor(_c(a) / _c(b)).cast("bigint")
+    """Floor division of integers, exact at every size (``div`` cuts
+    towards zero: a quotient of unlike signs with a remainder is one less)."""
+    x, y = _c(a).cast("bigint"), _c(b).cast("bigint")
+    cut = F.call_function("div", x, y)
+    return cut - F.when((x % y != 0) & ((x < 0) != (y < 0)), 1).otherwise(0)

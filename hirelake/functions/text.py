@@ -13,6 +13,11 @@ ColumnOrName = Column | str
 
 # Latin-script term: a run of ASCII letters (what a tagger labels a foreign word).
 LATIN_RUN = "[A-Za-z]+"
+# --- FIXED VALUES: the characters that Python's str.split() and strip() take
+# for white space; the regex class \s knows only the ASCII ones ---------------
+WHITE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# -----------------------------------------------------------------------------
 # Hangul syllable run, the script of the Korean noun path.
 HANGUL_RUN = "[가-힣]+"
 
@@ -47,15 +52,15 @@ def remove_spaces(c: ColumnOrName) -> Column:
 
 
 def strip(c: ColumnOrName) -> Column:
-    """Strip leading and trailing whitespace (not only spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Strip leading and trailing white space, of Unicode too."""
+    return F.regexp_replace(_c(c), rf"\A{WHITE}+|{WHITE}+\z", "")
 
 
 def split_ws(c: ColumnOrName) -> Column:
     """H8: whitespace tokens like Python's str.split(); blank gives []."""
     stripped = strip(c)
     return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, r"\s+"))
+        F.split(stripped, f"{WHITE}+"))
 
 
 def prefix(c: ColumnOrName, n: int) -> Column:
@@ -80,10 +85,10 @@ def latin_terms(c: ColumnOrName) -> Column:
 
 
 def clean_tags(c: ColumnOrName) -> Column:
-    """Skill tags without '#', comment markers and surrounding blanks."""
+    """Skill tags without '#', comment markers and surrounding white space."""
     return F.transform(
         _c(c),
-        lambda x: F.trim(F.replace(F.replace(x, F.lit("#<!-- -->"), F.lit("")), F.lit("#"), F.lit(""))),
+        lambda x: strip(F.replace(F.replace(x, F.lit("#<!-- -->"), F.lit("")), F.lit("#"), F.lit(""))),
     )
 
 
@@ -109,14 +114,15 @@ def posting_url(platform: ColumnOrName, job_id: ColumnOrName) -> Column:
 
 
 # --- HTML helpers (I14-I16) ---------------------------------------------------
-# A paragraph runs from <p> to the next <p> or </p>; inline tags inside it are
-# removed and the five XML entities decoded, then it is stripped.
-# Written as "unrolled loops" (a char-class run, then one group iteration per
-# inline tag): the same language as (?:[^<]|<[^/p]|</[^p])*, without one
-# regex-engine recursion per character on long paragraphs.
-PARAGRAPH = r"<p>([^<]*(?:<[^/p][^<]*|</[^p][^<]*)*)"
+# A paragraph runs from a <p> tag, with attributes or none, to the next <p> or
+# </p>; inline tags inside it (<pre> too) are removed and the five XML entities
+# decoded, then it is stripped. Written as "unrolled loops" (a char-class run,
+# then one group iteration per inline tag), without one regex-engine recursion
+# per character on long paragraphs.
+PARAGRAPH = r"<p(?:\s[^>]*)?>([^<]*(?:<(?!/?p[\s>])[^<]*)*)"
 HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
-LIST_ANCHOR_HREF = r'<li[^>]*>\s*<a href="([^"]*)"'
+# The first anchor anywhere inside a list item.
+LIST_ANCHOR_HREF = r'<li(?:\s[^>]*)?>[^<]*(?:<(?!/?li[\s>]|a[\s>])[^<]*)*<a\s(?:[^>]*\s)?href="([^"]*)"'
 
 
 def html_text(c: ColumnOrName) -> Column:

@@ -3,23 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest dimension we broadcast without asking Spark: a few MB of rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded job), so it is
-    cheap even when the side turns out large. Past the bound the plain frame
-    is returned and Spark plans a shuffle join (AQE may still convert it to a
-    broadcast from run-time statistics).
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
 
 
 def drop_if_present(df: DataFrame, cols: list[str]) -> DataFrame:

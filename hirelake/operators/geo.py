@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import coord_part
-from ._util import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from .clean import enrich_subset, known_platforms
 
 # Platforms whose postings carry no coordinate and are geocoded.
@@ -14,22 +13,24 @@ GEOCODED_PLATFORMS = ["jobplanet", "jumpit"]
 
 
 def geocode(df: DataFrame, addresses: DataFrame, platforms: list[str] | None = None,
-            known_only: bool = True, fixed_size: bool = False,
-            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            known_only: bool = True, fixed_size: bool = False) -> DataFrame:
     """C10 + G2: replace ``coordinate`` of the listed platforms by the
     address table's (lat, lon); a miss gives NULL, as a failed lookup did.
     Other platforms keep their own coordinate. With ``known_only`` rows of
     unknown or NULL platforms are dropped, like the reference's split/union.
 
-    ``addresses`` must hold one row per location. A ``fixed_size`` table
-    (literal rows) is broadcast as is; any other is broadcast only after a
-    bounded size check, else the join is a shuffle join that AQE can still
-    re-plan (and split on a hot location).
+    A location that ``addresses`` repeats counts once (its smallest
+    coordinate), so no posting is duplicated. A ``fixed_size`` table (literal
+    rows) is broadcast as is; for any other the join is left to AQE, which
+    broadcasts by measured bytes and splits a hot location.
     """
     platforms = platforms or GEOCODED_PLATFORMS
-    dim = addresses.select(F.col("location").alias("_geo_location"), F.col("lat").alias("_geo_lat"),
-                           F.col("lon").alias("_geo_lon"))
-    dim = F.broadcast(dim) if fixed_size else broadcast_if_small(dim, broadcast_rows)
+    dim = addresses.select("location", "lat", "lon")
+    if not fixed_size:
+        one = dim.groupBy("location").agg(F.min(F.struct("lat", "lon")).alias("_geo"))
+        dim = one.select("location", "_geo.lat", "_geo.lon")
+    dim = dim.toDF("_geo_location", "_geo_lat", "_geo_lon")
+    dim = F.broadcast(dim) if fixed_size else dim
     joined = df.join(dim, df["location"] == dim["_geo_location"], "left")
     pred = F.col("platform").isin(platforms)
 

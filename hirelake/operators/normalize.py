@@ -128,7 +128,10 @@ def _posting(**cols) -> list:
 def normalize_wanted(raw: DataFrame) -> DataFrame:
     """Nested JSON -> posting; skill titles via transform; coordinate only
     when both parts are present."""
-    p = _parsed(raw, WANTED_PAYLOAD, "job")
+    # An empty job object is skipped like a missing one; the other sites keep
+    # an empty root object as a posting of NULLs, and skip only a missing one.
+    filled = F.coalesce(F.regexp_replace(F.get_json_object("payload", "$.job"), r"\s", ""), F.lit("")) != "{}"
+    p = _parsed(raw.where(filled), WANTED_PAYLOAD, "job")
     j = "_p.job"
     skills = F.col(f"{j}.skill_tags")
     return p.select(*_posting(

@@ -121,14 +121,17 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     An aggregate (``min_by``) instead of ``row_number() over (partition by
     key)``: it is combined map-side, so a key holding a third of all rows is
     reduced in every task before the shuffle instead of sorted in one task.
-    Remaining columns break ties, so the pick is deterministic.
+    Remaining columns break ties, so the pick is deterministic. The group key
+    is the 256-bit hash of the keys, not the keys: long texts are neither
+    sorted nor compared.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     orderable = [c for c in rest if not isinstance(df.schema[c].dataType, T.MapType)]
-    row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
     rank = F.struct(*[F.col(c) for c in order + orderable])
-    picked = df.groupBy(*keys).agg(F.min_by(row, rank).alias("_row"))
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    # A NULL key is a key of its own: JSON writes it as null.
+    key = F.unhex(F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+    picked = df.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*df.columns), rank).alias("_row"))
+    return picked.select("_row.*")
 
 
 def profile(df: DataFrame, cols: list[str] | None = None, quantiles=(0.25, 0.5, 0.75),

@@ -5,9 +5,9 @@ re-aimed from a per-row statistical tagger to a lexicon join: each script run
 (token) maps to its longest lexicon prefix (a noun followed by particles in
 Korean). The join works on the token vocabulary, not on the text:
 
-    texts -> tokens (with position) -> prefixes (length capped by the
-    longest lexicon entry, exact) -> join lexicon -> longest match per token
-    occurrence -> arrays per row in text order.
+    texts -> tokens (with position) -> prefixes (of the lengths that occur
+    in the lexicon) -> join lexicon -> longest match per token -> occurrences
+    -> arrays per row in text order.
 
 Token rows carry a small row key, never the text, so the shuffles move
 (key, position, token) only.
@@ -25,18 +25,20 @@ KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
 # with the Latin-1 / Latin Extended blocks (FIXTURES.md).
 FIXTURE_PATTERN = "[A-Za-zÀ-ɏ]+"
-LEXICON_BROADCAST_ROWS = 1_000_000
 
 
 def _lexicon_terms(lexicon: DataFrame) -> DataFrame:
     return lexicon.select(F.col("term").cast("string").alias("term")).where(F.col("term") != "").distinct()
 
 
-def _prefixes(rows: DataFrame, min_len: int, max_len: int) -> DataFrame:
-    """Prefixes of every token with a length a lexicon entry can have."""
-    n = F.explode(F.sequence(F.lit(min_len), F.least(F.char_length("tok"), F.lit(max_len)))).alias("n")
-    long_enough = rows.where(F.char_length("tok") >= min_len)
-    return long_enough.select("*", n).withColumn("term", F.col("tok").substr(F.lit(1), F.col("n")))
+def _prefixes(rows: DataFrame, lex: DataFrame) -> DataFrame:
+    """Prefixes of every token, of the lengths that occur in the lexicon. The
+    lengths are a scalar subquery (a few numbers, at run time): building the
+    plan starts no job, and one overlong entry adds one length."""
+    lengths = lex.agg(F.sort_array(F.collect_set(F.char_length("term")))).scalar()
+    able = rows.withColumn("_lengths", lengths)
+    n = F.explode(F.filter("_lengths", lambda x: x <= F.char_length("tok"))).alias("n")
+    return able.select(*rows.columns, n).withColumn("term", F.col("tok").substr(F.lit(1), F.col("n")))
 
 
 def _longest(hits: DataFrame, cols: list[str]) -> DataFrame:
@@ -46,36 +48,20 @@ def _longest(hits: DataFrame, cols: list[str]) -> DataFrame:
     return best.select(*cols, F.col("tok").substr(F.lit(1), F.col("n")).alias("noun"))
 
 
-def lexicon_stats(lexicon: DataFrame) -> tuple[DataFrame, int, int, bool]:
-    """(terms, shortest length, longest length, fits a broadcast): one small
-    job, which is also the size check that allows broadcasting the lexicon."""
-    lex = _lexicon_terms(lexicon)
-    stats = lex.agg(F.min(F.char_length("term")), F.max(F.char_length("term")), F.count(F.lit(1))).first()
-    return lex, (stats[0] or 0), (stats[1] or 0), stats[2] <= LEXICON_BROADCAST_ROWS
-
-
 def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., tok, noun) for rows of (keys..., tok) whose token has a
     lexicon prefix; ``noun`` is the longest one.
 
     Matching runs on the vocabulary (DISTINCT tokens, collapsed map-side),
-    not on occurrences: prefixes of each distinct token are probed against
-    the lexicon (broadcast after a bounded size check, else a shuffle join),
-    the longest match is an int max per token, and the (tok, noun) map is
-    joined back to the occurrences (AQE broadcasts it when its run-time size
-    is small, and splits a hot token otherwise).
-
-    Prefix lengths run from the shortest to the longest lexicon entry only,
-    which is exact: no other length can match.
+    not on occurrences: prefixes of each distinct token are joined to the
+    lexicon, the longest match is an int max per token, and the (tok, noun)
+    map is joined back to the occurrences. Both joins are left to AQE, which
+    broadcasts a side by its measured bytes and splits a hot token otherwise.
     """
-    lex, min_len, max_len, small = lexicon_stats(lexicon)
-    cols = [*keys, "tok"]
-    if max_len == 0:
-        return rows.select(*cols, F.lit(None).cast("string").alias("noun")).where(F.lit(False))
-    vocab = _prefixes(rows.select("tok").distinct(), min_len, max_len)
-    lex_side = F.broadcast(lex) if small else lex
-    tn = _longest(vocab.join(lex_side, "term", "inner"), ["tok"])
-    return rows.select(*cols).join(tn, "tok", "inner")
+    lex = _lexicon_terms(lexicon)
+    vocab = _prefixes(rows.select("tok").distinct(), lex)
+    tn = _longest(vocab.join(lex, "term", "inner"), ["tok"])
+    return rows.select(*keys, "tok").join(tn, "tok", "inner")
 
 
 def row_key(df: DataFrame, cols: list[str] | None = None) -> Column:
@@ -87,7 +73,7 @@ def row_key(df: DataFrame, cols: list[str] | None = None) -> Column:
 
 def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                   pattern: str = KOREAN_PATTERN, name=lambda c: term_column(c, "korean"),
-                  key: list[str] | None = None, plan: str = "vocabulary", dedupe: bool = True) -> DataFrame:
+                  key: list[str] | None = None, dedupe: bool = True) -> DataFrame:
     """Add one noun array per text column (text order, repeats kept);
     NULL, blank or unmatched text -> [].
 
@@ -95,13 +81,6 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     unique one, else a content hash), the column index, the position and
     the token; all columns are tokenised in one pass and the arrays come
     back in one join.
-
-    ``plan="vocabulary"`` (default) matches DISTINCT tokens and joins the
-    (token, noun) map back; ``plan="occurrences"`` probes every occurrence's
-    prefixes against the broadcast lexicon (only for a lexicon that passes
-    the size check) and saves one pass over the input. Measured at sf0.1,
-    the vocabulary plan is faster: occurrences repeat far more than the
-    extra pass costs.
     """
     if key is None:
         # keyed by the texts themselves: copies of a posting (re-scraped every
@@ -121,23 +100,8 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                         for i, c in enumerate(cols)])
     toks = (source.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
-    lex, min_len, max_len, small = lexicon_stats(lexicon) if plan == "occurrences" else (None, 0, 0, False)
-    if small and max_len > 0:
-        # Broadcast plan: every occurrence's prefixes are probed against the
-        # lexicon map-side; no vocabulary pass, no shuffle of occurrences.
-        cands = _prefixes(toks, min_len, max_len).join(F.broadcast(lex), "term", "inner")
-        matches = cands.select(*kcols, F.struct("ci", "pos", "n", "term").alias("m"))
-        grouped = matches.groupBy(*kcols).agg(F.array_sort(F.collect_set("m")).alias("_s"))
-        # sorted by (ci, pos, n): the last entry of each (ci, pos) run is the
-        # longest match of that token
-        s = F.col("_s")
-        last = F.filter(s, lambda x, i: (i == F.size(s) - 1)
-                        | (s[i + 1]["ci"] != x["ci"]) | (s[i + 1]["pos"] != x["pos"]))
-        grouped = grouped.select(*kcols, F.transform(last, lambda x: F.struct(
-            x["ci"].alias("ci"), x["pos"].alias("pos"), x["term"].alias("noun"))).alias("_a"))
-    else:
-        hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
-        grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
+    hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
+    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
     # sets: (ci, pos) is unique within a row, and exact duplicate rows (which
     # share a content key) contribute the same elements once
 
@@ -168,26 +132,14 @@ def latin_term_table(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
-                       pattern: str = KOREAN_PATTERN, plan: str = "auto") -> DataFrame:
+                       pattern: str = KOREAN_PATTERN) -> DataFrame:
     """DISTINCT (job_id, platform, noun of col).
 
     Same rows as unnesting the noun arrays, computed from DISTINCT
     (job_id, platform, token) so repeated tokens collapse map-side first.
-
-    With a lexicon that passes the size check (``plan="auto"``), the prefixes
-    of those distinct rows are probed against the broadcast lexicon and the
-    longest match is aggregated on the same keys, which reuses the DISTINCT's
-    partitioning: one pass over the input, no vocabulary branch, no join of
-    tokens. Otherwise (or ``plan="vocabulary"``) tokens are matched through
-    the vocabulary.
     """
     runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
     keys = ["job_id", "platform"]
     toks = df.select(*keys, F.explode(runs).alias("tok")).distinct()
-    lex, min_len, max_len, small = lexicon_stats(lexicon) if plan == "auto" else (None, 0, 0, False)
-    if small and max_len > 0:
-        hits = _prefixes(toks, min_len, max_len).join(F.broadcast(lex), "term", "inner")
-        nouns = _longest(hits, [*keys, "tok"])
-    else:
-        nouns = longest_prefix(toks, lexicon, keys)
+    nouns = longest_prefix(toks, lexicon, keys)
     return nouns.select(*keys, F.col("noun").alias(out)).distinct()

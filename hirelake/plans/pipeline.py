@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.text import clean_text
 from ..operators import geo, marts, quality, terms
 from ..operators.clean import map_categories, union_sources
-from ..schemas import CLEANED_COLUMNS, TERM_SOURCE_COLUMNS, TEXT_COLUMNS, term_column
+from ..schemas import CLEANED_COLUMNS, DAY_PARTS, TERM_SOURCE_COLUMNS, TEXT_COLUMNS, term_column
 
 
 def first_stage(frames: list[DataFrame], taxonomy: DataFrame, addresses: DataFrame,
-                addresses_fixed: bool = False) -> DataFrame:
+                addresses_fixed: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """K1: align + union the site tables, classify, order columns, clean the
-    free-text columns and geocode the platforms without coordinates."""
-    union = union_sources(frames)
-    classified = map_categories(union, taxonomy).select(*CLEANED_COLUMNS)
+    free-text columns and geocode the platforms without coordinates. Columns
+    in ``extra`` are carried along."""
+    columns = [*CLEANED_COLUMNS, *extra]
+    union = union_sources(frames, extra=[*DAY_PARTS, *extra])
+    classified = map_categories(union, taxonomy).select(*columns)
     cleaned = clean_text(classified, TEXT_COLUMNS)
-    return geo.geocode(cleaned, addresses, fixed_size=addresses_fixed).select(*CLEANED_COLUMNS)
+    return geo.geocode(cleaned, addresses, fixed_size=addresses_fixed).select(*columns)
 
 
 def second_stage(cleaned: DataFrame, lexicon: DataFrame,
@@ -69,30 +71,7 @@ def normalize_layer(cleaned: DataFrame, lexicon: DataFrame,
 def mart_layer(norm: dict[str, DataFrame], enriched: DataFrame, as_of, days: int = 7) -> dict[str, DataFrame]:
     """K4: base mart unique_jds, then the twelve marts on top of it."""
     jds = marts.unique_postings(norm["daily_jd_table"])
-    pe = "jd_preferred_english_nouns"
-    out = {
-        "unique_jds": jds,
-        "unique_category_count_major": marts.count_by(jds, ["major_category"]),
-        "unique_category_count_major_middle": marts.count_by(jds, ["major_category", "middle_category"]),
-        "unique_category_count_sub": marts.sub_category_list(jds),
-        "unique_daily_job_posting_count": marts.daily_counts(norm["daily_jd_table"]),
-        "unique_upcoming_deadline_jobs_7days": marts.upcoming_deadlines(enriched, as_of, days),
-        "unique_company_coordinates": marts.company_coordinates(jds, norm["company_detail"]),
-        "unique_jd_skills": marts.posting_terms(jds, norm["jd_skills"], "unnested_skill", "skill", with_sub=False),
-        "unique_preferred_english": marts.posting_terms(jds, norm[pe], "unnested_" + pe[3:], "preferred"),
-        "unique_required_english": marts.posting_terms(
-            jds, norm["jd_required_english_nouns"], "unnested_required_english_nouns", "required"),
-        "unique_primary_responsibility_english": marts.posting_terms(
-            jds, norm["jd_primary_responsibility_english_nouns"],
-            "unnested_primary_responsibility_english_nouns", "primary_responsibility"),
-        "unique_welfare_english": marts.posting_terms(
-            jds, norm["jd_welfare_english_nouns"], "unnested_welfare_english_nouns",
-            "unnested_welfare_english_nouns"),
-        "unique_welfare_korean": marts.posting_terms(
-            jds, norm["jd_welfare_korean_nouns"], "unnested_welfare_korean_nouns",
-            "unnested_welfare_korean_nouns"),
-    }
-    return out
+    return {name: jds if name == "unique_jds" else mart(name, jds, norm, enriched, as_of, days) for name in MART_TABLES}
 
 
 def explore(df: DataFrame) -> dict[str, DataFrame]:
@@ -167,23 +146,21 @@ def run_batch(spark: SparkSession, frames: list[DataFrame], out_base: str, taxon
     norm = rebuild(spark, {n: (lambda done, n=n: norm_plans[n]) for n in NORMALIZED_TABLES},
                    NORMALIZED_TABLES, base_path=f"{base}/normalized")
 
-    def mart(name: str):
-        def build(done: dict[str, DataFrame]) -> DataFrame:
-            if name == "unique_jds":
-                return marts.unique_postings(norm["daily_jd_table"])
-            if name == "unique_daily_job_posting_count":
-                return marts.daily_counts(norm["daily_jd_table"])
-            if name == "unique_upcoming_deadline_jobs_7days":
-                return marts.upcoming_deadlines(enriched, as_of)
-            return _on_base(name, done["unique_jds"], norm)  # reads the written base mart
-        return build
-
-    marts_done = rebuild(spark, {n: mart(n) for n in MART_TABLES}, MART_TABLES, base_path=f"{base}/marts")
+    def from_written(name: str):
+        if name == "unique_jds":
+            return lambda done: marts.unique_postings(norm["daily_jd_table"])
+        return lambda done: mart(name, done["unique_jds"], norm, enriched, as_of)  # reads the written base mart
+
+    marts_done = rebuild(spark, {n: from_written(n) for n in MART_TABLES}, MART_TABLES, base_path=f"{base}/marts")
     return {"cleaned": cleaned, "enriched": enriched, **norm, **marts_done}
 
 
-def _on_base(name: str, jds: DataFrame, norm: dict[str, DataFrame]) -> DataFrame:
-    """Marts that read the base mart ``unique_jds``."""
+def mart(name: str, jds: DataFrame, norm: dict[str, DataFrame], enriched: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """The one definition of every mart beside the base mart ``jds``."""
+    if name == "unique_daily_job_posting_count":
+        return marts.daily_counts(norm["daily_jd_table"])
+    if name == "unique_upcoming_deadline_jobs_7days":
+        return marts.upcoming_deadlines(enriched, as_of, days)
     if name == "unique_category_count_major":
         return marts.count_by(jds, ["major_category"])
     if name == "unique_category_count_major_middle":

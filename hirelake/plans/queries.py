@@ -141,30 +141,36 @@ def a4_read_day(spark, d):
     from ..sources.tables import read_day
     ev = fx.table(spark, d, "events")
     parts = fd.day_parts("ts", padded=True)
-    days = ev.select("event_id", "user_id", "event_type", *[v.alias(k) for k, v in parts.items()])
+    # The table is not partitioned by day: a range of ts prunes row groups.
+    one = ev.where((F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")))
+    days = one.select("event_id", "user_id", "event_type", *[v.alias(k) for k, v in parts.items()])
     return read_day(days, "2024", "01", "15")
 
 
 @query("a10_sql_view")
 def a10_sql_view(spark, d):
-    cleaned(spark, d).createOrReplaceTempView("jd_analysis")
+    cleaned(spark, d).createOrReplaceTempView("posting_analysis")
     return spark.sql("""
         SELECT major_category, middle_category, COUNT(DISTINCT job_id) AS count
-        FROM jd_analysis GROUP BY major_category, middle_category""")
+        FROM posting_analysis GROUP BY major_category, middle_category""")
 
 
 @query("b2_select_columns")
 def b2_select_columns(spark, d):
-    return fx.postings(spark, d).select("job_id", "platform", "category", "company", "title",
-                                        "url", "end_at", "location")
+    from ..operators.normalize import select_columns
+    return select_columns(fx.postings(spark, d), ["job_id", "platform", "category", "company", "title",
+                                                  "url", "end_at", "location"])
 
 
 @query("b3_align")
 def b3_align(spark, d):
     from ..operators.normalize import align
     from ..schemas import POSTING_SCHEMA
-    f = fx.site_frames(spark, d)["jumpit"]
-    return align(f, POSTING_SCHEMA).select("job_id", "platform", "category", "company", "title", "url")
+    out = None
+    for f in fx.site_frames(spark, d).values():  # every site, every column, casts of the arrays too
+        aligned = align(f, POSTING_SCHEMA)
+        out = aligned if out is None else out.unionByName(aligned)
+    return out
 
 
 @query("b4_split_platform")
@@ -426,8 +432,10 @@ def g2_enrich_subset(spark, d):
 def g3_union_loose(spark, d):
     f = fx.site_frames(spark, d)
     return clean.union_loose([
-        f["wanted"].select("job_id", "platform", "title", "location"),
-        f["jobplanet"].select("job_id", "platform", "company", "end_at"),
+        f["wanted"].select(F.col("job_id").cast("string").alias("job_id"), "platform", "title", "location"),
+        f["jobplanet"].select(F.col("job_id").cast("string").alias("job_id"), "platform", "company", "end_at"),
+        f["jumpit"].select(F.col("job_id").cast("string").alias("job_id"), "platform", "title", "end_at"),
+        f["rallit"].select(F.col("job_id").cast("string").alias("job_id"), "platform", "location"),
     ])
 
 
@@ -528,7 +536,7 @@ def i11_lexicon_terms(spark, d):
 @query("i14_page_links")
 def i14_page_links(spark, d):
     # The given pages link words, not posting ids: the slug stands in for the id.
-    return pages.page_links(fx.table(spark, d, "pages"), id_pattern=r"^/([A-Za-z]+)$")
+    return pages.page_links(fx.table(spark, d, "pages"), id_pattern=r"^/(.+)$")
 
 
 @query("i15_first_paragraph")
@@ -609,11 +617,15 @@ def b1_landing_rows(spark, d):
     return landing_rows(parsed.select("doc.*", "year", "month", "day"))
 
 
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
 @query("d22_row_counts")
 def d22_row_counts(spark, d):
-    """Row count of the main tables (one aggregate per table)."""
+    """Row count of every table (one aggregate per table)."""
     out = None
-    for name in ("documents", "lineitem", "orders", "events", "pages"):
+    for name in ALL_TABLES:
         c = fx.table(spark, d, name).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table_name"), "rows")
         out = c if out is None else out.unionByName(c)
@@ -640,5 +652,5 @@ def i17_clean_tags(spark, d):
     marker, padding) cleaned back to the anchor texts of the page."""
     pg = fx.table(spark, d, "pages")
     texts = F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1)
-    raw = F.transform(texts, lambda t: F.concat(F.lit("#<!-- -->"), t, F.lit(" ")))
+    raw = F.transform(texts, lambda t: F.concat(F.lit("\t#<!-- -->"), t, F.lit(" \n")))
     return pg.select("page_id", ft.clean_tags(raw).alias("tags"))

@@ -67,20 +67,3 @@ DAILY_COLUMNS = ["year", "month", "day", "date_str", "platform", "job_id", "comp
                  "major_category", "middle_category", "sub_category"]
 UNIQUE_JD_COLUMNS = ["platform", "job_id", "title", "company", "major_category",
                      "middle_category", "sub_category"]
-
-# Toy frames of the reference's samples.
-SAMPLE_PEOPLE_SCHEMA = T.StructType([
-    T.StructField("name", S, True),
-    T.StructField("age", T.LongType(), True),
-    T.StructField("city", S, True),
-])
-SAMPLE_NESTED_SCHEMA = T.StructType([
-    T.StructField("name", T.StructType([
-        T.StructField("firstname", S, True),
-        T.StructField("middlename", S, True),
-        T.StructField("lastname", S, True),
-    ]), True),
-    T.StructField("languages", T.ArrayType(S), True),
-    T.StructField("state", S, True),
-    T.StructField("gender", S, True),
-])

@@ -53,6 +53,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     subs = [sub for _, _, sub in taxonomy_rows()]
     cat_n = ((doc_id * 7 + F.col("k")) % 96).cast("int")
     category = F.when(cat_n < len(subs), F.try_element_at(F.array(*[F.lit(s) for s in subs]), cat_n + 1)) \
+        .when(cat_n == 95, F.lit("블록체인 엔지니어")) \
         .otherwise(F.concat(F.lit("unmapped-"), cat_n.cast("string")))
     platform = _pick((doc_id % 4).cast("int"), PLATFORMS)
     snap = F.date_add(F.to_date(F.lit(BASE_DATE)), ((doc_id % 45) + F.col("k")).cast("int"))
@@ -79,7 +80,9 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.substr(F.lit(1), q).alias("preferred"),
         end_at.alias("end_at"),
         skills.alias("skills"),
-        _pick((doc_id % 5).cast("int"), LOCATIONS).alias("location"),
+        # addresses with ideographic and no-break spaces among the plain ones
+        F.when(doc_id % 10 == 3, F.lit("\u3000경기\u3000성남시")).when(doc_id % 20 == 8, F.lit("부산\u00a0해운대구"))
+        .otherwise(_pick((doc_id % 5).cast("int"), LOCATIONS)).alias("location"),
         text.substr(F.lit(3) * q + 1, n + 1).alias("welfare"),
         F.when(platform == "wanted", F.lit("")).when(platform == "rallit", F.col("lang"))
          .otherwise(F.lit(None).cast("string")).alias("body"),
@@ -240,11 +243,10 @@ def embedding_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lexicon(spark: SparkSession, sf_dir: str, pattern: str = "[A-Za-zÀ-ɏ]+", min_len: int = 3) -> DataFrame:
-    """Noun lexicon: distinct script runs of length >= min_len in benchmark.text."""
+def lexicon(spark: SparkSession, sf_dir: str, pattern: str = "[A-Za-zÀ-ɏ]+") -> DataFrame:
+    """Noun lexicon: distinct script runs in benchmark.text."""
     b = table(spark, sf_dir, "benchmark").select("text")
-    return (b.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("term"))
-            .where(F.char_length("term") >= min_len).distinct())
+    return b.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("term")).distinct()
 
 
 # --- events as operational events (J1, J2, B19) -------------------------------
@@ -340,7 +342,10 @@ def raw_payloads(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     else:
         raise ValueError(site)
     # every 17th posting's payload is an empty object: the normaliser skips it
-    payload = F.when(F.col("job_id").cast("bigint") % 17 == 0, F.lit("{}")).otherwise(F.to_json(body))
+    payload = F.when(F.col("job_id").cast("bigint") % 17 == 0, F.lit("{}"))
+    if site == "wanted":  # and every 19th holds an empty job object, which that site's scraper skips too
+        payload = payload.when(F.col("job_id").cast("bigint") % 19 == 0, F.lit('{"job": {}}'))
+    payload = payload.otherwise(F.to_json(body))
     return p.select("job_id", "category", payload.alias("payload"))
 
 

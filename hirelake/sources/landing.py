@@ -54,10 +54,13 @@ def write_landing(df: DataFrame, path: str, mode: str = "append") -> None:
        .partitionBy("platform", *DAY_PARTS).json(path))
 
 
-def discover(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def discover(spark: SparkSession, path: str, fmt: str = "json", multi_line: bool = False) -> DataFrame:
     """Discover schema and partitions under a prefix (what a catalog
-    crawler does): inferred, merged schema plus partition columns."""
+    crawler does): inferred, merged schema plus partition columns. JSON is
+    read line by line, as :func:`write_landing` writes it; ``multi_line``
+    reads one document per file, which would see only the first row of such
+    files."""
     reader = spark.read.option("basePath", path).option("mergeSchema", "true")
     if fmt == "json":
-        reader = reader.option("multiLine", True)
+        reader = reader.option("multiLine", multi_line)
     return reader.format(fmt).load(path)

@@ -4,13 +4,16 @@ Batch form: filter the day on the partition columns (partition pruning, only
 that day's folders are read), run the first stage, overwrite only that
 day's output partitions. Streaming form: a file-source stream over the
 landing zone with ``availableNow`` processes exactly the files not seen
-before (the source's checkpoint remembers them) and writes each micro-batch
-into its own ``batch=<id>`` sub-partitions of the day, so a retried batch is
-idempotent and batches never overwrite each other.
+before (the source's checkpoint remembers them) and writes the rows of each
+landing file into their own ``batch=<hash of the file's path>`` sub-partition
+of the day. So a retried batch, and a new or reset checkpoint that reads the
+files again, rewrites what the same files wrote and nothing else.
 """
 
 from __future__ import annotations
 
+from hashlib import sha1
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +32,14 @@ LANDING_LINE_SCHEMA = T.StructType(POSTING_SCHEMA.fields + [T.StructField(c, T.S
 def process_day(spark: SparkSession, landing_path: str, out_path: str, day: tuple[str, str, str],
                 taxonomy: DataFrame, addresses: DataFrame) -> DataFrame:
     """J3 batch: first stage over one landing day, written as that day's
-    partitions of ``out_path``. Returns the day's cleaned rows (lazy)."""
+    partition of ``out_path``. Returns the day's rows as written."""
     rows = read_day(read_posting_lines(spark, landing_path), *day)
     cleaned = first_stage([rows], taxonomy, addresses)
-    write_day(cleaned, out_path)
-    return cleaned
+    # The day's folder is replaced, also by an empty one when the day has no rows any more.
+    folder = "/".join([out_path.rstrip("/"), *(f"{k}={v}" for k, v in zip(DAY_PARTS, day))])
+    cleaned.drop(*DAY_PARTS).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    schema = T.StructType([f for f in cleaned.schema if f.name not in DAY_PARTS] + [T.StructField(c, T.StringType()) for c in DAY_PARTS])
+    return spark.read.schema(schema).option("basePath", out_path).parquet(folder).select(*cleaned.columns)
 
 
 def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxonomy: DataFrame,
@@ -43,21 +49,21 @@ def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxo
 
     Runs with ``availableNow``: everything new is processed in bounded
     micro-batches, then the query stops. ``checkpoint`` defaults to a folder
-    under the shared checkpoint directory. Returns the StreamingQuery.
+    under the shared checkpoint directory, named after input and output. Returns the StreamingQuery.
     """
     stream = (spark.readStream.schema(LANDING_LINE_SCHEMA).option("basePath", landing_path)
-              .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_path))
+              .option("maxFilesPerTrigger", max_files_per_trigger).json(landing_path)
+              .withColumn(BATCH_COLUMN, F.substring(F.sha1(F.input_file_name()), 1, 16)))
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        # Each micro-batch owns its (day, batch) partitions: a retried batch
-        # rewrites exactly its own output (idempotent), and a day whose files
-        # span several batches, or a late file for an old day, never replaces
-        # rows another batch wrote.
-        cleaned = first_stage([batch], taxonomy, addresses).withColumn(BATCH_COLUMN, F.lit(epoch))
+        # Each landing file owns its (day, batch) partition: a late file for
+        # an old day never replaces rows that another file brought.
+        cleaned = first_stage([batch], taxonomy, addresses, extra=(BATCH_COLUMN,))
         write_day(cleaned, out_path, parts=[*DAY_PARTS, BATCH_COLUMN])
 
+    known = sha1(f"{landing_path} {out_path}".encode()).hexdigest()[:16]
     writer = (stream.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "increment-checkpoint"))
+              .option("checkpointLocation", checkpoint or scratch_path(spark, f"increment-{known}-checkpoint"))
               .trigger(availableNow=True))
     if query_name:
         writer = writer.queryName(query_name)

@@ -39,6 +39,11 @@ CATEGORY_GROUPS = [
 ]
 # -----------------------------------------------------------------------------
 
+# --- FIXED VALUES: the one name only the exploratory classifier knows --------
+LOOSE_ONLY = ("ETC", "블록체인 엔지니어", "블록체인 엔지니어")
+# -----------------------------------------------------------------------------
+
+
 def taxonomy_rows() -> list[tuple[str, str, str]]:
     """Flattened (major, middle, sub) rows in natural order (88 rows)."""
     return [(major, middle, sub) for major, middle, subs in CATEGORY_GROUPS for sub in subs]
@@ -65,7 +70,7 @@ def loose_taxonomy_rows() -> list[tuple[str, str, str]]:
     names always carry the same (major, middle), so keys stay unique.
     """
     seen: dict[str, tuple[str, str]] = {}
-    for major, middle, sub in taxonomy_rows():
+    for major, middle, sub in [*taxonomy_rows(), LOOSE_ONLY]:
         key = loose_key(sub)
         if key in seen and seen[key] != (major, middle):
             raise ValueError(f"ambiguous loose key {key!r}")

@@ -1,15 +1,12 @@
 """DuckDB CTEs that derive the fixtures (FIXTURES.md) from the given tables.
 
 These are the oracle's own definitions, written from the fixture rules, not
-from the Spark plans. Only fixed data (taxonomy, address rows, URL prefixes)
-is shared with the library.
+from the Spark plans. Nothing is imported from the library.
 """
 
 from __future__ import annotations
 
-from hirelake.functions.text import URL_PREFIX
-from hirelake.sources.fixtures import POSTING_ADDRESSES
-from hirelake.taxonomy import PART_TYPE_TAXONOMY, loose_taxonomy_rows, taxonomy_rows
+from .values import PART_TYPE_TAXONOMY, POSTING_ADDRESSES, URL_PREFIX, loose_taxonomy_rows, taxonomy_rows
 
 
 def q(s: str | None) -> str:
@@ -55,7 +52,7 @@ cte("postings", f"""
 SELECT
   job_id,
   platform,
-  CASE WHEN cat_n < 88 THEN {SUB_LIST}[cat_n + 1] ELSE 'unmapped-' || CAST(cat_n AS VARCHAR) END AS category,
+  CASE WHEN cat_n = 95 THEN '블록체인 엔지니어' WHEN cat_n < 88 THEN {SUB_LIST}[cat_n + 1] ELSE 'unmapped-' || CAST(cat_n AS VARCHAR) END AS category,
   {URL_CASE} AS url,
   CASE WHEN doc_id % 50 = 0 THEN NULL ELSE 'company-' || CAST(doc_id % 200 AS VARCHAR) END AS company,
   split_part(text, chr(10), 1) AS title,
@@ -66,8 +63,10 @@ SELECT
        WHEN doc_id % 13 = 0 THEN 'open-ended'
        ELSE CAST(DATE '2024-01-01' + CAST(doc_id % 45 AS INTEGER) AS VARCHAR) END AS end_at,
   CASE WHEN doc_id % 7 = 0 THEN NULL ELSE regexp_extract_all(text, '[A-Z][A-Za-z]+') END AS skills,
+  CASE WHEN doc_id % 10 = 3 THEN chr(12288) || '경기' || chr(12288) || '성남시'
+       WHEN doc_id % 20 = 8 THEN '부산' || chr(160) || '해운대구' ELSE
   CASE doc_id % 5 WHEN 0 THEN '서울 강남구' WHEN 1 THEN '주소 경기 성남시' WHEN 2 THEN '부산'
-       WHEN 3 THEN NULL ELSE '서울  마포구' END AS location,
+       WHEN 3 THEN NULL ELSE '서울  마포구' END END AS location,
   substring(text, 3 * qn + 1, length(text) + 1) AS welfare,
   CASE platform WHEN 'wanted' THEN '' WHEN 'rallit' THEN lang ELSE NULL END AS body,
   source || chr(10) || lang AS company_description,
@@ -110,7 +109,7 @@ _LAT = "coalesce(regexp_extract_all({c}, '[A-Za-z]+'), [])"
 cte("lexicon", """
 SELECT DISTINCT term FROM (
   SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ɏ]+')) AS term FROM benchmark
-) WHERE length(term) >= 3
+)
 """)
 
 _KO_COLS = ["preferred", "required", "primary_responsibility", "welfare"]

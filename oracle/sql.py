@@ -56,12 +56,16 @@ oracle("b8_company_detail", W("SELECT * FROM company_detail", "company_detail"))
 
 # --- helpers ---------------------------------------------------------------
 
-STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+# White space as Python's str.split() and strip() see it.
+_WHITE = (r"[\x{{9}}-\x{{D}}\x{{1C}}-\x{{20}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}"
+          r"\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]")
+WHITE = _WHITE.replace("{{", "{").replace("}}", "}")
+STRIP = f"regexp_replace({{x}}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
 
 
 def tokens_sql(x: str) -> str:
     s = STRIP.format(x=x)
-    return f"(CASE WHEN {s} = '' THEN CAST([] AS VARCHAR[]) ELSE regexp_split_to_array({s}, '\\s+') END)"
+    return f"(CASE WHEN {s} = '' THEN CAST([] AS VARCHAR[]) ELSE regexp_split_to_array({s}, '{WHITE}+') END)"
 
 
 def sido_sql(x: str) -> str:
@@ -74,7 +78,6 @@ def gugun_sql(x: str) -> str:
     return f"substring(CASE WHEN starts_with({t}[1], '주소') THEN {t}[3] ELSE {t}[2] END, 1, 2)"
 
 
-PARAGRAPH = r"<p>([^<]*(?:<[^/p][^<]*|</[^p][^<]*)*)"
 HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
 
 
@@ -86,7 +89,10 @@ def html_text_sql(x: str) -> str:
 
 
 def paragraphs_sql(x: str) -> str:
-    return f"list_transform(regexp_extract_all({x}, '{PARAGRAPH}', 1), lambda p: {html_text_sql('p')})"
+    # Opening tags, with or without attributes, become chr(1), closing ones chr(2).
+    marked = (f"regexp_replace(regexp_replace({x}, '<p(?:[ \\t\\r\\n][^>]*)?>', chr(1), 'g'), "
+              f"'</p[ \\t\\r\\n]*>', chr(2), 'g')")
+    return f"list_transform(regexp_extract_all({marked}, '\\x01([^\\x01\\x02]*)', 1), lambda p: {html_text_sql('p')})"
 
 
 # --- sources and projections ----------------------------------------------
@@ -106,8 +112,7 @@ SELECT major_category, middle_category, COUNT(DISTINCT job_id) AS count FROM cle
 oracle("b2_select_columns", W("SELECT job_id, platform, category, company, title, url, end_at, location FROM postings",
                               "postings"))
 
-oracle("b3_align", W("SELECT job_id, platform, category, company, title, url FROM postings WHERE platform = 'jumpit'",
-                     "postings"))
+oracle("b3_align", W("SELECT * EXCLUDE (year, month, day) FROM postings", "postings"))
 
 oracle("b4_split_platform", W("""
 SELECT job_id, platform, company, major_category FROM order_postings WHERE platform IN ('wanted', 'rallit')
@@ -355,6 +360,10 @@ SELECT job_id, platform, title, location, CAST(NULL AS VARCHAR) AS company, CAST
 FROM postings WHERE platform = 'wanted'
 UNION ALL
 SELECT job_id, platform, NULL, NULL, company, end_at FROM postings WHERE platform = 'jobplanet'
+UNION ALL
+SELECT job_id, platform, title, NULL, NULL, end_at FROM postings WHERE platform = 'jumpit'
+UNION ALL
+SELECT job_id, platform, NULL, location, NULL, NULL FROM postings WHERE platform = 'rallit'
 """, "postings"))
 
 # --- scalar functions ---------------------------------------------------
@@ -421,8 +430,10 @@ SELECT d.doc_id, coalesce(a.nouns, []) AS nouns FROM documents d LEFT JOIN arr a
 oracle("i14_page_links", r"""
 SELECT page_id, pos - 1 AS pos, href, posting_id FROM (
   SELECT page_id, unnest(arr) AS href, generate_subscripts(arr, 1) AS pos
-  FROM (SELECT page_id, regexp_extract_all(html, '<li[^>]*>\s*<a href="([^"]*)"', 1) AS arr FROM pages)
-), LATERAL (SELECT nullif(regexp_extract(href, '^/([A-Za-z]+)$', 1), '') AS posting_id)
+  FROM (SELECT page_id, regexp_extract_all(
+          regexp_replace(regexp_replace(regexp_replace(html, '<li(?:\s[^>]*)?>', chr(1), 'g'), '</li>', chr(2), 'g'), '<a\s', chr(3), 'g'),
+          '\x01[^\x01\x02\x03]*\x03(?:[^>]*\s)?href="([^"]*)"', 1) AS arr FROM pages)
+), LATERAL (SELECT nullif(regexp_extract(href, '^/(.+)$', 1), '') AS posting_id)
 WHERE posting_id IS NOT NULL
 """)
 
@@ -486,7 +497,7 @@ _POSTING_COLS = ("job_id, platform, category, url, company, {title}, primary_res
 oracle("b14_normalize_wanted", W("SELECT " + _POSTING_COLS.format(
     title="coalesce(title, '') AS title", preferred="preferred", end_at="end_at", location="location",
     welfare="welfare", body="'' AS body", company_description="company_description",
-    coordinate="coordinate") + " FROM postings WHERE platform = 'wanted' AND CAST(job_id AS BIGINT) % 17 <> 0", "postings"))
+    coordinate="coordinate") + " FROM postings WHERE platform = 'wanted' AND CAST(job_id AS BIGINT) % 17 <> 0 AND CAST(job_id AS BIGINT) % 19 <> 0", "postings"))
 
 oracle("b15_normalize_jumpit", W("SELECT " + _POSTING_COLS.format(
     title="title", preferred="preferred", end_at="end_at", location="location", welfare="welfare",
@@ -513,7 +524,9 @@ WHERE g % 7 <> 6
 """, "postings"))
 
 oracle("d22_row_counts", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in ("documents", "lineitem", "orders", "events", "pages")))
+    f"SELECT '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+        "embeddings", "pages", "benchmark", "labels", "conversations")))
 
 oracle("h26_first_nested", """
 SELECT event_id,
@@ -525,6 +538,6 @@ FROM events
 oracle("i17_clean_tags", r"""
 SELECT page_id,
        list_transform(regexp_extract_all(html, '<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>', 1),
-                      lambda t: trim(replace(replace('#<!-- -->' || t || ' ', '#<!-- -->', ''), '#', ''))) AS tags
+                      lambda t: regexp_replace(replace(t, '#', ''), '^\s+|\s+$', '', 'g')) AS tags
 FROM pages
 """)

@@ -101,13 +101,55 @@ def test_rebuild_in_dependency_order(spark, tmp_dir):
 
 def test_literal_frames(spark):
     # Nested struct + array rows with an explicit schema
-    people = tables.sample_people(spark)
-    assert people.orderBy(F.desc("age")).first().name == "Mike"  # F3
     from hirelake.operators.marts import count_by
-    assert rows(count_by(people, ["city"])) == [("London", 1), ("New York", 1), ("San Francisco", 1)]  # D13
-    nested = tables.sample_nested(spark)
-    assert nested.schema["name"].dataType.names == ["firstname", "middlename", "lastname"]
-    assert nested.where(F.array_contains("languages", "Java")).count() == 2
+    people = tables.literal_frame(spark, [("Ida", 41, "Oslo"), ("Bo", 35, "Bergen"), ("Liv", 52, "Oslo")],
+                                  "name string, age long, city string")
+    assert people.orderBy(F.desc("age")).first().name == "Liv"  # F3
+    assert rows(count_by(people, ["city"])) == [("Bergen", 1), ("Oslo", 2)]  # D13
+    nested = tables.literal_frame(spark, [(("a", "b"), ["x", "y"]), (("c", ""), ["y"])],
+                                  "name struct<given:string,family:string>, tags array<string>")
+    assert nested.schema["name"].dataType.names == ["given", "family"]
+    assert nested.where(F.array_contains("tags", "x")).count() == 1
+
+
+def test_full_rewrite_drops_days_and_discover_sees_all_rows(spark, tmp_dir):
+    # A5 under the engine's own dynamic overwrite mode; A13 on a landing zone of A12
+    from hirelake.sources import fixtures as fx
+    days = spark.createDataFrame([("1", "2024", "01", "01"), ("2", "2024", "01", "02")], "job_id string, year string, month string, day string")
+    sinks.write_partitioned(days, f"{tmp_dir}/out")
+    sinks.write_partitioned(days.where("day = '02'"), f"{tmp_dir}/out")
+    assert [r["job_id"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()] == ["2"]
+    posts = fx.postings(spark, "/root/testdata/sf0.001")
+    landing.write_landing(posts, f"{tmp_dir}/landing")
+    assert landing.discover(spark, f"{tmp_dir}/landing").count() == posts.count()
+
+
+def test_unicode_white_space_and_large_division(spark):
+    from hirelake.functions import dates as fd
+    from hirelake.functions import geo as fg
+    from hirelake.functions import text as ft
+    texts = ["\u3000경기\u3000성남시", "부산\u00a0해운대구 ", " \x1f\n", "a\u2003b\x85c", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r for r in df.select("i", ft.split_ws("t").alias("s"), ft.strip("t").alias("x"), fg.sido("t").alias("sido"),
+                                        ft.clean_tags(F.array(F.concat(F.lit("\t# <!-- -->"), "t"))).alias("tags")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["s"] == t.split() and got[i]["x"] == t.strip()
+    assert got[0]["sido"] == "경기"
+    big = 2**53 + 3
+    cases = [(big, 1), (-7, 2), (7, -2), (-8, 2), (0, 5), (2**62 + 1, 3)]
+    out = spark.createDataFrame(cases, "a long, b long").select(fd.int_div("a", "b")).collect()
+    assert [r[0] for r in out] == [a // b for a, b in cases]
+
+
+def test_page_rules(spark):
+    from hirelake.functions import text as ft
+    from hirelake.operators import pages
+    html = ('<ul><li><div><a href="/positions/1">x</a></div></li><li class="k"><a class="c" href="/positions/2?q">y</a>'
+            '<a href="/positions/9">second</a></li><li><a href="/positions/3">z</a></li><li>none</li></ul>'
+            '<p class="x">one <b>bold</b><pre>kept</pre></p><p>two</p>')
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r["posting_id"] for r in pages.page_links(df).collect()] == ["1", "2", "3"]
+    assert df.select(ft.paragraphs("html")).first()[0] == ["one boldkept", "two"]
 
 
 def test_rebuild_into_catalog(spark, tmp_dir):
