@@ -51,7 +51,7 @@ def labelled(n=400):
     rows, marks = [], []
     for i in range(n):
         bad = i % 5 == 0
-        words = [f"w{(i * j) % 83}" for j in range(1, 30)]
+        words = [f"w{(i * j) % 997}" for j in range(1, 30)]
         if bad:
             words.insert(i % 20, ["nasty", "vilest", "vileness"][i % 3])
         rows.append((i, " ".join(words)))
