@@ -8,6 +8,7 @@ Column names match the oracle SQL in ``oracle/sql.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..operators import clean, geo, marts, pages, quality, terms
 from ..sources import fixtures as fx
 from ..streaming import alerts
 from ..taxonomy import loose_taxonomy_df, part_taxonomy_df, taxonomy_df
-from .pipeline import first_stage, second_stage
+from .pipeline import explore, first_stage, mart_layer, normalize_layer, second_stage
 
 # Reproducible "today" of the deadline marts (the reference used the current date).
 POSTINGS_AS_OF = "2024-01-20"
@@ -654,3 +655,47 @@ def i17_clean_tags(spark, d):
     texts = F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1)
     raw = F.transform(texts, lambda t: F.concat(F.lit("\t#<!-- -->"), t, F.lit(" \n")))
     return pg.select("page_id", ft.clean_tags(raw).alias("tags"))
+
+
+# --- composed layers (K3-K5), one line per table ----------------------------
+
+def table_digest(name: str, df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """table_name, rows, checksum: the rows and the order-free sum of the row
+    hashes of a table (text, number and date columns; DOUBLE as ten
+    thousandths)."""
+    kinds = dict(df.dtypes)
+    cols = sorted(cols or [c for c, k in df.dtypes if k in ("string", "bigint", "double", "date")])
+    text = [(F.round(F.col(c) * 10000).cast("bigint") if kinds[c] == "double" else F.col(c)).cast("string") for c in cols]
+    row = F.concat_ws("|", *[F.coalesce(t, F.lit("~")) for t in text])
+    part = F.conv(F.substring(F.md5(row), 1, 7), 16, 10).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(part), F.lit(0)).alias("checksum")).select(
+        F.lit(name).alias("table_name"), "rows", "checksum")
+
+
+def _digests(tables: dict[str, DataFrame], cols: dict[str, list[str]] | None = None) -> DataFrame:
+    lines = [table_digest(n, t, (cols or {}).get(n)) for n, t in tables.items()]
+    return reduce(DataFrame.unionByName, lines)
+
+
+@query("k3_normalized_layer")
+def k3_normalized_layer(spark, d):
+    return _digests(normalize_layer(cleaned(spark, d), lexicon(spark, d), terms.FIXTURE_PATTERN))
+
+
+@query("k4_mart_layer")
+def k4_mart_layer(spark, d):
+    c = cleaned(spark, d)
+    return _digests(mart_layer(normalize_layer(c, lexicon(spark, d), terms.FIXTURE_PATTERN), c, POSTINGS_AS_OF))
+
+
+@query("k5_explore")
+def k5_explore(spark, d):
+    rows = ["job_id", "platform", "title", "year", "month", "day"]
+    return _digests(explore(cleaned(spark, d)), {
+        "duplicate_rows": rows, "duplicate_rows_pair": rows, "profile": ["column", "count", "nulls"]})
+
+
+@query("d13_count_by")
+def d13_count_by(spark, d):
+    """Rows per value of one column."""
+    return marts.count_by(fx.customer_postings(spark, d), ["location"])

@@ -7,7 +7,6 @@ configured. Only tests and local scripts call :func:`local_session`.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,8 +52,9 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) ->
 
 
 def local_session(app: str = "hirelake", cores: int | str = "*", shuffle_partitions: int = 8,
-                  extra: dict | None = None) -> SparkSession:
-    """A local session for tests, scripts and the benchmark."""
+                  extra: dict | None = None, scratch: str | None = None) -> SparkSession:
+    """A local session for tests, scripts and the benchmark; ``scratch`` is
+    the checkpoint folder where the session names none."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -68,6 +68,8 @@ def local_session(app: str = "hirelake", cores: int | str = "*", shuffle_partiti
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir(spark) is None and scratch:
+        spark.conf.set("spark.checkpoint.dir", scratch)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -80,18 +82,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    runs and tests) create one in a fresh scratch folder."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Let the context use the configured checkpoint folder, if there is one."""
     current = checkpoint_dir(spark)
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="hirelake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if current and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -541,3 +541,79 @@ SELECT page_id,
                       lambda t: regexp_replace(replace(t, '#', ''), '^\s+|\s+$', '', 'g')) AS tags
 FROM pages
 """)
+
+# --- composed layers (K3-K5) ----------------------------------------------------
+
+
+def _digest(name: str, sql: str, cols: list[str]) -> str:
+    """One line for a table; DOUBLE columns are marked with a leading '.'."""
+    text = []
+    for c in sorted(cols, key=lambda c: c.lstrip(".")):
+        v = f'CAST(round("{c[1:]}" * 10000) AS BIGINT)' if c[0] == "." else f'"{c}"'
+        text.append(f"coalesce(CAST({v} AS VARCHAR), '~')")
+    part = f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(text)})), 1, 7) AS BIGINT)"
+    return (f"SELECT '{name}' AS table_name, COUNT(*) AS rows, CAST(coalesce(SUM({part}), 0) AS BIGINT) AS checksum "
+            f"FROM ({sql}) AS t")
+
+
+_CATS = ["major_category", "middle_category", "sub_category"]
+_POST = [*_CATS, "platform", "job_id"]
+_K3 = [("daily_jd_table", "b10_daily_postings", ["year", "month", "day", "date_str", *_POST, "company", "title"]),
+       ("company_detail", "b8_company_detail", ["company", ".lat", ".lon", "company_description"]),
+       ("jd_skills", "i1_jd_skills", ["job_id", "platform", "unnested_skill"])]
+for _i, (_c, _k) in enumerate([(c, k) for c in ("preferred", "responsibility", "required", "welfare") for k in ("english", "korean")]):
+    _col = "primary_responsibility" if _c == "responsibility" else _c
+    _K3.append((f"jd_{_col}_{_k}_nouns", f"i{_i + 2}_{_c}_{_k}", ["job_id", "platform", f"unnested_{_col}_{_k}_nouns"]))
+oracle("k3_normalized_layer", " UNION ALL ".join(_digest(n, ORACLE[k], c) for n, k, c in _K3))
+
+_K4 = [("unique_jds", "b11_unique_postings", [*_POST, "title", "company"]),
+       ("unique_category_count_major", "d1_count_major", ["major_category", "count"]),
+       ("unique_category_count_major_middle", "d2_count_major_middle", ["major_category", "middle_category", "count"]),
+       ("unique_category_count_sub", "b9_sub_category_list", ["sub_category"]),
+       ("unique_daily_job_posting_count", "d4_daily_counts", ["date_str", "count"]),
+       ("unique_upcoming_deadline_jobs_7days", "b7_upcoming_deadlines",
+        ["company", "title", "url", "end_at", "primary_responsibility", "company_description", "major_category", "middle_category"]),
+       ("unique_company_coordinates", "c8_company_coordinates", [*_CATS, "company", ".lat", ".lon"]),
+       ("unique_jd_skills", "c2_posting_skills", ["major_category", "middle_category", "platform", "job_id", "skill"]),
+       ("unique_preferred_english", "c3_posting_preferred", [*_POST, "preferred"]),
+       ("unique_required_english", "c4_posting_required", [*_POST, "required"]),
+       ("unique_primary_responsibility_english", "c5_posting_responsibility", [*_POST, "primary_responsibility"]),
+       ("unique_welfare_english", "c6_posting_welfare_english", [*_POST, "unnested_welfare_english_nouns"]),
+       ("unique_welfare_korean", "c7_posting_welfare_korean", [*_POST, "unnested_welfare_korean_nouns"])]
+oracle("k4_mart_layer", " UNION ALL ".join(_digest(n, ORACLE[k], c) for n, k, c in _K4))
+
+_NON_NULL = f"SELECT {', '.join(_CATS)}, COUNT(job_id) AS job_id_count FROM cleaned GROUP BY ALL"
+_DUP = ["job_id", "platform", "title", "year", "month", "day"]
+_CLEANED = ["year", "month", "day", "job_id", "platform", "category", *_CATS, "company", "title", "preferred", "required",
+            "primary_responsibility", "url", "end_at", "skills", "location", "welfare", "body", "company_description", "coordinate"]
+
+
+def _ranked(col: str, expr: str) -> str:
+    return f"SELECT {col}, COUNT(*) AS count FROM (SELECT {expr} AS {col} FROM cleaned) WHERE {col} IS NOT NULL GROUP BY 1"
+
+
+def _repeated(keys: list[str]) -> str:
+    same = " AND ".join(f"c.{k} IS NOT DISTINCT FROM r.{k}" for k in keys)
+    return (f"SELECT c.* FROM cleaned c JOIN (SELECT {', '.join(keys)} FROM cleaned GROUP BY ALL HAVING COUNT(*) > 1) r ON {same}")
+
+
+oracle("k5_explore", W(" UNION ALL ".join([
+    _digest("count_non_null", _NON_NULL, [*_CATS, "job_id_count"]),
+    _digest("ranked_major", _ranked("major_category", "major_category"), ["major_category", "count"]),
+    _digest("ranked_middle", _ranked("middle_category", "middle_category"), ["middle_category", "count"]),
+    _digest("groups_per_middle", f"SELECT middle_category, COUNT(job_id_count) AS job_id_count FROM ({_NON_NULL}) "
+            "WHERE middle_category IS NOT NULL GROUP BY 1", ["middle_category", "job_id_count"]),
+    _digest("count_by_sido", _ranked("sido_location", sido_sql("location")), ["sido_location", "count"]),
+    _digest("count_by_gugun", _ranked("gugun_location", gugun_sql("location")), ["gugun_location", "count"]),
+    _digest("duplicate_rows", _repeated(["job_id"]), _DUP),
+    _digest("duplicate_rows_pair", _repeated(["job_id", "company"]), _DUP),
+    _digest("duplicate_summary", _dup_summary("cleaned"), ["total_rows", "dup_rows", "dup_pair_rows", "dup_count_half",
+                                                            "net_postings_half", "removable_rows", "net_postings"]),
+    _digest("profile", " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls FROM cleaned" for c in _CLEANED),
+        ["column", "count", "nulls"]),
+]), "cleaned"))
+
+oracle("d13_count_by", """
+SELECT n_name AS location, COUNT(*) AS count FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+""")

@@ -16,7 +16,7 @@ def spark():
 
     warehouse = tempfile.mkdtemp(prefix="hirelake-warehouse-")
     s = local_session("hirelake-tests", cores="*", shuffle_partitions=8,
-                      extra={"spark.sql.warehouse.dir": warehouse})
+                      extra={"spark.sql.warehouse.dir": warehouse}, scratch=tempfile.mkdtemp(prefix="hirelake-ckpt-"))
     yield s
     s.stop()
 
