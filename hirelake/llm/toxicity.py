@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import islice
 from math import exp, log, log1p
 
@@ -51,10 +52,11 @@ WORD_CACHE = 200_000
 WORD = re.compile(r"[^\W_]+")
 
 
-def features(word: str) -> list[str]:
+@lru_cache(20_000)
+def features(word: str) -> tuple[str, ...]:
     """The word itself and its beginnings."""
     w = word.lower()
-    return [f"={w}", *(w[:n] for n in PREFIXES if len(w) >= n)]
+    return (f"={w}", *(w[:n] for n in PREFIXES if len(w) >= n))
 
 
 @dataclass
@@ -188,42 +190,46 @@ def choose_features(rows: list[tuple[int, str]]) -> dict[str, float]:
 
 def fit_crf(sequences: list[tuple[list[list[int]], list[int]]], start: np.ndarray, rounds: int = 40) -> tuple:
     """Weights, bias and transitions that maximise the likelihood of token
-    labels; a sequence is the feature numbers and the label of each token."""
-    n = len(start)
+    labels; a sequence is the feature numbers and the label of each token. All
+    sequences move through the forward-backward recursion together."""
+    n, size = len(start), max(len(y) for _, y in sequences)
+    length = np.array([len(y) for _, y in sequences])
+    real = np.arange(size) < length[:, None]
+    y = np.zeros(real.shape, int)
+    hot: list[tuple[int, int, int]] = []  # sequence, token, feature
+    for i, (tokens, labels) in enumerate(sequences):
+        y[i, :len(labels)] = labels
+        hot += [(i, t, f) for t, x in enumerate(tokens) for f in x]
+    at, token, feature = np.array(hot, int).reshape(-1, 3).T
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (np.concatenate([np.zeros_like(y[:, :1]), y[:, :-1]], 1)[real], y[real]), 1)
     theta = np.concatenate([start, [-4.0, 0.0, 0.0, 0.0, 0.0]])  # weights, bias, steps 00 01 10 11
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for t in range(1, rounds + 1):
+    for step in range(1, rounds + 1):
+        move = np.exp(theta[n + 1:].reshape(2, 2))
+        score = np.full(real.shape, theta[n])
+        np.add.at(score, (at, token), theta[feature])
+        emit = np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], 2)
+        alpha, beta = np.empty_like(emit), np.ones_like(emit)
+        a = np.tile([1.0, 0.0], (len(length), 1))
+        for t in range(size):
+            a = (a @ move) * emit[:, t]
+            a /= a.sum(1, keepdims=True)
+            alpha[:, t] = a
+        for t in range(size - 2, -1, -1):
+            b = (emit[:, t + 1] * beta[:, t + 1]) @ move.T
+            beta[:, t] = np.where(real[:, t + 1, None], b / b.sum(1, keepdims=True), 1.0)
+        p = alpha * beta
+        error = np.where(real, y - p[:, :, 1] / p.sum(2), 0.0)
+        before = np.concatenate([np.tile([1.0, 0.0], (len(length), 1, 1)), alpha[:, :-1]], 1)
+        pair = before[:, :, :, None] * move * (emit * beta)[:, :, None, :]
+        pair /= pair.sum((2, 3), keepdims=True)
         grad = -0.01 * theta
-        steps = theta[n + 1:].reshape(2, 2)
-        move = np.exp(steps)
-        for tokens, labels in sequences:
-            hot = np.array([theta[n] + sum(theta[f] for f in x) for x in tokens])
-            emit = np.exp(np.stack([np.zeros_like(hot), np.clip(hot, -30, 30)], 1))
-            size = len(labels)
-            alpha, beta = np.empty((size, 2)), np.ones((size, 2))
-            a = np.array([1.0, 0.0])
-            for i in range(size):
-                a = (a @ move) * emit[i]
-                a /= a.sum()
-                alpha[i] = a
-            for i in range(size - 2, -1, -1):
-                b = move @ (emit[i + 1] * beta[i + 1])
-                beta[i] = b / b.sum()
-            p = alpha * beta
-            p = p[:, 1] / p.sum(1)
-            pair = np.concatenate([[[1.0, 0.0]], alpha[:-1]])[:, :, None] * move * (emit * beta)[:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
-            y = np.array(labels)
-            error = y - p
-            grad[n] += error.sum()
-            for i in np.flatnonzero([bool(x) for x in tokens]):
-                for f in tokens[i]:
-                    grad[f] += error[i]
-            seen = np.zeros((2, 2))
-            np.add.at(seen, (np.concatenate([[0], y[:-1]]), y), 1)
-            grad[n + 1:] += (seen - pair.sum(0)).ravel()
+        grad[n] += error.sum()
+        np.add.at(grad, feature, error[at, token])
+        grad[n + 1:] += (seen - pair[real].sum(0)).ravel()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
-        theta += 0.2 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+        theta += 0.2 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return theta[:n], float(theta[n]), theta[n + 1:].reshape(2, 2)
 
 
@@ -265,19 +271,20 @@ def fit(rows: list[tuple[int, str]], toxic_share: float) -> Model:
     return model
 
 
-def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
           rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` rows of each label (null labels and texts are
-    left out)."""
-    usable = labelled.select(key, text, label).where(F.col(label).isin(0, 1) & F.col(text).isNotNull())
+    """Fit on at most ``rows`` labelled keys of each label (null labels and
+    texts are left out). The keys are drawn from ``labels`` alone and meet the
+    texts in one scan, by a broadcast of at most 2 * ``rows`` keys."""
+    usable = labels.select(key, label).where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     counts = {r[label]: r["n"] for r in usable.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Model()
-    got = []
-    for y in (0, 1):
-        sample = bounded_sample(usable.where(F.col(label) == y), rows, key, text)
-        got += [(r[label], r["key"], r[text])
-                for r in sample.select(F.col(key).alias("key"), text, label).toLocalIterator()]
+    drawn = bounded_sample(usable.where(F.col(label) == 0), rows, key).unionByName(
+        bounded_sample(usable.where(F.col(label) == 1), rows, key))
+    got = [(r[label], r["key"], r[text]) for r in
+           docs.select(F.col(key).alias("key"), text).where(F.col(text).isNotNull())
+           .join(F.broadcast(drawn.withColumnRenamed(key, "key")), "key").limit(2 * rows).toLocalIterator()]
     got.sort(key=lambda r: (r[0], str(r[1]), r[2]))
     order = np.random.default_rng(11).permutation(len(got))
     return fit([(got[i][0], got[i][2]) for i in order], counts[1] / (counts[0] + counts[1]))
@@ -335,7 +342,7 @@ def held_out(key: str = "doc_id") -> Column:
 def learn(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
     """Model from the labelled documents outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
-    return train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return train(docs, labels)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
