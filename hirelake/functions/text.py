@@ -121,6 +121,7 @@ def posting_url(platform: ColumnOrName, job_id: ColumnOrName) -> Column:
 # per character on long paragraphs.
 PARAGRAPH = r"<p(?:\s[^>]*)?>([^<]*(?:<(?!/?p[\s>])[^<]*)*)"
 HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
+SECTION = r"<section(?:\s[^>]*)?>([^<]*(?:<(?!/?section[\s>])[^<]*)*)"
 # The first anchor anywhere inside a list item.
 LIST_ANCHOR_HREF = r'<li(?:\s[^>]*)?>[^<]*(?:<(?!/?li[\s>]|a[\s>])[^<]*)*<a\s(?:[^>]*\s)?href="([^"]*)"'
 
@@ -144,5 +145,22 @@ def first_paragraph(html: ColumnOrName) -> Column:
     return F.try_element_at(paragraphs(html), F.lit(1))
 
 
+def sections(html: ColumnOrName) -> Column:
+    """Inner HTML of the page's sections, in order."""
+    return F.regexp_extract_all(_c(html), F.lit(SECTION), 1)
+
+
+def of_class(name: str) -> str:
+    """Pattern of the opening tag of an element with a class."""
+    return rf'<[a-z][a-z0-9]*\s(?:[^>]*\s)?class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>'
+
+
+def page_tags(html: ColumnOrName, tag_class: str) -> Column:
+    """Texts of the page's tag elements, cleaned. Comments inside them
+    are no text."""
+    found = F.regexp_extract_all(_c(html), F.lit(of_class(tag_class) + r"([^<]*(?:<!--[^>]*-->[^<]*)*)"), 1)
+    return clean_tags(F.transform(found, lambda t: F.regexp_replace(t, "<!--[^>]*-->", "")))
+
+
 def heading(html: ColumnOrName) -> Column:
     return html_text(F.nullif(F.regexp_extract(_c(html), HEADING, 1), F.lit("")))

@@ -1,4 +1,4 @@
-"""Listing and detail pages.
+"""Listing and detail pages.
 
 HTML is parsed with built-in regular expressions over the page text, one
 row per page; no HTML parser runs on the driver or in a Python worker.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LIST_ANCHOR_HREF, extract_id, first_paragraph, heading, paragraphs
+from ..functions.text import LIST_ANCHOR_HREF, extract_id, first_paragraph, heading, of_class, page_tags, sections
 
 # --- FIXED VALUES: posting id inside a listing link -------------------------
 POSTING_LINK_ID = r"/positions/(\d+)"
@@ -36,18 +36,33 @@ def first_paragraphs(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", first_paragraph("html").alias("first_paragraph"))
 
 
-SECTION_NAMES = ["intro", "main_work", "require", "preference", "welfare"]
+# --- FIXED VALUES: class names of a detail page -------------------------------
+BLOCK_CLASS = "css-15i1vgz"
+TAG_CLASS = "css-kgsirb"
+# -----------------------------------------------------------------------------
+BLOCK_NAMES = ["main_work", "require", "preference", "welfare"]
 
 
 def page_sections(pages: DataFrame) -> DataFrame:
-    """I16: heading plus the ordered paragraphs picked by position (intro,
-    main work, requirements, preferences, welfare); missing -> NULL."""
-    p = pages.select("page_id", heading("html").alias("position_name"), paragraphs("html").alias("_ps"))
-    return p.select("page_id", "position_name",
-                    *[F.try_element_at("_ps", F.lit(i + 1)).alias(n) for i, n in enumerate(SECTION_NAMES)])
-
-
-def distinct_ids(listing: DataFrame, col: str = "url", pattern: str = URL_NUMERIC_ID) -> DataFrame:
-    """Distinct ids across listing pages (pages repeat ids)."""
-    return listing.select(extract_id(col, pattern).alias("posting_id")) \
-        .where(F.col("posting_id").isNotNull()).distinct()
+    """I16: heading, first paragraph of the intro (the first section), and
+    first paragraph of each of the four blocks of the second section; NULL
+    where a section, block or paragraph is missing."""
+    p = pages.select("page_id", heading("html").alias("position_name"), sections("html").alias("_s"))
+    # What follows a block's opening tag, up to the next block.
+    blocks = F.split(F.try_element_at("_s", F.lit(2)), of_class(BLOCK_CLASS))
+    p = p.withColumn("_b", blocks)
+    return p.select("page_id", "position_name", first_paragraph(F.try_element_at("_s", F.lit(1))).alias("intro"),
+                    *[first_paragraph(F.try_element_at("_b", F.lit(i + 2))).alias(n) for i, n in enumerate(BLOCK_NAMES)])
+
+
+def skill_tags(pages: DataFrame) -> DataFrame:
+    """The skill tags of each detail page."""
+    return pages.select("page_id", page_tags("html", TAG_CLASS).alias("tags"))
+
+
+def distinct_ids(listings: DataFrame, payload: str = "payload") -> DataFrame:
+    """Distinct ids over listing payloads ({"data": [{"id": ...}, ...]}):
+    pages repeat ids, the last one is empty."""
+    parsed = F.from_json(payload, "data array<struct<id: bigint>>")["data"]
+    return (listings.select(F.explode(parsed).alias("_job")).select(F.col("_job.id").alias("posting_id"))
+            .where(F.col("posting_id").isNotNull()).distinct())

@@ -394,14 +394,15 @@ def d19_dedupe_first(spark, d):
 
 @query("d20_distinct_ids")
 def d20_distinct_ids(spark, d):
-    return pages.distinct_ids(fx.table(spark, d, "pages"))
+    return pages.distinct_ids(fx.listing_payloads(spark, d))
 
 
 @query("d21_profile")
 def d21_profile(spark, d):
     o = fx.table(spark, d, "orders")
     p = quality.profile(o)
-    return p.select("column", "count", "nulls", "min", "max", F.round("mean", 4).alias("mean"))
+    return p.select("column", "count", "nulls", "min", "max", F.round("mean", 4).alias("mean"),
+                    F.round("stddev", 2).alias("stddev"))
 
 
 # --- sorts ---------------------------------------------------------------
@@ -547,7 +548,7 @@ def i15_first_paragraph(spark, d):
 
 @query("i16_page_sections")
 def i16_page_sections(spark, d):
-    return pages.page_sections(fx.table(spark, d, "pages"))
+    return pages.page_sections(fx.detail_pages(spark, d))
 
 
 # --- alerts ---------------------------------------------------------------
@@ -649,12 +650,8 @@ def h26_first_nested(spark, d):
 
 @query("i17_clean_tags")
 def i17_clean_tags(spark, d):
-    """Tags written the way listing pages mark them (a '#', a comment
-    marker, padding) cleaned back to the anchor texts of the page."""
-    pg = fx.table(spark, d, "pages")
-    texts = F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1)
-    raw = F.transform(texts, lambda t: F.concat(F.lit("\t#<!-- -->"), t, F.lit(" \n")))
-    return pg.select("page_id", ft.clean_tags(raw).alias("tags"))
+    """Skill tags read from detail pages."""
+    return pages.skill_tags(fx.detail_pages(spark, d))
 
 
 # --- composed layers (K3-K5), one line per table ----------------------------

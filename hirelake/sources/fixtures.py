@@ -366,3 +366,38 @@ def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("_group") % 3 == 0, F.lit("result")).otherwise(F.lit("results")))
     text = F.concat(F.lit('{"'), key, F.lit('": ['), F.col("_items"), F.lit("]}"))
     return docs.select(text.alias("document"), "year", "month", "day")
+
+
+# --- Detail pages and listings (I16, I17, D20), derived from the given pages ---
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given pages' own heading, paragraphs and link texts laid out as a
+    detail page: an intro section and four blocks with two paragraphs each,
+    tags as the site marks them. Pages with fewer paragraphs lack blocks."""
+    from ..functions.text import PARAGRAPH, heading
+
+    pg = table(spark, sf_dir, "pages").select(
+        "page_id", F.coalesce(heading("html"), F.lit("")).alias("h"),
+        F.regexp_extract_all("html", F.lit(PARAGRAPH), 1).alias("ps"),
+        F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1).alias("links"))
+
+    def p(n: int, attributes: str = "") -> Column:
+        text = F.try_element_at("ps", F.lit(n))
+        return F.when(text.isNull(), "").otherwise(F.concat(F.lit(f"<p{attributes}>"), text, F.lit("</p>")))
+
+    blocks = [F.concat(F.lit(f'<div data-n="{i}" class="css-15i1vgz b{i}"><h3>b</h3><ul><li>'), p(2 * i + 1, ' class="t"'), F.lit("</li></ul>"),
+                       p(2 * i + 2), F.lit("</div>")) for i in range(1, 5)]
+    tags = F.array_join(F.transform("links", lambda t: F.concat(
+        F.lit('<span class="css-kgsirb">\n#<!-- -->'), t, F.lit("\t</span>"))), "")
+    html = F.concat(F.lit('<main><h1 class="css-17ueevk">'), "h", F.lit('</h1><section class="a"><pre>code</pre>'), p(1, " id=x"), p(2),
+                    F.lit("</section><section>"), *blocks, F.lit('</section><div class="css-104fbyc">'), tags, F.lit("</div></main>"))
+    return pg.select("page_id", html.alias("html"))
+
+
+def listing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing payloads whose ids overlap from page to page; every tenth is
+    empty."""
+    key = F.col("page_id")
+    ids = F.array(*[F.struct(i.alias("id")) for i in (key, key + 1, F.floor(key / 2).cast("bigint"))])
+    body = F.when(key % 10 == 0, F.lit('{"data": []}')).otherwise(F.to_json(F.struct(ids.alias("data"))))
+    return table(spark, sf_dir, "pages").select(body.alias("payload"))

@@ -317,9 +317,8 @@ SELECT doc_id, text, lang, source FROM (
 WHERE rn = 1
 """)
 
-oracle("d20_distinct_ids", r"""
-SELECT DISTINCT regexp_extract(url, '/(\d+)', 1) AS posting_id FROM pages
-WHERE regexp_extract(url, '/(\d+)', 1) <> ''
+oracle("d20_distinct_ids", """
+SELECT DISTINCT unnest([page_id, page_id + 1, page_id // 2]) AS posting_id FROM pages WHERE page_id % 10 <> 0
 """)
 
 
@@ -329,8 +328,9 @@ def _profile_sql() -> str:
     parts = []
     for c, num in cols:
         mean = f"round(avg({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
+        spread = f"round(stddev_samp({c}), 2)" if num else "CAST(NULL AS DOUBLE)"
         parts.append(f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls, "
-                     f"CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max, {mean} AS mean "
+                     f"CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max, {mean} AS mean, {spread} AS stddev "
                      f"FROM orders")
     return " UNION ALL ".join(parts)
 
@@ -441,7 +441,8 @@ oracle("i15_first_paragraph", f"SELECT page_id, {paragraphs_sql('html')}[1] AS f
 
 oracle("i16_page_sections", f"""
 SELECT page_id, {html_text_sql(f"nullif(regexp_extract(html, '{HEADING}', 1), '')")} AS position_name,
-       ps[1] AS intro, ps[2] AS main_work, ps[3] AS require, ps[4] AS preference, ps[5] AS welfare
+       ps[1] AS intro, coalesce(ps[3], ps[4]) AS main_work, coalesce(ps[5], ps[6]) AS require,
+       coalesce(ps[7], ps[8]) AS preference, coalesce(ps[9], ps[10]) AS welfare
 FROM (SELECT page_id, html, {paragraphs_sql('html')} AS ps FROM pages)
 """)
 
