@@ -11,21 +11,23 @@ from .common import materialize
 def components(links: DataFrame) -> DataFrame:
     """id, component (smallest id reachable) of every id in ``links`` (a, b).
 
-    Smallest labels spread along links and are shortened through the label's
-    own label, each round written to the shared folder, until none changes. A
-    star, whatever its size, takes two rounds; minima combine before the
-    shuffle, and the joins are plain ones that AQE splits at a frequent id."""
+    Smallest labels spread along links, each round written to the shared
+    folder, until none changes; every fourth round a label is also replaced by
+    its own label, so that long chains shorten. A star, whatever its size,
+    takes two rounds. Minima combine before the shuffle, and the joins are
+    plain ones that AQE splits at a frequent id."""
     both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                         .select("id", F.least("id", "m").alias("label")), "labels")
+    labels = materialize(both.unionByName(both.select("a", F.col("a").alias("b"))).groupBy(F.col("a").alias("id"))
+                         .agg(F.min("b").alias("component")), "labels")
+    state, turn = None, 0
     while True:
-        known = labels.select(F.col("id").alias("b"), F.col("label").alias("near"))
-        near = both.join(known, "b").groupBy(F.col("a").alias("id")).agg(F.min("near").alias("near"))
-        met = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("lower"))
-        jump = labels.select(F.col("id").alias("lower"), F.col("label").alias("far"))
-        spread = materialize(met.join(jump, "lower", "left").select(
-            "id", F.least("lower", F.coalesce("far", "lower")).alias("label"), F.col("label").alias("before")), "labels")
-        changed = spread.where("label <> before").limit(1).count()
-        labels = spread.select("id", "label")
-        if not changed:
-            return labels.withColumnRenamed("label", "component")
+        known = labels.agg(F.bit_xor(F.xxhash64("id", "component"))).first()[0]
+        if known == state:  # also when there are no links
+            return labels
+        state, turn = known, turn + 1
+        spread = both.join(labels.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "component")
+        lower = labels.unionByName(spread)
+        if turn % 4 == 0:
+            own = labels.select(F.col("id").alias("component"), F.col("component").alias("far"))
+            lower = lower.unionByName(labels.join(own, "component").select("id", F.col("far").alias("component")))
+        labels = materialize(lower.groupBy("id").agg(F.min("component").alias("component")), "labels")

@@ -7,12 +7,13 @@ document goes to the child of its own token there. With a similarity of 0.8
 that is 1 / 0.8 children on average, so a similar pair is expected to stay
 together in one of them, while dissimilar ones part at once.
 
-A node with at most ``SMALL`` classes is compared exhaustively. In a larger one
-all are compared with its smallest member; if all seem close to it the node is
-left there, else it branches on, ``DEPTH`` times at most. What such large nodes
-could hide is searched exactly afterwards: members that did not end up in the
-component of their node's smallest member are compared with all others of the
-node. No pairs are made inside a large group of near copies.
+A node with at most ``SMALL`` classes is a leaf; a larger one branches on,
+``DEPTH`` times at most. In every node each class is first held against the
+smallest one (its pivot). Then a node is compared exhaustively as far as it
+still matters: classes that did not end up in their pivot's component are held
+against all classes of the node outside their own component, whatever the
+node's size. Pairs that are connected already are not made, so a large group
+of near copies costs a pair per class and node, not all pairs.
 
 Candidates pass a filter on 4-bit minhash sketches, wide enough (more than
 four standard errors) not to lose links, and are confirmed on full sets, made
@@ -42,11 +43,11 @@ from .graph import components
 WORDS = 5
 #: Similarity in hundredths.
 SIMILARITY = 80
-TREES, DEPTH, SMALL = 12, 4, 32
+TREES, DEPTH, SMALL = 12, 3, 32
 #: Minwise tokens to choose from, and minhashes in the sketch (4 bits each).
 TOKENS, SKETCH = 48, 128
-#: Sketch estimates from which a pair is a candidate, and from which a member counts as close.
-CANDIDATE, CLOSE = 0.63, 0.88
+#: Sketch estimate from which a pair is a candidate.
+CANDIDATE = 0.63
 _SEEDS = np.random.default_rng(17).integers(1, 1 << 32, (2, SKETCH), np.uint64).astype(np.uint32)
 _SEEDS[0] |= np.uint32(1)
 
@@ -139,41 +140,37 @@ def _children(rows: DataFrame) -> DataFrame:
 
 
 def candidates(reps: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """a, b, likeness of candidate pairs (a < b); and node, id, pivot of the
-    members of large nodes that were not compared exhaustively."""
+    """a, b, likeness of the candidates among (pivot, class) pairs; and node,
+    id, pivot of all classes in nodes with more than two."""
     trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
     rows = reps.select("id", "tokens", trees)
-    pairs, large = [], []
+    nodes = []
     for depth in range(DEPTH):
         rows = _children(rows)
         counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("pivot")).where("members > 1")
         live = materialize(rows.join(counts, "node"), "path-nodes")
-        group = live.where(F.col("members") <= SMALL).groupBy("node").agg(F.sort_array(F.collect_set("id")).alias("m"))
-        pair = F.flatten(F.transform("m", lambda x, i: F.transform(
-            F.slice("m", i + 2, F.lit(SMALL)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-        pairs.append(group.select(F.inline(pair)))
-        big = live.where(F.col("members") > SMALL).select("node", "id", "pivot")
-        pairs.append(big.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-        if depth == DEPTH - 1 or big.isEmpty():
-            large.append(big)
+        large = F.col("members") > SMALL
+        nodes.append(live.where(~large if depth < DEPTH - 1 else F.lit(True)))
+        if depth == DEPTH - 1 or live.where(large).isEmpty():
             break
-        least = (big.join(_sized(reps, "x", "id"), "id").join(_sized(reps, "y", "pivot"), "pivot")
-                 .groupBy("node").agg(F.min(_estimate("x", "y")).alias("least")))
-        parting = materialize(least.where(F.col("least") < CLOSE).select("node"), "path-parting")
-        large.append(big.join(parting, "node", "left_anti"))
-        rows = big.join(parting, "node", "left_semi").join(reps.select("id", "tokens"), "id").select("id", "tokens", "node")
-    every = reduce(DataFrame.unionByName, pairs).distinct()
-    found = (every.join(_sized(reps, "x", "a"), "a").join(_sized(reps, "y", "b"), "b").where(_may_link(similarity))
+        rows = live.where(large).join(reps.select("id", "tokens"), "id").select("id", "tokens", "node")
+    every = reduce(DataFrame.unionByName, nodes)
+    pairs = every.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    found = (pairs.join(_sized(reps, "x", "a"), "a").join(_sized(reps, "y", "b"), "b").where(_may_link(similarity))
              .select("a", "b", _estimate("x", "y").alias("likeness")))
-    return materialize(found, "near-candidates"), materialize(reduce(DataFrame.unionByName, large), "near-large")
+    return materialize(found, "near-candidates"), every.where("members > 2").select("node", "id", "pivot")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, words: int, similarity: int, merge: bool) -> DataFrame:
     """a, b of the pairs that link on their full sets."""
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    # Only texts that a pair needs move on from their first shuffle. Where most groups are confirmed (``merge``), the
+    # joins are merge joins at every size, so that the texts shuffled are the same share of any input.
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    way = (lambda x: x.hint("merge")) if merge else (lambda x: x)
+    texts = way(materialize(way(docs).join(ends, "id", "left_semi"), "near-texts"))
     kind = pairs.schema["a"].dataType.simpleString()
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    rows = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,27 +190,26 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
 def links(reps: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
     """a, b: links that connect all classes (id, n, tokens, sketch) of
     ``docs`` (id, text) which belong together."""
-    found, large = candidates(reps, similarity)
-    ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).unionByName(
-        large.select("id")).distinct()
-    texts = materialize(docs.join(ends, "id", "left_semi"), "near-texts")
+    found, nodes = candidates(reps, similarity)
     best = found.groupBy("b").agg(F.max_by("a", F.col("likeness")).alias("a")).select("a", "b")
-    sure = materialize(confirm(best, texts, words, similarity), "near-links")
+    sure = materialize(confirm(best, docs, words, similarity, True), "near-links")
     parts = components(sure)
     of = lambda key, name: parts.select(F.col("id").alias(key), F.col("component").alias(name))
-    open_pairs = (found.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left")
-                  .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    # Members of large nodes that are apart from their node's smallest member meet all others of the node.
-    placed = (large.join(of("id", "c"), "id", "left").join(of("pivot", "pc"), "pivot", "left")
-              .select("node", "id", F.coalesce("c", "id").alias("c"), F.coalesce("pc", "pivot").alias("pc")))
-    placed = materialize(placed.distinct().join(_sized(reps, "", "id"), "id"), "near-placed")
+    apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
+    open_pairs = found.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").where(apart).select("a", "b")
+    # Members of a node that are apart from its pivot meet all others of the node.
+    placed = nodes.join(of("id", "c"), "id", "left").join(of("pivot", "pc"), "pivot", "left").select(
+        "node", "id", F.coalesce("c", "id").alias("c"), F.coalesce("pc", "pivot").alias("pc"))
+    placed = materialize(placed, "near-placed")
+    mixed = placed.groupBy("node").agg(F.max(F.col("c") != F.col("pc")).alias("mixed")).where("mixed").select("node")
+    placed = materialize(placed.join(mixed, "node", "left_semi").join(_sized(reps, "", "id"), "id"), "near-mixed")
     named = lambda p: placed.select(F.col("node").alias(p + "node"), *[
         F.col(c).alias(p + c) for c in placed.columns if c != "node"])
     met = named("x").where("xc <> xpc").join(
         named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity))
     more = met.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b"))
     rest = materialize(open_pairs.unionByName(more).distinct(), "near-open")
-    return sure.unionByName(confirm(rest, texts, words, similarity))
+    return sure if rest.isEmpty() else sure.unionByName(confirm(rest, docs, words, similarity, False))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
