@@ -37,8 +37,9 @@ K = 20
 PROJECTED = 8
 LEAF = 32
 CONFIDENCE = 0.9
-#: Rows of a block, on average.
-VECTOR_BLOCK, QUERY_BLOCK = 2048, 512
+#: Rows of a block, on average (8,192 vectors of 64 doubles are 4 MB). Every query brings k rows back from each
+#: block, so small blocks cost rows to merge.
+VECTOR_BLOCK, QUERY_BLOCK = 8192, 512
 QUERY_EVERY = 20
 SCHEMA = "query_id bigint, vec_id bigint, score double"
 
