@@ -47,13 +47,14 @@ STRIDE = 32
 SENTENCE_PENALTY, TRUNCATION_PENALTY, SEQUENCE_PENALTY = 2, 12, 16
 VOCABULARY = "word_bpe_49k.json"
 #: Words and word parts whose ids a worker keeps; both start anew when full.
-WORD_CACHE = 300_000
+WORD_CACHE = 400_000
 
 # The vocabulary's own white space, word parts and specials.
 SPACE = re.compile("[" + "".join(map(chr, (
     9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]+")
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼½¾]|(?:[^\\w²³¹¼½¾]|_)+")
 PLAIN = re.compile("[!-~\xa1-įı-ſ]*")
+UNIT_SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the vocabulary
 SPECIAL = re.compile(r"<\|(?:start|end)oftext\|>")
 
 
@@ -104,7 +105,8 @@ class Encoder:
             if len(cache) > WORD_CACHE:
                 cache.clear()
         get, make = self.words.get, self._word
-        return b"".join([make(w) if (v := get(w)) is None else v for w in SPACE.split(text)])
+        words = SPACE.split(text) if UNIT_SEPARATORS.search(text) else text.split()
+        return b"".join([make(w) if (v := get(w)) is None else v for w in words])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -249,9 +251,9 @@ def pack(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text"
 
         for batch in batches:
             types = batch.schema.field(0).type
-            for i in range(batch.num_rows):
-                ids = np.frombuffer(encode(batch.column(1)[i].as_py() or "") + end, "<u4")
-                if pieces := list(packer.add(batch.column(0)[i].as_py(), ids)):
+            for key, said in zip(batch.column(0), batch.column(1)):
+                ids = np.frombuffer(encode(said.as_py() or "") + end, "<u4")
+                if pieces := list(packer.add(key.as_py(), ids)):
                     yield out(pieces)
         if pieces := list(packer.flush(True)):
             yield out(pieces)
