@@ -13,6 +13,9 @@ the positions of their removed lines. All aggregations combine before the
 shuffle, and the joins on line hashes are plain ones that AQE splits, so a
 line that a third of all documents hold lands in no single task.
 
+The pipeline stage searches every line that is not blank. The query leaves out
+lines shorter than ``MIN_CHARS`` after trimming blanks, as its SQL does.
+
 Defined cases: a null site is the empty site; a null text stays null; lines
 shorter than ``min_chars`` after trimming blanks are never boilerplate;
 repeated rows of one key are treated alike, and if that key is the smallest
@@ -30,6 +33,7 @@ from .common import table
 
 #: A line on so many sites is boilerplate.
 MIN_SITES = 3
+#: Shortest line of the query and its SQL; the stage has no such bound.
 MIN_CHARS = 15
 SKETCH_LG_K = 12
 #: Relative error of such a sketch (three standard deviations).
@@ -94,9 +98,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: boilerplate lines go; a document goes if nothing but
-    blanks is left of it by that."""
-    out = remove_lines(docs)
+    """Pipeline stage: boilerplate lines of any length go; a document goes if
+    nothing but blanks is left of it by that."""
+    out = remove_lines(docs, min_chars=1)
     left = (F.col("removed_lines") == 0) | (F.length(F.trim(F.translate("text", "\n\t\r", "   "))) > 0)
     return out.where(left).select(
         *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

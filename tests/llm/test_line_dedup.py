@@ -71,3 +71,9 @@ def test_stage_drops_what_is_left_empty(spark):
     kept = ld.line_stage(spark, df, "").collect()
     assert sorted(r["doc_id"] for r in kept) == [0, 8, 9]
     assert kept[0].asDict().keys() == df.first().asDict().keys()
+
+
+def test_stage_searches_short_lines(spark):
+    rows = [(i, f"Les.\n   \n\nown line of {i}", "en", f"s{i}") for i in range(4)]
+    kept = {r["doc_id"]: r["text"] for r in ld.line_stage(spark, docs_frame(spark, rows), "").collect()}
+    assert kept == {0: rows[0][1], **{i: f"   \n\nown line of {i}" for i in range(1, 4)}}
