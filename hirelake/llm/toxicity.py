@@ -5,7 +5,7 @@ them (``TRAIN_ROWS`` rows at most for each label) token labels are derived: the
 fewest words and word beginnings that cover the toxic documents and are nearly
 absent from the clean ones mark their tokens as toxic. A two-state CRF (clean,
 toxic) with one weight for each such feature, a bias and transition weights is
-fitted to these token labels; its forward-backward marginals at the tokens of
+fitted to these token labels on the whole texts of all drawn rows; its forward-backward marginals at the tokens of
 a document are aggregated (largest log-odds, expected number of toxic tokens)
 and a logistic layer turns them into the document's score.
 
@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import islice
 from math import exp, log, log1p
 
 import numpy as np
@@ -46,8 +45,6 @@ MIN_RATIO = 25.0
 MIN_COVER, MAX_FEATURES = 4, 2000
 #: Share of the toxic documents that makes a feature the cover did without worth tagging.
 MIN_SHARE = 0.01
-#: Documents (of each label) and tokens of the token-level fit.
-CRF_DOCS, CRF_TOKENS = 80, 800
 WORD_CACHE = 200_000
 WORD = re.compile(r"[^\W_]+")
 
@@ -188,46 +185,104 @@ def choose_features(rows: list[tuple[int, str]]) -> dict[str, float]:
     return chosen
 
 
-def fit_crf(sequences: list[tuple[list[list[int]], list[int]]], start: np.ndarray, rounds: int = 40) -> tuple:
+def segments(text: str, number: dict[str, int]) -> tuple[list[int], list[list[int]]]:
+    """A whole text as the CRF's fit sees it: the plain tokens before each
+    token with a feature and after the last one, and the feature numbers of
+    the tokens with features."""
+    gaps, hits, gap = [], [], 0
+    for w in WORD.findall(text):
+        found = [number[f] for f in features(w) if f in number]
+        if found:
+            gaps.append(gap)
+            hits.append(found)
+            gap = 0
+        else:
+            gap += 1
+    return [*gaps, gap], hits
+
+
+def fit_crf(sequences: list[tuple[list[int], list[list[int]], int]], start: np.ndarray, rounds: int = 40) -> tuple:
     """Weights, bias and transitions that maximise the likelihood of token
-    labels; a sequence is the feature numbers and the label of each token. All
-    sequences move through the forward-backward recursion together."""
-    n, size = len(start), max(len(y) for _, y in sequences)
-    length = np.array([len(y) for _, y in sequences])
-    real = np.arange(size) < length[:, None]
-    y = np.zeros(real.shape, int)
-    hot: list[tuple[int, int, int]] = []  # sequence, token, feature
-    for i, (tokens, labels) in enumerate(sequences):
-        y[i, :len(labels)] = labels
-        hot += [(i, t, f) for t, x in enumerate(tokens) for f in x]
-    at, token, feature = np.array(hot, int).reshape(-1, 3).T
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (np.concatenate([np.zeros_like(y[:, :1]), y[:, :-1]], 1)[real], y[real]), 1)
+    labels; a sequence is what ``segments`` returns and the label of its tokens
+    with features (plain tokens are clean). All sequences move through the
+    forward-backward recursion together, and a run of plain tokens is one step:
+    its matrix power and the expected transitions inside it have closed forms
+    in the eigenvectors of a plain step, so whole texts cost what their tokens
+    with features cost. Without sequences the start values stay."""
+    n = len(start)
     theta = np.concatenate([start, [-4.0, 0.0, 0.0, 0.0, 0.0]])  # weights, bias, steps 00 01 10 11
+    if not sequences:
+        return theta[:n], float(theta[n]), theta[n + 1:].reshape(2, 2)
+    sequences = sorted(sequences, key=lambda s: -len(s[1]))
+    count = np.array([len(hits) for _, hits, _ in sequences])
+    # Tokens with features lie by their number in the text: those of turn t are of the first ``live[t]`` sequences.
+    live = (np.arange(count[0])[:, None] < count).sum(1) if count[0] else np.zeros(0, int)
+    begin = np.concatenate([[0], np.cumsum(live)]).astype(int)
+    gap, y = np.zeros(begin[-1], int), np.zeros(begin[-1])
+    tail, token, feature = np.zeros(len(sequences), int), [], []
+    seen = np.zeros((2, 2))
+    for i, (gaps, hits, label) in enumerate(sequences):
+        before = 0
+        for t, (g, found) in enumerate(zip(gaps, hits)):
+            at = begin[t] + i
+            gap[at], y[at] = g, label
+            token += [at] * len(found)
+            feature += found
+            if g:
+                seen[before, 0] += 1
+                seen[0, 0] += g - 1
+                before = 0
+            seen[before, label] += 1
+            before = label
+        tail[i] = gaps[-1]
+        if gaps[-1]:
+            seen[before, 0] += 1
+            seen[0, 0] += gaps[-1] - 1
+    token, feature = np.array(token, int), np.array(feature, int)
+
+    def inside(f: np.ndarray, c: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """Expected transitions inside runs of ``g`` plain tokens between the messages f and c."""
+        left, right, far = f @ vectors, c @ inverse.T, ratio ** g
+        total = left[:, 0] * right[:, 0] + far * left[:, 1] * right[:, 1]
+        cross = (1 - far) / (1 - ratio)
+        mass = np.array([[g, cross], [cross, g * ratio ** np.maximum(g - 1, 0)]])
+        mass = np.einsum("sp,sq,pqs,s->pq", left, right, mass, 1 / total)
+        return plain * (inverse.T @ mass @ vectors.T)
+
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         move = np.exp(theta[n + 1:].reshape(2, 2))
-        score = np.full(real.shape, theta[n])
-        np.add.at(score, (at, token), theta[feature])
-        emit = np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], 2)
-        alpha, beta = np.empty_like(emit), np.ones_like(emit)
-        a = np.tile([1.0, 0.0], (len(length), 1))
-        for t in range(size):
-            a = (a @ move) * emit[:, t]
-            a /= a.sum(1, keepdims=True)
-            alpha[:, t] = a
-        for t in range(size - 2, -1, -1):
-            b = (emit[:, t + 1] * beta[:, t + 1]) @ move.T
-            beta[:, t] = np.where(real[:, t + 1, None], b / b.sum(1, keepdims=True), 1.0)
-        p = alpha * beta
-        error = np.where(real, y - p[:, :, 1] / p.sum(2), 0.0)
-        before = np.concatenate([np.tile([1.0, 0.0], (len(length), 1, 1)), alpha[:, :-1]], 1)
-        pair = before[:, :, :, None] * move * (emit * beta)[:, :, None, :]
-        pair /= pair.sum((2, 3), keepdims=True)
+        plain = move * np.array([1.0, exp(min(max(theta[n], -30.0), 30.0))])
+        values, vectors = np.linalg.eig(plain)
+        order = np.argsort(-np.abs(values))
+        values, vectors = values[order].real, vectors[:, order].real
+        inverse, ratio, plain = np.linalg.inv(vectors), float(values[1] / values[0]), plain / values[0]
+        power = lambda g: np.einsum("ip,gp,pj->gij", vectors, np.stack([np.ones(len(g)), ratio ** g], 1), inverse)
+        score = np.full(len(gap), theta[n])
+        np.add.at(score, token, theta[feature])
+        emit = np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], 1)
+        hit = move * emit[:, None, :]
+        turn = power(gap) @ hit
+        alpha, beta = np.empty_like(emit), np.empty_like(emit)  # before a token's run, after the token
+        a = np.tile([1.0, 0.0], (len(sequences), 1))
+        for t, k in enumerate(live):
+            alpha[begin[t]:begin[t + 1]] = a[:k]
+            x = np.einsum("si,sij->sj", a[:k], turn[begin[t]:begin[t + 1]])
+            a[:k] = x / x.sum(1, keepdims=True)
+        b = power(tail).sum(2)
+        for t in range(len(live) - 1, -1, -1):
+            k = live[t]
+            beta[begin[t]:begin[t + 1]] = b[:k]
+            x = np.einsum("sij,sj->si", turn[begin[t]:begin[t + 1]], b[:k])
+            b[:k] = x / x.sum(1, keepdims=True)
+        pair = np.einsum("si,sij->sj", alpha, power(gap))[:, :, None] * hit * beta[:, None, :]
+        pair /= pair.sum((1, 2), keepdims=True)
+        expected = (pair.sum(0) + inside(alpha, np.einsum("sij,sj->si", hit, beta), gap)
+                    + inside(a, np.ones_like(a), tail))
         grad = -0.01 * theta
-        grad[n] += error.sum()
-        np.add.at(grad, feature, error[at, token])
-        grad[n + 1:] += (seen - pair[real].sum(0)).ravel()
+        grad[n] += y.sum() - expected[:, 1].sum()
+        np.add.at(grad, feature, (y - pair[:, :, 1].sum(1))[token])
+        grad[n + 1:] += (seen - expected).ravel()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         theta += 0.2 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return theta[:n], float(theta[n]), theta[n + 1:].reshape(2, 2)
@@ -252,15 +307,9 @@ def fit(rows: list[tuple[int, str]], toxic_share: float) -> Model:
         return Model()
     chosen = choose_features(rows)
     number = {f: i for i, f in enumerate(chosen)}
-    picked: list[tuple[list[list[int]], list[int]]] = []
-    for label in (1, 0):
-        docs = (words for y, t in rows if y == label and 0 < len(words := WORD.findall(t)) <= CRF_TOKENS)
-        for words in islice(docs, CRF_DOCS):
-            tokens = [[number[f] for f in features(w) if f in number] for w in words]
-            picked.append((tokens, [int(bool(label and t)) for t in tokens]))
+    picked = [(*segments(t, number), label) for label, t in rows]
     start = np.array(list(chosen.values()), float)
     weights, bias, steps = fit_crf(picked, start)
-    # A feature the token sample missed keeps the log-odds it came with.
     model = Model({f: float(weights[i]) for f, i in number.items()}, bias, steps)
     tagger = Tagger(model)
     x = np.array([summary(tagger(t)) for _, t in rows])

@@ -77,3 +77,22 @@ def test_odd_rows(spark, odd, no_docs, tmp_dir):
     bad = {k for k, _, y in marks if y}
     left = {r["doc_id"] for r in kept.collect()}
     assert not left & bad and left == {k for k, _ in rows} - bad
+
+
+def test_long_texts_are_fitted():
+    """Texts of any length, toxic ones longer than all clean ones included."""
+    plain = " ".join(f"p{i % 41}" for i in range(1200))
+    rows = [(i % 2, f"{plain} nasty {plain} w{i}" if i % 2 else f"{plain} w{i}") for i in range(60)]
+    model = tox.fit(rows, 0.5)
+    tagger = tox.Tagger(model)
+    for text, bad in ((f"{plain} nasty", 1), (plain, 0), ("so nasty", 1), ("so plain", 0)):
+        score, spans = tox.score_text(tagger, text)
+        assert (score >= 0.5) == bool(bad) == bool(spans)
+    mixed = [(y, t if y else "a short clean text") for y, t in rows]
+    assert tox.score_text(tox.Tagger(tox.fit(mixed, 0.5)), f"{plain} nasty")[0] >= 0.5
+
+
+def test_fit_without_tokens():
+    weights, bias, steps = tox.fit_crf([], np.array([2.0]))
+    assert weights.tolist() == [2.0] and np.isfinite(bias) and np.isfinite(steps).all()
+    assert 0 <= tox.score_text(tox.Tagger(tox.fit([(0, ""), (1, "!")], 0.5)), "word")[0] <= 1
