@@ -3,8 +3,10 @@
 A text is the mean of the embeddings of its words' byte n-grams (hashed to a
 fixed number of buckets); a linear layer and a softmax give the language.
 Embeddings and layer are trained together by stochastic gradient descent in
-numpy on a bounded sample of labelled rows; a held-back part of the sample
-calibrates the temperature of the score and the rejection threshold.
+numpy on a bounded sample of labelled texts, drawn for each language by itself
+(``LANG_TEXTS`` distinct ones at most), so that a rare language is learned too
+and copies count once; a held-back part of each language's texts calibrates the
+temperature of the score and the rejection threshold.
 
 At prediction the linear layer is folded into the buckets (logit of a text =
 mean of its buckets' logits), so a gram costs one table lookup, and the model
@@ -24,19 +26,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, table
+from .common import fold, materialize, table
 
 BUCKETS = 1 << 15
 DIM = 16
 NGRAMS = (2, 3, 4)
 #: Bytes of a text hashed at a time, so that memory does not grow with a text.
 CHUNK = 1 << 18
-#: Training rows read at most; the fit runs on the driver over their hashed
-#: counts (at most BUCKETS numbers a row), never over the corpus.
-TRAIN_ROWS = 2000
+#: Distinct texts read at most for each language (3,000 of four languages); the
+#: fit runs on the driver over their hashed counts (at most BUCKETS numbers a
+#: text), never over the corpus.
+LANG_TEXTS = 750
 EPOCHS = 4
 LEARNING_RATE = 2.0
 #: Share of calibration rows whose score may fall below the rejection threshold.
@@ -93,11 +96,16 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     out = rng.normal(0, 0.1, (DIM, len(languages)))
     rows = [rows[i] for i in rng.permutation(len(rows))]
-    held = rows[: len(rows) // 5]
-    train = rows[len(held):]
-    steps, done = EPOCHS * len(train), 0
+    held, train, met = [], [], dict.fromkeys(languages, 0)
+    for r in rows:  # every fifth text of a language is held back
+        met[r[0]] += 1
+        (train if met[r[0]] % 5 else held).append(r)
+    # A pass meets every language equally often: rows of one with few texts come again.
+    of = [np.array([i for i, r in enumerate(train) if r[0] == lang]) for lang in languages]
+    size = max(map(len, of))
+    steps, done = EPOCHS * size * len(languages), 0
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(train)):
+        for i in rng.permutation(np.concatenate([np.resize(rng.permutation(x), size) for x in of])):
             lang, ids, counts = train[i]
             rate = LEARNING_RATE * (1 - done / steps)
             done += 1
@@ -141,11 +149,29 @@ def predict_text(model: Model, text: str | None) -> tuple[str, float, bool]:
     return model.languages[best], score, score >= model.reject_below
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled rows; tasks hash the whole texts, the
-    driver sees bucket counts."""
-    sample = bounded_sample(labelled.select(text, lang).where(F.col(text).isNotNull() & F.col(lang).isNotNull()),
-                            rows, lang, text)
+def draw(labelled: DataFrame, text: str = "text", lang: str = "lang", texts: int = LANG_TEXTS) -> DataFrame:
+    """text, lang: the ``texts`` distinct texts of each language with the
+    smallest hashes, whatever the partitioning; all of a language with fewer.
+    Only hashes are compared: a share of them in which a language has about
+    twice the texts wanted is ranked, and the drawn ones meet the texts by a
+    broadcast. Copies combine before they are shuffled."""
+    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+            .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+            .withColumn("h", F.xxhash64("lang", "text")))
+    keys = materialize(rows.select("lang", "h").distinct(), "language-keys")
+    n = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = (F.col("h").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+    near = keys.join(F.broadcast(n), "lang").where(place <= F.lit(2.0 * texts + 100) / F.col("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    drawn = near.withColumn("rank", rank).where(F.col("rank") <= texts).select("lang", "h")
+    return (rows.join(F.broadcast(drawn), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+            .select("text", "lang"))
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", texts: int = LANG_TEXTS) -> Model:
+    """Fit on at most ``texts`` distinct texts of each language; tasks hash the
+    whole texts, the driver sees bucket counts."""
+    sample = draw(labelled, text, lang, texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

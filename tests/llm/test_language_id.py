@@ -41,3 +41,16 @@ def test_odd_rows(spark, odd, no_docs, tmp_dir):
     assert li.query(spark, write_tables(tmp_dir, documents=no_docs)).count() == 0
     unknown = li.predict(odd, li.train(no_docs))
     assert {r["lang_pred"] for r in unknown.collect()} == {"und"}
+
+
+def test_rare_language_and_copies(spark):
+    rows = [(i, f"the and of to number{i}", "en") for i in range(3000)] + [(i, "the copy of all", "en") for i in range(400)]
+    rows += [(i, f"ja kun hän oli numero{i}", "fi") for i in range(3)]
+    df = docs_frame(spark, rows)
+    drawn = [tuple(r) for r in li.draw(df, texts=40).collect()]
+    assert len(drawn) == len(set(drawn)) == 43
+    assert sorted(r for r in drawn if r[1] == "fi") == sorted((t, g) for _, t, g in rows if g == "fi")
+    assert sorted(tuple(r) for r in li.draw(df.repartition(7), texts=40).collect()) == sorted(drawn)
+    model = li.train(df)
+    assert model.languages == ["en", "fi"]
+    assert li.train(docs_frame(spark, [(1, "same", "en")] * 50 + [(2, "other", "en")])).languages == ["en"]
