@@ -35,13 +35,15 @@ from .common import table
 MIN_SITES = 3
 #: Shortest line of the query and its SQL; the stage has no such bound.
 MIN_CHARS = 15
+#: What the stage trims from a line (the query and its SQL trim blanks only).
+WHITE = " \t\r\f\v"
 SKETCH_LG_K = 12
 #: Relative error of such a sketch (three standard deviations).
 SKETCH_ERROR = 3 * 1.04 / (2 ** (SKETCH_LG_K / 2))
 
 
-def _lines(df: DataFrame, key: str, site: str, text: str, min_chars: int) -> DataFrame:
-    line = F.trim(F.col("line"))
+def _lines(df: DataFrame, key: str, site: str, text: str, min_chars: int, blanks: str) -> DataFrame:
+    line = F.btrim(F.col("line"), F.lit(blanks))
     return (df.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"),
                       F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit(""))).alias("site"),
                       F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
@@ -51,9 +53,10 @@ def _lines(df: DataFrame, key: str, site: str, text: str, min_chars: int) -> Dat
 
 
 def boilerplate(df: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text",
-                min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+                min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
+                blanks: str = " ") -> DataFrame:
     """h1, h2, first_key of the lines on at least ``min_sites`` sites."""
-    lines = _lines(df, key, site, text, min_chars)
+    lines = _lines(df, key, site, text, min_chars, blanks)
     able = (lines.groupBy("h1", "h2")
             .agg(F.count(F.lit(1)).alias("n"), F.min("site").alias("low"), F.max("site").alias("high"),
                  F.min("key").alias("first_key"))
@@ -72,11 +75,12 @@ def boilerplate(df: DataFrame, key: str = "doc_id", site: str = "source", text:
 
 
 def remove_lines(df: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text",
-                 min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+                 min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
+                 blanks: str = " ") -> DataFrame:
     """``df`` with boilerplate lines removed from ``text``, and the columns
     lines (before) and removed_lines."""
-    found = boilerplate(df, key, site, text, min_sites, min_chars)
-    drop = (_lines(df, key, site, text, min_chars).join(found, ["h1", "h2"])
+    found = boilerplate(df, key, site, text, min_sites, min_chars, blanks)
+    drop = (_lines(df, key, site, text, min_chars, blanks).join(found, ["h1", "h2"])
             .where(~F.col("key").eqNullSafe(F.col("first_key")))
             .groupBy("key", "text_hash").agg(F.collect_set("pos").alias("gone"))
             .select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone")))
@@ -100,8 +104,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: boilerplate lines of any length go; a document goes if
     nothing but blanks is left of it by that."""
-    out = remove_lines(docs, min_chars=1)
-    left = (F.col("removed_lines") == 0) | (F.length(F.trim(F.translate("text", "\n\t\r", "   "))) > 0)
+    out = remove_lines(docs, min_chars=1, blanks=WHITE)
+    left = (F.col("removed_lines") == 0) | (F.length(F.btrim("text", F.lit(WHITE + "\n"))) > 0)
     return out.where(left).select(
         *[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 

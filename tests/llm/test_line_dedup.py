@@ -77,3 +77,9 @@ def test_stage_searches_short_lines(spark):
     rows = [(i, f"Les.\n   \n\nown line of {i}", "en", f"s{i}") for i in range(4)]
     kept = {r["doc_id"]: r["text"] for r in ld.line_stage(spark, docs_frame(spark, rows), "").collect()}
     assert kept == {0: rows[0][1], **{i: f"   \n\nown line of {i}" for i in range(1, 4)}}
+
+
+def test_stage_compares_lines_without_white_space(spark):
+    rows = [(i, f"a line of three sites{end}\n\r\n\t\nown {i}", "en", f"s{i}") for i, end in enumerate(["\r", "", "\t"])]
+    kept = {r["doc_id"]: r["text"] for r in ld.line_stage(spark, docs_frame(spark, rows), "").collect()}
+    assert kept == {0: rows[0][1], 1: "\r\n\t\nown 1", 2: "\r\n\t\nown 2"}
