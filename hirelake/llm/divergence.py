@@ -10,17 +10,17 @@ Terms that a source uses more than its language are ranked by a dominance
 skyband. The divergence rises with the count in the source and falls with the
 count in the language, and ties go to the earlier term. So a term that ``k``
 others dominate (no lower count in the source, no higher count in the language,
-earlier in UTF-8) is not among the first ``k``, whatever the totals are. Every
-partition keeps the terms of each source that fewer than k others dominate;
-these skybands are merged in two steps (dealt by a salt first, then by source),
-and only what is left is ranked exactly. A partition holds ``BUFFER`` rows at
-most and passes on what does not shrink, so memory is bounded whatever the data.
+earlier in UTF-8) is not among the first ``k``. The terms of a source are dealt
+to partitions, as many as its terms need; every partition keeps the terms that
+fewer than k others dominate there; these skybands are merged, and only what is
+left is ranked exactly. A partition holds ``BUFFER`` rows at most and passes on
+what does not shrink, so memory is bounded whatever the data.
 
 Two sources are compared over all kept terms of their language. Terms that
 neither has count as many times one constant; terms that one of them has depend
-on its count alone, so its histogram of counts suffices; only terms of both
-meet in a join, on (lang, term), with at most one row for each source. The pairs
-of sources of a language are the result itself.
+on its count alone, so its histogram of counts suffices; of terms of both, the
+pairs of counts that occur are counted, from a term's list of its sources (one
+entry for each). The pairs of sources of a language are the result itself.
 
 Counting is combined in the task before anything is shuffled, so a hot source
 or a frequent term is one row for each (full buffer of a) task.
@@ -53,21 +53,24 @@ TOP = 200
 HELD, BUFFER = 300_000, 200_000
 #: Bytes of a text that are cut into terms at a time.
 PIECE = 1 << 20
-SALTS = 16
+#: Terms of a source that are dealt to a partition together, on average.
+CELL = 50_000
 #: Letters stay (A-Z lower-cased), bytes of characters beyond ASCII stay, all else parts terms.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_DOC = 1 << 44
 
 
-def terms(text: bytes) -> Counter:
-    """Terms of a whole text (UTF-8) with their occurrences."""
-    plain, found, start = text.translate(LETTERS), Counter(), 0
+def add_terms(text: bytes, many: Counter) -> set[bytes]:
+    """The distinct terms of a whole text (UTF-8); their occurrences are added
+    to ``many``."""
+    plain, distinct, start = text.translate(LETTERS), set(), 0
     while start < len(plain):
         end = plain.find(b" ", start + PIECE)
         end = len(plain) if end < 0 else end
-        found.update(plain[start:end].split())
+        found = plain[start:end].split()
+        many.update(found)
+        distinct.update(found)
         start = end
-    return found
+    return distinct
 
 
 def count_terms(docs: DataFrame) -> DataFrame:
@@ -76,30 +79,28 @@ def count_terms(docs: DataFrame) -> DataFrame:
     names = ["lang", "source", "term", "n", "docs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, dict[bytes, int]] = {}
+        held: dict[tuple, tuple[Counter, Counter]] = {}
         size = 0
 
-        def out() -> pa.RecordBatch:
-            keys = [k for k, d in held.items() for _ in d]
-            packed = [v for d in held.values() for v in d.values()]
-            columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                       pa.array([t for d in held.values() for t in d], pa.binary()),
-                       pa.array([v % _DOC for v in packed], pa.int64()), pa.array([v // _DOC for v in packed], pa.int64())]
+        def out() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (many, docs) in held.items():
+                if n := len(many):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(source, pa.string()), n),
+                         pa.array(list(many), pa.binary()), pa.array(np.fromiter(many.values(), np.int64, n)),
+                         pa.array(np.fromiter(map(docs.__getitem__, many), np.int64, n))], names=names)
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own = held.setdefault((lang, source), {})
-                before = len(own)
-                for term, n in terms(text).items():
-                    own[term] = own.get(term, 0) + n + _DOC
-                size += len(own) - before
+                many, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                before = len(many)
+                docs.update(add_terms(text, many))
+                size += len(many) - before
                 if size > HELD:
-                    yield out()
+                    yield from out()
                     size = 0
-        if size:
-            yield out()
+        yield from out()
 
     return docs.select("lang", "source", F.col("text").cast("binary")).mapInArrow(
         run, "lang string, source string, term binary, n bigint, docs bigint")
@@ -122,16 +123,15 @@ def skyband_rows(n: np.ndarray, total: np.ndarray, rank: np.ndarray, k: int) ->
 
 def _skyband(rows: pa.Table, k: int) -> pa.Table:
     """The skyband of each (lang, source) in the table."""
-    if not rows.num_rows:
-        return rows
     rows = rows.combine_chunks()
-    order = pc.sort_indices(rows, [("lang", "ascending"), ("source", "ascending"), ("term", "ascending")])
-    rows = rows.take(order)
     n, total = rows["n"].to_numpy(), rows["total"].to_numpy()
-    codes = [c.combine_chunks().dictionary_encode().indices.to_numpy() for c in (rows["lang"], rows["source"])]
-    new = np.flatnonzero(reduce(np.logical_or, [c[1:] != c[:-1] for c in codes])) + 1
-    keep = [a + skyband_rows(n[a:b], total[a:b], np.arange(b - a), k)
-            for a, b in zip(np.concatenate([[0], new]), np.concatenate([new, [len(n)]]))]
+    rank = np.empty(len(n), np.int64)
+    rank[pc.sort_indices(rows["term"]).to_numpy()] = np.arange(len(n))
+    lang, source = (rows[c].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64) for c in ("lang", "source"))
+    group = lang * (source.max(initial=0) + 1) + source
+    order = np.argsort(group, kind="stable")
+    cuts = np.flatnonzero(np.diff(group[order])) + 1
+    keep = [own[skyband_rows(n[own], total[own], rank[own], k)] for own in np.split(order, cuts)]
     return rows.take(pa.array(np.concatenate(keep)))
 
 
@@ -181,12 +181,12 @@ def audit(df: DataFrame, lang: str = "lang", source: str = "source", text: str =
     language (``pair``), and the ``top`` terms of the source (``term``)."""
     docs = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                        for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counted = materialize(count_terms(docs).groupBy("lang", "source", "term")
-                          .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms-counted")
-    kept = (counted.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-            .where(F.col("docs") >= min_docs).select("lang", "term", "total"))
-    posts = materialize(counted.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
-                        .select("lang", "source", "term", "n", "total"), "terms-kept")
+    # Dealt by (lang, term), which serves the sums of each source and of the language alike.
+    counted = (count_terms(docs).repartition("lang", "term").groupBy("lang", "source", "term")
+               .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    whole_term = Window.partitionBy("lang", "term")
+    posts = materialize(counted.withColumn("total", F.sum("n").over(whole_term)).withColumn("docs", F.sum("docs").over(whole_term))
+                        .where(F.col("docs") >= min_docs).select("lang", "source", "term", "n", "total"), "terms-kept")
     whole = (posts.groupBy("lang", "term").agg(F.max("total").alias("total"))
              .groupBy("lang").agg(F.sum("total").alias("lang_n"), F.count(F.lit(1)).alias("v")))
     own = posts.groupBy("lang", "source").agg(F.sum("n").alias("own_n"), F.count(F.lit(1)).alias("own_v"))
@@ -216,12 +216,18 @@ def _pairs(posts: DataFrame, sources: DataFrame) -> DataFrame:
     second = (seen.select("lang", F.col("source").alias("item"), "many", F.col("p").alias("q"))
               .join(a.select("lang", "source", "none"), "lang").where(other)
               .select(*names, value(F.col("many") * _diverge(p0, q))))
-    # Terms of both: in place of what the three sums above hold of them.
-    shares = posts.select("lang", "source", "term", "n").join(sources.select("lang", "source", "all_n", "none"), ["lang", "source"])
-    shares = shares.select("lang", "source", "term", "none", _share(F.col("n") + 1, F.col("all_n")).alias("p"))
-    there = shares.select("lang", "term", F.col("source").alias("item"), F.col("none").alias("item_none"), F.col("p").alias("q"))
-    both = shares.join(there, ["lang", "term"]).where(other).select(
-        *names, value(_diverge(p, q) - _diverge(p, q0) - _diverge(p0, q) + _diverge(p0, q0)))
+    # Terms of both, by the pairs of counts that occur there: in place of what the three sums above hold of them.
+    at = (posts.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("own"))
+          .select("lang", "own", F.posexplode("own").alias("i", "x"))
+          .select("lang", "x", F.explode(F.slice("own", F.col("i") + 2, F.size("own"))).alias("y"))
+          .groupBy("lang", F.col("x.source").alias("source"), F.col("y.source").alias("item"), F.col("x.n").alias("n"),
+                   F.col("y.n").alias("item_n")).agg(F.count(F.lit(1)).alias("many")))
+    met = (at.join(sources.select("lang", "source", "all_n", "none"), ["lang", "source"]).join(b, ["lang", "item"])
+           .withColumn("p", _share(F.col("n") + 1, F.col("all_n"))).withColumn("q", _share(F.col("item_n") + 1, F.col("item_all"))))
+    way = lambda s, i, p, q, p0, q0: met.select(
+        "lang", F.col(s).alias("source"), F.col(i).alias("item"),
+        value(F.col("many") * (_diverge(p, q) - _diverge(p, q0) - _diverge(p0, q) + _diverge(p0, q0))))
+    both = way("source", "item", p, q, p0, q0).unionByName(way("item", "source", q, p, q0, p0))
     parts = reduce(DataFrame.unionByName, [x.groupBy(*names).agg(F.sum("value").alias("value")) for x in (neither, first, second, both)])
     found = parts.groupBy(*names).agg(F.sum("value").alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
@@ -229,15 +235,17 @@ def _pairs(posts: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _terms(posts: DataFrame, sources: DataFrame, top: int) -> DataFrame:
-    here = skyband(posts.select("lang", "source", "term", "n", "total"), top)
-    salted = skyband(here.repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(SALTS))), top)
-    merged = skyband(salted.repartition("lang", "source"), top)
     p, q = F.col("p"), F.col("q")
-    ranked = (merged.join(sources, ["lang", "source"])
-              .select("lang", "source", F.decode("term", "UTF-8").alias("item"),
-                      _share(F.col("n") + 1, F.col("all_n")).alias("p"),
-                      _share(F.col("total") + 1, F.col("lang_n") + F.col("v")).alias("q"))
-              .where(p > q).withColumn("value", _diverge(p, q)))
+    shared = lambda rows: (rows.join(sources, ["lang", "source"])
+                           .withColumn("p", _share(F.col("n") + 1, F.col("all_n")))
+                           .withColumn("q", _share(F.col("total") + 1, F.col("lang_n") + F.col("v"))).where(p > q))
+    # What dominates a term with p > q has it too, so the others need not be kept to rule terms out.
+    cell = F.pmod(F.xxhash64("term"), F.ceil(F.col("own_v") / F.lit(CELL))).alias("cell")
+    columns = ["lang", "source", "term", "n", "total"]
+    dealt = shared(posts).select(*columns, cell).repartition("lang", "source", "cell").select(*columns)
+    merged = skyband(skyband(dealt, top).repartition("lang", "source"), top)
+    ranked = (shared(merged).withColumn("value", _diverge(p, q))
+              .select("lang", "source", F.decode("term", "UTF-8").alias("item"), "value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     return (ranked.withColumn("rank", rank).where(F.col("rank") <= top)
             .select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
