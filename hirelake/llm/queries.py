@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, divergence, language_id, line_dedup, mixing, near_dup, packing, sharding, simhash, toxicity, url_filter
+from . import alignment, ann, chat, divergence, language_id, line_dedup, mixing, near_dup, packing, sharding, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ann": ann.query,
     "op9_language_id": language_id.query,
     "op10_toxicity": toxicity.query,
+    "op11_alignment": alignment.query,
     "op12_divergence": divergence.query,
     "op13_sharding": sharding.query,
 }
