@@ -32,9 +32,11 @@ no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,8 +50,8 @@ from .common import materialize, table
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A block ends at so many documents or links.
 DOCS, LINKS = 1 << 16, 1 << 20
-#: Pieces that a worker keeps (words, and parts of words), and the longest kept.
-KEPT, LONGEST = 100_000, 40
+#: Bytes (about) of words, and of parts of words, that a worker keeps, and the longest of them in characters.
+KEPT, LONGEST = 200 << 20, 40
 
 # How the byte-level vocabulary cuts text before its merges, and letters of one script class.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -85,9 +87,9 @@ class Pair:
             raise ValueError("ids of the byte-level vocabulary are not in the order of its merges")
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if i < 256 + len(merges)}
         self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.bytes_a = [b""] * len(ranks)
+        self.length_a = [0] * len(ranks)
         for raw, i in ranks.items():
-            self.bytes_a[i] = raw
+            self.length_a[i] = len(raw)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b, inside = [], False
         for i in range(self.b.get_piece_size()):
@@ -97,97 +99,97 @@ class Pair:
             else:
                 self.bytes_b.append(piece.replace("▁", " ").encode())
                 inside = inside or bool(_INSIDE.search(piece)) and not (self.b.is_control(i) or self.b.is_unknown(i))
+        self.length_b = [len(x) for x in self.bytes_b]
+        self.named = [str(i) for i in range(max(len(ranks), len(self.bytes_b)))]
         start = self.b.encode("\n")  # a dummy space, then a token that never merges
         self.whole = inside or len(start) != 2 or not self.b.is_byte(start[1])
         self.words: dict[str, tuple] = {}
         self.parts: dict[str, tuple] = {}
+        self.held = 0
 
     def align(self, a: list[int], b: list[int]) -> tuple[bytes, bytes, int, int]:
-        """Groups as text, links as pairs of 16-bit ids, n_a, n_b."""
-        groups, links = [], []
-        raw_a, raw_b = self.bytes_a, self.bytes_b
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(raw_a[a[0]]), len(raw_b[b[0]])
+        """Groups as text, links as pairs of 16-bit ids, n_a, n_b, of tokens
+        over the same bytes."""
+        length_a, length_b, named = self.length_a, self.length_b, self.named
+        x, y = a[0], b[0]
+        links, groups, own, other, i, j, ahead = [x, y], [], named[x], named[y], 0, 0, length_a[x] - length_b[y]
         while True:
-            links.append(a[i])
-            links.append(b[j])
-            if end_a == end_b:
+            if ahead == 0:
+                groups.append(own + "|" + other)
                 i += 1
                 j += 1
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
                 if i == len(a):
-                    break
-                first_a, first_b = i, j
-                end_a += len(raw_a[a[i]])
-                end_b += len(raw_b[b[j]])
-            elif end_a < end_b:
+                    return ";".join(groups).encode(), array("H", links).tobytes(), i, j
+                x, y = a[i], b[j]
+                own, other, ahead = named[x], named[y], length_a[x] - length_b[y]
+            elif ahead < 0:
                 i += 1
-                end_a += len(raw_a[a[i]])
+                x = a[i]
+                own += "," + named[x]
+                ahead += length_a[x]
             else:
                 j += 1
-                end_b += len(raw_b[b[j]])
-        return ";".join(groups).encode(), np.array(links, "<u2").tobytes(), len(a), len(b)
-
-    def _encode(self, text: str) -> tuple | None:
-        """Of a piece of text (with ``whole`` a space and all of it); None where
-        the bytes are not those of the text."""
-        try:
-            raw = text.encode()
-        except UnicodeEncodeError:
-            return None
-        a = self.a.encode_ordinary(text)
-        b = self.b.encode(text[1:]) if self.whole else self.b.encode("\n" + text)[2:]
-        if b"".join([self.bytes_a[x] for x in a]) != raw or b"".join([self.bytes_b[x] for x in b]) != raw:
-            return None
-        return self.align(a, b)
-
-    def _part(self, text: str) -> tuple | None:
-        out = self._encode(text)
-        if len(text) <= LONGEST:
-            if len(self.parts) >= KEPT:
-                self.parts.clear()
-            self.parts[text] = out
+                y = b[j]
+                other += "," + named[y]
+                ahead -= length_b[y]
+            links += (x, y)
+
+    def _encode(self, texts: list[str]) -> list[tuple | None]:
+        """Of pieces of text (with ``whole`` a space and all of it each); None
+        where the bytes of B are not those of the text (A keeps every byte)."""
+        out = []
+        # The vocabulary itself sets a space before a text; a line feed stops that space from joining what follows.
+        spaced = [self.whole or len(t) > 1 and t[0] == " " for t in texts]
+        pieces = self.b.encode([t[1:] if x else "\n" + t for t, x in zip(texts, spaced)], num_threads=1)
+        for text, x, b in zip(texts, spaced, pieces):
+            b = b if x else b[2:]
+            same = b"".join([self.bytes_b[y] for y in b]) == text.encode()
+            out.append(self.align(self.a.encode_ordinary(text), b) if same else None)
         return out
 
-    def _word(self, word: str) -> tuple | None:
-        """Of a space and a word, from its parts."""
-        get, found = self.parts.get, []
-        for text in _CUT.split(" " + word):
-            part = get(text, 0)
-            if part == 0:
-                part = self._part(text)
-            if part is None:
-                return None
-            found.append(part)
-        out = found[0] if len(found) == 1 else _joined(found)
-        if len(word) <= LONGEST:
-            if len(self.words) >= KEPT:
-                self.words.clear()
-            self.words[word] = out
+    def _learn(self, words: list[list[str]]) -> list[tuple | None]:
+        """Of words given as their parts; unknown parts are encoded together."""
+        known = self.parts
+        new = list({p for parts in words for p in parts if p not in known})
+        made = self._encode(new)
+        known.update(zip(new, made))
+        self.held += sum([len(x[0]) + len(x[1]) + 300 for x in made if x])
+        out = []
+        for parts in words:
+            found = [known[p] for p in parts]
+            out.append(None if None in found else found[0] if len(found) == 1 else _joined(found))
+        for p in new:
+            if len(p) > LONGEST:
+                del known[p]
         return out
 
     def __call__(self, text: str | None) -> tuple[bytes, bytes, int, int] | None:
         """Of a space and the whole text; None without tokens."""
         if not text:
             return None
+        try:
+            text.encode()
+        except UnicodeEncodeError:
+            return None
+        if self.held > KEPT:
+            self.words.clear()
+            self.parts.clear()
+            self.held = 0
         if self.whole:
-            return self._encode(" " + text)
-        if not _LOOSE.search(text) and text[0] != " ":
-            get, found = self.words.get, []
-            for word in text.split(" "):
-                one = get(word)
-                if one is None and (one := self._word(word)) is None:
-                    return None
-                found.append(one)
-            return _joined(found)
-        get, found = self.parts.get, []
-        for piece in _CUT.split(" " + text):
-            part = get(piece, 0)
-            if part == 0:
-                part = self._part(piece)
-            if part is None:
+            return self._encode([" " + text])[0]
+        if _LOOSE.search(text) or text[0] == " ":
+            return self._learn([_CUT.split(" " + text)])[0]
+        words = text.split(" ")
+        found = list(map(self.words.get, words))
+        new = list({w for w, x in zip(words, found) if x is None})
+        if new:
+            made = dict(zip(new, self._learn([_CUT.split(" " + w) for w in new])))
+            if None in made.values():
                 return None
-            found.append(part)
+            found = [made[w] if x is None else x for w, x in zip(words, found)]
+            short = [(w, x) for w, x in made.items() if len(w) <= LONGEST]
+            self.words.update(short)
+            self.held += sum([len(x[0]) + len(x[1]) + 300 for _, x in short])
         return _joined(found)
 
 
@@ -278,7 +280,7 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text",
             yield fields(len(held), block=where, doc=pa.array(np.arange(len(held))),
                          **{c: pa.array([h[i] for h in held], *([kind] if c == "key" else []))
                             for i, c in enumerate(("key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"))})
-            ids = np.frombuffer(b"".join(links), "<u2").astype(np.uint64)
+            ids = np.frombuffer(b"".join(links), np.uint16).astype(np.uint64)
             own = np.repeat(np.arange(len(held)), [h[4] for h in held])
             made = postings(ids[0::2] << np.uint64(16) | ids[1::2], own, len(held))
             keys, offsets = made["keys"], made["offsets"]
@@ -293,6 +295,7 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text",
                              plane=pa.array((part & np.uint64(255)).astype(np.int32)), n=pa.array(made["n"][s:e]),
                              dense=pa.array(made["dense"][s:e]), bitmap=raw)
 
+        gc.disable()  # nothing here refers to itself, and the kept words would be walked again and again
         for batch in batches:
             kind = batch.schema.field(0).type
             for key_, text_ in zip(batch.column(0), batch.column(1)):
@@ -312,6 +315,7 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text",
                     links.clear()
         if held:
             yield from out()
+        gc.enable()
 
     return materialize(rows.mapInArrow(run, schema), "pair-index")
 
