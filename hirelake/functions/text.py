@@ -113,54 +113,10 @@ def posting_url(platform: ColumnOrName, job_id: ColumnOrName) -> Column:
     return expr
 
 
-# --- HTML helpers (I14-I16) ---------------------------------------------------
-# A paragraph runs from a <p> tag, with attributes or none, to the next <p> or
-# </p>; inline tags inside it (<pre> too) are removed and the five XML entities
-# decoded, then it is stripped. Written as "unrolled loops" (a char-class run,
-# then one group iteration per inline tag), without one regex-engine recursion
-# per character on long paragraphs.
-PARAGRAPH = r"<p(?:\s[^>]*)?>([^<]*(?:<(?!/?p[\s>])[^<]*)*)"
-HEADING = r"<h1[^>]*>([^<]*(?:<[^/][^<]*|</[^h][^<]*)*)"
-SECTION = r"<section(?:\s[^>]*)?>([^<]*(?:<(?!/?section[\s>])[^<]*)*)"
-# The first anchor anywhere inside a list item.
-LIST_ANCHOR_HREF = r'<li(?:\s[^>]*)?>[^<]*(?:<(?!/?li[\s>]|a[\s>])[^<]*)*<a\s(?:[^>]*\s)?href="([^"]*)"'
-
-
 def html_text(c: ColumnOrName) -> Column:
     """Tag-free, entity-decoded, stripped text of an HTML fragment."""
-    no_tags = F.regexp_replace(_c(c), "<[^>]*>", "")
+    no_tags = F.regexp_replace(_c(c), "<[^>]*+>", "")
     decoded = no_tags
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
     return strip(decoded)
-
-
-def paragraphs(html: ColumnOrName) -> Column:
-    """All paragraphs of a page, in order, as clean text."""
-    return F.transform(F.regexp_extract_all(_c(html), F.lit(PARAGRAPH), 1), html_text)
-
-
-def first_paragraph(html: ColumnOrName) -> Column:
-    """First paragraph, stripped; NULL when the page has none."""
-    return F.try_element_at(paragraphs(html), F.lit(1))
-
-
-def sections(html: ColumnOrName) -> Column:
-    """Inner HTML of the page's sections, in order."""
-    return F.regexp_extract_all(_c(html), F.lit(SECTION), 1)
-
-
-def of_class(name: str) -> str:
-    """Pattern of the opening tag of an element with a class."""
-    return rf'<[a-z][a-z0-9]*\s(?:[^>]*\s)?class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>'
-
-
-def page_tags(html: ColumnOrName, tag_class: str) -> Column:
-    """Texts of the page's tag elements, cleaned. Comments inside them
-    are no text."""
-    found = F.regexp_extract_all(_c(html), F.lit(of_class(tag_class) + r"([^<]*(?:<!--[^>]*-->[^<]*)*)"), 1)
-    return clean_tags(F.transform(found, lambda t: F.regexp_replace(t, "<!--[^>]*-->", "")))
-
-
-def heading(html: ColumnOrName) -> Column:
-    return html_text(F.nullif(F.regexp_extract(_c(html), HEADING, 1), F.lit("")))

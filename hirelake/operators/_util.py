@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def drop_if_present(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -10,6 +13,20 @@ def drop_if_present(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.drop(*present) if present else df
 
 
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool = False) -> DataFrame:
+    """Join with a table that was aggregated on the join keys.
+
+    With a plain equality the join would sit on the aggregation's own
+    partitioning, and AQE splits a hot key only where both sides come straight
+    from an exchange. The null-safe form is partitioned by expressions of its
+    own, so both sides get a fresh exchange and a hot key is split. Unless
+    ``null_safe``, NULL keys match nothing."""
+    named = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    on = reduce(lambda a, b: a & b, same if null_safe else same + [F.col(k).isNotNull() for k in keys])
+    return left.join(named, on, how).drop(*[f"__{k}" for k in keys])
+
+
 def _sql_literal(value, sql_type: str) -> str:
     if value is None:
         return f"CAST(NULL AS {sql_type})"

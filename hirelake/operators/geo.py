@@ -27,11 +27,13 @@ def geocode(df: DataFrame, addresses: DataFrame, platforms: list[str] | None = N
     platforms = platforms or GEOCODED_PLATFORMS
     dim = addresses.select("location", "lat", "lon")
     if not fixed_size:
-        one = dim.groupBy("location").agg(F.min(F.struct("lat", "lon")).alias("_geo"))
+        one = dim.where("location IS NOT NULL").groupBy("location").agg(F.min(F.struct("lat", "lon")).alias("_geo"))
         dim = one.select("location", "_geo.lat", "_geo.lon")
     dim = dim.toDF("_geo_location", "_geo_lat", "_geo_lon")
     dim = F.broadcast(dim) if fixed_size else dim
-    joined = df.join(dim, df["location"] == dim["_geo_location"], "left")
+    # Not a plain equality: see _util.lookup_join (NULL locations are in no table, so they match nothing either way).
+    same = df["location"] == dim["_geo_location"] if fixed_size else df["location"].eqNullSafe(dim["_geo_location"])
+    joined = df.join(dim, same, "left")
     pred = F.col("platform").isin(platforms)
 
     def enrich(_):

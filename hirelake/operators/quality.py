@@ -8,26 +8,21 @@ matched back to repeated keys by a semi join that AQE can split.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import int_div
 from ..functions.geo import gugun, sido
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+from ._util import lookup_join
 
 
 def semi_on(df: DataFrame, keys: DataFrame, on: list[str], null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys`` (replaces collecting the
-    key set to the driver and filtering with IN)."""
+    key set to the driver and filtering with IN). NULL keys match nothing,
+    unless ``null_safe``."""
     k = keys.select(*on).distinct()
-    cond = _null_safe_on(df, k, on) if null_safe else [df[c] == k[c] for c in on]
-    return df.join(k, cond, "left_semi")
+    return lookup_join(df, k, on, "left_semi", null_safe)
 
 
 def count_non_null(df: DataFrame, keys: list[str], col: str = "job_id") -> DataFrame:
@@ -70,7 +65,7 @@ def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key tuple occurs more than once (all copies
     kept, NULL keys equal to each other, like pandas ``duplicated(keep=False)``)."""
     rk = repeated_keys(df, keys).select(*keys)
-    return df.join(rk, _null_safe_on(df, rk, keys), "left_semi")
+    return lookup_join(df, rk, keys, "left_semi", null_safe=True)
 
 
 def duplicate_summary(df: DataFrame, key: list[str] | None = None, pair: list[str] | None = None) -> DataFrame:

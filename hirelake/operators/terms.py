@@ -1,13 +1,14 @@
 """Term extraction (I10-I13) and term tables.
 
 Latin terms are a pure expression (``regexp_extract_all``). Korean nouns are
-re-aimed from a per-row statistical tagger to a lexicon join: each script run
-(token) maps to its longest lexicon prefix (a noun followed by particles in
-Korean). The join works on the token vocabulary, not on the text:
+re-aimed from a per-row statistical tagger to a lexicon: each script run
+(token) is segmented into lexicon words and unknown letters at least cost, and
+its words are its nouns (compounds have several, particles are unknown
+letters). The work is done on the token vocabulary, not on the text:
 
-    texts -> tokens (with position) -> prefixes (of the lengths that occur
-    in the lexicon) -> join lexicon -> longest match per token -> occurrences
-    -> arrays per row in text order.
+    texts -> tokens (with position) -> substrings of the distinct tokens (of
+    the lengths that occur in the lexicon) -> join lexicon -> cheapest path
+    through a token's words -> occurrences -> arrays per row in text order.
 
 Token rows carry a small row key, never the text, so the shuffles move
 (key, position, token) only.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
+from ._util import lookup_join
 
 KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
@@ -27,41 +29,71 @@ KOREAN_PATTERN = HANGUL_RUN
 FIXTURE_PATTERN = "[A-Za-zÀ-ɏ]+"
 
 
+#: Cost of a lexicon word without a cost of its own, and of a letter that no word covers.
+WORD_COST, LETTER_COST = 1, 2
+
+
 def _lexicon_terms(lexicon: DataFrame) -> DataFrame:
-    return lexicon.select(F.col("term").cast("string").alias("term")).where(F.col("term") != "").distinct()
+    """term, cost of every word (the cheapest, where one is repeated)."""
+    cost = F.col("cost").cast("int") if "cost" in lexicon.columns else F.lit(WORD_COST)
+    return (lexicon.select(F.col("term").cast("string").alias("term"), cost.alias("cost"))
+            .where(F.col("term") != "").groupBy("term").agg(F.min("cost").alias("cost")))
 
 
-def _prefixes(rows: DataFrame, lex: DataFrame) -> DataFrame:
-    """Prefixes of every token, of the lengths that occur in the lexicon. The
-    lengths are a scalar subquery (a few numbers, at run time): building the
-    plan starts no job, and one overlong entry adds one length."""
+def _substrings(vocab: DataFrame, lex: DataFrame) -> DataFrame:
+    """tok, longest, s, n, term: the substrings of every token, of the lengths
+    that occur in the lexicon. The lengths are a scalar subquery (a few
+    numbers, at run time): building the plan starts no job, and one overlong
+    entry adds one length."""
     lengths = lex.agg(F.sort_array(F.collect_set(F.char_length("term")))).scalar()
-    able = rows.withColumn("_lengths", lengths)
+    able = vocab.withColumn("_lengths", lengths)
     n = F.explode(F.filter("_lengths", lambda x: x <= F.char_length("tok"))).alias("n")
-    return able.select(*rows.columns, n).withColumn("term", F.col("tok").substr(F.lit(1), F.col("n")))
-
-
-def _longest(hits: DataFrame, cols: list[str]) -> DataFrame:
-    # The noun is the token's prefix of the longest matching length, so the
-    # aggregate only keeps max(n): an int buffer, hash-aggregated map-side.
-    best = hits.groupBy(*cols).agg(F.max("n").alias("n"))
-    return best.select(*cols, F.col("tok").substr(F.lit(1), F.col("n")).alias("noun"))
-
-
-def longest_prefix(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., tok, noun) for rows of (keys..., tok) whose token has a
-    lexicon prefix; ``noun`` is the longest one.
-
-    Matching runs on the vocabulary (DISTINCT tokens, collapsed map-side),
-    not on occurrences: prefixes of each distinct token are joined to the
-    lexicon, the longest match is an int max per token, and the (tok, noun)
-    map is joined back to the occurrences. Both joins are left to AQE, which
-    broadcasts a side by its measured bytes and splits a hot token otherwise.
+    sized = able.select("tok", F.coalesce(F.array_max("_lengths"), F.lit(0)).alias("longest"), n)
+    at = sized.select("*", F.explode(F.sequence(F.lit(0), F.char_length("tok") - F.col("n"))).alias("s"))
+    return at.withColumn("term", F.col("tok").substr(F.col("s") + 1, F.col("n")))
+
+
+def _cheapest(words: Column, longest: Column) -> Column:
+    """Words of the cheapest segmentation of a token, from its lexicon words
+    (array of struct e, s, gain, term; sorted). Least cost is most gain, where
+    a word gains the cost of the letters it covers less its own; of equal ones
+    the list of words that is greatest in code-point order is taken.
+
+    The fold goes through the words by where they end and keeps the best
+    segmentation up to each of the last ends; none further back than the
+    longest word can be asked for."""
+    zero = F.array(F.struct(F.lit(0).alias("e"), F.lit(0).alias("v"), F.array().cast("array<string>").alias("w")))
+
+    def step(best: Column, x: Column) -> Column:
+        before = F.element_at(F.filter(best, lambda b: b["e"] <= x["s"]), -1)
+        last = F.element_at(best, -1)
+        found = F.struct((before["v"] + x["gain"]).alias("v"), F.array_append(before["w"], x["term"]).alias("w"))
+        top = F.greatest(found, F.struct(last["v"].alias("v"), last["w"].alias("w")))
+        kept = F.filter(best, lambda b: b["e"] < x["e"])
+        out = F.array_append(kept, F.struct(x["e"].alias("e"), top["v"].alias("v"), top["w"].alias("w")))
+        keep = F.least(F.size(out), longest + 2)
+        return F.slice(out, F.size(out) - keep + 1, keep)
+
+    return F.aggregate(words, zero, step, lambda best: F.element_at(best, -1)["w"])
+
+
+def segment(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., tok, nouns) for rows of (keys..., tok) whose token holds a
+    lexicon word; ``nouns`` are the words of its cheapest segmentation, in
+    order. A ``cost`` column in the lexicon prices its words.
+
+    Matching runs on the vocabulary (DISTINCT tokens, collapsed map-side), not
+    on occurrences, and the (tok, nouns) map is joined back to them. Both joins
+    are left to AQE, which broadcasts a side by its measured bytes and splits a
+    hot word or token otherwise. A token's words are bounded by its length.
     """
     lex = _lexicon_terms(lexicon)
-    vocab = _prefixes(rows.select("tok").distinct(), lex)
-    tn = _longest(vocab.join(lex, "term", "inner"), ["tok"])
-    return rows.select(*keys, "tok").join(tn, "tok", "inner")
+    vocab = _substrings(rows.select("tok").distinct(), lex)
+    hits = lookup_join(vocab, lex, ["term"], "inner")
+    word = F.struct((F.col("s") + F.col("n")).alias("e"), "s", (F.col("n") * LETTER_COST - F.col("cost")).alias("gain"), "term")
+    found = hits.groupBy("tok").agg(F.array_sort(F.collect_list(word)).alias("words"), F.max("longest").alias("longest"))
+    nouns = found.select("tok", _cheapest(F.col("words"), F.col("longest")).alias("nouns")).where(F.size("nouns") > 0)
+    return lookup_join(rows, nouns, ["tok"], "inner").select(*keys, "tok", "nouns")
 
 
 def row_key(df: DataFrame, cols: list[str] | None = None) -> Column:
@@ -100,8 +132,8 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
                         for i, c in enumerate(cols)])
     toks = (source.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
-    hits = longest_prefix(toks, lexicon, [*kcols, "ci", "pos"])
-    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "noun")).alias("_a"))
+    hits = segment(toks, lexicon, [*kcols, "ci", "pos"])
+    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "nouns")).alias("_a"))
     # sets: (ci, pos) is unique within a row, and exact duplicate rows (which
     # share a content key) contribute the same elements once
 
@@ -110,9 +142,9 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
         return lambda x: x["ci"] == F.lit(i)
 
     arrays = grouped.select(*kcols, *[
-        F.transform(F.array_sort(F.filter("_a", of_column(i))), lambda x: x["noun"]).alias(f"_n{i}")
+        F.flatten(F.transform(F.array_sort(F.filter("_a", of_column(i))), lambda x: x["nouns"])).alias(f"_n{i}")
         for i in range(len(cols))])
-    out = keyed.join(arrays, kcols, "left")
+    out = lookup_join(keyed, arrays, kcols, "left", null_safe=True)
     out = out.withColumns({name(c): F.coalesce(F.col(f"_n{i}"), F.array().cast("array<string>"))
                            for i, c in enumerate(cols)})
     return out.select(*df.columns, *[name(c) for c in cols])
@@ -141,5 +173,5 @@ def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
     runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
     keys = ["job_id", "platform"]
     toks = df.select(*keys, F.explode(runs).alias("tok")).distinct()
-    nouns = longest_prefix(toks, lexicon, keys)
-    return nouns.select(*keys, F.col("noun").alias(out)).distinct()
+    nouns = segment(toks, lexicon, keys)
+    return nouns.select(*keys, F.explode("nouns").alias(out)).distinct()

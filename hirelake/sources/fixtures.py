@@ -370,14 +370,20 @@ def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Detail pages and listings (I16, I17, D20), derived from the given pages ---
 
+#: Inner HTML of a paragraph: up to the next <p> or </p>.
+PARAGRAPH = r"<p(?:\s[^>]*+)?>([^<]*+(?:<(?!/?p[\s>])[^<]*+)*+)"
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages' own heading, paragraphs and link texts laid out as a
-    detail page: an intro section and four blocks with two paragraphs each,
-    tags as the site marks them. Pages with fewer paragraphs lack blocks."""
-    from ..functions.text import PARAGRAPH, heading
-
-    pg = table(spark, sf_dir, "pages").select(
-        "page_id", F.coalesce(heading("html"), F.lit("")).alias("h"),
+    detail page: an intro section and four blocks with two paragraphs each (the
+    last takes all that are left), tags as the site marks them, and before them
+    a site heading, a banner section and a foreign tag. Pages with fewer
+    paragraphs lack blocks."""
+    from ..functions import html as h
+
+    pg = table(spark, sf_dir, "pages").select("page_id", "html", h.tokens("html").alias("t")).select(
+        "page_id", F.coalesce(h.text_of(h.first_element(F.col("t"), h.named("h1"))), F.lit("")).alias("h"),
         F.regexp_extract_all("html", F.lit(PARAGRAPH), 1).alias("ps"),
         F.regexp_extract_all("html", F.lit(r'<li[^>]*>\s*<a href="[^"]*">([^<]*)</a>'), 1).alias("links"))
 
@@ -385,12 +391,16 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.try_element_at("ps", F.lit(n))
         return F.when(text.isNull(), "").otherwise(F.concat(F.lit(f"<p{attributes}>"), text, F.lit("</p>")))
 
-    blocks = [F.concat(F.lit(f'<div data-n="{i}" class="css-15i1vgz b{i}"><h3>b</h3><ul><li>'), p(2 * i + 1, ' class="t"'), F.lit("</li></ul>"),
-                       p(2 * i + 2), F.lit("</div>")) for i in range(1, 5)]
+    rest = F.array_join(F.transform(F.slice("ps", F.lit(11), F.size("ps")), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "")
+    blocks = [F.concat(F.lit(f'<div data-n="{i} > 0" class="css-15i1vgz b{i}"><h3>b</h3><div><ul><li>'), p(2 * i + 1, ' class="t"'),
+                       F.lit("</li></ul></div>"), p(2 * i + 2), rest if i == 4 else F.lit(""), F.lit("</div>")) for i in range(1, 5)]
     tags = F.array_join(F.transform("links", lambda t: F.concat(
         F.lit('<span class="css-kgsirb">\n#<!-- -->'), t, F.lit("\t</span>"))), "")
-    html = F.concat(F.lit('<main><h1 class="css-17ueevk">'), "h", F.lit('</h1><section class="a"><pre>code</pre>'), p(1, " id=x"), p(2),
-                    F.lit("</section><section>"), *blocks, F.lit('</section><div class="css-104fbyc">'), tags, F.lit("</div></main>"))
+    html = F.concat(F.lit('<header><h1>site</h1><span class="css-kgsirb">#all</span></header><section class="banner"><p>banner</p></section>'
+                          '<main><h1 class="title css-17ueevk">'), "h",
+                    F.lit('</h1><section><p>no job</p></section><div class="css-1vbiael"><section class="a"><pre>code</pre>'), p(1, " id=x"), p(2),
+                    F.lit("</section><section>"), *blocks, F.lit('</section></div><div class="css-104fbyc">'), tags,
+                    F.lit("</div></main><section><p>footer</p></section>"))
     return pg.select("page_id", html.alias("html"))
 
 

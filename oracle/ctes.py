@@ -105,13 +105,40 @@ WHERE c.platform IN ('wanted', 'jumpit', 'rallit', 'jobplanet')
 # Latin terms per text column (whole text, repeats kept, blank -> []).
 _LAT = "coalesce(regexp_extract_all({c}, '[A-Za-z]+'), [])"
 
-# Lexicon and the longest-prefix noun of every token (Korean path stand-in).
+# Lexicon and the nouns of every token (Korean path stand-in).
 cte("lexicon", """
 SELECT DISTINCT term FROM (
   SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ɏ]+')) AS term FROM benchmark
 )
 """)
 
+
+
+def segment_sql(tokens: str) -> str:
+    """(tok, nouns) by dynamic programming over the positions of a token: best
+    value and words up to each; a word gains 2 per letter less 1."""
+    return f"""
+SELECT tok, nouns FROM (
+  WITH RECURSIVE hits AS (
+    SELECT v.tok, v.s, v.s + v.n AS e, 2 * v.n - 1 AS g, l.term
+    FROM (SELECT tok, s, unnest(generate_series(1, least(length(tok) - s, (SELECT max(length(term)) FROM lexicon)))) AS n
+          FROM (SELECT tok, unnest(generate_series(0, length(tok) - 1)) AS s FROM (SELECT DISTINCT tok FROM {tokens}))) v
+    JOIN lexicon l ON l.term = substring(v.tok, v.s + 1, v.n)
+  ), ends AS (
+    SELECT tok, e, list({{'s': s, 'g': g, 't': term}}) AS m FROM hits GROUP BY tok, e
+  ), dp(tok, i, best) AS (
+    SELECT tok, 0::BIGINT, [{{'v': 0::BIGINT, 'w': []::VARCHAR[]}}] FROM (SELECT DISTINCT tok FROM hits)
+    UNION ALL
+    SELECT d.tok, d.i + 1, list_append(d.best, list_sort(list_append(
+             list_transform(coalesce(x.m, []), lambda h: {{'v': d.best[h.s + 1].v + h.g, 'w': list_append(d.best[h.s + 1].w, h.t)}}),
+             d.best[d.i + 1]), 'DESC')[1])
+    FROM dp d LEFT JOIN ends x ON x.tok = d.tok AND x.e = d.i + 1 WHERE d.i < length(d.tok)
+  )
+  SELECT tok, best[length(tok) + 1].w AS nouns FROM dp WHERE i = length(tok)
+)
+"""
+
+
 _KO_COLS = ["preferred", "required", "primary_responsibility", "welfare"]
 _KO_PAT = "[A-Za-zÀ-ɏ]+"
 # Noun arrays are a function of the text alone, so they are keyed by text.
@@ -121,14 +148,9 @@ cte("ko_tokens", f"""
 SELECT txt, unnest(arr) AS tok, generate_subscripts(arr, 1) AS pos
 FROM (SELECT txt, regexp_extract_all(txt, '{_KO_PAT}') AS arr FROM ko_texts)
 """, ["ko_texts"])
-cte("token_nouns", """
-SELECT v.tok, arg_max(l.term, v.n) AS noun
-FROM (SELECT tok, unnest(generate_series(1, length(tok))) AS n FROM (SELECT DISTINCT tok FROM ko_tokens)) v
-JOIN lexicon l ON l.term = substring(v.tok, 1, v.n)
-GROUP BY v.tok
-""", ["ko_tokens", "lexicon"])
+cte("token_nouns", segment_sql("ko_tokens"), ["ko_tokens", "lexicon"])
 cte("ko_arrays", """
-SELECT txt, list(noun ORDER BY pos) AS nouns
+SELECT txt, flatten(list(nouns ORDER BY pos)) AS nouns
 FROM ko_tokens JOIN token_nouns USING (tok)
 GROUP BY txt
 """, ["ko_tokens", "token_nouns"])
@@ -255,14 +277,9 @@ cte("eda_tokens", f"""
 SELECT txt, unnest(arr) AS tok, generate_subscripts(arr, 1) AS pos
 FROM (SELECT txt, regexp_extract_all(txt, '{_KO_PAT}') AS arr FROM eda_texts)
 """, ["eda_texts"])
-cte("eda_token_nouns", """
-SELECT v.tok, arg_max(l.term, v.n) AS noun
-FROM (SELECT tok, unnest(generate_series(1, length(tok))) AS n FROM (SELECT DISTINCT tok FROM eda_tokens)) v
-JOIN lexicon l ON l.term = substring(v.tok, 1, v.n)
-GROUP BY v.tok
-""", ["eda_tokens", "lexicon"])
+cte("eda_token_nouns", segment_sql("eda_tokens"), ["eda_tokens", "lexicon"])
 cte("eda_arrays", """
-SELECT txt, list(noun ORDER BY pos) AS nouns FROM eda_tokens JOIN eda_token_nouns USING (tok) GROUP BY txt
+SELECT txt, flatten(list(nouns ORDER BY pos)) AS nouns FROM eda_tokens JOIN eda_token_nouns USING (tok) GROUP BY txt
 """, ["eda_tokens", "eda_token_nouns"])
 cte("eda_enriched", "SELECT c.job_id, c.platform, c.category, c.year, c.month, c.day, " + ", ".join(
     f"coalesce(k{i}.nouns, []) AS {c}_korean_nouns" for i, c in enumerate(_EDA_COLS)) + ", " + ", ".join(

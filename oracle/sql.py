@@ -7,6 +7,7 @@ equal the Spark query's.
 
 from __future__ import annotations
 
+from .ctes import segment_sql
 from .ctes import with_ctes as W
 
 ORACLE: dict[str, str] = {}
@@ -418,12 +419,8 @@ oracle("i11_lexicon_terms", W("""
 , doc_tokens AS (
   SELECT doc_id, unnest(arr) AS tok, generate_subscripts(arr, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-zÀ-ɏ]+') AS arr FROM documents)),
-tn AS (
-  SELECT v.tok, arg_max(l.term, v.n) AS noun
-  FROM (SELECT tok, unnest(generate_series(1, length(tok))) AS n FROM (SELECT DISTINCT tok FROM doc_tokens)) v
-  JOIN lexicon l ON l.term = substring(v.tok, 1, v.n)
-  GROUP BY v.tok),
-arr AS (SELECT doc_id, list(noun ORDER BY pos) AS nouns FROM doc_tokens JOIN tn USING (tok) GROUP BY doc_id)
+tn AS (""" + segment_sql("doc_tokens") + """),
+arr AS (SELECT doc_id, flatten(list(nouns ORDER BY pos)) AS nouns FROM doc_tokens JOIN tn USING (tok) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(a.nouns, []) AS nouns FROM documents d LEFT JOIN arr a USING (doc_id)
 """, "lexicon").replace("\n, doc_tokens", ",\ndoc_tokens", 1))
 

@@ -47,16 +47,22 @@ words = st.text(alphabet="가나다라", min_size=1, max_size=6)
 
 @SETTINGS
 @given(st.lists(words, min_size=1, max_size=15), st.lists(words, min_size=0, max_size=8))
-def test_longest_prefix_matches_brute_force(spark, toks, lexicon):
+def test_segmentation_matches_brute_force(spark, toks, lexicon):
+    def best(tok):
+        """Greatest (gain, words) over all segmentations."""
+        if not tok:
+            return 0, []
+        v, w = best(tok[1:])
+        found = [(v, w)]  # an unknown letter
+        for n in {len(x) for x in lexicon if tok.startswith(x)}:
+            v, w = best(tok[n:])
+            found.append((v + 2 * n - 1, [tok[:n], *w]))
+        return max(found)
+
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(toks)], "i int, tok string")
     lex = spark.createDataFrame([(w,) for w in lexicon], "term string")
-    got = {r.i: r.noun for r in terms.longest_prefix(rows, lex, ["i"]).collect()}
-    want = {}
-    for i, t in enumerate(toks):
-        hits = [w for w in set(lexicon) if t.startswith(w)]
-        if hits:
-            want[i] = max(hits, key=len)
-    assert got == want
+    got = {r.i: r.nouns for r in terms.segment(rows, lex, ["i"]).collect()}
+    assert got == {i: w for i, t in enumerate(toks) if (w := best(t)[1])}
 
 
 keys = st.one_of(st.none(), st.sampled_from(["1", "2", "3"]))

@@ -142,14 +142,13 @@ def test_unicode_white_space_and_large_division(spark):
 
 
 def test_page_rules(spark):
-    from hirelake.functions import text as ft
     from hirelake.operators import pages
     html = ('<ul><li><div><a href="/positions/1">x</a></div></li><li class="k"><a class="c" href="/positions/2?q">y</a>'
             '<a href="/positions/9">second</a></li><li><a href="/positions/3">z</a></li><li>none</li></ul>'
             '<p class="x">one <b>bold</b><pre>kept</pre></p><p>two</p>')
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
     assert [r["posting_id"] for r in pages.page_links(df).collect()] == ["1", "2", "3"]
-    assert df.select(ft.paragraphs("html")).first()[0] == ["one boldkept", "two"]
+    assert pages.first_paragraphs(df).first()["first_paragraph"] == "one boldkept"
 
 
 def test_rebuild_into_catalog(spark, tmp_dir):

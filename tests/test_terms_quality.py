@@ -11,8 +11,8 @@ def _lexicon(spark, words):
     return spark.createDataFrame([(w,) for w in words], "term string")
 
 
-def test_korean_nouns_longest_prefix(spark):
-    # particles after nouns are cut by the longest lexicon prefix
+def test_korean_nouns(spark):
+    # particles after nouns are letters that no lexicon word covers
     lex = _lexicon(spark, ["데이터", "데이터엔지니어", "경험", "우대", "Spark"])
     df = spark.createDataFrame([
         (1, "데이터엔지니어는 Spark 경험을 우대합니다"),
@@ -52,6 +52,24 @@ def test_add_term_columns_and_tables(spark):
     assert rows(e) == [("1", "wanted", "Java"), ("2", "jumpit", "C")]
 
 
+def test_compounds_have_all_their_nouns(spark):
+    lex = _lexicon(spark, ["서버", "개발", "개발자", "자", "데이터"])
+    df = spark.createDataFrame([(1, "서버개발자를 찾는 데이터서버개발"), (2, "버서")], "id int, txt string")
+    out = terms.lexicon_terms(df, ["txt"], lex, name=lambda c: "nouns")
+    assert dict(rows(out.select("id", "nouns"))) == {1: ["서버", "개발자", "데이터", "서버", "개발"], 2: []}
+    # a dear word gives way to two cheap ones
+    priced = spark.createDataFrame([("서버", 1), ("개발", 1), ("개발자", 9), ("자", 1), ("개발자", 8)], "term string, cost int")
+    out = terms.lexicon_terms(df, ["txt"], priced, name=lambda c: "nouns")
+    assert dict(rows(out.select("id", "nouns")))[1] == ["서버", "개발", "자", "서버", "개발"]
+
+
+def test_very_long_token(spark):
+    lex = _lexicon(spark, ["가나", "나다", "가나다라마"])
+    df = spark.createDataFrame([(1, "가나다" * 2000)], "id int, txt string")
+    out = terms.lexicon_terms(df, ["txt"], lex, name=lambda c: "nouns").first()["nouns"]
+    assert len(out) == 2000 and set(out) <= {"가나", "나다"}
+
+
 def test_tagger_hook(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, None), (3, " ")], "id int, txt string")
     out = tagger.tagger_terms(df, ["txt"], lambda: (lambda s: s.split()[:2]), name=lambda c: "t")
