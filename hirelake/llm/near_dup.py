@@ -1,30 +1,33 @@
 """Near duplicates: chosen-path set similarity join over word shingles.
 
-A document's set holds its distinct shingles; equal sets are one class, of
-which the smallest id stands for all. Classes walk down ``TREES`` random trees:
-every node selects one or (one time in four) two of the minwise tokens, and a
-document goes to the child of its own token there. With a similarity of 0.8
-that is 1 / 0.8 children on average, so a similar pair is expected to stay
-together in one of them, while dissimilar ones part at once.
-
-A node with at most ``SMALL`` classes is a leaf; a larger one branches on,
-``DEPTH`` times at most. In every node each class is first held against the
-smallest one (its pivot). Then a node is compared exhaustively as far as it
-still matters: classes that did not end up in their pivot's component are held
-against all classes of the node outside their own component, whatever the
-node's size. Pairs that are connected already are not made, so a large group
-of near copies costs a pair per class and node, not all pairs.
+A document's set holds its distinct shingles; equal sets are one class, known
+by a hash of the set. Classes walk down ``TREES`` random trees: every node
+selects one or (one time in four) two of the minwise tokens, and a class goes to
+the child of its own token there. With a similarity of 0.8 that is 1 / 0.8
+children on average, so a similar pair is expected to stay together in one of
+them, while dissimilar ones part at once. A node with at most ``SMALL`` classes
+is a leaf; a larger one branches on, ``DEPTH`` times at most.
+
+Nodes are compared in three rounds, each on what the links found before have
+not yet connected. First the classes of a node in ``FIRST`` of the trees are
+held against one of them (its pivot), then those of a node in any tree against
+two. Only nodes that still hold several components are then compared
+exhaustively, whatever their size: classes apart from their node's pivot against
+all classes of the node outside their own component. So a large group of near
+copies costs a few pairs per class and node, not all pairs.
 
 Candidates pass a filter on 4-bit minhash sketches, wide enough (more than
 four standard errors) not to lose links, and are confirmed on full sets, made
-anew from whole texts: first each document's closest candidate, then all
-candidates whose ends are in different components by then. Links and components
-stay on the executors.
+anew from whole texts: in the first rounds each class's closest candidate, in
+the last all candidates. The texts of classes that share any node are written
+once for all rounds. Joins are merge joins at every size, so that what is
+shuffled follows the input. Links and components stay on the executors, and
+become ids of documents only at the end.
 
 Defined cases: null, empty or blank text: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is one; null ids take no part (null
-component, kept); rows that repeat an id are one node and are kept or dropped
-alike; an empty table gives no rows; further columns are ignored.
+component, kept); rows that repeat an id are kept or dropped alike, and what is
+linked with any of their texts is in one component; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, table
@@ -44,6 +47,8 @@ WORDS = 5
 #: Similarity in hundredths.
 SIMILARITY = 80
 TREES, DEPTH, SMALL = 12, 3, 32
+#: Trees of the first round.
+FIRST = 3
 #: Minwise tokens to choose from, and minhashes in the sketch (4 bits each).
 TOKENS, SKETCH = 48, 128
 #: Sketch estimate from which a pair is a candidate.
@@ -79,8 +84,8 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, words: int) -> DataFrame:
-    """id, n, k0, k1 (128-bit hash of the set), tokens, sketch of documents
-    (id, text)."""
+    """id, said (hash of the text), n, k0, k1 (128-bit hash of the set), tokens,
+    sketch of documents (id, text)."""
     kind = docs.schema["id"].dataType.simpleString()
     names = [f"s{i}" for i in range(SKETCH // 16)]
 
@@ -89,7 +94,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
 
         for batch in batches:
             size, keys, tokens, sketches = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 own = shingles(text.as_py(), words)
                 best = minhashes(own)
                 size.append(len(own))
@@ -100,12 +105,12 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 sketches.append(packed.view("<i8"))
             keys_, sketches_ = np.array(keys).reshape(-1, 2), np.array(sketches).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), *[pa.array(keys_[:, i]) for i in (0, 1)],
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), *[pa.array(keys_[:, i]) for i in (0, 1)],
                  pa.array(tokens, pa.list_(pa.int32())), *[pa.array(sketches_[:, i]) for i in range(len(names))]],
-                names=["id", "n", "k0", "k1", "tokens", *names])
+                names=["id", "said", "n", "k0", "k1", "tokens", *names])
 
-    return docs.select("id", "text").mapInArrow(
-        run, f"id {kind}, n bigint, k0 bigint, k1 bigint, tokens array<int>, {', '.join(f'{s} bigint' for s in names)}")
+    return docs.select("id", F.xxhash64("text").alias("said"), "text").mapInArrow(
+        run, f"id {kind}, said bigint, n bigint, k0 bigint, k1 bigint, tokens array<int>, {', '.join(f'{s} bigint' for s in names)}")
 
 
 def _estimate(left: str, right: str) -> Column:
@@ -131,46 +136,60 @@ def _may_link(similarity: int, left: str = "x", right: str = "y") -> Column:
 
 
 def _children(rows: DataFrame) -> DataFrame:
-    """node, id of the children that members (node, id, tokens) go to."""
+    """node, id, first of the children that members (node, id, tokens, first)
+    go to."""
     pick = lambda n: F.pmod(F.xxhash64("node", F.lit(n)), F.lit(TOKENS)).cast("int")
     two = (F.pmod(F.xxhash64("node", F.lit(2)), F.lit(4)) == 0) & (pick(1) != pick(3))
     at = F.explode(F.when(two, F.array(pick(1), pick(3))).otherwise(F.array(pick(1)))).alias("at")
-    return (rows.select("id", "node", "tokens", at)
-            .select(F.xxhash64("node", "at", F.element_at("tokens", F.col("at") + 1)).alias("node"), "id"))
+    return (rows.select("id", "first", "node", "tokens", at)
+            .select(F.xxhash64("node", "at", F.element_at("tokens", F.col("at") + 1)).alias("node"), "id", "first"))
 
 
-def candidates(reps: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """a, b, likeness of the candidates among (pivot, class) pairs; and node,
-    id, pivot of all classes in nodes with more than two."""
+def tree_nodes(reps: DataFrame) -> DataFrame:
+    """node, id, first (whether of the first trees) of all classes that share
+    a node to be compared: leaves, and those of the last depth."""
     trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
-    rows = reps.select("id", "tokens", trees)
+    rows = reps.select("id", "tokens", trees).withColumn("first", F.col("node") < FIRST)
     nodes = []
     for depth in range(DEPTH):
         rows = _children(rows)
-        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("pivot")).where("members > 1")
-        live = materialize(rows.join(counts, "node"), "path-nodes")
+        counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        live = materialize(rows.join(counts.hint("merge"), "node"), "path-nodes")
         large = F.col("members") > SMALL
-        nodes.append(live.where(~large if depth < DEPTH - 1 else F.lit(True)))
-        if depth == DEPTH - 1 or live.where(large).isEmpty():
+        last = depth == DEPTH - 1
+        nodes.append((live if last else live.where(~large)).select("node", "id", "first"))
+        if last or live.where(large).isEmpty():
             break
-        rows = live.where(large).join(reps.select("id", "tokens"), "id").select("id", "tokens", "node")
-    every = reduce(DataFrame.unionByName, nodes)
-    pairs = every.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    found = (pairs.join(_sized(reps, "x", "a"), "a").join(_sized(reps, "y", "b"), "b").where(_may_link(similarity))
-             .select("a", "b", _estimate("x", "y").alias("likeness")))
-    return materialize(found, "near-candidates"), every.where("members > 2").select("node", "id", "pivot")
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, similarity: int, merge: bool) -> DataFrame:
-    """a, b of the pairs that link on their full sets."""
-    # Only texts that a pair needs move on from their first shuffle. Where most groups are confirmed (``merge``), the
-    # joins are merge joins at every size, so that the texts shuffled are the same share of any input.
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    way = (lambda x: x.hint("merge")) if merge else (lambda x: x)
-    texts = way(materialize(way(docs).join(ends, "id", "left_semi"), "near-texts"))
-    kind = pairs.schema["a"].dataType.simpleString()
-    rows = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
+        rows = live.where(large).join(reps.select("id", "tokens").hint("merge"), "id").select("id", "first", "tokens", "node")
+    return reduce(DataFrame.unionByName, nodes)
+
+
+def _mixed(nodes: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """node, id, c (component so far) of the nodes that hold several
+    components, and low, high (two of the node's classes), low_c, high_c."""
+    rows = nodes.select("node", "id")
+    if parts is None:
+        rows = rows.withColumn("c", F.col("id"))
+    else:
+        known = parts.select("id", F.col("component").alias("c")).hint("merge")
+        rows = rows.join(known, "id", "left").select("node", "id", F.coalesce("c", "id").alias("c"))
+        rows = materialize(rows, "near-placed")
+    ends = (rows.groupBy("node").agg(F.min("c").alias("__a"), F.max("c").alias("__b"), F.min("id").alias("low"), F.max("id").alias("high"),
+                                     F.min_by("c", "id").alias("low_c"), F.max_by("c", "id").alias("high_c"))
+            .where("__a <> __b").drop("__a", "__b"))
+    return rows.join(ends.hint("merge"), "node")
+
+
+def _found(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
+    """a, b, likeness of the distinct pairs that pass the sketch filter."""
+    return (pairs.distinct().join(_sized(reps, "x", "a").hint("merge"), "a").join(_sized(reps, "y", "b").hint("merge"), "b")
+            .where(_may_link(similarity)).select("a", "b", _estimate("x", "y").alias("likeness")))
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+    """a, b of the pairs that link on the full sets of their texts (id, text)."""
+    side = lambda key, name: texts.select(F.col("id").alias(key), F.col("text").alias(name)).hint("merge")
+    rows = pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,32 +203,27 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, similarity: int, merg
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
-
-
-def links(reps: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """a, b: links that connect all classes (id, n, tokens, sketch) of
-    ``docs`` (id, text) which belong together."""
-    found, nodes = candidates(reps, similarity)
-    best = found.groupBy("b").agg(F.max_by("a", F.col("likeness")).alias("a")).select("a", "b")
-    sure = materialize(confirm(best, docs, words, similarity, True), "near-links")
-    parts = components(sure)
-    of = lambda key, name: parts.select(F.col("id").alias(key), F.col("component").alias(name))
-    apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
-    open_pairs = found.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").where(apart).select("a", "b")
-    # Members of a node that are apart from its pivot meet all others of the node.
-    placed = nodes.join(of("id", "c"), "id", "left").join(of("pivot", "pc"), "pivot", "left").select(
-        "node", "id", F.coalesce("c", "id").alias("c"), F.coalesce("pc", "pivot").alias("pc"))
-    placed = materialize(placed, "near-placed")
-    mixed = placed.groupBy("node").agg(F.max(F.col("c") != F.col("pc")).alias("mixed")).where("mixed").select("node")
-    placed = materialize(placed.join(mixed, "node", "left_semi").join(_sized(reps, "", "id"), "id"), "near-mixed")
-    named = lambda p: placed.select(F.col("node").alias(p + "node"), *[
-        F.col(c).alias(p + c) for c in placed.columns if c != "node"])
-    met = named("x").where("xc <> xpc").join(
+    return materialize(rows.mapInArrow(run, "a bigint, b bigint"), "near-links")
+
+
+def links(reps: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+    """a, b: links that connect all classes (id, n, tokens, sketch) which
+    belong together."""
+    pairs = lambda rows, *ends: reduce(DataFrame.unionByName, [
+        rows.where((F.col(e) != F.col("id")) & (F.col(f"{e}_c") != F.col("c"))).select(F.col(e).alias("a"), F.col("id").alias("b"))
+        for e in ends])
+    best = lambda found: found.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
+    sure = confirm(best(_found(pairs(_mixed(nodes.where("first"), None), "low"), reps, similarity)), texts, words, similarity)
+    rows = materialize(_mixed(nodes, components(sure)), "near-mixed")
+    sure = sure.unionByName(confirm(best(_found(pairs(rows, "low", "high"), reps, similarity)), texts, words, similarity))
+    # What is still apart from its node's pivot meets all others of the node.
+    rows = materialize(_mixed(rows, components(sure)).join(_sized(reps, "", "id").hint("merge"), "id"), "near-mixed")
+    named = lambda p: rows.select(F.col("node").alias(p + "node"), *[
+        F.col(c).alias(p + c) for c in rows.columns if c != "node"])
+    met = named("x").where("xc <> xlow_c").join(
         named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity))
-    more = met.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b"))
-    rest = materialize(open_pairs.unionByName(more).distinct(), "near-open")
-    return sure if rest.isEmpty() else sure.unionByName(confirm(rest, docs, words, similarity, False))
+    more = materialize(met.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct(), "near-open")
+    return sure if more.isEmpty() else sure.unionByName(confirm(more, texts, words, similarity))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -217,20 +231,29 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     """key, n_shingles, component_id, kept of every row."""
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     seen = materialize(features(docs, words), "near-features")
-    classes = (seen.where("n > 0 AND id IS NOT NULL").groupBy("k0", "k1").agg(F.min("id").alias("rep")))
-    classes = materialize(classes, "near-classes")
     sketch = [f"s{i}" for i in range(SKETCH // 16)]
-    # An id has one class, unless rows repeat it with other texts: then the smallest of its classes is searched,
-    # and the others are tied to it through the id.
-    first = classes.groupBy(F.col("rep").alias("id")).agg(F.min("k0").alias("k0"))
-    reps = materialize(seen.join(first, ["id", "k0"]).groupBy("id", "n", "k0", "k1", *sketch)
+    used = seen.where("n > 0 AND id IS NOT NULL")
+    classes = used.groupBy("k0", "k1").agg(F.min("id").alias("rep"), F.min_by("said", "id").alias("said"))
+    # A class is known by k0, or by k1 where two classes share a k0.
+    alone = F.count(F.lit(1)).over(Window.partitionBy("k0")) == 1
+    classes = materialize(classes.withColumn("class", F.when(alone, F.col("k0")).otherwise(F.col("k1"))), "near-classes")
+    of = classes.select("k0", "k1", "class").hint("merge")
+    reps = materialize(used.join(of, ["k0", "k1"]).groupBy(F.col("class").alias("id"), "n", *sketch)
                        .agg(F.first("tokens").alias("tokens")).select("id", "n", "tokens", *sketch), "near-reps")
-    ids = seen.where("n > 0 AND id IS NOT NULL").select("id", "k0", "k1").join(classes, ["k0", "k1"])
-    same = ids.where("id <> rep").groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
-    ties = ids.join(same, "id", "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
-    parts = components(links(reps, docs.where("id IS NOT NULL"), words, similarity).unionByName(ties))
-    found = (classes.join(parts, classes["rep"] == parts["id"], "left")
-             .select("k0", "k1", F.coalesce("component", "rep").alias("component")))
+    nodes = tree_nodes(reps)
+    ends = nodes.select(F.col("id").alias("class")).distinct().join(classes.select("class", "rep", "said").hint("merge"), "class")
+    ends = ends.select("class", F.col("rep").alias("id"), "said").hint("merge")
+    texts = materialize(docs.where("id IS NOT NULL").withColumn("said", F.xxhash64("text")).join(ends, ["id", "said"])
+                        .select(F.col("class").alias("id"), "text").dropDuplicates(["id"]), "near-texts")
+    # An id with several classes (rows that repeat it with other texts) ties them.
+    own = used.select("id", "k0", "k1").distinct().join(of, ["k0", "k1"]).select("id", "class")
+    several = own.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("id", "a")
+    ties = own.join(several.hint("merge"), "id").where("a <> class").select("a", F.col("class").alias("b")).distinct()
+    parts = components(links(reps, nodes, texts, words, similarity).unionByName(ties))
+    found = classes.join(parts.select(F.col("id").alias("class"), "component").hint("merge"), "class", "left").select(
+        "k0", "k1", "rep", F.coalesce("component", "class").alias("part"))
+    smallest = found.groupBy("part").agg(F.min("rep").alias("component"))
+    found = found.join(smallest.hint("merge"), "part").select("k0", "k1", "component").hint("merge")
     out = seen.select("id", "n", "k0", "k1").join(found, ["k0", "k1"], "left")
     # An empty set, and a null id, stand alone.
     part = F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.col("component"))

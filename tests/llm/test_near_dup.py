@@ -85,6 +85,14 @@ def test_odd_rows(spark, odd, no_docs):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 2
 
 
+def test_one_id_on_different_texts(spark):
+    """Every text of an id is searched, and what they link with is one component."""
+    a, b = "u v w x y z " * 3, " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, b + " more"), (3, "alone in the world it is"), (4, a)]
+    got = {(r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 1)}
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 400)] + [(5, 400), (399, 400), (7, 7)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
