@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -31,10 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it. One of our
-    own is set only where the setting is missing (tests, local runs)."""
+    """The folder all executors share, as the cluster names it. Without the
+    setting, a session whose executors are threads of this process (tests)
+    gets a folder of its own; any other has no shared folder to write to."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="hirelake-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -42,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    survives the loss of executors, and is computed once for all readers."""
+    survives the loss of executors, and is computed once for all readers. The
+    folder is left there, as results may still be read from it lazily; whoever
+    owns the shared folder clears it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -55,11 +61,7 @@ def fold(key: str, n: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """At most ``n`` rows, chosen by the hash of the ``order`` columns, so the
-    same rows come back whatever the partitioning. Only the hashes are sorted;
-    the rows are then read with a filter."""
-    h = F.xxhash64(*order)
-    cut = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h").alias("cut")).first()["cut"]
-    if cut is None:
-        return df.limit(0)
-    return df.where(h <= F.lit(cut)).limit(n)
+    """At most ``n`` of the distinct rows, those with the smallest hashes of
+    the ``order`` columns (ties by all columns): the same rows whatever the
+    partitioning and however often a row is repeated."""
+    return df.distinct().orderBy(F.xxhash64(*order), *df.columns).limit(n)

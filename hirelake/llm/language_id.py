@@ -20,7 +20,6 @@ further columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,7 +43,6 @@ EPOCHS = 4
 LEARNING_RATE = 2.0
 #: Share of calibration rows whose score may fall below the rejection threshold.
 REJECT_SHARE = 0.01
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def subwords(text: str) -> Iterator[np.ndarray]:
@@ -137,7 +135,7 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 def predict_text(model: Model, text: str | None) -> tuple[str, float, bool]:
     """Language of a whole text, its score, and whether the score clears the
     rejection threshold."""
-    if text is None or not model.languages or not LETTER.search(text):
+    if text is None or not model.languages or not any(map(str.isalpha, text)):
         return "und", 0.0, False
     total, n = np.zeros(len(model.languages)), 0
     for ids in subwords(text):

@@ -36,8 +36,6 @@ SEED = "mix-1"
 #: Tokens to take, as a share of all tokens (numerator, denominator).
 BUDGET = (1, 1)
 EPOCHS = 2
-#: Plans with more leaves than this (100 bytes each) are joined, not broadcast.
-BROADCAST_LEAVES = 50_000
 #: Weights by path from the root; a path that is missing has weight 1.
 WEIGHTS = {
     ("web",): 5, ("books",): 3, ("forums",): 2,
@@ -118,8 +116,6 @@ def mix(df: DataFrame, levels: dict[str, Column], key: str = "doc_id", text: str
     plan = shares.select(*tree, F.expr("share div supply").alias("__whole"), F.expr("share % supply").alias("__left"),
                          F.lit("").alias("__cut"))
     plan = materialize(plan, "mix-plan")
-    small = plan.count() <= BROADCAST_LEAVES
-    side = F.broadcast if small else (lambda x: x)
 
     def hashed(r: DataFrame, k: Column) -> DataFrame:
         # The epoch of the prefix is the one after the whole ones.
@@ -127,7 +123,7 @@ def mix(df: DataFrame, levels: dict[str, Column], key: str = "doc_id", text: str
                                                         F.coalesce(k.cast("string"), F.lit("")))))
 
     for depth in (2, 4, 6):
-        inside = hashed(narrow.join(side(plan), tree), F.col("key")).where(
+        inside = hashed(narrow.join(plan, tree), F.col("key")).where(
             (F.col("__left") > 0) & F.col("__hash").startswith(F.col("__cut")))
         sums = (inside.withColumn("__bucket", F.substring("__hash", 1, depth))
                 .groupBy(*tree, "__bucket").agg(F.sum("n_tokens").alias("__tokens"), F.max("__left").alias("__left")))
@@ -141,7 +137,7 @@ def mix(df: DataFrame, levels: dict[str, Column], key: str = "doc_id", text: str
         plan = materialize(plan.toDF(*tree, "__whole", "__left", "__cut"), "mix-plan")
 
     # A leaf without a prefix has an empty cut; else documents below the cut are whole, those in it are counted off.
-    placed = hashed(rows.join(side(plan), tree), F.col(key))
+    placed = hashed(rows.join(plan, tree), F.col(key))
     bucket = F.substring("__hash", 1, 6)
     n_epochs = F.col("__whole") + F.when((F.col("__cut") != "") & (bucket < F.col("__cut")), 1).otherwise(0)
     whole = (placed.withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(__whole, 1L))")))

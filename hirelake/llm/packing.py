@@ -46,8 +46,9 @@ REGION = 48 * WINDOW
 STRIDE = 32
 SENTENCE_PENALTY, TRUNCATION_PENALTY, SEQUENCE_PENALTY = 2, 12, 16
 VOCABULARY = "word_bpe_49k.json"
-#: Words and word parts whose ids a worker keeps; both start anew when full.
-WORD_CACHE = 400_000
+#: Words and word parts whose ids a task keeps, none longer than LONGEST characters; both start anew when full, and are
+#: given back when the task ends (about 30 MB each).
+WORD_CACHE, LONGEST = 200_000, 40
 
 # The vocabulary's own white space, word parts and specials.
 SPACE = re.compile("[" + "".join(map(chr, (
@@ -88,7 +89,8 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         ids = np.array([t.id for t in self.tokenizer.model.tokenize(raw)], "<u4").tobytes()
-        self.parts[part] = ids
+        if len(part) <= LONGEST:
+            self.parts[part] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -97,9 +99,14 @@ class Encoder:
             ids = b"".join([make(p) if (v := get(p)) is None else v for p in PARTS.findall(word.lower())])
         else:
             ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self.words[word] = ids
+        if len(word) <= LONGEST:
+            self.words[word] = ids
         return ids
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.parts.clear()
+
     def __call__(self, text: str) -> bytes:
         for cache in (self.words, self.parts):
             if len(cache) > WORD_CACHE:
@@ -112,11 +119,14 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(vocabulary: str) -> Encoder:
+    """One encoder per worker process and vocabulary: the name of a public one
+    (found where the task runs), or a path."""
+    if vocabulary not in _ENCODERS:
+        import public_tokenizers
+
+        _ENCODERS[vocabulary] = Encoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
+    return _ENCODERS[vocabulary]
 
 
 def cut_positions(ends: np.ndarray, doc_ends: np.ndarray, total: int) -> tuple[list[int], list[int]]:
@@ -257,14 +267,14 @@ def pack(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text"
                     yield out(pieces)
         if pieces := list(packer.flush(True)):
             yield out(pieces)
+        encode.forget()
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def public_vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(VOCABULARY)
+    """Name of the public vocabulary; each task finds its file."""
+    return VOCABULARY
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

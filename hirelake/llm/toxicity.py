@@ -43,8 +43,9 @@ PREFIXES = (4, 5, 6)
 MIN_RATIO = 25.0
 #: ... this many toxic documents that no feature has covered yet, and there are at most MAX_FEATURES.
 MIN_COVER, MAX_FEATURES = 4, 2000
-#: Share of the toxic documents that makes a feature the cover did without worth tagging.
-MIN_SHARE = 0.01
+#: Share of the toxic documents that makes a feature the cover did without worth tagging, and the number of neutral words
+#: that may be taken for such features by chance, over all words tried.
+MIN_SHARE, BY_CHANCE = 0.01, 0.001
 WORD_CACHE = 200_000
 WORD = re.compile(r"[^\W_]+")
 
@@ -162,17 +163,22 @@ def choose_features(rows: list[tuple[int, str]]) -> dict[str, float]:
         return (len(where[x]) + 0.5) / (len(toxic) + 1) * (clean + 1) / (in_clean[x] + 0.5)
 
     where = {x: w for x, w in where.items() if ratio(x) >= MIN_RATIO}
-    open_docs, chosen = set(range(len(toxic))), {}
+    open_docs, chosen, least = set(range(len(toxic))), {}, 0
     while where and len(chosen) < MAX_FEATURES:
         # Ties: the longer feature says more about the token, then by name.
         x = max(where, key=lambda f: (len(where[f] & open_docs), len(f.lstrip("=")), f))
         if len(where[x] & open_docs) < MIN_COVER:
             break
         chosen[x] = log(ratio(x))
+        least = min(least or len(where[x]), len(where[x]))
         open_docs -= where.pop(x)
-    # Then the features that the cover did without: as rare in clean documents, and beside ever other words
-    # (copies of one toxic document share all their words, and so their neighbours).
-    rest = {x for x, w in where.items() if len(w) >= max(MIN_COVER, MIN_SHARE * len(toxic)) and not in_clean[x]}
+    # Then the features that the cover did without: as rare in clean documents, in more toxic ones than any word that
+    # stands in documents regardless of their label would be by chance and than the rarest feature of the cover (what
+    # explains no document of its own needs as much support as what does), and beside ever other words (copies of one
+    # toxic document share all their words, and so their neighbours).
+    share = len(toxic) / len(rows)
+    rest = {x for x, w in where.items() if len(w) >= max(MIN_COVER, MIN_SHARE * len(toxic), least) and not in_clean[x]
+            and len(often) * share ** len(w) <= BY_CHANCE}
     beside: dict[str, set[tuple]] = {x: set() for x in rest}
     for t in toxic:
         words = WORD.findall(t)
@@ -324,7 +330,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``rows`` labelled keys of each label (null labels and
     texts are left out). The keys are drawn from ``labels`` alone and meet the
-    texts in one scan, by a broadcast of at most 2 * ``rows`` keys."""
+    texts in one scan, by a broadcast of at most 2 * ``rows`` keys; of a key
+    that documents repeat, the text with the smallest hash counts."""
     usable = labels.select(key, label).where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     counts = {r[label]: r["n"] for r in usable.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
@@ -333,7 +340,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         bounded_sample(usable.where(F.col(label) == 1), rows, key))
     got = [(r[label], r["key"], r[text]) for r in
            docs.select(F.col(key).alias("key"), text).where(F.col(text).isNotNull())
-           .join(F.broadcast(drawn.withColumnRenamed(key, "key")), "key").limit(2 * rows).toLocalIterator()]
+           .join(F.broadcast(drawn.withColumnRenamed(key, "key")), "key")
+           .groupBy("key", label).agg(F.min_by(text, F.struct(F.xxhash64(text), F.col(text))).alias(text)).toLocalIterator()]
     got.sort(key=lambda r: (r[0], str(r[1]), r[2]))
     order = np.random.default_rng(11).permutation(len(got))
     return fit([(got[i][0], got[i][2]) for i in order], counts[1] / (counts[0] + counts[1]))

@@ -43,6 +43,12 @@ def test_odd_rows(spark, odd, no_docs, tmp_dir):
     assert {r["lang_pred"] for r in unknown.collect()} == {"und"}
 
 
+def test_number_like_letters_are_none(spark):
+    model = li.train(docs_frame(spark, [(i, f"the and of number{i}", "en") for i in range(50)] + [(99, "der und", "de")] * 3))
+    got = {r["doc_id"]: r["lang_pred"] for r in li.predict(docs_frame(spark, [(1, "\u00b2 \u00bd \u2167 12 _"), (2, "\u00aa")]), model).collect()}
+    assert got[1] == "und" and got[2] != "und"
+
+
 def test_rare_language_and_copies(spark):
     rows = [(i, f"the and of to number{i}", "en") for i in range(3000)] + [(i, "the copy of all", "en") for i in range(400)]
     rows += [(i, f"ja kun hän oli numero{i}", "fi") for i in range(3)]

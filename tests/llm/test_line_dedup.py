@@ -13,7 +13,7 @@ def brute(rows, min_sites):
     for k, t, s in rows:
         for line in (t or "").split("\n"):
             x = line.strip(" ")
-            if len(x) >= ld.MIN_CHARS:
+            if x:
                 sites[x].add(s or "")
                 first[x] = min(first.get(x, k), k)
     out = {}
@@ -22,7 +22,7 @@ def brute(rows, min_sites):
             out[k] = (None, 0, 0)
             continue
         lines = t.split("\n")
-        gone = [len(sites[x.strip(" ")]) >= min_sites and first[x.strip(" ")] != k for x in lines]
+        gone = [x.strip(" ") != "" and len(sites[x.strip(" ")]) >= min_sites and first[x.strip(" ")] != k for x in lines]
         out[k] = ("\n".join(x for x, g in zip(lines, gone) if not g), len(lines), sum(gone))
     return out
 
@@ -47,6 +47,13 @@ def test_one_site_is_no_spread(spark):
     assert ld.remove_lines(df).where("removed_lines > 0").count() == 0
 
 
+def test_very_many_lines(spark):
+    many = "\n".join(f"line {i % 150000}" for i in range(200000))
+    df = docs_frame(spark, [(i, many, "en", f"s{i}") for i in range(3)])
+    got = {r["doc_id"]: (r["lines"], r["removed_lines"], r["text"]) for r in ld.remove_lines(df).collect()}
+    assert got == {0: (200000, 0, many), 1: (200000, 200000, ""), 2: (200000, 200000, "")}
+
+
 def test_query_matches_sql(spark, sf_small):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")

@@ -59,6 +59,21 @@ def labelled(n=400):
     return rows, marks
 
 
+def test_draw_does_not_depend_on_partitions(spark):
+    rows, marks = labelled(300)
+    rows += [(i, f"other text of {i} {j}") for i in range(100) for j in range(3)]
+    docs, marked = docs_frame(spark, rows), spark.createDataFrame(marks * 3, "doc_id long, quality int, toxic int")
+    one = tox.train(docs.repartition(1), marked.repartition(1), rows=40)
+    other = tox.train(docs.repartition(7), marked.repartition(5), rows=40)
+    assert one.weights == other.weights and one.layer == other.layer and one.weights
+
+
+def test_neutral_words_are_no_features():
+    rows, marks = labelled(1000)
+    model_rows = [(m[2], t) for (_, t), m in zip(rows, marks)]
+    assert set(tox.choose_features(model_rows)) <= {f for w in ("nasty", "vilest", "vileness") for f in tox.features(w)}
+
+
 def test_odd_rows(spark, odd, no_docs, tmp_dir):
     rows, marks = labelled()
     marked = spark.createDataFrame(marks + [(1000, 1, None), (None, 1, 1), (0, 1, 1)], "doc_id long, quality int, toxic int")
