@@ -55,6 +55,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """At the end of a task: return free memory of the Python worker, which
+    Spark keeps for later tasks of other operators, to the system."""
+    import ctypes
+    from gc import collect
+
+    import pyarrow as pa
+
+    collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
+
+
 def fold(key: str, n: int) -> Column:
     """crc32 of the key as text, modulo ``n`` (null key: null)."""
     return F.crc32(F.col(key).cast("string")) % n

@@ -16,8 +16,9 @@ exhaustively, whatever their size: classes apart from their node's pivot against
 all classes of the node outside their own component. So a large group of near
 copies costs a few pairs per class and node, not all pairs.
 
-Candidates pass a filter on 4-bit minhash sketches, wide enough (more than
-four standard errors) not to lose links, and are confirmed on full sets, made
+Candidates pass a filter on 4-bit minhash sketches (a short one that travels
+with the rows of a node, then the whole), wide enough (five and more than four
+standard errors) not to lose links, and are confirmed on full sets, made
 anew from whole texts: in the first rounds each class's closest candidate, in
 the last all candidates. The texts of classes that share any node are written
 once for all rounds. Joins are merge joins at every size, so that what is
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import give_back, materialize, table
 from .graph import components
 
 WORDS = 5
@@ -108,23 +109,28 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(size, pa.int64()), *[pa.array(keys_[:, i]) for i in (0, 1)],
                  pa.array(tokens, pa.list_(pa.int32())), *[pa.array(sketches_[:, i]) for i in range(len(names))]],
                 names=["id", "said", "n", "k0", "k1", "tokens", *names])
+        give_back()
 
     return docs.select("id", F.xxhash64("text").alias("said"), "text").mapInArrow(
         run, f"id {kind}, said bigint, n bigint, k0 bigint, k1 bigint, tokens array<int>, {', '.join(f'{s} bigint' for s in names)}")
 
 
-def _estimate(left: str, right: str) -> Column:
-    """Estimated similarity from the sketch columns with two prefixes."""
+def _agreement(left: str, right: str, longs: int) -> Column:
+    """Estimated similarity from the first sketch columns with two prefixes."""
     def equal(i: int) -> Column:
         x = F.col(f"{left}s{i}").bitwiseXOR(F.col(f"{right}s{i}"))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
         return F.lit(16) - F.bit_count(x)
 
-    agree = reduce(Column.__add__, [equal(i) for i in range(SKETCH // 16)]) / F.lit(SKETCH)
+    agree = reduce(Column.__add__, [equal(i) for i in range(longs)]) / F.lit(16 * longs)
     return (agree - 1 / 16) / (15 / 16)
 
 
+def _estimate(left: str, right: str) -> Column:
+    return _agreement(left, right, SKETCH // 16)
+
+
 def _sized(reps: DataFrame, prefix: str, key: str) -> DataFrame:
     return reps.select(F.col("id").alias(key), F.col("n").alias(f"{prefix}n"),
                        *[F.col(f"s{i}").alias(f"{prefix}s{i}") for i in range(SKETCH // 16)])
@@ -145,9 +151,21 @@ def _children(rows: DataFrame) -> DataFrame:
             .select(F.xxhash64("node", "at", F.element_at("tokens", F.col("at") + 1)).alias("node"), "id", "first"))
 
 
+#: What of a class travels with it: its size and the first 32 minhashes of its sketch.
+BRIEF = ["n", "s0", "s1"]
+
+
+def _maybe(similarity: int, other: str) -> Column:
+    """Whether a row's class may link with another whose brief columns have a
+    prefix: five standard errors of 32 minhashes below the threshold."""
+    low, high = F.least("n", f"{other}n"), F.greatest("n", f"{other}n")
+    return (low * 100 >= high * similarity) & (_agreement("", other, 2) >= similarity / 100 - 0.38)
+
+
 def tree_nodes(reps: DataFrame) -> DataFrame:
-    """node, id, first (whether of the first trees) of all classes that share
-    a node to be compared: leaves, and those of the last depth."""
+    """node, id, first (whether of the first trees), brief columns of all
+    classes that share a node to be compared: leaves, and those of the last
+    depth."""
     trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
     rows = reps.select("id", "tokens", trees).withColumn("first", F.col("node") < FIRST)
     nodes = []
@@ -161,22 +179,24 @@ def tree_nodes(reps: DataFrame) -> DataFrame:
         if last or live.where(large).isEmpty():
             break
         rows = live.where(large).join(reps.select("id", "tokens").hint("merge"), "id").select("id", "first", "tokens", "node")
-    return reduce(DataFrame.unionByName, nodes)
+    brief = reps.select("id", *BRIEF).hint("merge")
+    return materialize(reduce(DataFrame.unionByName, nodes).join(brief, "id"), "path-members")
 
 
 def _mixed(nodes: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """node, id, c (component so far) of the nodes that hold several
-    components, and low, high (two of the node's classes), low_c, high_c."""
-    rows = nodes.select("node", "id")
+    """node, id, brief columns, c (component so far) of the nodes that hold
+    several components; low_*, high_*: the same of two of the node's classes."""
+    rows = nodes.select("node", "id", *BRIEF)
     if parts is None:
         rows = rows.withColumn("c", F.col("id"))
     else:
         known = parts.select("id", F.col("component").alias("c")).hint("merge")
-        rows = rows.join(known, "id", "left").select("node", "id", F.coalesce("c", "id").alias("c"))
+        rows = rows.join(known, "id", "left").select("node", "id", *BRIEF, F.coalesce("c", "id").alias("c"))
         rows = materialize(rows, "near-placed")
-    ends = (rows.groupBy("node").agg(F.min("c").alias("__a"), F.max("c").alias("__b"), F.min("id").alias("low"), F.max("id").alias("high"),
-                                     F.min_by("c", "id").alias("low_c"), F.max_by("c", "id").alias("high_c"))
-            .where("__a <> __b").drop("__a", "__b"))
+    own = F.struct("id", "c", *BRIEF)
+    ends = (rows.groupBy("node").agg(F.min("c").alias("__a"), F.max("c").alias("__b"), F.min(own).alias("l"), F.max(own).alias("h"))
+            .where("__a <> __b").select("node", *[F.col(f"{x[0]}.{c}").alias(x + ("" if c == "id" else f"_{c}"))
+                                                  for x in ("low", "high") for c in ("id", "c", *BRIEF)]))
     return rows.join(ends.hint("merge"), "node")
 
 
@@ -202,6 +222,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) ->
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return materialize(rows.mapInArrow(run, "a bigint, b bigint"), "near-links")
 
@@ -210,18 +231,21 @@ def links(reps: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, simil
     """a, b: links that connect all classes (id, n, tokens, sketch) which
     belong together."""
     pairs = lambda rows, *ends: reduce(DataFrame.unionByName, [
-        rows.where((F.col(e) != F.col("id")) & (F.col(f"{e}_c") != F.col("c"))).select(F.col(e).alias("a"), F.col("id").alias("b"))
-        for e in ends])
+        rows.where((F.col(e) != F.col("id")) & (F.col(f"{e}_c") != F.col("c")) & _maybe(similarity, f"{e}_"))
+        .select(F.col(e).alias("a"), F.col("id").alias("b")) for e in ends])
     best = lambda found: found.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
     sure = confirm(best(_found(pairs(_mixed(nodes.where("first"), None), "low"), reps, similarity)), texts, words, similarity)
     rows = materialize(_mixed(nodes, components(sure)), "near-mixed")
     sure = sure.unionByName(confirm(best(_found(pairs(rows, "low", "high"), reps, similarity)), texts, words, similarity))
-    # What is still apart from its node's pivot meets all others of the node.
-    rows = materialize(_mixed(rows, components(sure)).join(_sized(reps, "", "id").hint("merge"), "id"), "near-mixed")
+    # What is still apart from its node's pivot meets all others of the node: each pair in the first node it shares.
+    rows = _mixed(rows, components(sure)).select("node", "id", "c", "low_c")
+    every = nodes.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    rows = materialize(rows.join(every.hint("merge"), "id").join(_sized(reps, "", "id").hint("merge"), "id"), "near-mixed")
     named = lambda p: rows.select(F.col("node").alias(p + "node"), *[
         F.col(c).alias(p + c) for c in rows.columns if c != "node"])
+    first = F.array_min(F.array_intersect("xnodes", "ynodes")) == F.col("xnode")
     met = named("x").where("xc <> xlow_c").join(
-        named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity))
+        named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity) & first)
     more = materialize(met.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct(), "near-open")
     return sure if more.isEmpty() else sure.unionByName(confirm(more, texts, words, similarity))
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import give_back, table
 
 WINDOW = 2048
 END_ID = 1
@@ -268,6 +268,7 @@ def pack(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text"
         if pieces := list(packer.flush(True)):
             yield out(pieces)
         encode.forget()
+        give_back()
 
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, fold, table
+from .common import bounded_sample, fold, give_back, table
 
 #: Labelled rows read at most, for each label.
 TRAIN_ROWS = 1500
@@ -388,6 +388,8 @@ def score(df: DataFrame, model: Model, text: str = "text", only_clean: bool = Fa
             columns = [*batch.columns, pa.array([s for s, _ in found], pa.float64()),
                        pa.array([int(s >= 0.5) for s, _ in found], pa.int32()), pa.array([x for _, x in found], SPANS)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
+        features.cache_clear()
+        give_back()
 
     return rows.mapInArrow(run, schema + extra)
 

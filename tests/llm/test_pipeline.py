@@ -18,7 +18,8 @@ def planted(spark, tmp_dir):
     line = "all rights are reserved by the owner of this fine page"
     rows = [(k, f"{line}\n{t}" if k % 2 else t, g, s) for k, t, g, s in rows]
     clean = [r for r in rows if r[0] % 5]
-    rows += [(1000 + r[0], f"{r[1]} tail", r[2], "src9") for r in clean[:20]]
+    # Not of the first one, which keeps the shared line that its copy loses: under 0.8 alike by then.
+    rows += [(1000 + r[0], f"{r[1]} tail", r[2], "src9") for r in clean[1:21]]
     df = spark.createDataFrame([(*r, len(r[1])) for r in rows], DOCS)
     write_tables(tmp_dir, documents=df, labels=spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
     return rows, line
