@@ -18,11 +18,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nu
 
     With a plain equality the join would sit on the aggregation's own
     partitioning, and AQE splits a hot key only where both sides come straight
-    from an exchange. The null-safe form is partitioned by expressions of its
-    own, so both sides get a fresh exchange and a hot key is split. Unless
-    ``null_safe``, NULL keys match nothing."""
+    from an exchange. Here the table's keys are read through an expression that
+    the planner does not see through, so both sides get a fresh exchange and a
+    hot key is split. Unless ``null_safe``, NULL keys match nothing."""
     named = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    same = [F.col(k).eqNullSafe(F.array_max(F.array(F.col(f"__{k}")))) for k in keys]
     on = reduce(lambda a, b: a & b, same if null_safe else same + [F.col(k).isNotNull() for k in keys])
     return left.join(named, on, how).drop(*[f"__{k}" for k in keys])
 

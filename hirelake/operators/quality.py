@@ -110,10 +110,13 @@ def distinct_dates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(*cols).distinct().orderBy(*cols)
 
 
-def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def dedupe_first(df: DataFrame, keys: list[str], order: list[str], row_id: str | None = None) -> DataFrame:
     """Keep the first row per key under an explicit order.
 
-    An aggregate (``min_by``) instead of ``row_number() over (partition by
+    Where the order is a column that no two rows share (``row_id``), the
+    smallest id per key is chosen first, by a hash aggregation over a hash of
+    the keys, and the rows are then fetched by id with a semi join: no text is
+    sorted or aggregated. Otherwise whole rows are compared. An aggregate (``min_by``) instead of ``row_number() over (partition by
     key)``: it is combined map-side, so a key holding a third of all rows is
     reduced in every task before the shuffle instead of sorted in one task.
     Remaining columns break ties, so the pick is deterministic. The group key
@@ -125,21 +128,72 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rank = F.struct(*[F.col(c) for c in order + orderable])
     # A NULL key is a key of its own: JSON writes it as null.
     key = F.unhex(F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+    if row_id is not None:
+        if list(order) != [row_id]:
+            raise ValueError("the order must be the row id")
+        first = df.groupBy(key.alias("_key")).agg(F.min(row_id).alias(row_id)).select(row_id)
+        return lookup_join(df, first, [row_id], "left_semi", null_safe=True)
     picked = df.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*df.columns), rank).alias("_row"))
     return picked.select("_row.*")
 
 
-def profile(df: DataFrame, cols: list[str] | None = None, quantiles=(0.25, 0.5, 0.75),
-            accuracy: int = 10000) -> DataFrame:
-    """One row per column with count, NULL count, min, max, mean,
-    stddev and approximate quartiles, from a single aggregation pass.
-    Non-numeric columns get count, NULL count, min and max."""
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+#: Buckets of a round of the selection, and rounds after the first: 4 x 14 bits are more than a double's 52.
+BUCKETS, ROUNDS = 1 << 14, 4
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: tuple[float, ...]) -> DataFrame:
+    """column, quantiles: exact quantiles of numeric columns (as doubles),
+    interpolated between the two nearest values as SQL's PERCENTILE_CONT does;
+    NULLs are left out, a column without values has no row.
+
+    Distributed selection by repeated bucket counting: the first round counts
+    values by sign and exponent, the others split the one bucket that holds a
+    wanted rank into ``BUCKETS`` equal ranges. Each round reads the columns
+    once and aggregates map-side; what meets are a few ranks and their bucket
+    counts, never values. Bucket functions are monotone, so ranks are exact."""
+    one = lambda c: F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+    values = df.select(F.explode(F.array(*[one(c) for c in cols])).alias("x")).select("x.*").where("v IS NOT NULL")
+    sizes = values.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    want = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    ranks = (sizes.select("column", "n", want.alias("w")).withColumn("at", (F.col("n") - 1) * F.col("w.p"))
+             .select("column", F.col("w.i").alias("i"), (F.col("at") - F.floor("at")).alias("part"),
+                     F.explode(F.array(F.floor("at"), F.least(F.floor("at") + 1, F.col("n") - 1))).alias("k")).distinct())
+    state = ranks.select("column", "k", F.col("k").alias("left"), F.lit(None).cast("double").alias("lo"),
+                         F.lit(None).cast("double").alias("hi")).distinct()
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    exponent = (F.when(F.isnan(v), 9999).when(v == float("inf"), 9998).when(v == float("-inf"), -9998).when(v == 0, 0)
+                .when(v > 0, 1100 + F.floor(F.log2(v))).otherwise(-1100 - F.floor(F.log2(-v))).cast("int"))
+    split = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
+    for turn in range(ROUNDS + 1):
+        # A few rows for each column: the ranks wanted of it.
+        met = values.join(F.broadcast(state), "column")
+        met = met if turn == 0 else met.where((v >= lo) & (v <= hi))
+        counts = (met.groupBy("column", "k", "left", (split if turn else exponent).alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+        lists = counts.groupBy("column", "k", "left").agg(F.array_sort(F.collect_list(F.struct("bucket", "c", "lo", "hi"))).alias("b"))
+        none = F.lit(None).cast("double")
+        zero = F.struct(F.col("left").alias("left"), F.lit(False).alias("done"), none.alias("lo"), none.alias("hi"))
+        found = F.aggregate("b", zero, lambda s, x: F.when(s["done"], s).when(
+            s["left"] < x["c"], F.struct(s["left"].alias("left"), F.lit(True).alias("done"), x["lo"].alias("lo"), x["hi"].alias("hi")))
+            .otherwise(F.struct((s["left"] - x["c"]).alias("left"), F.lit(False).alias("done"), s["lo"].alias("lo"), s["hi"].alias("hi"))))
+        state = lists.select("column", "k", found.alias("f")).select("column", "k", "f.left", "f.lo", "f.hi")
+    ends = ranks.join(state.select("column", "k", "lo"), ["column", "k"]).groupBy("column", "i").agg(
+        F.min("lo").alias("a"), F.max("lo").alias("b"), F.max("part").alias("part"))
+    value = F.col("a") + F.when(F.col("a") == F.col("b"), 0.0).otherwise((F.col("b") - F.col("a")) * F.col("part"))
+    return ends.groupBy("column").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("q")))), lambda x: x["q"]).alias("quantiles"))
+
+
+def profile(df: DataFrame, cols: list[str] | None = None, quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per column with count, NULL count, min, max, mean, stddev
+    and exact quartiles. Non-numeric columns get count, NULL count, min and
+    max. All but the quartiles come from one aggregation pass."""
     cols = cols or df.columns
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     aggs, names = [], []
+    numbers = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
     for c in cols:
         dt = df.schema[c].dataType
-        is_num = isinstance(dt, numeric)
+        is_num = c in numbers
         orderable = isinstance(dt, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)) or is_num
         col = F.col(c)
         parts = {
@@ -149,13 +203,14 @@ def profile(df: DataFrame, cols: list[str] | None = None, quantiles=(0.25, 0.5,
             "max": F.max(col).cast("string") if orderable else F.lit(None).cast("string"),
             "mean": F.avg(col) if is_num else F.lit(None).cast("double"),
             "stddev": F.stddev_samp(col) if is_num else F.lit(None).cast("double"),
-            "quartiles": (F.percentile_approx(col.cast("double"), list(quantiles), accuracy)
-                          if is_num else F.lit(None).cast("array<double>")),
         }
         aggs.append(F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in parts.items()]).alias(c))
         names.append(c)
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[F.col(n) for n in names])).alias("p")).select("p.*")
+    wide = df.agg(*aggs).select(F.explode(F.array(*[F.col(n) for n in names])).alias("p")).select("p.*")
+    if not numbers:
+        return wide.withColumn("quartiles", F.lit(None).cast("array<double>"))
+    found = exact_quantiles(df, numbers, quantiles).withColumnRenamed("quantiles", "quartiles")
+    return wide.join(found, "column", "left")
 
 
 def sort_by(df: DataFrame, cols: list[str], descending: bool = False, as_string: bool = False) -> DataFrame:

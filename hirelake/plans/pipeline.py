@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.text import clean_text
 from ..operators import geo, marts, quality, terms
 from ..operators.clean import map_categories, union_sources
+from ..sources.catalog import replace_table
 from ..schemas import CLEANED_COLUMNS, DAY_PARTS, TERM_SOURCE_COLUMNS, TEXT_COLUMNS, term_column
 
 
@@ -92,25 +93,23 @@ def explore(df: DataFrame) -> dict[str, DataFrame]:
 
 def rebuild(spark: SparkSession, registry: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
             names: list[str], base_path: str | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Drop-and-create each table in order, as ``CREATE TABLE AS``.
+    """Rebuild each table in order, as ``CREATE TABLE AS``.
 
     ``registry[name](done)`` builds a table from the tables already rebuilt
     (``done``), so a later table reads its written parent, not its lineage.
-    With ``base_path`` tables are written as files there; otherwise
-    ``saveAsTable`` registers them in the catalog.
+    With ``base_path`` tables are written as files there; otherwise each is
+    built beside its old version in the catalog and then replaces it, so a
+    reader never meets a missing table (:func:`..sources.catalog.replace_table`).
     """
     done: dict[str, DataFrame] = {}
     for name in names:
         df = registry[name](done)
-        writer = df.write.mode("overwrite").format(fmt)
         if base_path:
             path = f"{base_path.rstrip('/')}/{name}"
-            writer.save(path)
+            df.write.mode("overwrite").format(fmt).save(path)
             done[name] = spark.read.format(fmt).load(path)
         else:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            writer.saveAsTable(name)
-            done[name] = spark.table(name)
+            done[name] = replace_table(df, name, fmt)
     return done
 
 

@@ -17,6 +17,7 @@ from ..functions import dates as fd
 from ..functions import geo as fg
 from ..functions import text as ft
 from ..operators import clean, geo, marts, pages, quality, terms
+from ..operators.order import with_position
 from ..sources import fixtures as fx
 from ..streaming import alerts
 from ..taxonomy import loose_taxonomy_df, part_taxonomy_df, taxonomy_df
@@ -323,12 +324,12 @@ def d7_count_non_null(spark, d):
 
 @query("d8_ranked_major")
 def d8_ranked_major(spark, d):
-    return quality.ranked_counts(cleaned(spark, d), "major_category")
+    return with_position(quality.ranked_counts(cleaned(spark, d), "major_category"))
 
 
 @query("d9_ranked_middle")
 def d9_ranked_middle(spark, d):
-    return quality.ranked_counts(cleaned(spark, d), "middle_category")
+    return with_position(quality.ranked_counts(cleaned(spark, d), "middle_category"))
 
 
 @query("d10_groups_per_middle")
@@ -383,13 +384,13 @@ def d17_duplicate_summary_postings(spark, d):
 
 @query("d18_distinct_dates")
 def d18_distinct_dates(spark, d):
-    return quality.distinct_dates(fx.event_postings(spark, d))
+    return with_position(quality.distinct_dates(fx.event_postings(spark, d)))
 
 
 @query("d19_dedupe_first")
 def d19_dedupe_first(spark, d):
     docs = fx.table(spark, d, "documents").select("doc_id", "text", "lang", "source")
-    return quality.dedupe_first(docs, ["text"], ["doc_id"])
+    return quality.dedupe_first(docs, ["text"], ["doc_id"], row_id="doc_id")
 
 
 @query("d20_distinct_ids")
@@ -402,14 +403,15 @@ def d21_profile(spark, d):
     o = fx.table(spark, d, "orders")
     p = quality.profile(o)
     return p.select("column", "count", "nulls", "min", "max", F.round("mean", 4).alias("mean"),
-                    F.round("stddev", 2).alias("stddev"))
+                    F.round("stddev", 2).alias("stddev"),
+                    *[F.round(F.get("quartiles", F.lit(i)), 4).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
 
 
 # --- sorts ---------------------------------------------------------------
 
 @query("f2_sort_by")
 def f2_sort_by(spark, d):
-    return quality.sort_by(_li_keys(spark, d), ["job_id"], as_string=True)
+    return with_position(quality.sort_by(_li_keys(spark, d), ["job_id"], as_string=True))
 
 
 @query("f4_preview")

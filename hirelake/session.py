@@ -7,6 +7,8 @@ configured. Only tests and local scripts call :func:`local_session`.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +92,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return current
 
 
+def shared_scratch(spark: SparkSession) -> str:
+    """The shared checkpoint folder. A session whose executors are threads of
+    this process (tests, local runs) gets one of its own where none is set;
+    on a cluster the setting is required."""
+    root = checkpoint_dir(spark)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+        root = tempfile.mkdtemp(prefix="hirelake-scratch-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     root = checkpoint_dir(spark)

@@ -249,10 +249,12 @@ oracle("d7_count_non_null", W("""
 SELECT major_category, middle_category, sub_category, COUNT(job_id) AS job_id_count FROM cleaned GROUP BY 1, 2, 3
 """, "cleaned"))
 oracle("d8_ranked_major", W("""
-SELECT major_category, COUNT(*) AS count FROM cleaned WHERE major_category IS NOT NULL GROUP BY 1
+SELECT major_category, COUNT(*) AS count, row_number() OVER (ORDER BY COUNT(*) DESC, major_category) AS position
+FROM cleaned WHERE major_category IS NOT NULL GROUP BY 1
 """, "cleaned"))
 oracle("d9_ranked_middle", W("""
-SELECT middle_category, COUNT(*) AS count FROM cleaned WHERE middle_category IS NOT NULL GROUP BY 1
+SELECT middle_category, COUNT(*) AS count, row_number() OVER (ORDER BY COUNT(*) DESC, middle_category) AS position
+FROM cleaned WHERE middle_category IS NOT NULL GROUP BY 1
 """, "cleaned"))
 oracle("d10_groups_per_middle", W("""
 SELECT middle_category, COUNT(*) AS job_id_count
@@ -308,7 +310,9 @@ FROM (SELECT CAST((SELECT COUNT(*) FROM {src}) AS BIGINT) AS total_rows,
 oracle("d17_duplicate_summary", W(_dup_summary("lineitem_postings"), "lineitem_postings"))
 oracle("d17_duplicate_summary_postings", W(_dup_summary("postings"), "postings"))
 
-oracle("d18_distinct_dates", W("SELECT DISTINCT year, month, day FROM event_postings", "event_postings"))
+oracle("d18_distinct_dates", W("""
+SELECT *, row_number() OVER (ORDER BY year, month, day) AS position FROM (SELECT DISTINCT year, month, day FROM event_postings)
+""", "event_postings"))
 
 oracle("d19_dedupe_first", """
 SELECT doc_id, text, lang, source FROM (
@@ -330,8 +334,10 @@ def _profile_sql() -> str:
     for c, num in cols:
         mean = f"round(avg({c}), 4)" if num else "CAST(NULL AS DOUBLE)"
         spread = f"round(stddev_samp({c}), 2)" if num else "CAST(NULL AS DOUBLE)"
+        marks = ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 4) AS {n}" if num else f"CAST(NULL AS DOUBLE) AS {n}"
+                          for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3")))
         parts.append(f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls, "
-                     f"CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max, {mean} AS mean, {spread} AS stddev "
+                     f"CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max, {mean} AS mean, {spread} AS stddev, {marks} "
                      f"FROM orders")
     return " UNION ALL ".join(parts)
 
@@ -340,7 +346,9 @@ oracle("d21_profile", _profile_sql())
 
 # --- sorts -------------------------------------------------------------------
 
-oracle("f2_sort_by", W(f"SELECT * FROM {_LI}", "lineitem_postings"))
+oracle("f2_sort_by", W(f"""
+SELECT *, row_number() OVER (ORDER BY CAST(job_id AS VARCHAR) NULLS FIRST, platform NULLS FIRST, company NULLS FIRST, title NULLS FIRST)
+          AS position FROM {_LI}""", "lineitem_postings"))
 oracle("f4_preview", W(f"SELECT * FROM {_LI} ORDER BY job_id, company, platform, title LIMIT 20",
                        "lineitem_postings"))
 

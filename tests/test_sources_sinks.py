@@ -159,6 +159,21 @@ def test_rebuild_into_catalog(spark, tmp_dir):
     rebuild(spark, registry, ["hl_base", "hl_counts"])
     rebuild(spark, registry, ["hl_base", "hl_counts"])  # rerun replaces, never appends
     assert rows(spark.table("hl_counts")) == [(0, 3), (1, 3)]
+    before = spark.table("hl_base")  # opened before the next rebuild: keeps its version
+    rebuild(spark, {"hl_base": lambda done: base.where("id < 2")}, ["hl_base"])
+    assert before.count() == 6 and spark.table("hl_base").count() == 2
+
+
+def test_register_prefix_sees_new_days(spark, tmp_dir):
+    from hirelake.sources.catalog import register_prefix
+    path = f"{tmp_dir}/days"
+    day = lambda n, d: spark.range(n).selectExpr("id", "'2024' AS year", "'01' AS month", f"'{d}' AS day")
+    day(3, "01").write.partitionBy("year", "month", "day").parquet(path)
+    assert register_prefix(spark, "hl_days", path).count() == 3
+    day(4, "02").withColumn("extra", F.lit("x")).write.mode("append").partitionBy("year", "month", "day").parquet(path)
+    table = register_prefix(spark, "hl_days", path)
+    assert table.count() == spark.table("hl_days").count() == 7
+    assert spark.table("hl_days").where("day = '02'").select("extra").distinct().collect() == [("x",)]
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):

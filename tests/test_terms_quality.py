@@ -112,6 +112,33 @@ def test_semi_sort_preview_profile(spark):
     assert df.count() == 4 and df.rdd.getNumPartitions() >= 1 and "k" in df.schema.simpleString()  # D22
 
 
+def test_exact_quartiles(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    cases = {"wide": [float(x) for x in rng.standard_normal(997) * 10.0 ** rng.integers(-200, 200, 997)], "ties": [1.0, 2.0, 2.0, 2.0, 9.0] * 40,
+             "near": [1.0 + i * 2.0 ** -50 for i in range(300)], "one": [5.0], "signs": [-3.0, 0.0, -0.5, 7.0]}
+    for name, vals in cases.items():
+        df = spark.createDataFrame([(v, None) for v in vals] + [(None, None)], "v double, w int")
+        got = quality.exact_quantiles(df, ["v", "w"], (0.25, 0.5, 0.75, 1.0)).collect()
+        assert [r["column"] for r in got] == ["v"], name
+        assert np.allclose(got[0]["quantiles"], np.quantile(vals, [0.25, 0.5, 0.75, 1.0]), rtol=1e-12, atol=0), name
+
+
+def test_positions_of_sorted_rows(spark):
+    from hirelake.operators.order import with_position
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x")).repartition(9).orderBy(F.desc("x"))
+    got = with_position(df).collect()
+    assert sorted((r.position, r.x) for r in got) == [(i + 1, 4999 - i) for i in range(5000)]
+    assert with_position(df.where("x < 0")).collect() == []
+
+
+def test_dedupe_by_row_id(spark):
+    df = spark.createDataFrame([(5, "a", "x"), (3, "a", "y"), (4, None, "z"), (6, None, "w")], "id long, k string, v string")
+    out = quality.dedupe_first(df, ["k"], ["id"], row_id="id")
+    assert rows(out) == [(3, "a", "y"), (4, None, "z")]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_noun_arrays_of_two_columns(spark):
     lex = _lexicon(spark, ["데이터", "데이터엔지니어", "경험", "우대"])
     df = spark.createDataFrame([(1, "데이터엔지니어는 경험을 우대", "데이터 데이터"), (2, None, "경험")],
