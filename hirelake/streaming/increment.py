@@ -2,7 +2,9 @@
 
 Batch form: filter the day on the partition columns (partition pruning, only
 that day's folders are read), run the first stage, overwrite only that
-day's output partitions. Streaming form: a file-source stream over the
+day's output partition. Both publish through a manifest
+(:mod:`..sources.publish`), so readers never see files vanish or half a day;
+read the output with ``read_published``. Streaming form: a file-source stream over the
 landing zone with ``availableNow`` processes exactly the files not seen
 before (the source's checkpoint remembers them) and writes the rows of each
 landing file into their own ``batch=<hash of the file's path>`` sub-partition
@@ -22,7 +24,7 @@ from ..plans.pipeline import first_stage
 from ..schemas import DAY_PARTS, POSTING_SCHEMA
 from ..session import scratch_path
 from ..sources.landing import read_posting_lines
-from ..sources.sinks import write_day
+from ..sources.publish import publish, read_published
 from ..sources.tables import read_day
 
 BATCH_COLUMN = "batch"
@@ -31,15 +33,13 @@ LANDING_LINE_SCHEMA = T.StructType(POSTING_SCHEMA.fields + [T.StructField(c, T.S
 
 def process_day(spark: SparkSession, landing_path: str, out_path: str, day: tuple[str, str, str],
                 taxonomy: DataFrame, addresses: DataFrame) -> DataFrame:
-    """J3 batch: first stage over one landing day, written as that day's
-    partition of ``out_path``. Returns the day's rows as written."""
+    """J3 batch: first stage over one landing day, published as that day's
+    partition of ``out_path`` (an empty one when the day has no rows any more).
+    Returns the day's rows as published."""
     rows = read_day(read_posting_lines(spark, landing_path), *day)
     cleaned = first_stage([rows], taxonomy, addresses)
-    # The day's folder is replaced, also by an empty one when the day has no rows any more.
-    folder = "/".join([out_path.rstrip("/"), *(f"{k}={v}" for k, v in zip(DAY_PARTS, day))])
-    cleaned.drop(*DAY_PARTS).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
-    schema = T.StructType([f for f in cleaned.schema if f.name not in DAY_PARTS] + [T.StructField(c, T.StringType()) for c in DAY_PARTS])
-    return spark.read.schema(schema).option("basePath", out_path).parquet(folder).select(*cleaned.columns)
+    publish(cleaned, out_path, emptied=[dict(zip(DAY_PARTS, day))])
+    return read_day(read_published(spark, out_path), *day).select(*cleaned.columns)
 
 
 def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxonomy: DataFrame,
@@ -59,7 +59,7 @@ def stream_increment(spark: SparkSession, landing_path: str, out_path: str, taxo
         # Each landing file owns its (day, batch) partition: a late file for
         # an old day never replaces rows that another file brought.
         cleaned = first_stage([batch], taxonomy, addresses, extra=(BATCH_COLUMN,))
-        write_day(cleaned, out_path, parts=[*DAY_PARTS, BATCH_COLUMN])
+        publish(cleaned, out_path, parts=[*DAY_PARTS, BATCH_COLUMN])
 
     known = sha1(f"{landing_path} {out_path}".encode()).hexdigest()[:16]
     writer = (stream.writeStream.foreachBatch(write_batch)

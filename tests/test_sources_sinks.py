@@ -164,6 +164,25 @@ def test_rebuild_into_catalog(spark, tmp_dir):
     assert before.count() == 6 and spark.table("hl_base").count() == 2
 
 
+def test_published_days_are_replaced_in_one_step(spark, tmp_dir):
+    import pytest
+
+    from hirelake.sources import publish as pub
+    day = lambda n, *d: spark.range(n).selectExpr("id", "'2024' AS year", "'01' AS month", f"explode(array{d + d if len(d) == 1 else d}) AS day").distinct()
+    path = f"{tmp_dir}/t"
+    with pytest.raises(FileNotFoundError):
+        pub.read_published(spark, path)
+    pub.publish(day(3, "01", "02"), path)
+    before = pub.read_published(spark, path)
+    pub.publish(day(5, "02", "03"), path, emptied=[{"year": "2024", "month": "01", "day": "01"}])
+    count = lambda df: {r["day"]: r["count"] for r in df.groupBy("day").count().collect()}
+    assert count(before) == {"01": 3, "02": 3}  # opened before: keeps its version
+    assert count(pub.read_published(spark, path)) == {"02": 5, "03": 5}
+    assert pub.read_published(spark, path).columns == ["id", "year", "month", "day"]
+    pub.publish(day(1, "02").limit(0), path)
+    assert count(pub.read_published(spark, path)) == {"02": 5, "03": 5}
+
+
 def test_register_prefix_sees_new_days(spark, tmp_dir):
     from hirelake.sources.catalog import register_prefix
     path = f"{tmp_dir}/days"

@@ -46,6 +46,8 @@ def test_job_alert_texts(spark):
 
 
 def test_daily_increment_batch_and_stream(spark, tmp_dir, sf_small):
+    from hirelake.sources.publish import read_published
+
     landing = f"{tmp_dir}/landing"
     posts = fx.postings(spark, sf_small)
     write_landing(posts.where(F.col("year") == "2024").where(F.col("month") == "1"), landing)
@@ -53,7 +55,7 @@ def test_daily_increment_batch_and_stream(spark, tmp_dir, sf_small):
     out = f"{tmp_dir}/cleaned"
     # batch: one day only (J3 with A4 + A6)
     increment.process_day(spark, landing, out, ("2024", "1", "05"), tax, addr)
-    first = spark.read.parquet(out)
+    first = read_published(spark, out)
     assert rows(first.select("day").distinct()) == [("05",)]
     # stream: everything new in small micro-batches, then only the new files
     sout = f"{tmp_dir}/cleaned_stream"
@@ -61,26 +63,25 @@ def test_daily_increment_batch_and_stream(spark, tmp_dir, sf_small):
                                    max_files_per_trigger=7)
     q.awaitTermination()
     expected = queries.cleaned(spark, sf_small).where((F.col("year") == "2024") & (F.col("month") == "1"))
-    jan = spark.read.parquet(sout).select(*expected.columns)
+    jan = read_published(spark, sout).select(*expected.columns)
     assert jan.count() == expected.count() and jan.exceptAll(expected).count() == 0
     write_landing(posts.where(F.col("month") == "2"), landing)  # new files, incl. days seen before
     q2 = increment.stream_increment(spark, landing, sout, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt",
                                     max_files_per_trigger=7)
     q2.awaitTermination()
-    everything = spark.read.parquet(sout).select(*expected.columns)
+    everything = read_published(spark, sout).select(*expected.columns)
     assert everything.count() == queries.cleaned(spark, sf_small).count()
     total = everything.count()
     # a reset checkpoint reads all files again and changes nothing
     increment.stream_increment(spark, landing, sout, tax, addr, checkpoint=f"{tmp_dir}/inc_ckpt2").awaitTermination()
-    assert spark.read.parquet(sout).count() == total
+    assert read_published(spark, sout).count() == total
     # the returned rows are the written ones; a day that lost its rows is emptied
     again = increment.process_day(spark, landing, out, ("2024", "1", "05"), tax, addr)
-    assert again.count() == spark.read.parquet(out).where("day = '05'").count() > 0
+    assert again.count() == read_published(spark, out).where("day = '05'").count() > 0
     write_landing(posts.where("day = '06'"), f"{tmp_dir}/less")
     assert increment.process_day(spark, f"{tmp_dir}/less", out, ("2024", "1", "05"), tax, addr).count() == 0
-    assert spark.read.parquet(out).where("day = '05'").count() == 0
-    # listed anew: the frame above was opened before its files were rewritten
-    everything = spark.read.parquet(sout).select(*expected.columns)
+    assert read_published(spark, out).where("day = '05'").count() == 0
+    # opened before the reset stream published everything anew: still reads its own version
     assert everything.exceptAll(queries.cleaned(spark, sf_small)).count() == 0
 
 
