@@ -98,7 +98,7 @@ def shared_scratch(spark: SparkSession) -> str:
     on a cluster the setting is required."""
     root = checkpoint_dir(spark)
     if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        if not re.match(r"local(\[[^\]]*\])?\Z", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
         root = tempfile.mkdtemp(prefix="hirelake-scratch-")
         spark.sparkContext.setCheckpointDir(root)
