@@ -10,16 +10,20 @@ is a leaf; a larger one branches on, ``DEPTH`` times at most.
 
 Nodes are compared in three rounds, each on what the links found before have
 not yet connected. First the classes of a node in ``FIRST`` of the trees are
-held against one of them (its pivot), then those of a node in any tree against
-two. Only nodes that still hold several components are then compared
+held against one of them (its pivot: the one that meets the most classes over
+all its nodes, as an original does whose copies were edited apart), then those
+of a node in any tree against it and a second one. Only nodes that still hold several components are then compared
 exhaustively, whatever their size: classes apart from their node's pivot against
 all classes of the node outside their own component. So a large group of near
 copies costs a few pairs per class and node, not all pairs.
 
 Candidates pass a filter on 4-bit minhash sketches (a short one that travels
 with the rows of a node, then the whole), wide enough (five and more than four
-standard errors) not to lose links, and are confirmed on full sets, made
-anew from whole texts: in the first rounds each class's closest candidate, in
+standard errors) not to lose links; the exhaustive comparison also holds odd
+sketches of the sets against each other (the parity of the shingles in each of
+``ODD`` slots: two sketches differ in no more slots than the sets do in
+shingles, so below some thousand shingles this is nearly exact and loses
+nothing). What passes is confirmed on full sets, made anew from whole texts: in the first rounds each class's closest candidate, in
 the last all candidates. The texts of classes that share any node are written
 once for all rounds. Joins are merge joins at every size, so that what is
 shuffled follows the input. Links and components stay on the executors, and
@@ -54,6 +58,8 @@ FIRST = 3
 TOKENS, SKETCH = 48, 128
 #: Sketch estimate from which a pair is a candidate.
 CANDIDATE = 0.63
+#: Slots of the odd sketch.
+ODD = 2048
 _SEEDS = np.random.default_rng(17).integers(1, 1 << 32, (2, SKETCH), np.uint64).astype(np.uint32)
 _SEEDS[0] |= np.uint32(1)
 
@@ -84,6 +90,12 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
     return best
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Odd sketch of a set of shingle hashes, as 64-bit numbers."""
+    slots = (hashes >> np.uint64(65 - ODD.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=ODD) & 1).astype(np.uint8)).view("<i8")
+
+
 def features(docs: DataFrame, words: int) -> DataFrame:
     """id, said (hash of the text), n, k0, k1 (128-bit hash of the set), tokens,
     sketch of documents (id, text)."""
@@ -141,6 +153,29 @@ def _may_link(similarity: int, left: str = "x", right: str = "y") -> Column:
     return (low * 100 >= high * similarity) & (_estimate(left, right) >= CANDIDATE - (80 - similarity) / 100)
 
 
+def odd_sketches(texts: DataFrame, words: int) -> DataFrame:
+    """id, odd (odd sketch) of texts (id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [parities(shingles(t.as_py(), words)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], names=["id", "odd"])
+        give_back()
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, odd array<bigint>")
+
+
+def _odd_may_link(similarity: int) -> Column:
+    """Whether the odd sketches of x and y differ in no more slots than linked
+    sets do: at most the shingles these may differ in, and at most what so many
+    shingles are expected to leave odd and five standard errors (half the root
+    of the slots, at most)."""
+    differ = F.zip_with("xodd", "yodd", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    slots = F.aggregate(differ, F.lit(0), lambda total, n: total + n)
+    apart = (F.col("xn") + F.col("yn")) * F.lit((100 - similarity) / (100 + similarity))
+    odd = F.lit(ODD / 2) * (1 - F.exp(apart * F.lit(-2 / ODD))) + F.lit(2.5 * ODD ** 0.5)
+    return slots <= F.least(apart, odd) + 1e-6
+
+
 def _children(rows: DataFrame) -> DataFrame:
     """node, id, first of the children that members (node, id, tokens, first)
     go to."""
@@ -163,9 +198,9 @@ def _maybe(similarity: int, other: str) -> Column:
 
 
 def tree_nodes(reps: DataFrame) -> DataFrame:
-    """node, id, first (whether of the first trees), brief columns of all
-    classes that share a node to be compared: leaves, and those of the last
-    depth."""
+    """node, id, first (whether of the first trees), brief columns, met (how
+    many classes it meets over all its nodes) of all classes that share a node
+    to be compared: leaves, and those of the last depth."""
     trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
     rows = reps.select("id", "tokens", trees).withColumn("first", F.col("node") < FIRST)
     nodes = []
@@ -175,28 +210,32 @@ def tree_nodes(reps: DataFrame) -> DataFrame:
         live = materialize(rows.join(counts.hint("merge"), "node"), "path-nodes")
         large = F.col("members") > SMALL
         last = depth == DEPTH - 1
-        nodes.append((live if last else live.where(~large)).select("node", "id", "first"))
+        nodes.append((live if last else live.where(~large)).select("node", "id", "first", "members"))
         if last or live.where(large).isEmpty():
             break
         rows = live.where(large).join(reps.select("id", "tokens").hint("merge"), "id").select("id", "first", "tokens", "node")
-    brief = reps.select("id", *BRIEF).hint("merge")
-    return materialize(reduce(DataFrame.unionByName, nodes).join(brief, "id"), "path-members")
+    rows = reduce(DataFrame.unionByName, nodes)
+    met = rows.groupBy("id").agg(F.sum("members").alias("met"))
+    brief = reps.select("id", *BRIEF).join(met.hint("merge"), "id").hint("merge")
+    return materialize(rows.drop("members").join(brief, "id"), "path-members")
 
 
 def _mixed(nodes: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """node, id, brief columns, c (component so far) of the nodes that hold
-    several components; low_*, high_*: the same of two of the node's classes."""
-    rows = nodes.select("node", "id", *BRIEF)
+    """node, id, met, brief columns, c (component so far) of the nodes that
+    hold several components; top_*, low_*: the same of two of the node's
+    classes, the one that meets most (ties: largest id) and the smallest id."""
+    rows = nodes.select("node", "id", "met", *BRIEF)
     if parts is None:
         rows = rows.withColumn("c", F.col("id"))
     else:
         known = parts.select("id", F.col("component").alias("c")).hint("merge")
-        rows = rows.join(known, "id", "left").select("node", "id", *BRIEF, F.coalesce("c", "id").alias("c"))
+        rows = rows.join(known, "id", "left").select("node", "id", "met", *BRIEF, F.coalesce("c", "id").alias("c"))
         rows = materialize(rows, "near-placed")
-    own = F.struct("id", "c", *BRIEF)
-    ends = (rows.groupBy("node").agg(F.min("c").alias("__a"), F.max("c").alias("__b"), F.min(own).alias("l"), F.max(own).alias("h"))
-            .where("__a <> __b").select("node", *[F.col(f"{x[0]}.{c}").alias(x + ("" if c == "id" else f"_{c}"))
-                                                  for x in ("low", "high") for c in ("id", "c", *BRIEF)]))
+    own = ["id", "c", *BRIEF]
+    ends = (rows.groupBy("node").agg(F.min("c").alias("__a"), F.max("c").alias("__b"),
+                                     F.max(F.struct("met", *own)).alias("__top"), F.min(F.struct(*own)).alias("__low"))
+            .where("__a <> __b").select("node", *[F.col(f"__{x}.{c}").alias(x + ("" if c == "id" else f"_{c}"))
+                                                  for x in ("top", "low") for c in own]))
     return rows.join(ends.hint("merge"), "node")
 
 
@@ -234,18 +273,19 @@ def links(reps: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, simil
         rows.where((F.col(e) != F.col("id")) & (F.col(f"{e}_c") != F.col("c")) & _maybe(similarity, f"{e}_"))
         .select(F.col(e).alias("a"), F.col("id").alias("b")) for e in ends])
     best = lambda found: found.groupBy("b").agg(F.max_by("a", "likeness").alias("a")).select("a", "b")
-    sure = confirm(best(_found(pairs(_mixed(nodes.where("first"), None), "low"), reps, similarity)), texts, words, similarity)
+    sure = confirm(best(_found(pairs(_mixed(nodes.where("first"), None), "top"), reps, similarity)), texts, words, similarity)
     rows = materialize(_mixed(nodes, components(sure)), "near-mixed")
-    sure = sure.unionByName(confirm(best(_found(pairs(rows, "low", "high"), reps, similarity)), texts, words, similarity))
+    sure = sure.unionByName(confirm(best(_found(pairs(rows, "top", "low"), reps, similarity)), texts, words, similarity))
     # What is still apart from its node's pivot meets all others of the node: each pair in the first node it shares.
-    rows = _mixed(rows, components(sure)).select("node", "id", "c", "low_c")
+    rows = _mixed(rows, components(sure)).select("node", "id", "c", "top_c")
     every = nodes.groupBy("id").agg(F.collect_set("node").alias("nodes"))
-    rows = materialize(rows.join(every.hint("merge"), "id").join(_sized(reps, "", "id").hint("merge"), "id"), "near-mixed")
+    odd = odd_sketches(texts, words).hint("merge")
+    rows = materialize(rows.join(every.hint("merge"), "id").join(_sized(reps, "", "id").hint("merge"), "id").join(odd, "id"), "near-mixed")
     named = lambda p: rows.select(F.col("node").alias(p + "node"), *[
         F.col(c).alias(p + c) for c in rows.columns if c != "node"])
     first = F.array_min(F.array_intersect("xnodes", "ynodes")) == F.col("xnode")
-    met = named("x").where("xc <> xlow_c").join(
-        named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity) & first)
+    met = named("x").where("xc <> xtop_c").join(
+        named("y"), (F.col("xnode") == F.col("ynode")) & (F.col("xc") != F.col("yc")) & _may_link(similarity) & _odd_may_link(similarity) & first)
     more = materialize(met.select(F.least("xid", "yid").alias("a"), F.greatest("xid", "yid").alias("b")).distinct(), "near-open")
     return sure if more.isEmpty() else sure.unionByName(confirm(more, texts, words, similarity))
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from hirelake.llm import near_dup
@@ -98,3 +99,34 @@ def test_components_of_chains_and_stars(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {**{i: 10 for i in range(10, 61)}, **{i: 5 for i in range(100, 401)}, 5: 5, 7: 7}
     assert got == want
+
+
+def test_odd_sketch_keeps_every_link(spark):
+    """Sets of any size with a similarity of 0.8 and more pass; sets of a few
+    hundred shingles well below do not."""
+    rnd = np.random.default_rng(5)
+    rows = []
+    for size, share in [(s, j) for s in (1, 5, 40, 150, 600, 3000, 20000) for j in (0.8, 0.81, 0.9, 1.0, 0.7)]:
+        alike = max(1, int(np.ceil(share * size)))
+        own = rnd.integers(0, 1 << 63, 2 * size - alike, np.uint64)
+        x, y = own[:alike + (size - alike) // 2], np.r_[own[:alike], own[alike + (size - alike) // 2:size]]
+        rows.append((size, alike / size, len(x), len(y), near_dup.parities(x).tolist(), near_dup.parities(y).tolist()))
+    df = spark.createDataFrame(rows, "size long, share double, xn long, yn long, xodd array<long>, yodd array<long>")
+    got = df.select("size", "share", near_dup._odd_may_link(80).alias("may")).collect()
+    assert all(r["may"] for r in got if r["share"] >= 0.8)
+    assert not any(r["may"] for r in got if r["share"] < 0.75 and 40 <= r["size"] <= 600)
+
+
+def test_loosely_edited_group(spark):
+    """Copies of one original, edited apart, that mostly link through it."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=5))
+    base = [word() for _ in range(120)]
+    rows = []
+    for _ in range(200):
+        copy = list(base)
+        for _ in range(rnd.randint(2, 7)):
+            copy[rnd.randrange(len(copy))] = word()
+        rows.append((len(rows), " ".join(copy)))
+    rows.append((len(rows), " ".join(base)))
+    assert found(docs_frame(spark, rows), 4) == brute(rows, 4)
