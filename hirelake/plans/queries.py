@@ -689,9 +689,10 @@ def k4_mart_layer(spark, d):
 
 @query("k5_explore")
 def k5_explore(spark, d):
-    rows = ["job_id", "platform", "title", "year", "month", "day"]
-    return _digests(explore(cleaned(spark, d)), {
-        "duplicate_rows": rows, "duplicate_rows_pair": rows, "profile": ["column", "count", "nulls"]})
+    """K5: digests of all tables of the exploration, on every column but
+    arrays (skills and coordinate of the repeated rows; quartiles, which the
+    text columns of postings do not have)."""
+    return _digests(explore(cleaned(spark, d)))
 
 
 @query("d13_count_by")

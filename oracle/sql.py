@@ -589,9 +589,9 @@ _K4 = [("unique_jds", "b11_unique_postings", [*_POST, "title", "company"]),
 oracle("k4_mart_layer", " UNION ALL ".join(_digest(n, ORACLE[k], c) for n, k, c in _K4))
 
 _NON_NULL = f"SELECT {', '.join(_CATS)}, COUNT(job_id) AS job_id_count FROM cleaned GROUP BY ALL"
-_DUP = ["job_id", "platform", "title", "year", "month", "day"]
 _CLEANED = ["year", "month", "day", "job_id", "platform", "category", *_CATS, "company", "title", "preferred", "required",
             "primary_responsibility", "url", "end_at", "skills", "location", "welfare", "body", "company_description", "coordinate"]
+_DUP = [c for c in _CLEANED if c not in ("skills", "coordinate")]
 
 
 def _ranked(col: str, expr: str) -> str:
@@ -616,8 +616,10 @@ oracle("k5_explore", W(" UNION ALL ".join([
     _digest("duplicate_summary", _dup_summary("cleaned"), ["total_rows", "dup_rows", "dup_pair_rows", "dup_count_half",
                                                             "net_postings_half", "removable_rows", "net_postings"]),
     _digest("profile", " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls FROM cleaned" for c in _CLEANED),
-        ["column", "count", "nulls"]),
+        f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS nulls, "
+        f"{f'MIN({c})' if c in _DUP else 'NULL'} AS min, {f'MAX({c})' if c in _DUP else 'NULL'} AS max, "
+        "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev FROM cleaned" for c in _CLEANED),
+        ["column", "count", "nulls", "min", "max", ".mean", ".stddev"]),
 ]), "cleaned"))
 
 oracle("d13_count_by", """
