@@ -8,12 +8,14 @@ whole query set meets all rows without a hot group and without a broadcast.
 In a block, inner product becomes distance: with M the largest norm, a vector
 x is (x, sqrt(M^2 - |x|^2)) and a query q is (M q / |q|, 0). These are
 projected to ``PROJECTED`` dimensions by a Gaussian (2-stable) matrix and put
-into a kd-tree. A query visits the leaves by their projected distance and
-verifies the vectors there on the original components. The squared ratio of
-projected to true distance is chi-square distributed, so once
-P(chi2 <= (projected distance of the next leaf / true distance of the k-th
-best)^2) reaches ``CONFIDENCE``, a better vector behind it is that unlikely,
-and the search of the block stops. The best of all blocks are merged per query.
+into a kd-tree. The squared ratio of projected to true distance is chi-square
+distributed, so a vector for which P(chi2 <= (its projected distance / true
+distance of the k-th best)^2) reaches ``CONFIDENCE`` is that unlikely to be
+better. A query visits the leaves by the projected distance of their boxes, in
+rounds that double, verifies those vectors of a round that the test of their
+own projected distance leaves, on the original components, and stops where the
+test holds for the next box. The bound only falls, so a vector put aside once
+stays so. The best of all blocks are merged per query.
 
 Vectors are compared in double precision and with those of their own length
 only. Defined cases: null ids, null or zero vectors and those with null or
@@ -34,12 +36,14 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 K = 20
-PROJECTED = 8
+PROJECTED = 16
 LEAF = 32
-CONFIDENCE = 0.9
+CONFIDENCE = 0.95
+#: Leaves of a query's first round.
+FIRST_LEAVES = 4
 #: Rows of a block, on average (8,192 vectors of 64 doubles are 4 MB). Every query brings k rows back from each
-#: block, so small blocks cost rows to merge.
-VECTOR_BLOCK, QUERY_BLOCK = 8192, 512
+#: block, and every vector is sent once for each block of queries, so small blocks of either cost rows.
+VECTOR_BLOCK, QUERY_BLOCK = 8192, 8192
 QUERY_EVERY = 20
 SCHEMA = "query_id bigint, vec_id bigint, score double"
 
@@ -95,34 +99,39 @@ class Block:
         scaled = vectors / self.size
         extra = np.sqrt(np.maximum(1 - (scaled * scaled).sum(1), 0))
         self.matrix = np.random.default_rng(seed).normal(size=(vectors.shape[1] + 1, PROJECTED))
-        self.tree = Tree(np.column_stack([scaled, extra]) @ self.matrix)
+        points = np.column_stack([scaled, extra]) @ self.matrix
+        self.tree = Tree(points)
         self.ids, self.vectors = ids[self.tree.order], np.ascontiguousarray(vectors[self.tree.order])
+        self.points = np.ascontiguousarray(points[self.tree.order])
         self.stop = chi2_quantile(CONFIDENCE, PROJECTED)
+        self.verified = 0
 
     def search(self, own: int, q: np.ndarray, k: int = K) -> list[tuple[int, float]]:
-        """(id, score) of the k best found, best first; ``own`` is left out."""
+        """(id, score) of the k best found, best first; ``own`` is left out.
+        ``verified`` counts the vectors compared on original components."""
         norm = float(np.sqrt((q * q).sum()))
-        near = self.tree.leaf_distances(np.append(q / norm, 0.0) @ self.matrix)
+        at_q = np.append(q / norm, 0.0) @ self.matrix
+        near = self.tree.leaf_distances(at_q)
         leaves = np.argsort(near, kind="stable")
-        begin, take, at = self.tree.begin, 4, 0
-        rows, scores, kth = [], [], -np.inf
-        while at < len(leaves):
-            if kth > -np.inf:
-                distance = max(2 - 2 * kth / (norm * self.size), 0.0)  # squared, of vectors of size 1
-                if near[leaves[at]] >= self.stop * distance:
-                    break
+        slack = 1e-9 * norm * self.size  # equal vectors must not be told apart by rounding
+        begin, take, at = self.tree.begin, FIRST_LEAVES, 0
+        rows, scores, kth, bound = np.empty(0, int), np.empty(0), -np.inf, np.inf
+        while at < len(leaves) and near[leaves[at]] < bound:
             r = np.concatenate([np.arange(begin[x], begin[x + 1]) for x in leaves[at:at + take]])
-            at += take
+            at, take = at + take, 2 * take
+            gap = self.points[r] - at_q
+            r = r[((gap * gap).sum(1) < bound) & (self.ids[r] != own)]
+            self.verified += len(r)
             s = self.vectors[r] @ q
-            keep = (self.ids[r] != own) & (s >= kth - 1e-9 * norm * self.size)
-            rows.append(r[keep])
-            scores.append(s[keep])
-            if sum(map(len, rows)) >= k:
-                r, s = np.concatenate(rows), np.concatenate(scores)
-                kth = np.partition(s, len(s) - k)[len(s) - k]
-                keep = s >= kth - 1e-9 * norm * self.size  # equal vectors must not be told apart by rounding
-                rows, scores = [r[keep]], [s[keep]]
-        r = np.concatenate(rows) if rows else np.empty(0, int)
+            keep = s >= kth - slack
+            rows, scores = np.concatenate([rows, r[keep]]), np.concatenate([scores, s[keep]])
+            if len(rows) >= k:
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                keep = scores >= kth - slack
+                rows, scores = rows[keep], scores[keep]
+                # the squared true distance of the k-th best, of vectors of size 1; rounding must not make it zero
+                bound = self.stop * max(2 - 2 * kth / (norm * self.size), 1e-12)
+        r = rows
         exact = (self.vectors[r] * q).sum(1)
         best = np.lexsort((self.ids[r], -exact))[:k]
         return [(int(self.ids[r[i]]), float(exact[i])) for i in best]

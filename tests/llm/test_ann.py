@@ -61,3 +61,24 @@ def test_search_visits_part_of_the_block_when_vectors_cluster():
         s[i] = -np.inf
         got = [v for v, _ in block.search(i, x[i])]
         assert len(set(got) & set(np.argsort(-s)[:20].tolist())) >= 18
+
+
+def test_points_are_put_aside_by_their_own_projected_distance():
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(4096, 24))  # isotropic: nearly every leaf's box is inside the stop
+    ids, hits, asked = np.arange(len(x)), 0, range(0, len(x), 128)
+    block = ann.Block(ids, x)
+    for i in asked:
+        got = block.search(i, x[i])
+        s = (x * x[i]).sum(1)
+        want = [j for j in np.lexsort((ids, -s)) if j != i][:20]
+        assert all(abs(score - s[v]) < 1e-12 for v, score in got)
+        hits += len({v for v, _ in got} & set(want))
+    assert hits >= 0.9 * 20 * len(asked)
+    assert block.verified < 0.97 * len(x) * len(asked)
+
+
+def test_equal_vectors_are_all_met():
+    x = np.concatenate([np.tile([1.0, 2.0, 3.0], (300, 1)), np.random.default_rng(6).normal(size=(300, 3)) / 9])
+    block = ann.Block(np.arange(600)[::-1].copy(), x)
+    assert [v for v, _ in block.search(599, x[0])] == list(range(300, 320))
