@@ -35,6 +35,8 @@ HEADER, BETWEEN, FOOTER = "### ", ": ", "</turn>\n"
 #: Character, its escaped form. The escape character is first.
 ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"))
 ROLE_ESCAPES = (*ESCAPES, (":", "\\c"))
+#: Code points of a streamed piece of a text, in logs made from finished turns.
+PIECE = 256
 
 
 def escape(text: Column, escapes: tuple = ESCAPES) -> Column:
@@ -104,24 +106,37 @@ def read_back(formatted: DataFrame) -> DataFrame:
                     unescape(F.array_join(masked, "")).alias("loss_text")))
 
 
-def turn_log(conversations: DataFrame) -> DataFrame:
-    """The event log of a table of finished turns: every row opens a message
-    of its own (rows of one turn: by role and text)."""
+def turn_log(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
+    """The event log that ends in a table of finished turns: a row opens a
+    message of its own (rows of one turn: by role and text), which streams its
+    text in pieces of ``piece`` code points. An assistant message opens empty,
+    streams the last piece first, is regenerated, and streams all pieces; any
+    other one opens with its last piece, is edited to the first one, and
+    streams the others."""
     copy = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
-    return conversations.select(
-        F.col("conv_id").alias("conv"), F.struct("turn", copy.alias("copy")).alias("message"),
-        F.col("turn").alias("seq"), F.lit("message").alias("event"), "role", "text")
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))
+    rows = conversations.select(
+        F.col("conv_id").alias("conv"), F.struct("turn", copy.alias("copy")).alias("message"), "role", pieces.alias("pieces"))
+    event = lambda kind, text: F.struct(F.lit(kind).alias("event"), text.cast("string").alias("text"))
+    deltas = lambda p: F.transform(p, lambda t: event("delta", t))
+    first, last = F.try_element_at("pieces", F.lit(1)), F.try_element_at("pieces", F.lit(-1))
+    log = F.when(F.col("role") == "assistant", F.concat(
+        F.array(event("message", F.lit("")), event("delta", last), event("regenerate", F.lit(None))), deltas(F.col("pieces")),
+    )).otherwise(F.concat(
+        F.array(event("message", last), event("edit", first)), deltas(F.slice("pieces", F.lit(2), F.greatest(F.size("pieces"), F.lit(1))))))
+    return rows.select("conv", "message", "role", F.posexplode(log).alias("seq", "e")).select(
+        "conv", "message", "seq", "e.event", F.when(F.col("e.event") == "message", F.col("role")).alias("role"), "e.text")
 
 
-def _example(spark: SparkSession, schema) -> DataFrame:
-    said = "\\### Assistant: </turn> ok"
-    return spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], schema)
+def _example(spark: SparkSession) -> DataFrame:
+    return spark.sql(r"""SELECT conv_id, turn, role, r'\### Assistant: </turn> ok' AS text
+                         FROM VALUES (-7, 0, 'user'), (-7, 1, 'assistant') AS t(conv_id, turn, role)""")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every formatted conversation, read back from the output."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    rows = rows.unionByName(_example(spark, rows.schema))
+    rows = rows.unionByName(_example(spark))
     out = read_back(render(final_messages(turn_log(rows))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(

@@ -71,3 +71,19 @@ def test_odd_turns(spark, tmp_dir):
     assert got[1]["loss_chars"] == 2 * len(long)
     assert got[2]["loss_sha256"] == hashlib.sha256(b"").hexdigest()
     assert chat.turn_log(spark.read.parquet(f"{tmp_dir}/conversations.parquet").where(F.lit(False))).count() == 0
+
+
+def test_finished_turns_are_logged_as_streams(spark):
+    rows = [(1, 0, "user", "ask" * 40), (1, 1, "assistant", "said \U0001F600\n" * 30), (1, 2, "assistant", None), (1, 3, "user", ""),
+            (1, 4, None, "x" * 16), (1, 5, "system", "short"), (2, 0, "assistant", "y" * 33), (2, 0, "assistant", "y" * 33)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.turn_log(df, piece=16)
+    events = [(r["conv"], tuple(r["message"]), r["seq"], r["event"], r["role"], r["text"]) for r in log.collect()]
+    assert {e[3] for e in events} == {"message", "delta", "edit", "regenerate"}
+    assert all(len(e[5] or "") <= 16 for e in events)
+    assert sum(e[3] == "delta" for e in events if e[:2] == (1, (1, 1))) == 1 + -(-7 * 30 // 16)
+    got = {(r["conv"], tuple(r["message"])): (r["role"], r["text"]) for r in chat.final_messages(log).collect()}
+    assert got == fold(events)
+    assert sorted((c, m[0], r, t) for (c, m), (r, t) in got.items()) == sorted((c, t, r or "", s or "") for c, t, r, s in rows)
+    raw = {(c, m): "".join(e[5] or "" for e in sorted(events, key=lambda e: e[2]) if e[:2] == (c, m)) for c, m in got}
+    assert sum(raw[k] != got[k][1] for k in got) >= 6  # without the fold, what was discarded would stay
