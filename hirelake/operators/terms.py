@@ -16,8 +16,15 @@ Token rows carry a small row key, never the text, so the shuffles move
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
@@ -37,44 +44,143 @@ def _lexicon_terms(lexicon: DataFrame) -> DataFrame:
     """term, cost of every word (the cheapest, where one is repeated)."""
     cost = F.col("cost").cast("int") if "cost" in lexicon.columns else F.lit(WORD_COST)
     return (lexicon.select(F.col("term").cast("string").alias("term"), cost.alias("cost"))
-            .where(F.col("term") != "").groupBy("term").agg(F.min("cost").alias("cost")))
+            .where(F.col("term") != "").groupBy("term").agg(F.min("cost").alias("cost"))
+            .where(F.col("cost").isNotNull()))
 
 
 def _substrings(vocab: DataFrame, lex: DataFrame) -> DataFrame:
-    """tok, longest, s, n, term: the substrings of every token, of the lengths
+    """tok, s, n, term: the substrings of every token, of the lengths
     that occur in the lexicon. The lengths are a scalar subquery (a few
     numbers, at run time): building the plan starts no job, and one overlong
     entry adds one length."""
     lengths = lex.agg(F.sort_array(F.collect_set(F.char_length("term")))).scalar()
     able = vocab.withColumn("_lengths", lengths)
     n = F.explode(F.filter("_lengths", lambda x: x <= F.char_length("tok"))).alias("n")
-    sized = able.select("tok", F.coalesce(F.array_max("_lengths"), F.lit(0)).alias("longest"), n)
+    sized = able.select("tok", n)
     at = sized.select("*", F.explode(F.sequence(F.lit(0), F.char_length("tok") - F.col("n"))).alias("s"))
     return at.withColumn("term", F.col("tok").substr(F.col("s") + 1, F.col("n")))
 
 
-def _cheapest(words: Column, longest: Column) -> Column:
-    """Words of the cheapest segmentation of a token, from its lexicon words
-    (array of struct e, s, gain, term; sorted). Least cost is most gain, where
-    a word gains the cost of the letters it covers less its own; of equal ones
-    the list of words that is greatest in code-point order is taken.
-
-    The fold goes through the words by where they end and keeps the best
-    segmentation up to each of the last ends; none further back than the
-    longest word can be asked for."""
-    zero = F.array(F.struct(F.lit(0).alias("e"), F.lit(0).alias("v"), F.array().cast("array<string>").alias("w")))
+def _order(a: tuple | None, b: tuple | None) -> int:
+    """Order of two word lists, each a chain (list before, word, length).
+    They are followed back only to where they part."""
+    n, m, x, y = a[2] if a else 0, b[2] if b else 0, a, b
+    while x and x[2] > m:
+        x = x[0]
+    while y and y[2] > n:
+        y = y[0]
+    found = (n > m) - (n < m)
+    while x is not y:
+        if x[1] != y[1]:
+            found = 1 if x[1] > y[1] else -1
+        x, y = x[0], y[0]
+    return found
 
-    def step(best: Column, x: Column) -> Column:
-        before = F.element_at(F.filter(best, lambda b: b["e"] <= x["s"]), -1)
-        last = F.element_at(best, -1)
-        found = F.struct((before["v"] + x["gain"]).alias("v"), F.array_append(before["w"], x["term"]).alias("w"))
-        top = F.greatest(found, F.struct(last["v"].alias("v"), last["w"].alias("w")))
-        kept = F.filter(best, lambda b: b["e"] < x["e"])
-        out = F.array_append(kept, F.struct(x["e"].alias("e"), top["v"].alias("v"), top["w"].alias("w")))
-        keep = F.least(F.size(out), longest + 2)
-        return F.slice(out, F.size(out) - keep + 1, keep)
 
-    return F.aggregate(words, zero, step, lambda best: F.element_at(best, -1)["w"])
+def _cheapest(tok: str, words: list[tuple[int, int, int]]) -> list[str]:
+    """Words of the cheapest segmentation of a token, from its lexicon words
+    (end, start, gain; sorted). Least cost is most gain, where a word gains the
+    cost of the letters it covers less its own; of equal ones the list of words
+    that is greatest in code-point order is taken."""
+    ends, values, lists = [0], [0], [None]  # the best segmentation up to each end
+    for e, s, gain in words:
+        at = bisect_right(ends, s) - 1
+        before, value = lists[at], values[at] + gain
+        found = (before, tok[s:e], before[2] + 1 if before else 1)
+        if value < values[-1] or value == values[-1] and _order(found, lists[-1]) < 0:
+            value, found = values[-1], lists[-1]
+        if ends[-1] == e:
+            values[-1], lists[-1] = value, found
+        else:
+            ends.append(e)
+            values.append(value)
+            lists.append(found)
+    out, last = [], lists[-1]
+    while last:
+        out.append(last[1])
+        last = last[0]
+    return out[::-1]
+
+
+#: Rows of one group are brought together by this number: a sort by one number is a radix sort.
+_HASH = "_h"
+
+
+def _gathered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by their keys and, within a partition, ordered by the keys' hash."""
+    return df.repartition(*keys).withColumn(_HASH, F.xxhash64(*keys)).sortWithinPartitions(_HASH)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], order: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, sorted by ``keys`` and ``order``, with where
+    each group starts, of gathered rows that come in batches. Rows of a hash
+    that goes on in the next batch are held back."""
+    def ready(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(parts)
+        table = table.sort_by([(c, "ascending") for c in [_HASH, *keys, *order]]).combine_chunks()
+        return table, _starts(table, keys)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        hashes = batch.column(_HASH).to_numpy()
+        cut = int(np.searchsorted(hashes, hashes[-1]))
+        if held and (cut or held[-1].column(_HASH)[-1].as_py() != hashes[-1]):
+            yield ready([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield ready([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield ready(held)
+
+
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Rows whose keys (NULL equals NULL) are not those of the row before."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for k in keys:
+        was, now = table[k].slice(0, table.num_rows - 1), table[k].slice(1)
+        differs = pc.or_(pc.fill_null(pc.not_equal(was, now), False), pc.xor(pc.is_null(was), pc.is_null(now)))
+        new[1:] |= differs.to_numpy()
+    return np.flatnonzero(new)
+
+
+def _cheapest_of_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tok, e, s, gain) -> (tok, nouns)."""
+    for table, starts in _whole_groups(batches, ["tok"], ["e", "s"]):
+        toks = table["tok"].take(pa.array(starts))
+        words = list(zip(*(table[c].to_numpy().tolist() for c in ("e", "s", "gain"))))
+        ends = [*starts.tolist(), len(words)]
+        nouns = [_cheapest(t, words[i:j]) for t, i, j in zip(toks.to_pylist(), ends, ends[1:])]
+        out = pa.table({"tok": toks, "nouns": pa.array(nouns, pa.list_(pa.string()))})
+        yield from out.combine_chunks().to_batches()
+
+
+def _noun_arrays(keys: list[str], n_cols: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(keys..., ci, pos, nouns) -> (keys..., one noun array per column)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_groups(batches, keys, ["ci", "pos"]):
+            # rows that share a key and a place (copies) count once
+            places = [*_starts(table, [*keys, "ci", "pos"]).tolist(), table.num_rows]
+            if len(places) <= table.num_rows:
+                nouns = table["nouns"].to_pylist()
+                keep = [i for a, b in zip(places, places[1:])
+                        for i in ([a] if b - a == 1 else sorted({tuple(nouns[i]): i for i in range(a, b)}.values(), key=nouns.__getitem__))]
+                table = table.take(pa.array(keep)).combine_chunks()
+                starts = _starts(table, keys)
+            nouns, ci = table["nouns"].chunk(0), table["ci"].to_numpy()
+            owner = np.repeat(np.arange(len(starts)), np.diff([*starts, table.num_rows]))
+            sizes = pc.list_value_length(nouns).to_numpy()
+            out = {k: table[k].take(pa.array(starts)) for k in keys}
+            for i in range(n_cols):
+                mine = ci == i
+                ends = np.cumsum(np.bincount(owner[mine], sizes[mine], len(starts))).astype(np.int32)
+                offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+                out[f"_n{i}"] = pa.ListArray.from_arrays(offsets, nouns.filter(pa.array(mine)).flatten())
+            yield from pa.table(out).combine_chunks().to_batches()
+    return run
 
 
 def segment(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,17 +189,18 @@ def segment(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     order. A ``cost`` column in the lexicon prices its words.
 
     Matching runs on the vocabulary (DISTINCT tokens, collapsed map-side), not
-    on occurrences, and the (tok, nouns) map is joined back to them. Both joins
-    are left to AQE, which broadcasts a side by its measured bytes and splits a
-    hot word or token otherwise. A token's words are bounded by its length.
+    on occurrences, and the (tok, nouns) map is joined back to them. AQE splits
+    a hot word or token in both joins. A token's words are bounded by its length; the
+    walk through them is a small Python helper, as a fold of expressions over
+    them is interpreted and took most of the run.
     """
     lex = _lexicon_terms(lexicon)
     vocab = _substrings(rows.select("tok").distinct(), lex)
     hits = lookup_join(vocab, lex, ["term"], "inner")
-    word = F.struct((F.col("s") + F.col("n")).alias("e"), "s", (F.col("n") * LETTER_COST - F.col("cost")).alias("gain"), "term")
-    found = hits.groupBy("tok").agg(F.array_sort(F.collect_list(word)).alias("words"), F.max("longest").alias("longest"))
-    nouns = found.select("tok", _cheapest(F.col("words"), F.col("longest")).alias("nouns")).where(F.size("nouns") > 0)
-    return lookup_join(rows, nouns, ["tok"], "inner").select(*keys, "tok", "nouns")
+    words = hits.select("tok", (F.col("s") + F.col("n")).alias("e"), "s", (F.col("n") * LETTER_COST - F.col("cost")).alias("gain"))
+    nouns = _gathered(words, ["tok"]).mapInArrow(_cheapest_of_tokens, "tok string, nouns array<string>").where(F.size("nouns") > 0)
+    # nouns has one row a token: its partitions are even and need no sort, and neither do the occurrences
+    return lookup_join(rows, nouns.hint("shuffle_hash"), ["tok"], "inner").select(*keys, "tok", "nouns")
 
 
 def row_key(df: DataFrame, cols: list[str] | None = None) -> Column:
@@ -133,17 +240,11 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     toks = (source.select(*kcols, F.explode(per_col).alias("_c"))
             .select(*kcols, F.col("_c.ci").alias("ci"), F.posexplode("_c.toks").alias("pos", "tok")))
     hits = segment(toks, lexicon, [*kcols, "ci", "pos"])
-    grouped = hits.groupBy(*kcols).agg(F.collect_set(F.struct("ci", "pos", "nouns")).alias("_a"))
-    # sets: (ci, pos) is unique within a row, and exact duplicate rows (which
-    # share a content key) contribute the same elements once
-
-    def of_column(i: int):
-        # one-argument lambda: F.filter treats a two-argument one as (x, index)
-        return lambda x: x["ci"] == F.lit(i)
-
-    arrays = grouped.select(*kcols, *[
-        F.flatten(F.transform(F.array_sort(F.filter("_a", of_column(i))), lambda x: x["nouns"])).alias(f"_n{i}")
-        for i in range(len(cols))])
+    # dealt by key and put together in one pass: no state per key
+    dealt = _gathered(hits.select(*kcols, "ci", "pos", "nouns"), kcols)
+    schema = T.StructType([T.StructField(k, dealt.schema[k].dataType) for k in kcols]
+                          + [T.StructField(f"_n{i}", T.ArrayType(T.StringType())) for i in range(len(cols))])
+    arrays = dealt.mapInArrow(_noun_arrays(kcols, len(cols)), schema)
     out = lookup_join(keyed, arrays, kcols, "left", null_safe=True)
     out = out.withColumns({name(c): F.coalesce(F.col(f"_n{i}"), F.array().cast("array<string>"))
                            for i, c in enumerate(cols)})

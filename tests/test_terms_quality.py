@@ -145,3 +145,33 @@ def test_noun_arrays_of_two_columns(spark):
                                "id int, a string, b string")
     one = terms.lexicon_terms(df, ["a", "b"], lex, terms.KOREAN_PATTERN)
     assert rows(one)[0][3:] == (["데이터엔지니어", "경험", "우대"], ["데이터", "데이터"])
+
+
+def test_words_of_a_token_are_walked_once(spark):
+    # one pass in a small helper, not an interpreted fold that copies its state at every word
+    lex = _lexicon(spark, ["가", "나", "가나", "나가"])
+    toks = spark.createDataFrame([(1, "가나" * 1500), (2, "다")], "i int, tok string")
+    out = terms.segment(toks, lex, ["i"])
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.i, r.nouns) for r in out.collect()] == [(1, ["가나"] * 1500)]
+    # of equal gain the greatest list; a word whose cost is unknown is none
+    priced = spark.createDataFrame([("가", 0), ("가나", 1), ("나", 1), ("나다", None)], "term string, cost int")
+    toks = spark.createDataFrame([(1, "가나다"), (2, "나다")], "i int, tok string")
+    assert {r.i: r.nouns for r in terms.segment(toks, priced, ["i"]).collect()} == {1: ["가나"], 2: ["나"]}
+
+
+def test_noun_arrays_over_batches_and_repeated_keys(spark):
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    lex = _lexicon(spark, ["데이터", "경험", "우대"])
+    df = spark.createDataFrame([(1, None, "데이터 경험 " * 4), (1, None, "데이터 경험 " * 4), (1, "x", "우대"), (None, None, "경험"),
+                                (2, "x", "데이터"), (2, "x", "우대 경험")], "id int, part string, txt string")
+    try:
+        spark.conf.set(size, "3")
+        out = terms.lexicon_terms(df, ["txt"], lex, name=lambda c: "nouns", key=["id", "part"])
+        got = rows(out.select("id", "part", "nouns"))
+    finally:
+        spark.conf.set(size, old)
+    both = ["데이터", "우대", "경험"]  # rows that share a key share their nouns, by place and word
+    assert got == sorted([(1, None, ["데이터", "경험"] * 4)] * 2 + [(1, "x", ["우대"]), (None, None, ["경험"])] + [(2, "x", both)] * 2,
+                         key=lambda r: tuple("" if v is None else str(v) for v in r))
