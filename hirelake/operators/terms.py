@@ -268,11 +268,14 @@ def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
                        pattern: str = KOREAN_PATTERN) -> DataFrame:
     """DISTINCT (job_id, platform, noun of col).
 
-    Same rows as unnesting the noun arrays, computed from DISTINCT
-    (job_id, platform, token) so repeated tokens collapse map-side first.
+    Same rows as unnesting the noun arrays. Copies of a posting (re-scraped
+    every day) collapse as whole texts: a task's table of distinct rows is then
+    no larger than the text it read, where one of distinct tokens is many
+    times that. A token met in two texts of a posting is met by the last DISTINCT.
     """
     runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
     keys = ["job_id", "platform"]
-    toks = df.select(*keys, F.explode(runs).alias("tok")).distinct()
+    texts = df.where(F.col(col).isNotNull()).select(*keys, col).distinct()
+    toks = texts.select(*keys, F.explode(runs).alias("tok"))
     nouns = segment(toks, lexicon, keys)
     return nouns.select(*keys, F.explode("nouns").alias(out)).distinct()

@@ -175,3 +175,14 @@ def test_noun_arrays_over_batches_and_repeated_keys(spark):
     both = ["데이터", "우대", "경험"]  # rows that share a key share their nouns, by place and word
     assert got == sorted([(1, None, ["데이터", "경험"] * 4)] * 2 + [(1, "x", ["우대"]), (None, None, ["경험"])] + [(2, "x", both)] * 2,
                          key=lambda r: tuple("" if v is None else str(v) for v in r))
+
+
+def test_term_table_collapses_texts_before_tokens(spark):
+    lex = _lexicon(spark, ["복지", "식대"])
+    df = spark.createDataFrame([("1", "wanted", "식대 복지 식대")] * 3 + [("1", "wanted", "식대"), (None, None, "복지"), ("2", "jumpit", None)],
+                               "job_id string, platform string, welfare string")
+    out = terms.lexicon_term_table(df, "welfare", "w", lex)
+    assert rows(out) == [(None, None, "복지"), ("1", "wanted", "복지"), ("1", "wanted", "식대")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # no table of distinct tokens of every posting: only of texts, of nouns and of the vocabulary
+    assert not any("Aggregate [job_id" in line and "tok" in line for line in plan.splitlines())
