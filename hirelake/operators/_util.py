@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,6 +28,12 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nu
     return left.join(named, on, how).drop(*[f"__{k}" for k in keys])
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which the session broadcasts a table; none if not positive."""
+    size = re.fullmatch(r"(-?\d+)([kmgtp]?)i?b?", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower())
+    return int(size[1]) << 10 * " kmgtp".index(size[2] or " ")
+
+
 def _sql_literal(value, sql_type: str) -> str:
     if value is None:
         return f"CAST(NULL AS {sql_type})"

@@ -11,7 +11,10 @@ letters). The work is done on the token vocabulary, not on the text:
     through a token's words -> occurrences -> arrays per row in text order.
 
 Token rows carry a small row key, never the text, so the shuffles move
-(key, position, token) only.
+(key, position, token) only. A lexicon within the session's broadcast limit
+(measured at run time) is sent to the tasks instead, as a tagger's dictionary
+would be, and each segments the tokens of the rows it reads: no occurrence is
+shuffled at all.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow.compute import take
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
-from ._util import lookup_join
+from ._util import broadcast_limit, lookup_join
 
 KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
@@ -150,7 +154,7 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
 def _cheapest_of_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(tok, e, s, gain) -> (tok, nouns)."""
     for table, starts in _whole_groups(batches, ["tok"], ["e", "s"]):
-        toks = table["tok"].take(pa.array(starts))
+        toks = take(table["tok"], pa.array(starts))
         words = list(zip(*(table[c].to_numpy().tolist() for c in ("e", "s", "gain"))))
         ends = [*starts.tolist(), len(words)]
         nouns = [_cheapest(t, words[i:j]) for t, i, j in zip(toks.to_pylist(), ends, ends[1:])]
@@ -168,12 +172,12 @@ def _noun_arrays(keys: list[str], n_cols: int) -> Callable[[Iterator[pa.RecordBa
                 nouns = table["nouns"].to_pylist()
                 keep = [i for a, b in zip(places, places[1:])
                         for i in ([a] if b - a == 1 else sorted({tuple(nouns[i]): i for i in range(a, b)}.values(), key=nouns.__getitem__))]
-                table = table.take(pa.array(keep)).combine_chunks()
+                table = take(table, pa.array(keep)).combine_chunks()
                 starts = _starts(table, keys)
             nouns, ci = table["nouns"].chunk(0), table["ci"].to_numpy()
             owner = np.repeat(np.arange(len(starts)), np.diff([*starts, table.num_rows]))
             sizes = pc.list_value_length(nouns).to_numpy()
-            out = {k: table[k].take(pa.array(starts)) for k in keys}
+            out = {k: take(table[k], pa.array(starts)) for k in keys}
             for i in range(n_cols):
                 mine = ci == i
                 ends = np.cumsum(np.bincount(owner[mine], sizes[mine], len(starts))).astype(np.int32)
@@ -183,6 +187,92 @@ def _noun_arrays(keys: list[str], n_cols: int) -> Callable[[Iterator[pa.RecordBa
     return run
 
 
+#: Bytes of a lexicon word beside its letters, and tokens whose nouns a task remembers.
+WORD_BYTES, KNOWN = 24, 1 << 18
+#: Rows of a batch that are worked on at once.
+ROWS = 2000
+
+
+def _sent(df: DataFrame, lexicon: DataFrame) -> tuple[Column, Column] | None:
+    """Whether the lexicon is within the broadcast limit, and its words if it
+    is: scalar subqueries, so building the plan starts no job and a larger
+    lexicon is never put together. None where the session broadcasts nothing."""
+    limit = broadcast_limit(df.sparkSession)
+    if limit <= 0:
+        return None
+    lex = _lexicon_terms(lexicon)
+    fits = lex.agg(F.coalesce(F.sum(F.octet_length("term") + WORD_BYTES) <= limit, F.lit(True)).alias("fits")).scalar()
+    return fits, lex.where(fits).agg(F.collect_list(F.struct("term", "cost")).alias("words")).scalar()
+
+
+def _with_words(df: DataFrame, words: Column) -> DataFrame:
+    """The words ride on the first row of each partition."""
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    return df.withColumn("_lex", F.when(first, words))
+
+
+class _Dictionary:
+    """A lexicon in a task, as a tree of letters with a word's gain under "",
+    and the nouns of the tokens met so far."""
+
+    def __init__(self) -> None:
+        self.tree: dict = {}
+        self.known: dict[str, list[str]] = {}
+
+    def learn(self, words: pa.ListArray) -> None:
+        for x in words.flatten().to_pylist():
+            node = self.tree
+            for letter in x["term"]:
+                node = node.setdefault(letter, {})
+            node[""] = len(x["term"]) * LETTER_COST - x["cost"]
+
+    def nouns(self, tok: str) -> list[str]:
+        if (found := self.known.get(tok)) is None:
+            words, size = [], len(tok)
+            for s in range(size):
+                node, e = self.tree, s
+                while e < size and (node := node.get(tok[e])) is not None:
+                    e += 1
+                    if "" in node:
+                        words.append((e, s, node[""]))
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            found = self.known[tok] = _cheapest(tok, sorted(words))
+        return found
+
+    def nouns_of_lists(self, toks: pa.ListArray) -> pa.ListArray:
+        """Token lists -> the nouns of their tokens in order; NULL -> []."""
+        flat = toks.flatten().dictionary_encode()
+        codes = flat.indices.to_numpy()
+        nouns = pa.array([self.nouns(t) for t in flat.dictionary.to_pylist()], pa.list_(pa.string()))
+        sizes = pc.list_value_length(nouns).to_numpy(zero_copy_only=False)[codes]
+        at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(_sizes(toks))])]
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), take(nouns, flat.indices).flatten())
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    """Elements of each list, none for NULL."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
+def _read(batches: Iterator[pa.RecordBatch], lex: _Dictionary) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of a few rows; the words among them go to ``lex``."""
+    for batch in batches:
+        if "_lex" in batch.schema.names and batch.column("_lex").null_count < batch.num_rows:
+            lex.learn(batch.column("_lex"))
+        yield from (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS))
+
+
+def _local_arrays(columns: list[str], n_cols: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(columns..., _t0, _t1, ..., _lex) -> (columns..., one noun array per token list)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = _Dictionary()
+        for part in _read(batches, lex):
+            nouns = [lex.nouns_of_lists(part.column(f"_t{i}")) for i in range(n_cols)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *nouns], names=[*columns, *names])
+    return run
+
+
 def segment(rows: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., tok, nouns) for rows of (keys..., tok) whose token holds a
     lexicon word; ``nouns`` are the words of its cheapest segmentation, in
@@ -216,6 +306,35 @@ def lexicon_terms(df: DataFrame, cols: list[str], lexicon: DataFrame,
     """Add one noun array per text column (text order, repeats kept);
     NULL, blank or unmatched text -> [].
 
+    Where the lexicon is within the broadcast limit, rows are worked on where
+    they are read. Otherwise, and where a ``key`` that should be unique has
+    several texts (whose rows share their nouns), by joins; both are decided at
+    run time.
+    """
+    sent = _sent(df, lexicon)
+    if sent is None:
+        return _joined_terms(df, cols, lexicon, pattern, name, key, dedupe)
+    fits, words = sent
+    here = fits if key is None else fits & _one_text_a_key(df, cols, key)
+    toks = [F.regexp_extract_all(F.col(c), F.lit(pattern), 0).alias(f"_t{i}") for i, c in enumerate(cols)]
+    names = [name(c) for c in cols]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.ArrayType(T.StringType())) for n in names]])
+    local = _with_words(df.where(here).select(*df.columns, *toks), words)
+    local = local.mapInArrow(_local_arrays(df.columns, len(cols), names), schema)
+    return local.union(_joined_terms(df.where(~here), cols, lexicon, pattern, name, key, dedupe))
+
+
+def _one_text_a_key(df: DataFrame, cols: list[str], key: list[str]) -> Column:
+    """Whether all rows of a key have the same texts (NULL keys are one key)."""
+    text = F.xxhash64(*cols, *[F.col(c).isNull() for c in cols])
+    per_key = df.groupBy(*key).agg(F.min(text).alias("a"), F.max(text).alias("b"))
+    return per_key.agg(F.coalesce(F.min(F.col("a") == F.col("b")), F.lit(True)).alias("one")).scalar()
+
+
+def _joined_terms(df: DataFrame, cols: list[str], lexicon: DataFrame, pattern: str, name,
+                  key: list[str] | None, dedupe: bool) -> DataFrame:
+    """Noun arrays by joins, for a lexicon of any size.
+
     Token rows carry only a small row key (``key`` when the caller has a
     unique one, else a content hash), the column index, the position and
     the token; all columns are tokenised in one pass and the arrays come
