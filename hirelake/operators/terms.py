@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
 from ._util import broadcast_limit, lookup_join
+from .packed import distinct_terms, pack, packed_schema
 
 KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
@@ -378,16 +379,47 @@ def add_term_columns(df: DataFrame, lexicon: DataFrame, cols: list[str],
     return with_ko.withColumns({term_column(c, "english"): latin_terms(c) for c in cols})
 
 
+def _packed_terms(keys: list[str], local: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(keys..., _t0 and, where ``local``, _lex) -> packed rows of the lists'
+    terms, or of their tokens' nouns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = _Dictionary()
+        for part in _read(batches, lex):
+            lists = lex.nouns_of_lists(part.column("_t0")) if local else part.column("_t0")
+            owner = np.repeat(np.arange(part.num_rows), _sizes(lists))
+            yield pack(part, keys, owner, lists.flatten(), distinct=True)
+    return run
+
+
 def latin_term_table(df: DataFrame, col: str, out: str) -> DataFrame:
-    """DISTINCT (job_id, platform, Latin term of col)."""
-    return df.select("job_id", "platform", F.explode(F.array_distinct(latin_terms(col))).alias(out)).distinct()
+    """DISTINCT (job_id, platform, Latin term of col). A posting's
+    terms are shuffled several a row."""
+    keys = ["job_id", "platform"]
+    terms = df.select(*keys, F.array_distinct(latin_terms(col)).alias("_t0"))
+    return distinct_terms(terms.mapInArrow(_packed_terms(keys, False), packed_schema(df, keys)), keys, out)
 
 
 def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
                        pattern: str = KOREAN_PATTERN) -> DataFrame:
     """DISTINCT (job_id, platform, noun of col).
 
-    Same rows as unnesting the noun arrays. Copies of a posting (re-scraped
+    Same rows as unnesting the noun arrays. Where the lexicon is within the
+    broadcast limit, nouns are found where a text is read and shuffled several
+    a row; otherwise by joins (decided at run time).
+    """
+    keys = ["job_id", "platform"]
+    sent = _sent(df, lexicon)
+    if sent is None:
+        return _joined_term_table(df, col, out, lexicon, pattern)
+    fits, words = sent
+    runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
+    toks = _with_words(df.where(fits).select(*keys, runs.alias("_t0")), words)
+    nouns = distinct_terms(toks.mapInArrow(_packed_terms(keys, True), packed_schema(df, keys)), keys, out)
+    return nouns.union(_joined_term_table(df.where(~fits), col, out, lexicon, pattern))
+
+
+def _joined_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame, pattern: str) -> DataFrame:
+    """Nouns by joins, for a lexicon of any size. Copies of a posting (re-scraped
     every day) collapse as whole texts: a task's table of distinct rows is then
     no larger than the text it read, where one of distinct tokens is many
     times that. A token met in two texts of a posting is met by the last DISTINCT.
