@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_str, within_days
 from ..schemas import UNIQUE_JD_COLUMNS
+from .packed import packed, unpacked
 
 JOIN_KEYS = ["platform", "job_id"]
 
@@ -73,11 +74,11 @@ def unnest_distinct(df: DataFrame, col: str, out: str) -> DataFrame:
 def posting_terms(jds: DataFrame, terms: DataFrame, term_col: str, alias: str,
                   with_sub: bool = True) -> DataFrame:
     """C2-C7 (+B12): unique postings x term table on (platform, job_id), no
-    DISTINCT: a posting listed under several categories repeats its terms."""
+    DISTINCT: a posting listed under several categories repeats its terms.
+    Terms (strings) go to the join several a row."""
     cats = ["major_category", "middle_category"] + (["sub_category"] if with_sub else [])
     u = jds.select(*cats, *JOIN_KEYS)
-    t = terms.select(*JOIN_KEYS, F.col(term_col).alias(alias))
-    return u.join(t, JOIN_KEYS, "inner").select(*cats, "platform", "job_id", alias)
+    return unpacked(u.join(packed(terms, JOIN_KEYS, term_col), JOIN_KEYS, "inner"), [*cats, *JOIN_KEYS], alias)
 
 
 def company_coordinates(jds: DataFrame, detail: DataFrame) -> DataFrame:
