@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_str, within_days
 from ..schemas import UNIQUE_JD_COLUMNS
-from .packed import packed, unpacked
+from ._util import lookup_join
+from .packed import distinct_terms, packed, packed_lists, unpacked
 
 JOIN_KEYS = ["platform", "job_id"]
 
@@ -68,17 +69,23 @@ def unnest_distinct(df: DataFrame, col: str, out: str) -> DataFrame:
     """DISTINCT (job_id, platform, element); NULL or empty arrays give
     no rows, NULL elements are kept (UNNEST semantics)."""
     # array_distinct first: repeats inside one row vanish map-side, in codegen
-    return df.select("job_id", "platform", F.explode(F.array_distinct(col)).alias(out)).distinct()
+    keys, lists = ["job_id", "platform"], F.array_distinct(col)
+    if dict(df.dtypes)[col] != "array<string>":
+        return df.select(*keys, F.explode(lists).alias(out)).distinct()
+    return distinct_terms(packed_lists(df, keys, lists), keys, out)
 
 
 def posting_terms(jds: DataFrame, terms: DataFrame, term_col: str, alias: str,
                   with_sub: bool = True) -> DataFrame:
     """C2-C7 (+B12): unique postings x term table on (platform, job_id), no
     DISTINCT: a posting listed under several categories repeats its terms.
-    Terms (strings) go to the join several a row."""
+    Terms (strings) go to the join several a row. NULL keys, which match nothing,
+    are left out on the terms' side only: no filter reaches the DISTINCT of the
+    postings, so all marts of a layer read one shuffle of it."""
     cats = ["major_category", "middle_category"] + (["sub_category"] if with_sub else [])
     u = jds.select(*cats, *JOIN_KEYS)
-    return unpacked(u.join(packed(terms, JOIN_KEYS, term_col), JOIN_KEYS, "inner"), [*cats, *JOIN_KEYS], alias)
+    t = packed(terms.dropna(subset=JOIN_KEYS), JOIN_KEYS, term_col)
+    return unpacked(lookup_join(u, t, JOIN_KEYS, "inner", null_safe=True), [*cats, *JOIN_KEYS], alias)
 
 
 def company_coordinates(jds: DataFrame, detail: DataFrame) -> DataFrame:

@@ -13,14 +13,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow.compute import take
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Stands between the terms of a row; a term that holds it has a row of its own, as NULL has.
 SEPARATOR = "\x1f"
 #: Parts that a posting's terms are dealt to by their hash where all copies of a term must meet.
-PARTS = 4
+PARTS = 2
+#: Rows of a batch that are packed at once.
+ROWS = 2000
 PACKED = "_part int, _terms string, _alone boolean"
 
 
@@ -55,6 +57,21 @@ def pack(part: pa.RecordBatch, keys: list[str], owner: np.ndarray, terms: pa.Arr
          pc.binary_join(lists, SEPARATOR), pa.array(alone[word[starts]])], names=[*keys, "_part", "_terms", "_alone"])
 
 
+def pack_lists(part: pa.RecordBatch, keys: list[str], lists: pa.ListArray) -> pa.RecordBatch:
+    """Packed rows of the distinct terms of a batch's lists; NULL has none."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return pack(part, keys, np.repeat(np.arange(part.num_rows), sizes), lists.flatten(), distinct=True)
+
+
+def packed_lists(df: DataFrame, keys: list[str], lists: Column) -> DataFrame:
+    """keys, _part, _terms, _alone of the distinct terms of an array column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                yield pack_lists(part, keys, part.column("_list"))
+    return df.select(*keys, lists.alias("_list")).mapInArrow(run, packed_schema(df, keys))
+
+
 def packed(df: DataFrame, keys: list[str], term: str) -> DataFrame:
     """keys, _part, _terms, _alone of rows of (keys, term), repeats kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..functions.text import HANGUL_RUN, latin_terms
 from ..schemas import term_column
 from ._util import broadcast_limit, lookup_join
-from .packed import distinct_terms, pack, packed_schema
+from .packed import ROWS, distinct_terms, pack_lists, packed_lists, packed_schema
 
 KOREAN_PATTERN = HANGUL_RUN
 # Stand-in script for the given tables, which hold no Hangul: Latin letters
@@ -190,8 +190,6 @@ def _noun_arrays(keys: list[str], n_cols: int) -> Callable[[Iterator[pa.RecordBa
 
 #: Bytes of a lexicon word beside its letters, and tokens whose nouns a task remembers.
 WORD_BYTES, KNOWN = 24, 1 << 18
-#: Rows of a batch that are worked on at once.
-ROWS = 2000
 
 
 def _sent(df: DataFrame, lexicon: DataFrame) -> tuple[Column, Column] | None:
@@ -379,15 +377,12 @@ def add_term_columns(df: DataFrame, lexicon: DataFrame, cols: list[str],
     return with_ko.withColumns({term_column(c, "english"): latin_terms(c) for c in cols})
 
 
-def _packed_terms(keys: list[str], local: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(keys..., _t0 and, where ``local``, _lex) -> packed rows of the lists'
-    terms, or of their tokens' nouns."""
+def _packed_nouns(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(keys..., _t0, _lex) -> packed rows of the tokens' nouns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = _Dictionary()
         for part in _read(batches, lex):
-            lists = lex.nouns_of_lists(part.column("_t0")) if local else part.column("_t0")
-            owner = np.repeat(np.arange(part.num_rows), _sizes(lists))
-            yield pack(part, keys, owner, lists.flatten(), distinct=True)
+            yield pack_lists(part, keys, lex.nouns_of_lists(part.column("_t0")))
     return run
 
 
@@ -395,8 +390,7 @@ def latin_term_table(df: DataFrame, col: str, out: str) -> DataFrame:
     """DISTINCT (job_id, platform, Latin term of col). A posting's
     terms are shuffled several a row."""
     keys = ["job_id", "platform"]
-    terms = df.select(*keys, F.array_distinct(latin_terms(col)).alias("_t0"))
-    return distinct_terms(terms.mapInArrow(_packed_terms(keys, False), packed_schema(df, keys)), keys, out)
+    return distinct_terms(packed_lists(df, keys, F.array_distinct(latin_terms(col))), keys, out)
 
 
 def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
@@ -414,7 +408,7 @@ def lexicon_term_table(df: DataFrame, col: str, out: str, lexicon: DataFrame,
     fits, words = sent
     runs = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 0))
     toks = _with_words(df.where(fits).select(*keys, runs.alias("_t0")), words)
-    nouns = distinct_terms(toks.mapInArrow(_packed_terms(keys, True), packed_schema(df, keys)), keys, out)
+    nouns = distinct_terms(toks.mapInArrow(_packed_nouns(keys), packed_schema(df, keys)), keys, out)
     return nouns.union(_joined_term_table(df.where(~fits), col, out, lexicon, pattern))
 
 
