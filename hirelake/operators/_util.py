@@ -30,7 +30,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nu
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes up to which the session broadcasts a table; none if not positive."""
-    size = re.fullmatch(r"(-?\d+)([kmgtp]?)i?b?", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower())
+    size = re.match(r"(-?\d+)([kmgtp]?)i?b?\Z", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower())
     return int(size[1]) << 10 * " kmgtp".index(size[2] or " ")
 
 
